@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from kinelake.llm import decontaminate
+from kinelake.llm import byte_bpe, decontaminate
 
 
 def queries() -> dict:
     return {
+        "op4_byte_bpe": byte_bpe.op4_byte_bpe,
         "op9_decontaminate": decontaminate.op9_decontaminate,
     }
 
