@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from kinelake.llm import byte_bpe, decontaminate
+from kinelake.llm import byte_bpe, dac, decontaminate
 
 
 def queries() -> dict:
     return {
         "op4_byte_bpe": byte_bpe.op4_byte_bpe,
+        "op8_dac_tokens": dac.op8_dac_tokens,
         "op9_decontaminate": decontaminate.op9_decontaminate,
     }
 
