@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from kinelake.llm import byte_bpe, dac, decontaminate
+from kinelake.llm import byte_bpe, dac, decontaminate, jaccard_join
 
 
 def queries() -> dict:
     return {
+        "op2_jaccard_join": jaccard_join.op2_jaccard_join,
         "op4_byte_bpe": byte_bpe.op4_byte_bpe,
         "op8_dac_tokens": dac.op8_dac_tokens,
         "op9_decontaminate": decontaminate.op9_decontaminate,
