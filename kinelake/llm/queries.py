@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from kinelake.llm import byte_bpe, dac, decontaminate, jaccard_join
+from kinelake.llm import brown_lm, byte_bpe, dac, decontaminate, jaccard_join
 
 
 def queries() -> dict:
     return {
         "op2_jaccard_join": jaccard_join.op2_jaccard_join,
+        "op3_brown_lm": brown_lm.op3_brown_lm,
         "op4_byte_bpe": byte_bpe.op4_byte_bpe,
         "op8_dac_tokens": dac.op8_dac_tokens,
         "op9_decontaminate": decontaminate.op9_decontaminate,
