@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from kinelake.llm import brown_lm, byte_bpe, dac, decontaminate, jaccard_join
+from kinelake.llm import brown_lm, byte_bpe, dac, decontaminate, jaccard_join, sketch
 
 
 def queries() -> dict:
@@ -10,6 +10,7 @@ def queries() -> dict:
         "op2_jaccard_join": jaccard_join.op2_jaccard_join,
         "op3_brown_lm": brown_lm.op3_brown_lm,
         "op4_byte_bpe": byte_bpe.op4_byte_bpe,
+        "op5_sketch": sketch.op5_sketch,
         "op8_dac_tokens": dac.op8_dac_tokens,
         "op9_decontaminate": decontaminate.op9_decontaminate,
     }
@@ -17,5 +18,6 @@ def queries() -> dict:
 
 def oracles() -> dict:
     return {
+        "op5_sketch": sketch.OP5_SQL,
         "op9_decontaminate": decontaminate.OP9_SQL,
     }
