@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from kinelake.llm import brown_lm, byte_bpe, dac, decontaminate, jaccard_join, sketch
+from kinelake.llm import brown_lm, byte_bpe, dac, decontaminate, jaccard_join, pii, sketch
 
 
 def queries() -> dict:
     return {
+        "op1_pii_feistel": pii.op1_pii_feistel,
         "op2_jaccard_join": jaccard_join.op2_jaccard_join,
         "op3_brown_lm": brown_lm.op3_brown_lm,
         "op4_byte_bpe": byte_bpe.op4_byte_bpe,
