@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from kinelake.llm import brown_lm, byte_bpe, dac, decontaminate, jaccard_join, pii, sketch
+from kinelake.llm import brown_lm, byte_bpe, dac, decontaminate, jaccard_join, lang_id, pii, sketch
 
 
 def queries() -> dict:
@@ -12,6 +12,7 @@ def queries() -> dict:
         "op3_brown_lm": brown_lm.op3_brown_lm,
         "op4_byte_bpe": byte_bpe.op4_byte_bpe,
         "op5_sketch": sketch.op5_sketch,
+        "op6_lang_id": lang_id.op6_lang_id,
         "op8_dac_tokens": dac.op8_dac_tokens,
         "op9_decontaminate": decontaminate.op9_decontaminate,
     }
