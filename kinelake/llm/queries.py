@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from kinelake.llm import brown_lm, byte_bpe, dac, decontaminate, jaccard_join, lang_id, pii, sketch
+from kinelake.llm import brown_lm, byte_bpe, dac, decontaminate, jaccard_join, lang_id, pii, quality, sketch, toxicity
 
 
 def queries() -> dict:
@@ -13,8 +13,10 @@ def queries() -> dict:
         "op4_byte_bpe": byte_bpe.op4_byte_bpe,
         "op5_sketch": sketch.op5_sketch,
         "op6_lang_id": lang_id.op6_lang_id,
+        "op7_quality_ordinal": quality.op7_quality_ordinal,
         "op8_dac_tokens": dac.op8_dac_tokens,
         "op9_decontaminate": decontaminate.op9_decontaminate,
+        "op10_toxicity": toxicity.op10_toxicity,
     }
 
 
