@@ -141,7 +141,16 @@ def _merge(a: list[int], b: list[int]) -> list[int]:
     return out
 
 
-def _pass(block, column: str, keep: list[str]):
+def _without(text: str, cuts: list[int]) -> str:
+    """The text without these ranges of bytes; they start and end at word edges, so that no character is cut."""
+    raw, at, pieces = text.encode(), 0, []
+    for s, e in zip(cuts[::2], cuts[1::2], strict=True):
+        pieces.append(raw[at:s])
+        at = e
+    return b"".join([*pieces, raw[at:]]).decode()
+
+
+def _pass(block, column: str, keep: list[str], clean: bool):
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         phrases = block.value
         for batch in batches:
@@ -153,8 +162,12 @@ def _pass(block, column: str, keep: list[str]):
             spans = [_merge(x or [], y) for x, y in zip(old[0], spans, strict=True)]
             cuts = [_merge(x or [], y) for x, y in zip(old[1], cuts, strict=True)]
             items = [sorted({*(x or []), *y}) for x, y in zip(old[2], items, strict=True)]
+            kept = [batch.column(c) for c in keep]
+            if clean and any(cuts):
+                texts = [_without(t, c) if c else t for t, c in zip(batch.column(column).to_pylist(), cuts, strict=True)]
+                kept = [pa.array(texts, v.type) if c == column else v for c, v in zip(keep, kept, strict=True)]
             state = [pa.array(n_words, pa.int64()), pa.array(spans, pa.list_(pa.int64())), pa.array(cuts, pa.list_(pa.int64())), pa.array(items, pa.list_(pa.string()))]
-            yield pa.RecordBatch.from_arrays([batch.column(c) for c in keep] + state, names=[*keep, *STATE])
+            yield pa.RecordBatch.from_arrays(kept + state, names=[*keep, *STATE])
 
     return search
 
@@ -176,8 +189,8 @@ def blocks(benchmark: DataFrame, window: int, block_windows: int) -> Iterator[Ph
         yield Phrases(rows, window)
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text", window: int = WINDOW, block_windows: int = BLOCK_WINDOWS, columns: list[str] | None = None) -> DataFrame:
-    """The columns asked for (all by default) with `n_words`, `hit_spans` (merged [start, end) in words, flat),
+def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text", window: int = WINDOW, block_windows: int = BLOCK_WINDOWS, columns: list[str] | None = None, clean: bool = False) -> DataFrame:
+    """The columns asked for (all by default), the text without hit words if `clean`, with `n_words`, `hit_spans` (merged [start, end) in words, flat),
     `hit_bytes` (the same in bytes of the text's UTF-8), and `hit_items` (sorted as strings)."""
     spark = docs.sparkSession
     columns = docs.columns if columns is None else columns
@@ -188,32 +201,11 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text", win
     for k, block in enumerate(todo):
         keep = [outer[c] for c in (columns if k == len(todo) - 1 else outer)]
         schema = T.StructType([out.schema[c] for c in [*keep, *STATE]])
-        out = out.mapInArrow(_pass(block, outer[text], keep), schema)
+        out = out.mapInArrow(_pass(block, outer[text], keep, clean and k == len(todo) - 1), schema)
     names = "n_words", "hit_spans", "hit_bytes", "hit_items"
     return out.select(*[F.col(outer[c]).alias(c) for c in columns], *[F.col(s).alias(n) for s, n in zip(STATE, names, strict=True)])
 
 
-def removed(text: str, spans: str = "hit_bytes"):
-    """The text without the hit bytes. Spans start and end at word edges, so that no character is cut."""
-
-    def cut(batches: Iterator[tuple]) -> Iterator:
-        import pandas as pd
-
-        for texts, cuts in batches:
-            out = []
-            for t, c in zip(texts, cuts, strict=True):
-                if t is not None and len(c):
-                    raw, at, pieces = t.encode(), 0, []
-                    for s, e in zip(c[::2], c[1::2], strict=True):
-                        pieces.append(raw[at:s])
-                        at = e
-                    t = b"".join([*pieces, raw[at:]]).decode()
-                out.append(t)
-            yield pd.Series(out, dtype=object)
-
-    return F.pandas_udf(cut, "string", F.PandasUDFType.SCALAR_ITER)(F.col(text), F.col(spans))
-
-
 def digest(found: DataFrame) -> DataFrame:
     """doc_id and what was hit, as numbers and a hash."""
     n_hit = F.aggregate(F.transform("hit_spans", lambda x, i: F.when(i % 2 == 0, -x).otherwise(x)), F.lit(0).cast("long"), lambda a, x: a + x)

@@ -201,8 +201,9 @@ def train(texts: list[str], labels: list[int], seed: int = 5) -> Model | None:
     wdoc, start, length = windows(size, w.bounds[:-1])
     of_doc = np.searchsorted(wdoc, np.arange(len(size) + 1))
     adam = Adam(model.p, RATE)
-    for epoch in range(EPOCHS):
-        adam.rate = RATE * 0.7**epoch
+    rounds = min(40, max(EPOCHS, 30_000 // len(size)))  # a small sample is read more often
+    for epoch in range(rounds):
+        adam.rate = RATE * 0.05 ** (epoch / rounds)
         value = np.empty(len(wdoc))
         for i in range(0, len(wdoc), 1024):
             at, mask = places(start[i : i + 1024], length[i : i + 1024])
