@@ -104,14 +104,15 @@ def _prefixes(n: int, percent: int, classes):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in K.slices(batch):
-                size, digest, prefix = [], [], []
+                size, digest, prefix, parts = [], [], [], []
                 for s in sets(part.column("text"), n, classes.value):
                     size.append(len(s))
                     digest.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest())
+                    parts.append(_parts(s).astype("<u4").tobytes())
                     prefix.append(s[: probe_length(len(s), percent) if len(s) else 0].view(np.int64))
                 flat = np.concatenate([np.zeros(0, np.int64), *prefix])
                 at = np.concatenate([[0], np.cumsum([len(p) for p in prefix])]).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(size, pa.int64()), pa.array(digest, pa.binary()), pa.ListArray.from_arrays(at, flat)], names=["doc_id", "n", "digest", "prefix"])
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(size, pa.int64()), pa.array(digest, pa.binary()), pa.ListArray.from_arrays(at, flat), pa.array(parts, pa.binary())], names=["doc_id", "n", "digest", "prefix", "parts"])
 
     return run
 
@@ -225,9 +226,24 @@ def _sets_of(docs: DataFrame, ids: DataFrame, n: int, classes) -> DataFrame:
     return docs.select("doc_id", "text", bit.alias("bit")).mapInArrow(run, "doc_id long, set binary")
 
 
-def _linked(pairs: DataFrame, docs: DataFrame, n: int, percent: int, classes) -> DataFrame:
-    """Those of the pairs (a, b) that are alike enough, each verified once."""
-    pairs = keep(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
+def _suffix_filter(percent: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                n1, n2 = (batch.column(k).to_numpy() for k in (2, 3))
+                x, y = (np.frombuffer(b"".join(batch.column(k).to_pylist()), "<u4").reshape(-1, 64).astype(np.int64) for k in (4, 5))
+                ok = pa.array(np.abs(x - y).sum(axis=1) <= n1 + n2 - 2 * need(n1, n2, percent))
+                yield pa.RecordBatch.from_arrays([batch.column(0).filter(ok), batch.column(1).filter(ok)], names=["a", "b"])
+
+    return run
+
+
+def _linked(pairs: DataFrame, reps: DataFrame, docs: DataFrame, n: int, percent: int, classes) -> DataFrame:
+    """Those of the pairs (a, b) that are alike enough: by sizes of parts first, then each verified once by its sets."""
+    pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    sizes = reps.select("rep", "n", "parts")
+    told = pairs.join(sizes.toDF("a", "n1", "x"), "a").join(sizes.toDF("b", "n2", "y"), "b").select("a", "b", "n1", "n2", "x", "y")
+    pairs = keep(told.mapInArrow(_suffix_filter(percent), "a long, b long").distinct(), "pairs")
     ids = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
     found = keep(_sets_of(docs, ids, n, classes), "sets")
     left, right = found.toDF("a", "x"), found.toDF("b", "y")
@@ -298,9 +314,9 @@ def jaccard_components(docs: DataFrame, n: int, percent: int, doc_id: str = "doc
     """(doc_id, n_shingles, component_id), one row per row of docs; links: 100 * overlap >= percent * union."""
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     classes = rarity(docs, n)
-    table = keep(docs.mapInArrow(_prefixes(n, percent, classes), "doc_id long, n long, digest binary, prefix array<long>"), "prefixes")
+    table = keep(docs.mapInArrow(_prefixes(n, percent, classes), "doc_id long, n long, digest binary, prefix array<long>, parts binary"), "prefixes")
     able = table.filter("n > 0 AND doc_id IS NOT NULL")
-    reps = keep(able.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("prefix").alias("prefix")), "classes")
+    reps = keep(able.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.first("parts").alias("parts")), "classes")
     posting = reps.select("rep", "n", F.posexplode("prefix").alias("pos", "gram")).select("gram", F.col("rep").alias("doc"), "n", F.col("pos").cast("long").alias("pos"))
 
     # n-grams with so many classes that one task should not have them all; the rarity class bounds their number
@@ -324,7 +340,7 @@ def jaccard_components(docs: DataFrame, n: int, percent: int, doc_id: str = "doc
     mine = able.select("digest", "doc_id").join(reps.select("digest", "rep"), "digest").select("doc_id", "rep").distinct()
     twice = mine.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b"), F.collect_set("rep").alias("all")).filter("a < b").select("a", F.explode("all").alias("b")).filter("a < b")
 
-    links = keep(_linked(met.filter("kind = 0").select("a", "b"), docs, n, percent, classes).unionByName(twice), "links")
+    links = keep(_linked(met.filter("kind = 0").select("a", "b"), reps, docs, n, percent, classes).unionByName(twice), "links")
     roots = components(links)
     large = met.filter("kind = 1").select(F.col("a").alias("gram")).distinct()
     if large.take(1):
