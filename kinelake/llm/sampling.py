@@ -14,17 +14,17 @@ LONGEST = 200_000
 PARTS = 1 << 20
 
 
-def chosen(rows: DataFrame, label: str, size: int, doc_id: str = "doc_id", seed: int = 7) -> DataFrame:
+def chosen(rows: DataFrame, label: str, size: int | dict, doc_id: str = "doc_id", seed: int = 7) -> DataFrame:
     """The rows of the sample: about `size` for each value of the label, or all there are."""
     counts = {r[0]: r[1] for r in rows.groupBy(label).count().collect() if r[0] is not None}
     part = F.pmod(F.xxhash64(F.lit(seed), F.col(doc_id)), F.lit(PARTS).cast("long"))
     keep = F.lit(False)
     for value, n in sorted(counts.items()):
-        keep = keep | ((F.col(label) == F.lit(value)) & (part < int(PARTS * min(1.0, size / n))))
+        keep = keep | ((F.col(label) == F.lit(value)) & (part < int(PARTS * min(1.0, (size[value] if isinstance(size, dict) else size) / n))))
     return rows.filter(keep)
 
 
-def texts(docs: DataFrame, labels: DataFrame, label: str, size: int):
+def texts(docs: DataFrame, labels: DataFrame, label: str, size: int | dict):
     """Texts and labels, as two lists in the order of ids, of a sample of the labelled documents."""
     some = chosen(labels.filter(F.col(label).isNotNull() & F.col("doc_id").isNotNull()), label, size).select("doc_id", label)
     spark = docs.sparkSession
