@@ -49,18 +49,18 @@ def add(name: str, run, sql: str | None) -> None:
     QUERIES[name] = (run, sql)
 
 
-add("q_ts_monotonic", rule_query(V.event_tables, "TS_MONOTONIC", ["n_non_positive_dt", "n_non_finite_t", "min_dt", "median_dt", "max_dt"]), rule_sql(
+add("q_ts_monotonic", rule_query(V.event_tables, "TS_MONOTONIC", ["n_non_positive_dt", "n_non_finite_t", "min_dt", "median_dt", "max_dt"], 7), rule_sql(
     E, CLOCK_GATE, "CASE WHEN n >= 2 AND bad > 0 THEN 'FAIL' ELSE 'PASS' END",
     {"n_non_positive_dt": "bad", "n_non_finite_t": "CASE WHEN n >= 2 THEN 0 END", "min_dt": "lo", "median_dt": "mid", "max_dt": "hi"},
-    "SELECT uid, u, count(*) AS n, count(*) FILTER (dt <= 0) AS bad, min(dt) AS lo, quantile_cont(dt, 0.5) AS mid, max(dt) AS hi FROM dt GROUP BY uid, u",
+    "SELECT uid, u, count(*) AS n, count(*) FILTER (dt <= 0) AS bad, min(dt) AS lo, quantile_cont(dt, 0.5) AS mid, max(dt) AS hi FROM dt GROUP BY uid, u", digits=7,
 ))
 _RATE = "(1.0::DOUBLE / 21600)"
-add("q_fps_drift", rule_query(V.event_tables, "FPS_DRIFT", ["median_dt", "expected_dt", "fps_drift", "n_gaps", "gap_fraction", "max_dt"], 5), rule_sql(
+add("q_fps_drift", rule_query(V.event_tables, "FPS_DRIFT", ["median_dt", "expected_dt", "fps_drift", "n_gaps", "gap_fraction", "max_dt"], 7), rule_sql(
     E, CLOCK_GATE, "CASE WHEN u % 8 = 0 OR m = 0 THEN 'SKIPPED' WHEN gaps / m > 0.01 THEN 'FAIL' WHEN drift > 0.05 OR gaps > 0 THEN 'REVIEW' ELSE 'PASS' END",
     {k: f"CASE WHEN u % 8 <> 0 AND m > 0 THEN {v} END" for k, v in {"median_dt": "mid", "expected_dt": "expected", "fps_drift": "drift", "n_gaps": "gaps", "gap_fraction": "gaps / m", "max_dt": "hi"}.items()},
     f"""SELECT *, abs(mid - expected) / expected AS drift FROM (SELECT uid, u, count(*) AS n, count(dt) AS m, any_value(mid) AS mid, max(dt) AS hi, 1.0::DOUBLE / {_RATE} AS expected,
         CASE WHEN any_value(mid) > 0 THEN count(*) FILTER (dt > 3.0 * mid) ELSE 0 END AS gaps
-        FROM dt JOIN (SELECT uid AS uid2, quantile_cont(dt, 0.5) AS mid FROM dt GROUP BY uid) ON uid = uid2 GROUP BY uid, u)""", digits=5,
+        FROM dt JOIN (SELECT uid AS uid2, quantile_cont(dt, 0.5) AS mid FROM dt GROUP BY uid) ON uid = uid2 GROUP BY uid, u)""", digits=7,
 ))
 add("q_action_range", rule_query(V.line_tables, "ACTION_RANGE", ["n_non_finite", "n_out_of_range", "n_physical_channels"]), rule_sql(
     L, "NULL::VARCHAR", "CASE WHEN bad > 0 THEN 'FAIL' ELSE 'PASS' END", {"n_non_finite": "0", "n_out_of_range": "bad", "n_physical_channels": "2"},
@@ -113,8 +113,8 @@ _GAP = """SELECT ep.uid, u, n, part, holes, coalesce(gap, 0) AS gap FROM ep JOIN
   LEFT JOIN (SELECT uid, max(stop - start) AS gap FROM (SELECT uid, min(t) AS start, coalesce(any_value(nxt), any_value(last_t)) AS stop FROM (
      SELECT e.uid, e.t, e.i, e.i - row_number() OVER (PARTITION BY e.uid ORDER BY e.i) AS island, last_t, (SELECT min(p.t) FROM e p WHERE p.uid = e.uid AND p.i > e.i AND p.event_type <> 'error') AS nxt
      FROM e JOIN ep ON e.uid = ep.uid WHERE e.event_type = 'error') GROUP BY uid, island) GROUP BY uid) g ON ep.uid = g.uid"""
-add("q_pose_coverage_gap", rule_query(V.event_tables, "POSE_COVERAGE", ["pose_coverage", "longest_gap_s", "n_unregistered"], 4, max_gap_s=200000.0), rule_sql(
-    E, "CASE WHEN u % 6 = 0 THEN 'capability_unmet:has_camera_pose' END", "CASE WHEN part < 0.8 OR gap > 200000 THEN 'REVIEW' ELSE 'PASS' END", {"pose_coverage": "part", "longest_gap_s": "gap", "n_unregistered": "holes"}, _GAP, digits=4,
+add("q_pose_coverage_gap", rule_query(V.event_tables, "POSE_COVERAGE", ["pose_coverage", "longest_gap_s", "n_unregistered"], 7, max_gap_s=200000.0), rule_sql(
+    E, "CASE WHEN u % 6 = 0 THEN 'capability_unmet:has_camera_pose' END", "CASE WHEN part < 0.8 OR gap > 200000 THEN 'REVIEW' ELSE 'PASS' END", {"pose_coverage": "part", "longest_gap_s": "gap", "n_unregistered": "holes"}, _GAP, digits=7,
 ))
 _SEG = """SELECT *, CASE WHEN d > 0 THEN greatest(prev, nxt) / d ELSE 0 END AS part FROM (SELECT *, e1 - s0 AS d, greatest(coalesce(p1 - s0, 0), 0) AS prev, greatest(coalesce(e1 - x0, 0), 0) AS nxt FROM (
   SELECT uid, u, n, u % 17 = 3 AS none, CAST(u % 5 - CASE WHEN u % 19 = 0 THEN 6 ELSE 0 END AS DOUBLE) AS s0, u % 5 + n / 40.0::DOUBLE AS e1, CASE WHEN u % 3 <> 0 THEN u % 5 + 0.25::DOUBLE END AS p1,
