@@ -91,6 +91,19 @@ def edges(docs: DataFrame, n: int) -> list[int]:
     return sorted(set(found or []))
 
 
+def _not_above(cut: list[int], x: Column) -> Column:
+    """How many of the ascending numbers are not above x: whole blocks by their last number, then within one block, so
+    that a row costs twice the square root of their number."""
+    m = int(len(cut) ** 0.5) + 1
+    count = lambda a: F.size(F.filter(a, lambda c: c <= x))
+    numbers = lambda v: F.array(*[F.lit(c).cast("long") for c in v]) if v else F.array().cast("array<long>")
+    return _let_one(count(numbers(cut[m - 1 :: m])), lambda b: b * m + count(F.slice(numbers(cut), b * m + 1, m)))
+
+
+def _let_one(x: Column, f) -> Column:
+    return F.transform(F.array(x), f)[0]
+
+
 def chained(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, Window]:
     """doc_id, text and next_text, that of the next document in descending doc_id; after the last comes the first.
 
@@ -100,7 +113,7 @@ def chained(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> tupl
     cut = edges(docs, n_partitions(docs.sparkSession))
     # ranges in descending order; the null ids' range is the last one
     last = len(cut)
-    place = F.lit(last) - F.size(F.filter(F.array(*[F.lit(c).cast("long") for c in cut]), lambda c: c <= F.col("doc_id"))) if cut else F.lit(0)
+    place = F.lit(last) - _not_above(cut, F.col("doc_id")) if cut else F.lit(0)
     placed = docs.withColumn("_part", F.when(F.col("doc_id").isNull(), F.lit(last)).otherwise(place).cast("int"))
     heads = placed.groupBy("_part").agg(F.max("doc_id").alias("top"), F.count("*").alias("n")).collect()  # a row per range
     used = sorted(h["_part"] for h in heads)
