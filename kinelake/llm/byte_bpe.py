@@ -144,8 +144,9 @@ def decode(encoded: DataFrame, ranks_path: str, pattern: str, ids: str = "ids",
         table = encoder(ranks.value, pattern).decode_bytes
         at = names.index(ids)
         for batch in batches:
-            data = [table(np.frombuffer(x, "<u4").tolist()) if x else b"" for x in batch.column(at).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(data, pa.binary())], names=[*batch.schema.names, "_decoded"])
+            for part in K.slices(batch, batch.schema.names[at]):
+                data = [table(np.frombuffer(x, "<u4").tolist()) if x else b"" for x in part.column(at).to_pylist()]
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(data, pa.binary())], names=[*part.schema.names, "_decoded"])
 
     flat = encoded.toDF(*[f"_d{i}" for i in range(len(names))])
     back = flat.mapInArrow(run, T.StructType([*flat.schema, T.StructField("_decoded", T.BinaryType())]))
