@@ -18,10 +18,12 @@ ids; null document ids come first.
 
 from __future__ import annotations
 
+import functools
 import os
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +36,9 @@ from kinelake.llm import textkit as K
 BLOCK_TOKENS = 1 << 18
 END_ID = 1
 #: Words, and parts of words, whose ids a worker keeps; the table starts anew when it is full.
-CACHE_WORDS = 250_000
+CACHE_WORDS = 1_500_000
+#: Letters below this code point are taken as Latin ones, whose lower case and normal form are settled.
+LATIN = 0x250
 MAGIC = b"DAC1"
 
 
@@ -109,50 +113,135 @@ class Codes:
 class WordEncoder:
     """Ids of texts by a tokenizer that treats what white space parts separately; each word is encoded once.
 
-    ASCII words without an apostrophe are also parted between letters and other characters, which the tokenizer's
-    pattern always does, so that "word," and "word." share an entry.
+    Words are put together from parts: the tokenizer's pattern always parts letters from other characters, but for
+    apostrophes, so that "word," and "word." share an entry. Parts of Latin letters in lower case need no more of the
+    tokenizer than its model; many are handed to it at once and told apart by the tokens that end a word. Whatever is
+    not surely one such part goes through the whole tokenizer.
     """
 
+    TAIL = b".,!?;:%$#&*|()\"-+=/"
+
     def __init__(self, tokenizer: str, limit: int = CACHE_WORDS):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_str(tokenizer)
-        self.tokenizer.encode_special_tokens = True
-        self.limit, self.part = limit, re.compile(rb"[A-Za-z]+|[^A-Za-z]+")
+        from tokenizers import Tokenizer, pre_tokenizers
+
+        self.whole = Tokenizer.from_str(tokenizer)
+        self.whole.encode_special_tokens = True
+        self.model = Tokenizer(self.whole.model)
+        self.model.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        suffix = getattr(self.whole.model, "end_of_word_suffix", None) or "</w>"
+        self.ends = np.zeros(self.whole.get_vocab_size(), bool)
+        for word, i in self.whole.get_vocab().items():
+            self.ends[i] = word.endswith(suffix)
+        level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.visible = {c: level.pre_tokenize_str(c)[0][0] for c in map(chr, range(0x80, LATIN))}
+        self.limit, self.letters = limit, re.compile(r"[^\W\d_]+|[\W\d_]+")
         self.clear()
 
     def clear(self) -> None:
-        self.parts: dict[bytes, list[int]] = {}
+        self.part: dict[bytes, int] = {}
+        self.part_ids, self.part_at = np.zeros(0, np.uint32), np.zeros(1, np.int64)
         self.row: dict[bytes, int] = {}
         self.flat, self.at = np.zeros(0, np.uint32), np.zeros(1, np.int64)
 
+    def parts_of(self, word: bytes) -> list[bytes]:
+        if b"'" in word:
+            return [word]
+        text = word.decode()
+        if max(text) >= chr(LATIN) or "\u0130" in text:  # the one letter there whose lower case is not a letter alone
+            return [word]
+        found = self.letters.findall(text)
+        return [x.encode() for x in found] if all(x.isalpha() or not any(map(str.isalpha, x)) for x in found) else [word]
+
+    def plain(self, part: bytes) -> str | None:
+        """A part of Latin letters as the model reads it; None for any other."""
+        if part.isalpha():
+            return part.lower().decode()
+        text = part.decode()
+        if text.isalpha() and max(text) < chr(LATIN):
+            low = "".join(map(str.lower, text))
+            if max(low) < chr(LATIN):
+                return "".join(self.visible.get(c, c) for c in low)
+        return None
+
+    def add_parts(self, parts: list[bytes]) -> None:
+        ids: list[np.ndarray] = []
+        size: list[np.ndarray] = []
+        order: list[bytes] = []
+        rest: list[bytes] = []
+        easy: list[tuple[bytes, str]] = []
+        for p in parts:
+            seen = self.plain(p)
+            if seen is None:
+                rest.append(p)
+            else:
+                easy.append((p, seen))
+        for i in range(0, len(easy), 2048):
+            some = easy[i : i + 2048]
+            found = np.array(self.model.encode_batch_fast([" ".join(x[1] for x in some)], add_special_tokens=False)[0].ids, np.uint32)
+            stop = np.flatnonzero(self.ends[found]) + 1
+            if len(stop) != len(some) or stop[-1] != len(found):
+                rest += [x[0] for x in some]
+                continue
+            order += [x[0] for x in some]
+            ids.append(found)
+            size.append(np.diff(stop, prepend=0))
+        for i in range(0, len(rest), 2048):
+            some = rest[i : i + 2048]
+            found = [e.ids for e in self.whole.encode_batch_fast([p.decode() for p in some], add_special_tokens=False)]
+            order += some
+            ids.append(np.fromiter(chain.from_iterable(found), np.uint32))
+            size.append(np.array([len(x) for x in found], np.int64))
+        self.part.update(zip(order, range(len(self.part), len(self.part) + len(order)), strict=True))
+        self.part_ids = np.concatenate([self.part_ids, *ids])
+        self.part_at = np.concatenate([self.part_at, self.part_at[-1] + np.cumsum(np.concatenate([np.zeros(0, np.int64), *size]))])
+
     def learn(self, words: list[bytes]) -> None:
-        split = [self.part.findall(w) if w.isascii() and b"'" not in w else [w] for w in words]
-        new = list({p for s in split for p in s}.difference(self.parts))
-        for i in range(0, len(new), 4096):
-            some = new[i : i + 4096]
-            self.parts.update(zip(some, (e.ids for e in self.tokenizer.encode_batch_fast([p.decode() for p in some], add_special_tokens=False)), strict=True))
-        ids = [[i for p in s for i in self.parts[p]] for s in split]
+        parts: list[bytes] = []
+        count: list[int] = []
+        for w in words:
+            if w.isalpha():
+                parts.append(w)
+                count.append(1)
+                continue
+            core = w.rstrip(self.TAIL)
+            if core.isalpha():
+                parts += (core, w[len(core) :])
+                count.append(2)
+            else:
+                found = self.parts_of(w)
+                parts += found
+                count.append(len(found))
+        new = set(parts).difference(self.part)
+        if new:
+            self.add_parts(list(new))
+        at = np.fromiter(map(self.part.__getitem__, parts), np.int64, len(parts))
+        size = self.part_at[at + 1] - self.part_at[at]
+        ends = np.concatenate([[0], np.cumsum(size)])[np.cumsum(count)]
         self.row.update(zip(words, range(len(self.row), len(self.row) + len(words)), strict=True))
-        self.flat = np.concatenate([self.flat, np.fromiter((i for x in ids for i in x), np.uint32)])
-        self.at = np.concatenate([self.at, self.at[-1] + np.cumsum([len(x) for x in ids])])
+        self.flat = np.concatenate([self.flat, self.part_ids[K.ragged(self.part_at[at], size)]])
+        self.at = np.concatenate([self.at, self.at[-1] + ends])
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, each followed by the end id, and where each text's start."""
-        words, count = [], np.zeros(len(texts), np.int64)
+        words: list[bytes] = []
+        count = np.zeros(len(texts), np.int64)
         for k, t in enumerate(texts):
             if t:
                 found = t.encode().split()
                 words += found
                 count[k] = len(found)
-        new = set(words).difference(self.row)
-        if len(self.row) + len(new) > self.limit and self.row:
-            self.clear()
-            new = set(words)
-        if new:
+        rows = list(map(self.row.get, words))
+        if None in rows:
+            at = [k for k, r in enumerate(rows) if r is None]
+            new = {words[k] for k in at}
+            if len(self.row) + len(new) > self.limit and self.row:
+                self.clear()
+                at, new = range(len(words)), set(words)
             self.learn(list(new))
-        row = np.fromiter(map(self.row.__getitem__, words), np.int64, len(words))
+            for k in at:
+                rows[k] = self.row[words[k]]
+        row = np.array(rows, np.int64)
         size = self.at[row + 1] - self.at[row]
         total = np.concatenate([[0], np.cumsum(size)])
         ends = np.cumsum(count)
@@ -163,6 +252,12 @@ class WordEncoder:
         return out, doc_at
 
 
+@functools.lru_cache(maxsize=1)
+def word_encoder(tokenizer: str) -> WordEncoder:
+    """One for all tasks of a worker, so that words stay known."""
+    return WordEncoder(tokenizer)
+
+
 def _narrow(ids: np.ndarray) -> bytes:
     """Ids between the encoder and the writer: two bytes each if they fit, with the width in front."""
     return b"\2" + ids.astype("<u2").tobytes() if not len(ids) or int(ids.max()) < 1 << 16 else b"\4" + ids.astype("<u4").tobytes()
@@ -179,7 +274,7 @@ def encode(docs: DataFrame, tokenizer_path: str, edges: list[int], doc_id: str =
     cut = np.array(edges, np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(tokenizer.value)
+        encoder = word_encoder(tokenizer.value)
         for batch in batches:
             for part in K.slices(batch):
                 ids, at = encoder.encode(part.column("text").to_pylist())
