@@ -27,7 +27,7 @@ from kinelake.llm import textkit as K
 from kinelake.llm.bigru import Adam, ByteNet, Cache, by_length, matrix
 from kinelake.llm.brown_lm import remainder
 
-SIZE, WORDS, HIDDEN, EPOCHS, BATCH, RATE, SEGMENT, SLICE = 400, 60_000, 16, 5, 256, 0.01, 48, 8 << 20
+SIZE, WORDS, HIDDEN, EPOCHS, BATCH, RATE, SEGMENT = 400, 60_000, 16, 5, 256, 0.01, 48
 LETTER = np.zeros(256, bool)
 LETTER[[*range(65, 91), *range(97, 123), *range(128, 256)]] = True
 
@@ -78,7 +78,8 @@ class Model:
 
 
 def _any_letter(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    total = np.concatenate([[0], np.cumsum(LETTER[data])])
+    total = np.zeros(len(data) + 1, np.int32)
+    np.cumsum(LETTER[data], out=total[1:])
     return total[ends] > total[starts]
 
 
@@ -135,14 +136,15 @@ def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
         m = shared.value
         at = names.index(text)
         for batch in batches:
-            for part in K.slices(batch, batch.schema.names[at], SLICE):
+            for part in K.slices(batch, batch.schema.names[at]):
                 p = m.predict(part.column(at))
                 best = p.argmax(axis=1) if p.shape[1] else np.zeros(len(p), np.int64)
                 score = p.max(axis=1, initial=0.0)
                 plain = score > 0
                 # bytes beyond ASCII may be no letters at all
                 data, where = K.raw(part.column(at))
-                ascii_letters = np.concatenate([[0], np.cumsum(LETTER[data] & (data < 128))])
+                ascii_letters = np.zeros(len(data) + 1, np.int32)
+                np.cumsum(LETTER[data] & (data < 128), out=ascii_letters[1:])
                 unsure = np.flatnonzero(plain & (ascii_letters[where[1:]] == ascii_letters[where[:-1]]))
                 for k in unsure.tolist():
                     plain[k] = _letters(part.column(at)[k].as_py())

@@ -32,7 +32,7 @@ from kinelake.llm import textkit as K
 from kinelake.llm.bigru import Adam, ByteNet, Cache, backward, by_length, forward, matrix, sigmoid
 from kinelake.llm.brown_lm import remainder
 
-SIZE, CLEAN, WINDOW, STRIDE, HIDDEN, BYTE_HIDDEN, SEGMENT, SLICE = 1500, 2250, 24, 12, 8, 12, 32, 4 << 20
+SIZE, CLEAN, WINDOW, STRIDE, HIDDEN, BYTE_HIDDEN, SEGMENT = 1500, 2250, 24, 12, 8, 12, 32
 BYTE_WORDS, BYTE_EPOCHS, EPOCHS, RATE, THRESHOLD = 80_000, 3, 8, 0.01, 0.7
 CLEAN_WEIGHT, LEAST_APART = 5, 40
 #: Words must be in so many training documents to have a weight of their own.
@@ -85,7 +85,7 @@ class Model:
     def gates(self, w: K.Words) -> tuple[np.ndarray, np.ndarray]:
         """Gates of each distinct word for both directions, and each word's row."""
         if self.cache is None:
-            self.cache = Cache(18, 6 * HIDDEN)
+            self.cache = Cache(17, 6 * HIDDEN)
         known, first, which = np.unique(w.hashes, return_index=True, return_inverse=True)
         project = np.concatenate([self.p["wf"], self.p["wb"]], axis=1)
         return self.cache.get(known, lambda k: self.vectors(w.data, w.starts[first[k]], w.ends[first[k]], known[k]) @ project), which
@@ -272,7 +272,7 @@ def assess(docs: DataFrame, model: Model | None, text: str = "text", threshold:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         for batch in batches:
-            for part in K.slices(batch, batch.schema.names[at], SLICE):
+            for part in K.slices(batch, batch.schema.names[at]):
                 score = m.score(part.column(at)) if m else np.zeros(part.num_rows)
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(score, pa.float64())], names=[*part.schema.names, "_score"])
 
