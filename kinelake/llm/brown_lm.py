@@ -2,11 +2,13 @@
 
 The most frequent `core` words are clustered by exchange: every word moves to the class that raises the likelihood of
 the class bigrams most, until no word moves or `rounds` are over. The next words up to `classed` take the class that
-fits best to the classes around them (one exchange step). All other words share one class, in which a word's emission
-is its smoothed count; the end of a text is a class of its own, and the state before its first word.
+fits best to the classes around them, `passes` times. Every other word that occurs `least` times takes its class from
+its neighbours' in the same way, in a table over all machines. Words below `least` share one class, in which a word's
+emission is its smoothed count, and which stands for words never seen; the end of a text is a class of its own, and
+the state before its first word.
 
 All counts are over all training texts. The vocabulary itself never goes to one machine: the `head` most frequent
-words are a broadcast of fixed size, and every rarer word of a text meets its count in a join.
+words are a broadcast of fixed size, and every rarer word of a text meets its count and class in a join.
 
 P(text) = product over tokens of P(class | class before) * P(word | class), with
 P(class | before) = (n(before, class) + weight * P(class)) / (n(before) + weight).
@@ -22,7 +24,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -31,6 +33,7 @@ from kinelake.llm import textkit as K
 from kinelake.llm.store import keep
 
 HEAD, CLASSED, CORE, CLASSES, ROUNDS, WEIGHT = 1 << 17, 1 << 14, 1024, 48, 12, 20.0
+PASSES, LEAST = 2, 2
 #: The end of a text among hashes of words.
 END = np.uint64(0x656E64)
 
@@ -155,15 +158,20 @@ def exchange(bigrams: np.ndarray, movable: int, classes: int, rounds: int) -> np
 class Model:
     """States are the classes, then the rare words' class, then the end, whose tokens are no words here."""
 
-    def __init__(self, hashes, counts, state, transitions, n_tokens, n_words, n_end, classes, weight):
+    def __init__(self, hashes, counts, state, transitions, n_tokens, n_words, n_end, classes, weight, tail=None):
+        """`tail` has the tokens and words of each class outside the head."""
         self.lookup, self.n_tokens, self.n_words = Lookup(hashes), n_tokens, n_words
         self.rare, self.end = classes, classes + 1
         self.state = np.append(state, self.rare).astype(np.int64)  # of the numbers of head words, and of -1
         into = transitions.sum(axis=0) + 0.5
         prior = into / into.sum()
         self.step = np.log10((transitions + weight * prior) / (transitions.sum(axis=1, keepdims=True) + weight))
-        per_class = np.bincount(self.state[:-1], counts, minlength=classes + 2)
-        kinds = np.bincount(self.state[:-1], minlength=classes + 2)
+        per_class = np.bincount(self.state[:-1], counts, minlength=classes + 2).astype(float)
+        kinds = np.bincount(self.state[:-1], minlength=classes + 2).astype(float)
+        if tail is not None:
+            per_class[:classes] += tail[0][:classes]
+            kinds[:classes] += tail[1][:classes]
+        self.per_class = np.log10(np.maximum(per_class, 1))
         rare_tokens = n_tokens - n_end - per_class.sum() + per_class[self.rare]
         rare_words = n_words - (n_end > 0) - kinds.sum() + kinds[self.rare]
         self.rare_base = np.log10(rare_tokens + rare_words + 1)
@@ -176,7 +184,8 @@ class Model:
         self.end_count, self.end_known = np.log10(n_end + 1.0), n_end > 0
 
 
-def fit(train: DataFrame, head: int, classed: int, core: int, classes: int, rounds: int, weight: float) -> tuple[Model, DataFrame]:
+def fit(train: DataFrame, head: int, classed: int, core: int, classes: int, rounds: int, weight: float, passes: int = PASSES, least: int = LEAST) -> tuple[Model, DataFrame]:
+    """The model, and (word, c, state) of every known word beyond the `classed` most frequent."""
     counts = keep(word_counts(train), "words")
     n_words, n_tokens = counts.agg(F.count("*"), F.coalesce(F.sum("c"), F.lit(0))).first()
     spark = train.sparkSession
@@ -206,56 +215,158 @@ def fit(train: DataFrame, head: int, classed: int, core: int, classes: int, roun
     width = classes + 2
     onehot = np.zeros((core + 2, width))
     onehot[np.arange(core + 2), of] = 1
-    state = np.full(len(c), classes, np.int64)
+    joint = onehot.T @ bigrams @ onehot
+    state = np.full(len(c) + 1, classes, np.int64)  # of the numbers of head words, and of -1
     state[:core] = of[:core]
 
-    def around(batch: pa.RecordBatch, held: np.ndarray) -> None:
-        for number, end in pairs(batch):
-            x = of[np.where(end, core, np.where((number >= 0) & (number < core), number, core + 1))]
-            before = np.concatenate([[classes + 1], x[:-1]])
-            after = np.append(x[1:], classes + 1)
-            new = np.flatnonzero(number >= core)
-            row = number[new] - core
-            np.add.at(held, (np.concatenate([row, row]), np.concatenate([before[new], width + after[new]])), 1)
-
-    if classed > core:
+    def neighbours(number: np.ndarray, end: np.ndarray, now: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        x = np.where(end, classes + 1, now[number])
+        return x, np.concatenate([[classes + 1], x[:-1]]), np.append(x[1:], classes + 1)
+
+    for _ in range(passes if classed > core else 0):
+        now = np.append(state[:classed], classes)
+
+        def around(batch: pa.RecordBatch, held: np.ndarray, now=now) -> None:
+            for number, end in pairs(batch):
+                _, before, after = neighbours(number, end, now)
+                new = np.flatnonzero(number >= core)
+                row = number[new] - core
+                np.add.at(held, (np.concatenate([row, row]), np.concatenate([before[new], width + after[new]])), 1)
+
         seen = dense.total(train.select("text"), around, (classed - core, 2 * width))
-        state[core:classed] = fitting(seen, onehot.T @ bigrams @ onehot, classes)
+        state[core:classed] = fitting(seen, joint, classes)
 
-    head_state = spark.sparkContext.broadcast((Lookup(hashes), np.append(state, classes)))
+    now = np.append(state[:classed], classes)
+
+    def others(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in K.slices(batch):
+                h, at = tokens(part.column(0))
+                number = lookup.value.find(h)
+                end = np.zeros(len(h), bool)
+                end[at[1:] - 1] = True
+                _, before, after = neighbours(number, end, now)
+                new = np.flatnonzero((number < 0) & ~end)
+                yield pa.RecordBatch.from_arrays([pa.array(h[new].view(np.int64)), pa.array((before[new] * width + after[new]).astype(np.int32))], names=["word", "around"])
+
+    def assigned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # what each pair of classes around a word speaks for, added up over the word's occurrences
+        table = fits(joint, classes)
+        for batch in batches:
+            lists = batch.column("around")
+            at = np.frombuffer(lists.buffers()[1], np.int32, len(lists) + 1, lists.offset * 4).astype(np.int64)
+            size = np.diff(at)
+            found = np.full(len(size), classes, np.int32)
+            values = lists.values.to_numpy()
+            many = np.flatnonzero(size >= least)
+            i = 0
+            while i < len(many):
+                run = np.cumsum(size[many[i : i + 4096]])
+                some = many[i : i + max(1, int(np.searchsorted(run, 1 << 17, "right")))]
+                pair = values[K.ragged(at[some], size[some])]
+                votes = table[0][pair // width] + table[1][pair % width]
+                found[some] = np.add.reduceat(votes, np.cumsum(size[some]) - size[some]).argmax(axis=1)
+                i += len(some)
+            yield pa.RecordBatch.from_arrays([batch.column("word"), pa.array(size), pa.array(found)], names=["word", "c", "state"])
+
+    lists = train.select("text").mapInArrow(others, "word long, around int").groupBy("word").agg(F.collect_list("around").alias("around"))
+    known = keep(lists.mapInArrow(assigned, "word long, c long, state int"), "classes")
+    if len(c) > classed:
+        # a word of the head is one of at least its rarest word's count
+        told = known.filter(F.col("c") >= int(c[-1])).toPandas()
+        order = np.argsort(hashes[classed:])
+        state[classed + order[np.searchsorted(hashes[classed:], told["word"].to_numpy(np.int64).view(np.uint64), sorter=order)]] = told["state"]
+        tail = known.filter(F.col("c") < int(c[-1]))
+    else:
+        tail = known
+    beyond = np.zeros((2, width))
+    for k, tokens_, words_ in tail.groupBy("state").agg(F.sum("c"), F.count("*")).collect():  # one row per class
+        beyond[:, k] = tokens_, words_
+
+    head_state = spark.sparkContext.broadcast((Lookup(hashes), state))
 
     def steps(batch: pa.RecordBatch, held: np.ndarray) -> None:
-        known, states = head_state.value
+        known_, states = head_state.value
         for part in K.slices(batch):
             h, at = tokens(part.column(0))
-            x = states[known.find(h)]
-            x[at[1:] - 1] = classes + 1
-            before = np.concatenate([[classes + 1], x[:-1]])
-            held += np.bincount(before * width + x, minlength=held.size).reshape(held.shape)
+            x, before, rare, _ = marked(known_, states, classes + 1, h, at)
+            both = (x >= 0) & (before >= 0)
+            held += np.bincount(before[both] * width + x[both], minlength=held.size).reshape(held.shape)
+
+    def rare_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known_, states = head_state.value
+        row = TaskContext.get().partitionId() << 40
+        for batch in batches:
+            for part in K.slices(batch):
+                h, at = tokens(part.column(0))
+                x, before, rare, _ = marked(known_, states, classes + 1, h, at)
+                yield pa.RecordBatch.from_arrays([pa.array(np.arange(row, row + part.num_rows)), tail_of(h, at, x, before, rare)], names=["row", "tail"])
+                row += part.num_rows
 
     transitions = dense.total(train.select("text"), steps, (width, width))
+    met = linked(train.select("text").mapInArrow(rare_words, T.StructType([RECORD["row"], RECORD["tail"]])), known, classes)
+    both = F.array(F.struct(F.col("prev").alias("a"), F.col("state").alias("b")), F.struct(F.col("state").alias("a"), F.col("after").alias("b")))
+    for a, b, n in met.select(F.explode(both).alias("s")).filter("s.b >= 0").groupBy("s.a", "s.b").count().collect():  # pairs of classes
+        transitions[a, b] += n
     n_end = int(transitions[:, classes + 1].sum())
-    return Model(hashes, c, state, transitions, int(n_tokens), int(n_words), n_end, classes, weight), counts
+    return Model(hashes, c, state[:-1], transitions, int(n_tokens), int(n_words), n_end, classes, weight, beyond), known
+
+
+def marked(lookup: Lookup, states: np.ndarray, end_state: int, h: np.ndarray, at: np.ndarray):
+    """Of each token its state, -1 outside the head, the state before it, whether it is outside, and its number."""
+    number = lookup.find(h)
+    end = np.zeros(len(h), bool)
+    end[at[1:] - 1] = True
+    rare = (number < 0) & ~end
+    x = np.where(end, end_state, np.where(rare, -1, states[number]))
+    return x, np.concatenate([[end_state], x[:-1]]), rare, number
+
+
+def tail_of(h: np.ndarray, at: np.ndarray, x: np.ndarray, before: np.ndarray, rare: np.ndarray) -> pa.Array:
+    """Each text's words outside the head: place, hash, and the states beside it, -1 where that is such a word too."""
+    some = np.flatnonzero(rare)
+    here = [some.astype(np.int32), h[some].view(np.int64), before[some].astype(np.int32), x[some + 1].astype(np.int32)]
+    return pa.ListArray.from_arrays(np.searchsorted(some, at).astype(np.int32), pa.StructArray.from_arrays([*map(pa.array, here)], names=["pos", "word", "before", "after"]))
+
+
+def linked(rows: DataFrame, known: DataFrame, classes: int) -> DataFrame:
+    """(row, prev, state, after, c): each word outside the head with its state and those beside it; `after` is -1 where
+    the next word has a row of its own."""
+    t = rows.select("row", F.explode("tail").alias("t")).select("row", "t.*").join(known, "word", "left")
+    t = t.withColumns({"state": F.coalesce("state", F.lit(classes)), "c": F.coalesce("c", F.lit(0))})
+    before = F.lag("state").over(Window.partitionBy("row").orderBy("pos"))
+    return t.select("row", F.when(F.col("before") >= 0, F.col("before")).otherwise(before).alias("prev"), "state", "after", "c")
+
+
+def fits(joint: np.ndarray, classes: int) -> tuple[np.ndarray, np.ndarray]:
+    """What each class before a word, and each one behind it, speaks for each class."""
+    smooth = joint + 0.5
+    prior = smooth.sum(axis=0) / smooth.sum()
+    given = np.log(smooth / smooth.sum(axis=1, keepdims=True) / prior)
+    return given[:, :classes], given[:classes].T
 
 
 def fitting(seen: np.ndarray, joint: np.ndarray, classes: int) -> np.ndarray:
     """For each word, by its counts of classes before and behind it, the class whose neighbours fit best."""
     width = len(joint)
-    smooth = joint + 0.5
-    prior = smooth.sum(axis=0) / smooth.sum()
-    before = np.log(smooth / smooth.sum(axis=1, keepdims=True) / prior)[:, :classes]
-    behind = np.log(smooth / smooth.sum(axis=1, keepdims=True) / prior)[:classes].T
+    before, behind = fits(joint, classes)
     return (seen[:, :width] @ before + seen[:, width:] @ behind).argmax(axis=1)
 
 
-def score(docs: DataFrame, held_out, head: int = HEAD, classed: int = CLASSED, core: int = CORE, classes: int = CLASSES, rounds: int = ROUNDS, weight: float = WEIGHT, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def score(docs: DataFrame, held_out, head: int = HEAD, classed: int = CLASSED, core: int = CORE, classes: int = CLASSES, rounds: int = ROUNDS, weight: float = WEIGHT, passes: int = PASSES, least: int = LEAST, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, perplexity; learns where held_out is false."""
     docs = docs.select(F.col(doc_id).alias("doc_id"), held_out.alias("held_out"), F.col(text).alias("text"))
     spark = docs.sparkSession
-    model, counts = fit(docs.filter("NOT held_out"), head, classed, core, classes, rounds, weight)
+    model, known = fit(docs.filter("NOT held_out"), head, classed, core, classes, rounds, weight, passes, least)
     shared = spark.sparkContext.broadcast(model)
     kept = keep(docs.mapInArrow(_scorer(shared), T.StructType([docs.schema["doc_id"], *RECORD])), "scores")
-    tail = kept.select("row", F.explode("tail").alias("word")).join(counts, "word").groupBy("row").agg(F.sum(F.log10(F.col("c") + 1)).alias("more"), F.count("*").alias("found"))
+    step = spark.createDataFrame([(a, b, float(p)) for (a, b), p in np.ndenumerate(model.step)], "a int, b int, p double")
+    size = spark.createDataFrame([(k, float(n)) for k, n in enumerate(model.per_class)], "state int, size double")
+    into = F.broadcast(step.select(F.col("a").alias("prev"), F.col("b").alias("state"), F.col("p").alias("p_in")))  # pairs of classes
+    onward = F.broadcast(step.select(F.col("a").alias("state"), F.col("b").alias("after"), F.col("p").alias("p_out")))
+    met = linked(kept, known, classes).join(into, ["prev", "state"]).join(onward, ["state", "after"], "left").join(F.broadcast(size), "state")
+    emit = F.when(F.col("state") == classes, F.log10(F.col("c") + 1) - float(model.rare_base)).otherwise(F.log10("c") - F.col("size"))
+    tail = met.groupBy("row").agg(F.sum(F.log10(F.col("c") + 1)).alias("more"), F.sum(emit + F.col("p_in") + F.coalesce("p_out", F.lit(0.0))).alias("linked"), F.count_if(F.col("c") > 0).alias("found"))
     more = F.coalesce("more", F.lit(0.0))
     out = kept.drop("tail").join(tail, "row", "left").select(
         "doc_id",
@@ -264,7 +375,7 @@ def score(docs: DataFrame, held_out, head: int = HEAD, classed: int = CLASSED, c
         (F.col("n_known") + F.coalesce("found", F.lit(0))).alias("n_known"),
         F.lit(model.n_tokens).cast("long").alias("train_tokens"),
         (F.col("base") + more).alias("base_score"),
-        (F.col("score") + more).alias("score"),
+        (F.col("score") + F.coalesce("linked", F.lit(0.0))).alias("score"),
     )
     return out.withColumn("perplexity", F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")))
 
@@ -277,7 +388,7 @@ RECORD = T.StructType(
         T.StructField("n_known", T.LongType()),
         T.StructField("base", T.DoubleType()),
         T.StructField("score", T.DoubleType()),
-        T.StructField("tail", T.ArrayType(T.LongType())),
+        T.StructField("tail", T.ArrayType(T.StructType([T.StructField("pos", T.IntegerType()), T.StructField("word", T.LongType()), T.StructField("before", T.IntegerType()), T.StructField("after", T.IntegerType())]))),
     ]
 )
 
@@ -289,17 +400,12 @@ def _scorer(shared):
         for batch in batches:
             for part in K.slices(batch):
                 h, at = tokens(part.column("text"))
-                number = model.lookup.find(h)
-                end = np.zeros(len(h), bool)
-                end[at[1:] - 1] = True
-                state = model.state[number]
-                state[end] = model.end
-                before = np.concatenate([[model.end], state[:-1]])
-                p = model.step[before, state] + np.where(end, 0.0, model.emit[number])
+                state, before, rare, number = marked(model.lookup, model.state, model.end, h, at)
+                end = state == model.end
+                p = np.where((state >= 0) & (before >= 0), model.step[before, state], 0.0) + np.where(end | rare, 0.0, model.emit[number])
                 base = np.where(end, model.end_count, model.count[number]) - model.base
                 known = np.where(end, model.end_known, number >= 0)
-                rare = np.flatnonzero((number < 0) & ~end)
-                tail = pa.ListArray.from_arrays(np.searchsorted(rare, at).astype(np.int32), h[rare].view(np.int64))
+                tail = tail_of(h, at, state, before, rare)
                 n = part.num_rows
                 columns = [pa.array(np.arange(row, row + n)), pa.array(np.diff(at)), pa.array(np.add.reduceat(known.astype(np.int64), at[:-1])), pa.array(np.add.reduceat(base, at[:-1])), pa.array(np.add.reduceat(p, at[:-1])), tail]
                 row += n

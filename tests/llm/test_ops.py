@@ -100,6 +100,42 @@ def test_language_model_counts_and_base(spark):
     assert by == expect
 
 
+def test_language_model_classes_every_word_above_the_least_count(spark):
+    rnd = random.Random(9)
+    rows = [(k, " ".join(f"{rnd.choice('nv')}{int(rnd.paretovariate(0.5)) % 60}" for _ in range(rnd.randint(0, 25)))) for k in range(90)]
+    docs = docs_of(spark, rows)
+    held = brown_lm.remainder(7) == 2
+    shape = dict(head=12, classed=8, core=4, classes=3, rounds=3, weight=20.0)
+    model, known = brown_lm.fit(docs.filter(~held), **shape)
+    learnt = [[*lower(t).split(), None] for i, t in rows if zlib.crc32(str(i).encode()) % 7 != 2]
+    counts = Counter(w for text in learnt for w in text if w)
+    hashed = {w: brown_lm.K.hash_word(w) for w in counts}
+    told = {r["word"] % 2**64: (r["c"], r["state"]) for r in known.collect()}
+    state = {}
+    for w, h in hashed.items():
+        at = int(model.lookup.find(np.array([h], np.uint64))[0])
+        state[w] = int(model.state[at]) if at >= 0 else told[h][1]
+        assert h not in told or told[h] == (counts[w], state[w])
+    # every word above the least count has a class, those of 1 share the last
+    assert all((state[w] < 3) == (c >= 2) for w, c in counts.items()) and sum(c >= 2 for c in counts.values()) > 20
+    links, size = Counter(), Counter()
+    for text in learnt:
+        seq = [4, *(4 if w is None else state[w] for w in text)]
+        links.update(zip(seq, seq[1:], strict=False))
+        size.update(seq[1:])
+    into = np.array([sum(links[a, b] for a in range(5)) + 0.5 for b in range(5)])
+    step = lambda a, b: math.log10((links[a, b] + 20 * into[b] / into.sum()) / (sum(links[a, x] for x in range(5)) + 20))
+    ones = sum(c == 1 for c in counts.values())
+    expect = {}
+    for i, t in rows:
+        words = lower(t).split()
+        seq = [4, *(state.get(w, 3) for w in words), 4]
+        emit = sum(math.log10(counts[w] / size[state[w]]) if state.get(w, 3) < 3 else math.log10((counts[w] + 1) / (2 * ones + 1)) for w in words)
+        expect[i] = emit + sum(step(a, b) for a, b in zip(seq, seq[1:], strict=False))
+    for r in brown_lm.score(docs, held, **shape).collect():
+        assert abs(r["score"] - expect[r["doc_id"]]) < 1e-6
+
+
 def test_language_model_probabilities_add_up():
     hashes, counts = np.array([1, 2, 3, 4], np.uint64) << np.uint64(50), np.array([9, 5, 3, 1])
     steps = np.array([[4, 2, 1, 3], [1, 2, 2, 2], [1, 1, 0, 1], [3, 1, 1, 0]])
