@@ -5,7 +5,7 @@ permuted under a key among the values of its own format, so that equal values ge
 and different ones stay different:
 
 | kind | validation | permuted | kept |
-| card | 13 to 19 digits, Luhn | all digits but the last | separators; the last digit is the new Luhn digit |
+| card | 13 to 19 digits, Luhn; also as whole groups among other numbers | all digits but the last | separators; the last digit is the new Luhn digit |
 | phone | 8 to 15 digits, with + or a usual grouping | all digits but the country code's | separators, country code |
 | ssn | area not 000, 666 or 9xx, group not 00, serial not 0000 | area, group and serial | hyphens |
 | iban | length, mod 97 | digits of the account | letters, country; the check digits are new |
@@ -35,7 +35,7 @@ DAYS = 17, 4297
 
 # Patterns of the kinds; every one starts at an edge and repeats in bounds, so that long runs stay linear.
 EMAIL = r"(?<![A-Za-z0-9._+\-])[A-Za-z0-9._+\-]{1,64}+@(?:[A-Za-z0-9\-]{1,63}+\.){1,8}[A-Za-z]{2,24}(?![A-Za-z0-9])"
-SECRET = r"(?<=(?:[Tt]oken|TOKEN|[Kk]ey|KEY|[Ss]ecret|SECRET|[Pp]assword|PASSWORD)[ ]{0,2}[=:][ ]{0,2}[\"']?)[0-9A-Fa-f]{32,128}+(?![0-9A-Za-z])"
+SECRET = r"(?<=(?:[Tt]oken|TOKEN|[Kk]ey|KEY|[Ss]ecret|SECRET|[Pp]assword|PASSWORD)[ ]{0,2}[=:][ ]{0,2}[\"']?)[0-9A-Fa-f]{32,}+(?![0-9A-Za-z])"
 IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"
 OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 IP = rf"(?<![0-9.])(?:{OCTET}\.){{3}}{OCTET}(?![0-9]|\.[0-9])"
@@ -45,7 +45,10 @@ MONTH_DATE = r"(?<![0-9./])[0-9]{2}/[0-9]{2}/[0-9]{4}(?![0-9/])"
 SSN = r"(?<![0-9\-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9\-])"
 PHONE = r"(?<![0-9A-Za-z+])\+[0-9]{1,3}[ .\-]?(?:\([0-9]{1,4}\)[ .\-]?)?[0-9]{2,4}(?:[ .\-]?[0-9]{2,4}){1,4}(?![0-9])"
 LOCAL_PHONE = r"(?<![0-9\-.])(?:\([0-9]{3}\) ?|[0-9]{3}[.\-])[0-9]{3}[.\-][0-9]{4}(?![0-9\-])"
-CARD = r"(?<![0-9\-.])[0-9](?:[ \-]?[0-9]){12,18}(?![0-9])"
+#: A run of digit groups up to a value of another kind; possessive, so that Java matches it in a loop. One that starts
+#: with more digits than a card has is left out; cards inside a run are found by `parts`.
+OTHERS = "|".join([IP, ISO_DATE, DAY_DATE, MONTH_DATE, SSN, LOCAL_PHONE])
+CARD = rf"(?<![0-9])(?<![0-9][.\-])(?![0-9]{{20}})[0-9](?:(?:[ \-](?!{OTHERS}))?[0-9]){{12,}}+"
 PATTERN = "|".join([EMAIL, SECRET, IBAN, IP, ISO_DATE, DAY_DATE, MONTH_DATE, SSN, PHONE, LOCAL_PHONE, CARD])
 KINDS = "email", "secret", "iban", "ip", "date", "ssn", "phone", "card"
 LOWER, UPPER = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -177,6 +180,37 @@ def classify(m: Column) -> Column:
     )
 
 
+def parts(m: Column) -> Column:
+    """array of struct(s, k): a candidate and its kind; a run of digit groups that is no card as a whole is cut, so that
+    from the left the longest span of whole groups that validates is a card."""
+    groups = F.regexp_extract_all(m, F.lit("[ -]?[0-9]+"), F.lit(0))
+    part = lambda s, k: F.struct(s.alias("s"), k.cast("string").alias("k"))
+
+    def longest(g: Column, i: Column) -> Column:
+        """Number of groups of the longest card that starts at group i (from 0); null if there is none."""
+        span = lambda n: only_digits(F.array_join(F.slice(g, i + 1, n), ""))
+        sizes = F.sequence(F.least(F.lit(19), F.size(g) - i), F.lit(1), F.lit(-1))
+        valid = lambda d: F.length(d).between(13, 19) & (F.when(F.length(d).between(13, 19), luhn_sum(d) % 10).otherwise(1) == 0)
+        return F.get(F.filter(sizes, lambda n: F.exists(F.array(span(n)), valid)), F.lit(0))
+
+    def cut(g: Column) -> Column:
+        start = F.struct(F.lit(0).alias("next"), F.array().cast("array<struct<s:string,k:string>>").alias("out"))
+
+        def step(a: Column, i: Column) -> Column:
+            def put(n: Column) -> Column:
+                text = F.array_join(F.slice(g, i + 1, F.coalesce(n, F.lit(1))), "")
+                lead = F.regexp_extract(text, "^[ -]?", 0)
+                some = F.when(n.isNull(), F.array(part(text, F.lit(None)))).otherwise(F.array(part(lead, F.lit(None)), part(F.substring(text, F.length(lead) + 1, F.length(text)), F.lit("card"))))
+                return F.struct((i + F.coalesce(n, F.lit(1))).alias("next"), F.concat(a["out"], some).alias("out"))
+
+            return F.when(i < a["next"], a).otherwise(_let(longest(g, i), put))
+
+        return F.aggregate(F.sequence(F.lit(0), F.size(g) - 1), start, step)["out"]
+
+    run = m.rlike("^[0-9]+(?:[ -][0-9]+)++$") & (F.length(only_digits(m)) >= 13)
+    return _let(classify(m), lambda k: F.when(k.isNull() & run, _let(groups, cut)).otherwise(F.array(part(m, k))))
+
+
 def pseudonym(m: Column, kind: Column, key: str) -> Column:
     """The value of the same kind and format that the key puts in the place of m."""
     digits = only_digits(m)
@@ -228,9 +262,10 @@ def pseudonymise(docs: DataFrame, key: str, text: str = "text", out: str | None
     may = whole.rlike("[0-9@]")
     found = F.when(may, F.regexp_extract_all(whole, F.lit(PATTERN), F.lit(0)))
     some = docs.withColumn("_found", found)
-    told = some.withColumn("_kinds", F.when(F.size("_found") > 0, F.transform("_found", classify)))
+    told = some.withColumn("_parts", F.when(F.size("_found") > 0, F.transform("_found", parts)))
+    told = told.withColumn("_kinds", F.transform(F.flatten("_parts"), lambda p: p["k"]))
     hit = F.exists("_kinds", lambda k: k.isNotNull())
-    new = F.transform(F.arrays_zip("_found", "_kinds"), lambda z: F.when(z["_kinds"].isNull(), z["_found"]).otherwise(pseudonym(z["_found"], z["_kinds"], key)))
+    new = F.transform("_parts", lambda ps: F.array_join(F.transform(ps, lambda p: F.when(p["k"].isNull(), p["s"]).otherwise(pseudonym(p["s"], p["k"], key))), ""))
     pieces = F.split(F.col(text), PATTERN, -1)
     joined = _let(
         F.struct(pieces.alias("p"), new.alias("n")),

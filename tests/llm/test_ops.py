@@ -200,6 +200,23 @@ def test_pseudonyms_keep_format_validity_and_links(spark):
     assert other != new
 
 
+def test_cards_beside_other_numbers_and_long_secrets(spark):
+    import re
+
+    card, plain = "4111 1111 1111 1111", "4111111111111111"
+    texts = [f"{card} 123", f"{plain} 99", f"order 12 {card}", f"1234 {card} 99", f"no.{plain}", f"x-{plain}", f"12 {card} 7 {plain} 5", f"{plain} 2 {plain}"]
+    texts += [f"{plain} 1980-02-29", f"{plain} 29.02.1980", f"12 {plain} 123-45-6789", "token=" + "0aF9" * 50, "1" * 40, "0." + plain, "3 " * 20000, "9" * 50000, "4 " * 16]
+    rows = {r["doc_id"]: r for r in pii.pseudonymise(docs_of(spark, list(enumerate(texts))), "key").collect()}
+    for k in range(11):
+        assert card not in rows[k]["text"] and plain not in rows[k]["text"], texts[k]
+        assert re.sub(r"\d", "0", rows[k]["text"]) == re.sub(r"\d", "0", texts[k])
+        assert rows[k]["n_card"] == (2 if k in (6, 7) else 1), texts[k]
+    assert rows[2]["text"].startswith("order 12 ") and rows[1]["text"].endswith(" 99") and rows[0]["text"].endswith(" 123")
+    assert [rows[k]["n_date"] for k in (8, 9)] == [1, 1] and rows[10]["n_ssn"] == 1
+    assert rows[11]["n_secret"] == 1 and len(rows[11]["text"]) == len(texts[11]) and rows[11]["text"] != texts[11]
+    assert all(rows[k]["text"] == texts[k] for k in (12, 13, 15))
+
+
 def test_feistel_is_a_permutation_and_goes_back(spark):
     d = spark.range(1000).select(F.lpad(F.col("id").cast("string"), 3, "0").alias("d"))
     p = d.select("d", pii.permute_digits(F.col("d"), "k", "t").alias("p"))
