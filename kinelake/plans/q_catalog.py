@@ -143,13 +143,17 @@ add("q_sequential_pack", lambda s, d: G.plan_sequential(few(s, d), 400), f"""{CA
 SELECT CAST(k - 1 AS INT) AS pos, uid AS episode_uid, n AS n_frames FROM f WHERE uid IS NOT NULL""")
 
 
-def filled(spark, sf_dir):
-    c = candidates(spark, sf_dir).filter("source_id = 's1'")
+# over all candidates; recursive SQL takes one row at a time, so that tests fold them instead
+add("q_sequential_pack_all", lambda s, d: G.plan_sequential(candidates(s, d), 400), None)
+
+
+def filled(c):
     quota = G.sqrt_weights(c).select("embodiment", (F.col("weight") * 1500).cast("long").alias("quota"))
     return G.first_fill(G.group_order(c, F.sha2(F.concat(F.lit("7:"), "episode_uid"), 256)), quota)
 
 
-add("q_first_fill", filled, f"""{CAND.replace('WITH c', 'WITH RECURSIVE c', 1)}, e1 AS (SELECT * FROM e WHERE source_id = 's1'),
+add("q_first_fill_all", lambda s, d: filled(candidates(s, d)), None)
+add("q_first_fill", lambda s, d: filled(candidates(s, d).filter("source_id = 's1'")), f"""{CAND.replace('WITH c', 'WITH RECURSIVE c', 1)}, e1 AS (SELECT * FROM e WHERE source_id = 's1'),
  q AS (SELECT embodiment, CAST(trunc(sqrt(sum(n_frames)) / sum(sqrt(sum(n_frames))) OVER () * 1500) AS BIGINT) AS quota FROM e1 GROUP BY embodiment),
  b AS (SELECT *, CASE WHEN qc_verdict = 'PASS' THEN 0 ELSE 1 END AS tier, coalesce(task, '') AS tk FROM e1),
  t AS (SELECT *, row_number() OVER (PARTITION BY embodiment, tier, source_id, tk ORDER BY sha256('7:' || uid), uid) AS rd FROM b),
@@ -163,8 +167,8 @@ add("q_balanced_plan", lambda s, d: G.plan_balanced(candidates(s, d), 2000, seed
 add("q_balanced_groups", lambda s, d: G.plan_balanced(candidates(s, d), 2000, seed=7)[1].select("embodiment", "n_eligible", "frames_eligible", F.round("weight", 9).alias("weight")), f"{CAND}, n AS (SELECT embodiment, count(*) AS n_eligible FROM e GROUP BY embodiment) SELECT embodiment, n_eligible, frames AS frames_eligible, round(weight, 9) AS weight FROM ws JOIN n USING (embodiment)")
 
 
-def exported(spark, sf_dir):
-    plan = G.plan_sequential(few(spark, sf_dir), 400)
+def exported(spark, sf_dir, c):
+    plan = G.plan_sequential(c, 400)
     licences = spark.createDataFrame([("s0", "mit"), ("s1", "cc-by")], "source_id string, licence string")
     e = V.catalog(spark, sf_dir).select("episode_uid", "source_id", "embodiment", "n_frames", "qc_verdict")
     hits = P.rules_hit(V.results(spark, sf_dir))
@@ -172,4 +176,5 @@ def exported(spark, sf_dir):
     return lines.select("pos", F.get_json_object("line", "$.episode_uid").alias("episode_uid"), F.get_json_object("line", "$.licence").alias("licence"), F.get_json_object("line", "$.frame_end").cast("long").alias("frame_end"))
 
 
-add("q_export_manifest", exported, f"SELECT pos, episode_uid, 'cc-by' AS licence, n_frames AS frame_end FROM ({QUERIES['q_sequential_pack'][1]})")
+add("q_export_manifest_all", lambda s, d: exported(s, d, candidates(s, d)), None)
+add("q_export_manifest", lambda s, d: exported(s, d, few(s, d)), f"SELECT pos, episode_uid, 'cc-by' AS licence, n_frames AS frame_end FROM ({QUERIES['q_sequential_pack'][1]})")

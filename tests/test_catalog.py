@@ -73,6 +73,41 @@ def test_sequential_takes_what_still_fits(spark):
     assert [r["episode_uid"] for r in G.plan_sequential(c, 100).orderBy("pos").collect()] == ["a", "c"]
 
 
+@pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
+def test_plans_over_all_candidates_equal_a_fold(spark, con):
+    import hashlib
+    from itertools import groupby
+
+    from kinelake.plans import q_catalog
+
+    c = con.execute(f"{q_catalog.CAND} SELECT uid, n_frames, embodiment, source_id, qc_verdict, coalesce(task, '') AS task FROM e").df().to_dict("records")
+
+    def fold(rows, limit):
+        used, out = 0, []
+        for r in rows:
+            if used + r["n_frames"] <= limit:
+                used += r["n_frames"]
+                out.append(r)
+        return out
+
+    pack = fold(sorted(c, key=lambda r: r["uid"]), 400)
+    assert {r["source_id"] for r in pack} == {"s0", "s1", "s2"} and len({r["embodiment"] for r in pack}) > 1
+    run = lambda name: sorted(map(tuple, catalog.queries()[name](spark, SF).collect()))
+    assert run("q_sequential_pack_all") == [(k, r["uid"], r["n_frames"]) for k, r in enumerate(pack)]
+    found = catalog.queries()["q_export_manifest_all"](spark, SF).orderBy("pos").collect()
+    assert [tuple(r) for r in found] == [(k, r["uid"], {"s0": "mit", "s1": "cc-by"}.get(r["source_id"]), r["n_frames"]) for k, r in enumerate(pack)]
+    groups = {e: [r for r in c if r["embodiment"] == e] for e in {r["embodiment"] for r in c}}
+    root = {e: math.sqrt(sum(r["n_frames"] for r in g)) for e, g in groups.items()}
+    expect = []
+    for e, g in groups.items():
+        bucket = lambda r: (r["qc_verdict"] != "PASS", r["source_id"], r["task"])
+        key = lambda r: (hashlib.sha256(f"7:{r['uid']}".encode()).hexdigest(), r["uid"])
+        turns = [((t, k, s, a), r) for (t, s, a), b in groupby(sorted(g, key=lambda r: (bucket(r), key(r))), bucket) for k, r in enumerate(b)]
+        order = [r for _, r in sorted(turns, key=lambda x: x[0])]
+        expect += [(e, k, r["uid"]) for k, r in enumerate(fold(order, int(root[e] / sum(root.values()) * 1500)))]
+    assert run("q_first_fill_all") == sorted(expect)
+
+
 def test_work_list_leaves_fresh_ones_out(spark):
     cat = spark.createDataFrame([("f", "COMMITTED", "h", "1.1", "a@2", "2.1"), ("q", "COMMITTED", "h", "1.1", "a@2", "2.0"), ("x", "FAILED", None, None, None, None), ("r", "FETCHED", None, None, None, None)], "episode_uid string, status string, content_hash string, schema_version string, adapter_version string, ruleset_version string")
     found = spark.createDataFrame([(k,) for k in "fqxrn"], "episode_uid string")
