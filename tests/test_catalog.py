@@ -108,6 +108,16 @@ def test_plans_over_all_candidates_equal_a_fold(spark, con):
     assert run("q_first_fill_all") == sorted(expect)
 
 
+@pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
+def test_intervals_and_frames_cover_every_event(spark, con):
+    e = con.execute("SELECT event_id, user_id % 5, (epoch_us(ts) - 1704067200000000) // 1000 FROM events").fetchall()
+    # ends are seconds as doubles, in which a start can be rounded to behind its own sample
+    expect = {str(i): sum(w == v and a / 1000 * 1000 <= ms <= (a / 1000 + 3600) * 1000 for _, w, ms in e) for i, v, a in e}
+    got = {r["episode_uid"]: r["n"] for r in catalog.queries()["q_interval_join_all"](spark, SF).collect()}
+    assert got == {k: n for k, n in expect.items() if n} and len(got) > 900
+    assert {r["episode_uid"] for r in catalog.queries()["q_frame_ranges_all"](spark, SF).collect()} == set(expect)
+
+
 def test_work_list_leaves_fresh_ones_out(spark):
     cat = spark.createDataFrame([("f", "COMMITTED", "h", "1.1", "a@2", "2.1"), ("q", "COMMITTED", "h", "1.1", "a@2", "2.0"), ("x", "FAILED", None, None, None, None), ("r", "FETCHED", None, None, None, None)], "episode_uid string, status string, content_hash string, schema_version string, adapter_version string, ruleset_version string")
     found = spark.createDataFrame([(k,) for k in "fqxrn"], "episode_uid string")
