@@ -151,6 +151,15 @@ def rollup(spark, sf_dir):
     return R.roll_up(t.episodes, R.evaluate_all(t, [R.rule_by_id(i) for i in ids]))
 
 
+def rollup_all(spark, sf_dir):
+    """Over all eleven rules; tests fold each rule's verdicts."""
+    t = V.event_tables(spark, sf_dir)
+    return R.roll_up(t.episodes, R.evaluate_all(t))
+
+
+add("q_rollup_all", rollup_all, None)
+
+
 def _verdict_of(name: str) -> str:
     return f"SELECT episode_uid, verdict FROM ({QUERIES[name][1]})"
 

@@ -118,6 +118,24 @@ def test_intervals_and_frames_cover_every_event(spark, con):
     assert {r["episode_uid"] for r in catalog.queries()["q_frame_ranges_all"](spark, SF).collect()} == set(expect)
 
 
+@pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
+def test_roll_up_reads_every_rule(spark):
+    from kinelake.operators import rules as R
+    from kinelake.plans import surrogate
+
+    t = surrogate.event_tables(spark, SF)
+    by = {r[0]: {} for r in t.episodes.select("episode_uid").collect()}
+    for rule in R.RULES:
+        for r in R.evaluate(t, rule).select("episode_uid", "verdict").collect():
+            by[r[0]][rule.rule_id] = r[1]
+    assert {k for v in by.values() for k in v} == {r.rule_id for r in R.RULES} and len(R.RULES) == 11
+    worst = lambda v: "FAIL" if "FAIL" in v else "REVIEW" if {"REVIEW", "ERROR"} & v else "PASS"
+    expect = {k: worst(set(v.values())) for k, v in by.items()}
+    assert dict(map(tuple, catalog.queries()["q_rollup_all"](spark, SF).collect())) == expect
+    some = dict(map(tuple, catalog.queries()["q_rollup"](spark, SF).collect()))
+    assert some.keys() == expect.keys() and some != expect  # five rules are not all
+
+
 def test_work_list_leaves_fresh_ones_out(spark):
     cat = spark.createDataFrame([("f", "COMMITTED", "h", "1.1", "a@2", "2.1"), ("q", "COMMITTED", "h", "1.1", "a@2", "2.0"), ("x", "FAILED", None, None, None, None), ("r", "FETCHED", None, None, None, None)], "episode_uid string, status string, content_hash string, schema_version string, adapter_version string, ruleset_version string")
     found = spark.createDataFrame([(k,) for k in "fqxrn"], "episode_uid string")
