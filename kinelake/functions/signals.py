@@ -52,10 +52,15 @@ def median_of(values: Column) -> Column:
     return F.when(n > 0, (F.get(ordered_, F.floor((n - 1) / 2).cast("int")) + F.get(ordered_, F.floor(n / 2).cast("int"))) / 2)
 
 
-def isolation(x: Column | str, window, reach: int) -> Column:
-    """A step over the median of the steps around it, itself and its two neighbours left out; 1 with none around."""
-    around = F.concat(F.collect_list(_c(x)).over(window.rowsBetween(-reach, -2)), F.collect_list(_c(x)).over(window.rowsBetween(2, reach)))
-    base = median_of(around)
+def around(x: Column | str, window, reach: int) -> Column:
+    """The values of the rows around, as an array: itself and its two neighbours are left out, and rows beyond the edge."""
+    near = [f(_c(x), k).over(window) for f in (F.lag, F.lead) for k in range(2, reach + 1)]
+    return F.array_compact(F.array(*near))
+
+
+def isolation(x: Column | str, near: Column) -> Column:
+    """A step over the median of the steps around it; 1 with none around."""
+    base = median_of(near)
     still = F.when(_c(x) > 0, MOST_ISOLATED).otherwise(1.0)
     return F.when(base.isNull(), 1.0).when(base <= 0, still).otherwise(F.least(F.try_divide(_c(x), base), F.lit(MOST_ISOLATED)))
 
@@ -76,15 +81,15 @@ def summary(x: Column | str, prefix: str = "") -> list[Column]:
     return [c.alias(prefix + k) for k, c in named.items()]
 
 
-def longest_gap(frames: DataFrame, present: Column | str, t: Column | str = "t", key: str = EPISODE) -> DataFrame:
-    """(key, longest_gap_s): the longest time from a missing frame to the next present one, or to the last frame."""
+def with_gaps(frames: DataFrame, present: Column | str, t: Column | str = "t", key: str = EPISODE) -> DataFrame:
+    """(key, t, here, gap): in the first frame of each run of missing ones the time to the next present frame, or to the
+    last frame."""
     w = ordered(key)
     back = Window.partitionBy(key).orderBy(F.desc("frame_idx")).rowsBetween(Window.unboundedPreceding, 0)
     here = frames.select(key, "frame_idx", _c(t).alias("t"), _c(present).alias("here"))
     told = here.withColumn("starts", ~F.col("here") & F.coalesce(F.lag("here").over(w), F.lit(True)))
     told = told.withColumn("next_t", F.last(F.when(F.col("here"), F.col("t")), ignorenulls=True).over(back)).withColumn("last_t", F.first("t").over(back))
-    gap = F.coalesce("next_t", "last_t") - F.col("t")
-    return told.groupBy(key).agg(F.coalesce(F.max(F.when(F.col("starts"), gap)), F.lit(0.0)).alias("longest_gap_s"))
+    return told.select(key, "t", "here", F.when(F.col("starts"), F.coalesce("next_t", "last_t") - F.col("t")).alias("gap"))
 
 
 def end_markers(frames: DataFrame, marker: Column | str, key: str = EPISODE) -> DataFrame:

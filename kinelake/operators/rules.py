@@ -1,8 +1,13 @@
 """The eleven quality rules as DataFrame queries, and the engine around them.
 
-A rule takes the canonical tables and gives (episode_uid, verdict, reason, metrics), one row per episode that may run;
-`evaluate` puts the gate in front (an episode that is gated never reaches the rule's scan), the downgrade behind, and
-adds n_frames. Metrics that cannot be computed are absent keys, not NULL or 0.
+A rule has two parts: `facts`, an aggregate of the samples or frames with one row per episode, and `judge`, column
+expressions over an episode and its facts that give (verdict, reason, metrics). So a rule is one join of episodes with
+one aggregate, and all eleven are one table of episodes with eleven aggregates beside it. `evaluate` puts the gate in
+front of the verdict (a gated episode is SKIPPED with the gate's reason and has no metrics of the rule), the downgrade
+behind, and adds n_frames. Metrics that cannot be computed are absent keys, not NULL or 0.
+
+Every aggregate deals its rows out by episode first, in a window over the whole episode; windows by channel or frame
+and the final grouping then find them in place, so that samples move once.
 
 Tables: episodes(episode_uid, embodiment, fps_nominal, timestamp_source, n_frames, capabilities struct, action_level,
 state_level, cameras, segment, termination_column), channels(embodiment, signal, channel, pos, is_physical, is_delta,
@@ -15,7 +20,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kinelake.functions import signals as S
@@ -26,6 +31,7 @@ CONTINUOUS = "per_frame_continuous"
 ROTATIONS = ("ee_rotation_abs", "ee_rotation_delta", "camera_rotation_abs")
 POSES = ("camera_translation_abs", "camera_rotation_abs")
 GRIPPER = "gripper"
+EPISODE = "episode_uid"
 
 
 @dataclass(frozen=True)
@@ -36,229 +42,295 @@ class Tables:
     frames: DataFrame
 
 
+@dataclass(frozen=True)
+class Judgement:
+    verdict: Column
+    reason: Column
+    metrics: dict[str, Column]
+
+
 @dataclass(frozen=True)
 class Rule:
+    """`judge` gets the facts as a function from a name to a column (NULL where an episode has none) and the parameters.
+    Where `facts` are needed for a verdict and an episode has none, it passes with the reason "no frames"."""
+
     rule_id: str
-    run: Callable[[Tables, dict], DataFrame]
+    facts: Callable[[Tables, dict], DataFrame] | None
+    judge: Callable[[Callable[[str], Column], dict], Judgement]
     params: dict = field(default_factory=dict)
     capabilities: tuple[str, ...] = ()
     levels: tuple[str, ...] = ()
     real_clock: bool = False
+    needs_facts: bool = True
 
 
-def metrics(**values: Column) -> Column:
+def metrics(values: dict[str, Column]) -> Column:
     """A map of the metrics that have a value."""
     pairs = F.array(*[F.struct(F.lit(k).alias("k"), v.cast("double").alias("v")) for k, v in values.items()])
     return F.map_from_entries(F.filter(pairs, lambda p: p["v"].isNotNull()))
 
 
-def result(df: DataFrame, verdict: Column, reason: Column, **values: Column) -> DataFrame:
-    return df.select("episode_uid", verdict.alias("verdict"), reason.alias("reason"), metrics(**values).alias("metrics"))
-
-
 def _signal(t: Tables, *signals: str, physical: bool = True) -> DataFrame:
     """Samples of signals with what is declared of their channels."""
     declared = t.channels.filter(F.col("signal").isin(*signals))
     declared = declared.filter("is_physical") if physical else declared
-    keep = declared.select("embodiment", "signal", "channel", "pos", "is_delta", F.col("min").alias("lo"), F.col("max").alias("hi"), "space", "role", "phys_ordinal")
+    keep = declared.select("embodiment", "signal", "channel", "is_delta", F.col("min").alias("lo"), F.col("max").alias("hi"), "space", "role", "phys_ordinal")
     return t.samples.join(F.broadcast(keep), ["embodiment", "signal", "channel"]).withColumn("value", S.finite("value"))
 
 
 def _steps(df: DataFrame) -> DataFrame:
-    return df.withColumn("step", S.step("value", "is_delta", S.ordered("episode_uid", "signal", "channel")))
+    """Rows with `first`, whether they are a channel's first, and `step`, how far it moved into this frame."""
+    w = Window.partitionBy(EPISODE).orderBy("signal", "channel", "frame_idx")
+    same = (F.lag("signal").over(w) == F.col("signal")) & (F.lag("channel").over(w) == F.col("channel"))
+    told = df.withColumns({"first": ~F.coalesce(same, F.lit(False)), "change": S.difference("value", w)})
+    return told.withColumn("step", F.when(~F.col("first"), F.abs(F.when(F.col("is_delta"), F.col("value")).otherwise(F.col("change"))))).drop("change")
 
 
-def ts_monotonic(t: Tables, p: dict) -> DataFrame:
-    dt = S.difference("t", S.ordered("episode_uid"))
-    d = t.frames.select("episode_uid", "t", dt.alias("dt"), S.finite("t").alias("ft"))
-    a = d.groupBy("episode_uid").agg(
-        F.count(F.lit(1)).alias("n"), F.count_if(F.col("dt") <= 0).alias("bad"), F.count_if(F.col("ft").isNull()).alias("holes"),
+def _clock(t: Tables) -> DataFrame:
+    return t.frames.select(EPISODE, "frame_idx", "t", S.difference("t", S.ordered(EPISODE)).alias("dt"))
+
+
+def ts_monotonic_facts(t: Tables, p: dict) -> DataFrame:
+    return _clock(t).groupBy(EPISODE).agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("dt") <= 0).alias("bad"), F.count_if(S.finite("t").isNull()).alias("holes"),
         F.min("dt").alias("lo"), F.percentile("dt", F.lit(0.5)).alias("mid"), F.max("dt").alias("hi"),
     )
-    short = F.col("n") < 2
-    clear = lambda c: F.when(~short & (F.col("holes") == 0), F.col(c))  # noqa: E731  with a hole they are not numbers
-    return result(
-        a, F.when(~short & (F.col("bad") + F.col("holes") > 0), FAIL).otherwise(PASS),
-        F.when(short, F.lit("one frame or none")).otherwise(F.format_string("%d steps back or still, %d times missing", "bad", "holes")),
-        n_non_positive_dt=F.col("bad"), n_non_finite_t=F.when(~short, F.col("holes")), min_dt=clear("lo"), median_dt=clear("mid"), max_dt=clear("hi"),
+
+
+def ts_monotonic(f: Callable[[str], Column], p: dict) -> Judgement:
+    short = f("n") < 2
+    clear = lambda c: F.when(~short & (f("holes") == 0), f(c))  # noqa: E731  with a hole they are not numbers
+    return Judgement(
+        F.when(~short & (f("bad") + f("holes") > 0), FAIL).otherwise(PASS),
+        F.when(short, F.lit("one frame or none")).otherwise(F.format_string("%d steps back or still, %d times missing", f("bad"), f("holes"))),
+        {"n_non_positive_dt": f("bad"), "n_non_finite_t": F.when(~short, f("holes")), "min_dt": clear("lo"), "median_dt": clear("mid"), "max_dt": clear("hi")},
     )
 
 
-def fps_drift(t: Tables, p: dict) -> DataFrame:
-    d = t.frames.select("episode_uid", S.difference("t", S.ordered("episode_uid")).alias("dt"))
-    mid = d.groupBy("episode_uid").agg(F.percentile("dt", F.lit(0.5)).alias("mid"), F.count("dt").alias("n"), F.max("dt").alias("hi"), F.collect_list("dt").alias("all"))
-    a = mid.join(t.episodes.select("episode_uid", "fps_nominal"), "episode_uid")
-    expected = F.try_divide(F.lit(1.0), F.col("fps_nominal"))
-    gaps = F.when(F.col("mid") > 0, F.size(F.filter("all", lambda x: x > p["gap_factor"] * F.col("mid")))).otherwise(0)
-    a = a.withColumn("expected", expected).withColumn("gaps", gaps).withColumn("part", F.try_divide("gaps", "n")).withColumn("drift", F.abs(F.col("mid") - F.col("expected")) / F.col("expected"))
-    none = ~F.coalesce(F.col("fps_nominal") > 0, F.lit(False)) | (F.col("n") == 0)
-    value = lambda c: F.when(~none, F.col(c))
-    return result(
-        a,
-        F.when(none, SKIPPED).when(F.col("part") > p["max_gap_fraction"], FAIL).when((F.col("drift") > p["max_drift"]) | (F.col("gaps") > 0), REVIEW).otherwise(PASS),
-        F.when(none, F.lit("no declared rate or no steps")).otherwise(F.format_string("%d gaps, drift %.3f", "gaps", "drift")),
-        median_dt=value("mid"), expected_dt=value("expected"), fps_drift=value("drift"), n_gaps=value("gaps"), gap_fraction=value("part"), max_dt=value("hi"),
+def fps_drift_facts(t: Tables, p: dict) -> DataFrame:
+    mid = F.percentile("dt", F.lit(0.5)).over(Window.partitionBy(EPISODE))
+    gap = (F.col("mid") > 0) & (F.col("dt") > p["gap_factor"] * F.col("mid"))
+    return _clock(t).withColumn("mid", mid).groupBy(EPISODE).agg(F.max("mid").alias("mid"), F.count("dt").alias("n"), F.max("dt").alias("hi"), F.count_if(gap).alias("gaps"))
+
+
+def fps_drift(f: Callable[[str], Column], p: dict) -> Judgement:
+    rate = F.col("fps_nominal")
+    expected = F.try_divide(F.lit(1.0), rate)
+    part, drift = F.try_divide(f("gaps"), f("n")), F.abs(f("mid") - expected) / expected
+    none = ~F.coalesce(rate > 0, F.lit(False)) | (f("n") == 0)
+    values = {"median_dt": f("mid"), "expected_dt": expected, "fps_drift": drift, "n_gaps": f("gaps"), "gap_fraction": part, "max_dt": f("hi")}
+    return Judgement(
+        F.when(none, SKIPPED).when(part > p["max_gap_fraction"], FAIL).when((drift > p["max_drift"]) | (f("gaps") > 0), REVIEW).otherwise(PASS),
+        F.when(none, F.lit("no declared rate or no steps")).otherwise(F.format_string("%d gaps, drift %.3f", f("gaps"), drift)),
+        {k: F.when(~none, v) for k, v in values.items()},
     )
 
 
-def action_range(t: Tables, p: dict) -> DataFrame:
+def action_range_facts(t: Tables, p: dict) -> DataFrame:
     v = F.col("value")
     outside = F.coalesce(v < F.col("lo"), F.lit(False)) | F.coalesce(v > F.col("hi"), F.lit(False))
-    a = _signal(t, "action").groupBy("episode_uid").agg(
-        F.count_if(v.isNull()).alias("holes"), F.count_if(outside).alias("out"), F.count_distinct("channel").alias("k"),
+    return _signal(t, "action").groupBy(EPISODE).agg(
+        F.count_if(v.isNull()).alias("holes"), F.count_if(outside).alias("out"), F.size(F.collect_set("channel")).alias("k"),
         F.array_join(F.sort_array(F.collect_set(F.when(v.isNull() | outside, F.col("channel")))), ", ").alias("who"),
     )
-    return result(a, F.when(F.col("who") != "", FAIL).otherwise(PASS), F.format_string("%d missing, %d out of range: %s", "holes", "out", "who"), n_non_finite=F.col("holes"), n_out_of_range=F.col("out"), n_physical_channels=F.col("k"))
 
 
-def action_jerk(t: Tables, p: dict) -> DataFrame:
-    w = S.ordered("episode_uid", "channel")
-    steps = _steps(_signal(t, "action")).withColumn("first", F.row_number().over(w) == 1)
-    steps = steps.filter("NOT first").withColumn("step", F.coalesce("step", F.lit(0.0)))
-    around = steps.withColumn("alone", S.isolation("step", w, p["isolation_window"]))
-    ref = steps.groupBy("episode_uid", "channel").agg(F.percentile("step", F.lit(0.99)).alias("ref"), F.count(F.lit(1)).alias("n"))
-    told = around.join(ref, ["episode_uid", "channel"]).filter((F.col("n") >= p["min_steps"]) & (F.col("ref") > 0)).withColumn("ratio", F.col("step") / F.col("ref"))
+def action_range(f: Callable[[str], Column], p: dict) -> Judgement:
+    return Judgement(
+        F.when(f("who") != "", FAIL).otherwise(PASS), F.format_string("%d missing, %d out of range: %s", f("holes"), f("out"), f("who")),
+        {"n_non_finite": f("holes"), "n_out_of_range": f("out"), "n_physical_channels": f("k")},
+    )
+
+
+def action_jerk_facts(t: Tables, p: dict) -> DataFrame:
+    steps = _steps(_signal(t, "action")).filter("NOT first").withColumn("step", F.coalesce("step", F.lit(0.0)))
+    channel = Window.partitionBy(EPISODE, "signal", "channel")
+    told = steps.withColumns({"ref": F.percentile("step", F.lit(0.99)).over(channel), "n": F.count(F.lit(1)).over(channel), "peak": F.max("step").over(channel)})
+    near = S.around("step", channel.orderBy("frame_idx"), p["isolation_window"])
+    told = told.withColumn("near", near)
+    judged = (F.col("n") >= p["min_steps"]) & (F.col("ref") > 0)
+    ratio = F.when(judged, F.col("step") / F.col("ref"))
+    # the median around a step is only wanted where the step is large
+    told = told.withColumn("ratio", ratio).withColumn("alone", F.when((F.col("ratio") > p["max_ratio"]) | (judged & (F.col("step") == F.col("peak"))), S.isolation("step", F.col("near"))))
     hit = (F.col("ratio") > p["max_ratio"]) & (F.col("alone") > p["min_isolation"])
     # ties: the first channel, then the first step
-    best = F.max(F.struct("ratio", (-F.col("phys_ordinal")).alias("c"), (-F.col("frame_idx")).alias("i"), "alone"))
-    a = told.groupBy("episode_uid").agg(best.alias("best"), F.count_if(hit).alias("hits"), F.count_distinct("channel").alias("k"), F.array_join(F.sort_array(F.collect_set(F.when(hit, F.col("channel")))), ", ").alias("who"))
-    a = steps.select("episode_uid").distinct().join(a, "episode_uid", "left").withColumn("k", F.coalesce("k", F.lit(0)))
-    return result(
-        a, F.when(F.col("k") == 0, SKIPPED).when(F.col("hits") > 0, REVIEW).otherwise(PASS),
-        F.when(F.col("k") == 0, F.lit("no channel with enough varying steps")).otherwise(F.format_string("%d lone jumps: %s", "hits", "who")),
-        jerk_ratio=F.coalesce(F.col("best.ratio"), F.lit(0.0)), jerk_isolation=F.coalesce(F.col("best.alone"), F.lit(0.0)), n_jerks=F.coalesce("hits", F.lit(0)), n_channels_examined=F.col("k"),
+    best = F.max(F.when(F.col("ratio").isNotNull(), F.struct("ratio", (-F.col("phys_ordinal")).alias("c"), (-F.col("frame_idx")).alias("i"), "alone")))
+    return told.groupBy(EPISODE).agg(
+        best.alias("best"), F.count_if(hit).alias("hits"), F.size(F.collect_set(F.when(F.col("ratio").isNotNull(), F.col("channel")))).alias("k"),
+        F.array_join(F.sort_array(F.collect_set(F.when(hit, F.col("channel")))), ", ").alias("who"),
+    )
+
+
+def action_jerk(f: Callable[[str], Column], p: dict) -> Judgement:
+    none = f("k") == 0
+    return Judgement(
+        F.when(none, SKIPPED).when(f("hits") > 0, REVIEW).otherwise(PASS),
+        F.when(none, F.lit("no channel with enough varying steps")).otherwise(F.format_string("%d lone jumps: %s", f("hits"), f("who"))),
+        {"jerk_ratio": F.when(f("k").isNotNull(), F.coalesce(f("best")["ratio"], F.lit(0.0))), "jerk_isolation": F.when(f("k").isNotNull(), F.coalesce(f("best")["alone"], F.lit(0.0))), "n_jerks": f("hits"), "n_channels_examined": f("k")},
     )
 
 
-def static_episode(t: Tables, p: dict) -> DataFrame:
-    level = t.episodes.select("episode_uid", F.struct(F.col("action_level").alias("action"), F.col("state_level").alias("state")).alias("level"))
-    both = _signal(t, "action", "state").join(level, "episode_uid").filter(F.when(F.col("signal") == "action", F.col("level.action")).otherwise(F.col("level.state")) == CONTINUOUS)
-    steps = _steps(both)
-    per_step = steps.filter("step IS NOT NULL").groupBy("episode_uid", "frame_idx").agg(F.bool_and(F.col("step") == 0).alias("still"))
-    still = per_step.groupBy("episode_uid").agg(F.avg(F.col("still").cast("int")).alias("still"))
-    far = steps.filter((F.col("hi") > F.col("lo")) & ~F.col("space").isin(*ROTATIONS, GRIPPER)).groupBy("episode_uid", "signal", "channel").agg((F.sum("step") / F.first(F.col("hi") - F.col("lo"))).alias("part"))
-    travel = far.groupBy("episode_uid").agg(F.max("part").alias("travel"))
-    origins = _origins(t, "action", "state")
-    a = t.episodes.select("episode_uid", "embodiment", "n_frames", "action_level", "state_level").join(still, "episode_uid", "left").join(travel, "episode_uid", "left").join(F.broadcast(origins), "embodiment", "left")
+def static_episode_facts(t: Tables, p: dict) -> DataFrame:
+    """Of either signal and of both, the part of frames in which nothing moves, and the longest way of a channel."""
+    steps = _steps(_signal(t, "action", "state"))
+    far = (F.col("hi") > F.col("lo")) & ~F.col("space").isin(*ROTATIONS, GRIPPER)
+    way = F.sum("step").over(Window.partitionBy(EPISODE, "signal", "channel")) / (F.col("hi") - F.col("lo"))
+    told = steps.withColumns({"way": F.when(far, way), "still": F.col("step") == 0})
+    of = lambda s, c: F.when(F.col("signal") == s, F.col(c))
+    frame = told.groupBy(EPISODE, "frame_idx").agg(*[x for s in ("action", "state") for x in (F.bool_and(of(s, "still")).alias(f"still_{s}"), F.max(of(s, "way")).alias(f"way_{s}"))])
+    both = F.when(F.coalesce("still_action", "still_state").isNotNull(), F.coalesce("still_action", F.lit(True)) & F.coalesce("still_state", F.lit(True)))
+    share = lambda c: F.avg(c.cast("int"))
+    return frame.groupBy(EPISODE).agg(
+        share(F.col("still_action")).alias("still_action"), share(F.col("still_state")).alias("still_state"), share(both).alias("still_both"), F.max("way_action").alias("way_action"), F.max("way_state").alias("way_state")
+    )
+
+
+def static_episode(f: Callable[[str], Column], p: dict) -> Judgement:
+    a, s = (F.coalesce(F.col(f"{x}_level") == CONTINUOUS, F.lit(False)) for x in ("action", "state"))
+    still = F.when(a & s, f("still_both")).when(a, f("still_action")).when(s, f("still_state"))
+    travel = F.greatest(F.when(a, f("way_action")), F.when(s, f("way_state")))
     short = F.col("n_frames") < p["min_frames"]
-    frozen = F.coalesce(F.col("still") > p["max_still_fraction"], F.lit(False))
-    near = F.coalesce(F.col("travel") < p["min_travel_fraction"], F.lit(False))
-    levels = {"action": F.col("action_level"), "state": F.col("state_level")}
-    read = F.array_distinct(F.concat(*[F.when(levels[s] == CONTINUOUS, F.coalesce(F.col(f"o_{s}"), F.array().cast("array<string>"))).otherwise(F.array().cast("array<string>")) for s in levels]))
+    frozen = F.coalesce(still > p["max_still_fraction"], F.lit(False))
+    near = F.coalesce(travel < p["min_travel_fraction"], F.lit(False))
+    none = F.array().cast("array<string>")
+    read = F.array_distinct(F.concat(F.when(a, F.coalesce("o_action", none)).otherwise(none), F.when(s, F.coalesce("o_state", none)).otherwise(none)))
     derived = (F.size(read) > 0) & ~F.array_contains(read, "measured") & ~short
-    return result(
-        a, F.when(~(short | frozen | near), PASS).when(derived, REVIEW).otherwise(FAIL),
+    return Judgement(
+        F.when(~(short | frozen | near), PASS).when(derived, REVIEW).otherwise(FAIL),
         F.concat_ws("; ", F.when(short, F.lit("too short")), F.when(frozen, F.lit("still")), F.when(near, F.lit("hardly moves")), F.when((short | frozen | near) & derived, F.concat(F.lit("downgraded: "), F.array_join(F.sort_array(read), ",")))),
-        still_fraction=F.col("still"), travel_fraction=F.col("travel"),
+        {"still_fraction": still, "travel_fraction": travel},
     )
 
 
-def gripper_stuck(t: Tables, p: dict) -> DataFrame:
-    declared = t.channels.filter("signal = 'action' AND role = 'gripper'").groupBy("embodiment").agg(F.count(F.lit(1)).alias("k"))
-    per = _signal(t, "action", physical=False).filter("role = 'gripper' AND value IS NOT NULL").groupBy("episode_uid", "channel", "is_delta").agg(F.count_distinct("value").alias("kinds"), F.sum(F.abs("value")).alias("way"))
+def gripper_stuck_facts(t: Tables, p: dict) -> DataFrame:
+    per = _signal(t, "action", physical=False).filter("role = 'gripper' AND value IS NOT NULL").groupBy(EPISODE, "channel", "is_delta").agg(F.count_distinct("value").alias("kinds"), F.sum(F.abs("value")).alias("way"))
     stuck = F.when(F.col("is_delta"), F.col("way") == 0).otherwise(F.col("kinds") <= 1)
-    a = per.groupBy("episode_uid").agg(F.min(F.when(~F.col("is_delta"), F.col("kinds"))).alias("kinds"), F.min(F.when(F.col("is_delta"), F.col("way"))).alias("way"), F.array_join(F.sort_array(F.collect_set(F.when(stuck, F.col("channel")))), ", ").alias("who"))
-    a = t.episodes.select("episode_uid", "embodiment", "n_frames").join(F.broadcast(declared), "embodiment", "left").join(a, "episode_uid", "left")
-    none, short = F.col("k").isNull(), F.col("n_frames") <= p["min_frames"]
-    value = lambda c: F.when(~none & ~short, F.col(c))
-    return result(
-        a, F.when(none, ERROR).when(short, SKIPPED).when(F.col("who") != "", REVIEW).otherwise(PASS),
-        F.when(none, F.lit("no gripper channel is declared")).when(short, F.lit("too short to expect an actuation")).otherwise(F.concat(F.lit("never actuates: "), F.coalesce("who", F.lit("")))),
-        n_gripper_channels=F.col("k"), min_unique_values=value("kinds"), min_gripper_travel=value("way"),
+    return per.groupBy(EPISODE).agg(F.min(F.when(~F.col("is_delta"), F.col("kinds"))).alias("kinds"), F.min(F.when(F.col("is_delta"), F.col("way"))).alias("way"), F.array_join(F.sort_array(F.collect_set(F.when(stuck, F.col("channel")))), ", ").alias("who"))
+
+
+def gripper_stuck(f: Callable[[str], Column], p: dict) -> Judgement:
+    k = F.when(F.col("n_gripper") > 0, F.col("n_gripper"))
+    none, short = k.isNull(), F.col("n_frames") <= p["min_frames"]
+    value = lambda c: F.when(~none & ~short, f(c))
+    return Judgement(
+        F.when(none, ERROR).when(short, SKIPPED).when(f("who") != "", REVIEW).otherwise(PASS),
+        F.when(none, F.lit("no gripper channel is declared")).when(short, F.lit("too short to expect an actuation")).otherwise(F.concat(F.lit("never actuates: "), F.coalesce(f("who"), F.lit("")))),
+        {"n_gripper_channels": k, "min_unique_values": value("kinds"), "min_gripper_travel": value("way")},
     )
 
 
-def state_action_echo(t: Tables, p: dict) -> DataFrame:
-    spec = signal_specs(t.channels)
-    one = lambda s: spec.filter(F.col("signal") == s).select("embodiment", F.col("space").alias(f"{s}_space"), F.col("physical_dim").alias(f"{s}_dim"))
-    e = t.episodes.select("episode_uid", "embodiment").join(F.broadcast(one("action")), "embodiment", "left").join(F.broadcast(one("state")), "embodiment", "left")
+def state_action_echo_facts(t: Tables, p: dict) -> DataFrame:
+    """In an episode's rows by frame and ordinal a state follows the action that it is compared with."""
+    w = Window.partitionBy(EPISODE).orderBy("frame_idx", "phys_ordinal", "signal")
+    before = lambda c: F.lag(c).over(w)
+    rows = _signal(t, "action", "state").select(EPISODE, "frame_idx", "phys_ordinal", "signal", F.col("value").alias("state"), before("value").alias("action"), before(F.struct("frame_idx", "phys_ordinal", "signal")).alias("last"))
+    pairs = rows.filter((F.col("signal") == "state") & (F.col("last") == F.struct("frame_idx", "phys_ordinal", F.lit("action").alias("signal"))))
+    pairs = pairs.withColumn("d", F.abs(F.col("action") - F.col("state")))
+    frame = Window.partitionBy(EPISODE, "frame_idx")
+    told = pairs.withColumns({"worst": F.max("d").over(frame), "whole": F.min(F.col("d").isNotNull()).over(frame), "k": F.row_number().over(frame.orderBy("phys_ordinal"))}).filter("whole")
+    one = F.when(F.col("k") == 1, (F.col("worst") < p["tolerance"]).cast("int"))
+    spread = F.stddev_pop("action") * F.stddev_pop("state")
+    corr = F.when((F.count(F.lit(1)) >= 2) & (F.stddev_pop("action") > 0) & (F.stddev_pop("state") > 0), F.try_divide(F.covar_pop("action", "state"), spread)).otherwise(0.0)
+    return told.groupBy(EPISODE).agg(F.avg(one).alias("echo"), F.max("worst").alias("far"), corr.alias("corr"))
+
+
+def state_action_echo(f: Callable[[str], Column], p: dict) -> Judgement:
     comparable = F.coalesce((F.col("action_space") == F.col("state_space")) & (F.col("action_dim") == F.col("state_dim")) & (F.col("action_dim") > 0), F.lit(False))
-    pair = lambda s: _signal(t, s).select("episode_uid", "frame_idx", "phys_ordinal", F.col("value").alias(s))
-    cells = pair("action").join(pair("state"), ["episode_uid", "frame_idx", "phys_ordinal"]).withColumn("d", F.abs(F.col("action") - F.col("state")))
-    rows = cells.groupBy("episode_uid", "frame_idx").agg(F.max("d").alias("worst"), F.bool_and(F.col("d").isNotNull()).alias("whole"), F.collect_list(F.struct("action", "state")).alias("cells")).filter("whole")
-    frames = rows.groupBy("episode_uid").agg(F.avg((F.col("worst") < p["tolerance"]).cast("int")).alias("echo"), F.max("worst").alias("far"))
-    pooled = rows.select("episode_uid", F.explode("cells").alias("x")).groupBy("episode_uid").agg(
-        F.when((F.count(F.lit(1)) >= 2) & (F.stddev_pop("x.action") > 0) & (F.stddev_pop("x.state") > 0), F.try_divide(F.covar_pop("x.action", "x.state"), F.stddev_pop("x.action") * F.stddev_pop("x.state"))).otherwise(0.0).alias("corr")
-    )
-    a = e.join(frames, "episode_uid", "left").join(pooled, "episode_uid", "left")
-    may = comparable & F.col("echo").isNotNull()
-    value = lambda c: F.when(may, F.col(c))
-    return result(
-        a, F.when(~may, SKIPPED).when(F.col("echo") > p["max_echo_fraction"], REVIEW).otherwise(PASS),
-        F.when(~comparable, F.lit("not comparable")).when(~may, F.lit("no frame has both signals")).otherwise(F.format_string("%.3f of frames repeat the state", "echo")),
-        echo_fraction=value("echo"), max_abs_difference=value("far"), correlation=value("corr"),
+    may = comparable & f("echo").isNotNull()
+    return Judgement(
+        F.when(~may, SKIPPED).when(f("echo") > p["max_echo_fraction"], REVIEW).otherwise(PASS),
+        F.when(~comparable, F.lit("not comparable")).when(~may, F.lit("no frame has both signals")).otherwise(F.format_string("%.3f of frames repeat the state", f("echo"))),
+        {k: F.when(may, f(c)) for k, c in (("echo_fraction", "echo"), ("max_abs_difference", "far"), ("correlation", "corr"))},
     )
 
 
-def video_frame_mismatch(t: Tables, p: dict) -> DataFrame:
-    cams = F.filter("cameras", lambda c: c["encoding"] == "mp4_sidecar")
-    a = t.episodes.select("episode_uid", "n_frames", F.coalesce(cams, F.array().cast(t.episodes.schema["cameras"].dataType)).alias("cams"))
-    present = F.filter("cams", lambda c: c["is_present"] & c["n_frames"].isNotNull())
-    off = F.transform(present, lambda c: F.abs(c["n_frames"] - F.col("n_frames")))
-    a = a.withColumn("missing", F.size(F.filter("cams", lambda c: ~c["is_present"]))).withColumn("off", off).withColumn("bad", F.size(F.filter("off", lambda d: d > p["max_frame_delta"])))
-    return result(
-        a, F.when((F.col("missing") > 0) | (F.col("bad") > 0), FAIL).when(F.size("off") == 0, SKIPPED).otherwise(PASS), F.format_string("%d missing, %d of another length", "missing", "bad"),
-        n_cameras=F.size("cams"), n_missing=F.col("missing"), n_measured=F.size("off"), n_mismatched=F.col("bad"), max_frame_delta=F.coalesce(F.array_max("off"), F.lit(0)),
+def video_frame_mismatch(f: Callable[[str], Column], p: dict) -> Judgement:
+    cams = F.filter("cameras", lambda c: c["encoding"] == "mp4_sidecar")  # NULL has the size -1 or NULL
+    measured = F.filter(cams, lambda c: c["is_present"] & c["n_frames"].isNotNull())
+    off = F.coalesce(F.transform(measured, lambda c: F.abs(c["n_frames"] - F.col("n_frames")).cast("long")), F.array().cast("array<long>"))
+    missing, bad = F.greatest(F.size(F.filter(cams, lambda c: ~c["is_present"])), F.lit(0)), F.size(F.filter(off, lambda d: d > p["max_frame_delta"]))
+    return Judgement(
+        F.when((missing > 0) | (bad > 0), FAIL).when(F.size(off) == 0, SKIPPED).otherwise(PASS), F.format_string("%d missing, %d of another length", missing, bad),
+        {"n_cameras": F.greatest(F.size(cams), F.lit(0)), "n_missing": missing, "n_measured": F.size(off), "n_mismatched": bad, "max_frame_delta": F.coalesce(F.array_max(off), F.lit(0).cast("long"))},
     )
 
 
-def termination_consistency(t: Tables, p: dict) -> DataFrame:
-    marked = t.frames.join(t.episodes.select("episode_uid", "termination_column"), "episode_uid").filter("termination_column IS NOT NULL").withColumn("m", F.try_element_at("raw", F.col("termination_column")))
-    a = t.episodes.select("episode_uid").join(S.end_markers(marked, "m"), "episode_uid", "left")
-    run, none = F.col("terminal_run"), F.col("n_frames").isNull()
-    return result(
-        a, F.when(none, SKIPPED).when(F.col("n_interior_signals") > 0, FAIL).when((run == 0) | (run > p["max_terminal_run"]), REVIEW).otherwise(PASS),
-        F.when(none, F.lit("no end marker or no frames")).otherwise(F.format_string("%d trailing, %d interior markers", run, F.col("n_interior_signals"))),
-        n_end_signals=F.col("n_end_signals"), terminal_run=run, n_interior_signals=F.col("n_interior_signals"),
+def termination_facts(t: Tables, p: dict) -> DataFrame:
+    named = t.episodes.select(EPISODE, "termination_column").filter("termination_column IS NOT NULL")
+    return S.end_markers(t.frames.join(named, EPISODE).withColumn("m", F.try_element_at("raw", F.col("termination_column"))), "m").withColumnRenamed("n_frames", "n")
+
+
+def termination_consistency(f: Callable[[str], Column], p: dict) -> Judgement:
+    run, none = f("terminal_run"), f("n").isNull()
+    return Judgement(
+        F.when(none, SKIPPED).when(f("n_interior_signals") > 0, FAIL).when((run == 0) | (run > p["max_terminal_run"]), REVIEW).otherwise(PASS),
+        F.when(none, F.lit("no end marker or no frames")).otherwise(F.format_string("%d trailing, %d interior markers", run, f("n_interior_signals"))),
+        {"n_end_signals": f("n_end_signals"), "terminal_run": run, "n_interior_signals": f("n_interior_signals")},
     )
 
 
-def pose_coverage(t: Tables, p: dict) -> DataFrame:
+def pose_coverage_facts(t: Tables, p: dict) -> DataFrame:
     pose = _signal(t, "state").filter(F.col("space").isin(*POSES))
-    rows = pose.groupBy("episode_uid", "frame_idx").agg(F.bool_and(F.col("value").isNotNull()).alias("whole"), F.first("t").alias("t"))
-    a = rows.groupBy("episode_uid").agg(F.avg(F.col("whole").cast("int")).alias("part"), F.count_if(~F.col("whole")).alias("holes")).join(S.longest_gap(rows, "whole"), "episode_uid")
-    a = t.episodes.select("episode_uid").join(a, "episode_uid", "left")
-    none = F.col("part").isNull()
-    return result(
-        a, F.when(none, ERROR).when((F.col("part") < p["min_coverage"]) | (F.col("longest_gap_s") > p["max_gap_s"]), REVIEW).otherwise(PASS),
-        F.when(none, F.lit("no pose channel is declared")).otherwise(F.format_string("coverage %.3f, longest gap %.3f s", "part", "longest_gap_s")),
-        pose_coverage=F.col("part"), longest_gap_s=F.col("longest_gap_s"), n_unregistered=F.col("holes"),
+    rows = pose.groupBy(EPISODE, "frame_idx").agg(F.bool_and(F.col("value").isNotNull()).alias("whole"), F.first("t").alias("t"))
+    return S.with_gaps(rows, "whole").groupBy(EPISODE).agg(F.avg(F.col("here").cast("int")).alias("part"), F.count_if(~F.col("here")).alias("holes"), F.coalesce(F.max("gap"), F.lit(0.0)).alias("gap"))
+
+
+def pose_coverage(f: Callable[[str], Column], p: dict) -> Judgement:
+    none = f("part").isNull()
+    return Judgement(
+        F.when(none, ERROR).when((f("part") < p["min_coverage"]) | (f("gap") > p["max_gap_s"]), REVIEW).otherwise(PASS),
+        F.when(none, F.lit("no pose channel is declared")).otherwise(F.format_string("coverage %.3f, longest gap %.3f s", f("part"), f("gap"))),
+        {"pose_coverage": f("part"), "longest_gap_s": f("gap"), "n_unregistered": f("holes")},
     )
 
 
-def segment_bounds(t: Tables, p: dict) -> DataFrame:
+def segment_bounds(f: Callable[[str], Column], p: dict) -> Judgement:
     s = F.col("segment")
     over = lambda a, b: F.greatest(F.coalesce(a - b, F.lit(0.0)), F.lit(0.0))
-    a = t.episodes.select("episode_uid", "segment", (s["end_s"] - s["start_s"]).alias("d"), over(s["prev_end_s"], s["start_s"]).alias("prev"), over(s["end_s"], s["next_start_s"]).alias("next"))
-    a = a.withColumn("part", F.when(F.col("d") > 0, F.greatest("prev", "next") / F.col("d")).otherwise(0.0))
+    d, prev, nxt = s["end_s"] - s["start_s"], over(s["prev_end_s"], s["start_s"]), over(s["end_s"], s["next_start_s"])
+    part = F.when(d > 0, F.greatest(prev, nxt) / d).otherwise(0.0)
     none = s.isNull()
-    bad = (F.col("d") <= 0) | (s["start_s"] < 0) | F.coalesce(s["end_s"] > s["parent_duration_s"], F.lit(False))
-    value = lambda c: F.when(~none, F.col(c))
-    return result(
-        a, F.when(none, SKIPPED).when(bad, FAIL).when((F.col("d") < p["min_duration_s"]) | (F.col("part") > p["max_overlap_fraction"]), REVIEW).otherwise(PASS),
-        F.when(none, F.lit("no segment bounds")).otherwise(F.format_string("%.3f s, %.3f overlaps", "d", "part")),
-        segment_duration_s=value("d"), overlap_prev_s=value("prev"), overlap_next_s=value("next"), overlap_fraction=value("part"),
+    bad = (d <= 0) | (s["start_s"] < 0) | F.coalesce(s["end_s"] > s["parent_duration_s"], F.lit(False))
+    values = {"segment_duration_s": d, "overlap_prev_s": prev, "overlap_next_s": nxt, "overlap_fraction": part}
+    return Judgement(
+        F.when(none, SKIPPED).when(bad, FAIL).when((d < p["min_duration_s"]) | (part > p["max_overlap_fraction"]), REVIEW).otherwise(PASS),
+        F.when(none, F.lit("no segment bounds")).otherwise(F.format_string("%.3f s, %.3f overlaps", d, part)),
+        {k: F.when(~none, v) for k, v in values.items()},
     )
 
 
 # The rules' ids, gates and thresholds.
 RULES = [
-    Rule("TS_MONOTONIC", ts_monotonic, real_clock=True),
-    Rule("FPS_DRIFT", fps_drift, {"max_drift": 0.05, "gap_factor": 3.0, "max_gap_fraction": 0.01}, real_clock=True),
-    Rule("ACTION_RANGE", action_range, {}, ("has_action",), ("action",)),
-    Rule("ACTION_JERK", action_jerk, {"max_ratio": 8.0, "min_isolation": 5.0, "isolation_window": 5, "min_steps": 20}, ("has_action",), ("action",)),
-    Rule("STATIC_EPISODE", static_episode, {"min_frames": 20, "max_still_fraction": 0.95, "min_travel_fraction": 0.05}),
-    Rule("GRIPPER_STUCK", gripper_stuck, {"min_frames": 50}, ("has_action", "has_gripper"), ("action",)),
-    Rule("STATE_ACTION_ECHO", state_action_echo, {"tolerance": 1e-9, "max_echo_fraction": 0.9}, ("has_action", "has_state"), ("action", "state")),
-    Rule("VIDEO_FRAME_MISMATCH", video_frame_mismatch, {"max_frame_delta": 1}, ("has_video",)),
-    Rule("TERMINATION_CONSISTENCY", termination_consistency, {"max_terminal_run": 2}, ("has_termination_signal",)),
-    Rule("POSE_COVERAGE", pose_coverage, {"min_coverage": 0.8, "max_gap_s": 0.5}, ("has_camera_pose",), ("state",)),
-    Rule("SEGMENT_BOUNDS", segment_bounds, {"min_duration_s": 0.4, "max_overlap_fraction": 0.5}, ("is_segment",)),
+    Rule("TS_MONOTONIC", ts_monotonic_facts, ts_monotonic, real_clock=True),
+    Rule("FPS_DRIFT", fps_drift_facts, fps_drift, {"max_drift": 0.05, "gap_factor": 3.0, "max_gap_fraction": 0.01}, real_clock=True),
+    Rule("ACTION_RANGE", action_range_facts, action_range, {}, ("has_action",), ("action",)),
+    Rule("ACTION_JERK", action_jerk_facts, action_jerk, {"max_ratio": 8.0, "min_isolation": 5.0, "isolation_window": 5, "min_steps": 20}, ("has_action",), ("action",)),
+    Rule("STATIC_EPISODE", static_episode_facts, static_episode, {"min_frames": 20, "max_still_fraction": 0.95, "min_travel_fraction": 0.05}, needs_facts=False),
+    Rule("GRIPPER_STUCK", gripper_stuck_facts, gripper_stuck, {"min_frames": 50}, ("has_action", "has_gripper"), ("action",), needs_facts=False),
+    Rule("STATE_ACTION_ECHO", state_action_echo_facts, state_action_echo, {"tolerance": 1e-9, "max_echo_fraction": 0.9}, ("has_action", "has_state"), ("action", "state"), needs_facts=False),
+    Rule("VIDEO_FRAME_MISMATCH", None, video_frame_mismatch, {"max_frame_delta": 1}, ("has_video",), needs_facts=False),
+    Rule("TERMINATION_CONSISTENCY", termination_facts, termination_consistency, {"max_terminal_run": 2}, ("has_termination_signal",), needs_facts=False),
+    Rule("POSE_COVERAGE", pose_coverage_facts, pose_coverage, {"min_coverage": 0.8, "max_gap_s": 0.5}, ("has_camera_pose",), ("state",), needs_facts=False),
+    Rule("SEGMENT_BOUNDS", None, segment_bounds, {"min_duration_s": 0.4, "max_overlap_fraction": 0.5}, ("is_segment",), needs_facts=False),
 ]
 
 
 def signal_specs(channels: DataFrame) -> DataFrame:
     """Derived facts of a signal: space (one, none or mixed), is_delta of any physical channel, dim, physical_dim."""
+    kinds = _spaces(F.col("is_physical"))
+    return channels.groupBy("embodiment", "signal").agg(
+        _one_space(kinds).alias("space"),
+        F.coalesce(F.bool_or(F.when(F.col("is_physical"), F.col("is_delta"))), F.lit(False)).alias("is_delta"),
+        F.count(F.lit(1)).alias("dim"), F.count_if("is_physical").alias("physical_dim"),
+    )
+
+
+def _one_space(kinds: Column) -> Column:
+    return F.when(F.size(kinds) == 0, "none").when(F.size(kinds) == 1, kinds[0]).otherwise("mixed")
+
+
+def _spaces(which: Column) -> Column:
+    """The kinds of space of the channels that are meant, as a set."""
     space = F.col("space")
     summary = (
         F.when(space.isin("joint_position", "cartesian_2d"), space)
@@ -269,18 +341,18 @@ def signal_specs(channels: DataFrame) -> DataFrame:
         .when(space == GRIPPER, "mixed")
         .otherwise("unknown")
     )
-    kinds = F.collect_set(F.when(F.col("is_physical"), summary))
-    return channels.groupBy("embodiment", "signal").agg(
-        F.when(F.size(kinds) == 0, "none").when(F.size(kinds) == 1, kinds[0]).otherwise("mixed").alias("space"),
-        F.coalesce(F.bool_or(F.when(F.col("is_physical"), F.col("is_delta"))), F.lit(False)).alias("is_delta"),
-        F.count(F.lit(1)).alias("dim"), F.count_if("is_physical").alias("physical_dim"),
-    )
+    return F.collect_set(F.when(which, summary))
 
 
-def _origins(t: Tables, *signals: str) -> DataFrame:
-    """The origins of each signal's physical channels, one array per signal."""
-    one = [F.collect_set(F.when((F.col("signal") == s) & F.col("is_physical"), F.col("origin"))).alias(f"o_{s}") for s in signals]
-    return t.channels.groupBy("embodiment").agg(*one)
+def declared(channels: DataFrame) -> DataFrame:
+    """What rules read of an embodiment as a whole: the origins, the kind of space and the number of physical channels of
+    action and state, and the number of gripper channels."""
+    facts = [F.count_if((F.col("signal") == "action") & (F.col("role") == "gripper")).alias("n_gripper")]
+    for s in ("action", "state"):
+        mine = (F.col("signal") == s) & F.col("is_physical")
+        of = F.max(F.col("signal") == s)  # a signal without any channel has no space
+        facts += [F.collect_set(F.when(mine, F.col("origin"))).alias(f"o_{s}"), F.when(of, _one_space(_spaces(mine))).alias(f"{s}_space"), F.when(of, F.count_if(mine)).alias(f"{s}_dim")]
+    return channels.groupBy("embodiment").agg(*facts)
 
 
 def gate(rule: Rule) -> Column:
@@ -296,36 +368,45 @@ def gate(rule: Rule) -> Column:
     return out
 
 
-def evaluate(t: Tables, rule: Rule, **params) -> DataFrame:
-    """(episode_uid, rule_id, verdict, reason, metrics), one row per episode."""
-    e = t.episodes.withColumn("_gate", gate(rule))
-    open_ = e.filter("_gate IS NULL").drop("_gate")
-    uids = open_.select("episode_uid")
-    # gated episodes leave before any scan or window
-    small = Tables(open_, t.channels, t.samples.join(uids, "episode_uid", "left_semi"), t.frames.join(uids, "episode_uid", "left_semi"))
-    ran = rule.run(small, rule.params | params)
-    told = open_.select("episode_uid", "embodiment", "n_frames").join(ran, "episode_uid", "left")
-    verdict, reason = F.coalesce("verdict", F.lit(PASS)), F.coalesce("reason", F.lit("no frames"))
+def _judged(rule: Rule, facts: str, params: dict) -> Column:
+    """struct(rule_id, verdict, reason, metrics) of a row of episodes with declared columns and the struct of facts."""
+    f = lambda name: F.col(facts)[name]
+    told = rule.judge(f, params)
+    verdict, reason, own = told.verdict, told.reason, metrics(told.metrics)
+    if rule.needs_facts:
+        none = F.col(facts).isNull()
+        verdict, reason, own = F.when(none, PASS).otherwise(verdict), F.when(none, "no frames").otherwise(reason), F.when(~none, own)
     if rule.levels:
-        told = told.join(F.broadcast(_origins(t, *rule.levels)), "embodiment", "left")
         read = F.array_distinct(F.concat(*[F.coalesce(F.col(f"o_{s}"), F.array().cast("array<string>")) for s in rule.levels]))
         down = (verdict == FAIL) & (F.size(read) > 0) & ~F.array_contains(read, "measured")
         reason = F.when(down, F.concat(reason, F.lit("; downgraded: "), F.array_join(F.sort_array(read), ","))).otherwise(reason)
         verdict = F.when(down, REVIEW).otherwise(verdict)
+    why = gate(rule)
     n = F.create_map(F.lit("n_frames"), F.col("n_frames").cast("double"))
-    own = F.map_filter(n, lambda k, v: ~F.coalesce(F.map_contains_key("metrics", k), F.lit(False)))
-    all_ = F.map_concat(own, F.coalesce("metrics", F.create_map().cast("map<string,double>")))
-    done = told.select("episode_uid", F.lit(rule.rule_id).alias("rule_id"), verdict.alias("verdict"), reason.alias("reason"), all_.alias("metrics"))
-    skipped = e.filter("_gate IS NOT NULL").select("episode_uid", F.lit(rule.rule_id).alias("rule_id"), F.lit(SKIPPED).alias("verdict"), F.col("_gate").alias("reason"), n.alias("metrics"))
-    return done.unionByName(skipped)
-
-
-def evaluate_all(t: Tables, rules: list[Rule] | None = None) -> DataFrame:
-    out = None
-    for rule in RULES if rules is None else rules:
-        one = evaluate(t, rule)
-        out = one if out is None else out.unionByName(one)
-    return out
+    all_ = F.when(why.isNotNull() | own.isNull(), n).otherwise(F.map_concat(F.map_filter(n, lambda k, v: ~F.map_contains_key(own, k)), own))
+    return F.struct(F.lit(rule.rule_id).alias("rule_id"), F.when(why.isNotNull(), SKIPPED).otherwise(verdict).alias("verdict"), F.coalesce(why, reason).alias("reason"), all_.alias("metrics"))
+
+
+def evaluate_all(t: Tables, rules: list[Rule] | None = None, params: dict | None = None) -> DataFrame:
+    """(episode_uid, rule_id, verdict, reason, metrics), one row per episode and rule: episodes beside every rule's facts."""
+    rules = RULES if rules is None else rules
+    wide = t.episodes.join(F.broadcast(declared(t.channels)), "embodiment", "left")
+    results = []
+    for rule in rules:
+        p = rule.params | (params or {})
+        name = f"_{rule.rule_id}"
+        if rule.facts is not None:
+            found = rule.facts(t, p)
+            wide = wide.join(found.select(EPISODE, F.struct(*[c for c in found.columns if c != EPISODE]).alias(name)), EPISODE, "left")
+        results.append(_judged(rule, name, p))
+    if len(results) == 1:
+        return wide.select(EPISODE, results[0].alias("r")).select(EPISODE, "r.*")
+    return wide.select(EPISODE, F.inline(F.array(*results)))
+
+
+def evaluate(t: Tables, rule: Rule, **params) -> DataFrame:
+    """(episode_uid, rule_id, verdict, reason, metrics), one row per episode."""
+    return evaluate_all(t, [rule], params)
 
 
 def roll_up(episodes: DataFrame, results: DataFrame) -> DataFrame:

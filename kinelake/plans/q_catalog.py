@@ -134,17 +134,16 @@ it AS (SELECT * FROM s0 UNION ALL
 SELECT p AS o_orderpriority, round(coalesce(pin, w / sum(CASE WHEN pin IS NULL THEN w END) OVER () * (1 - coalesce(sum(pin) OVER (), 0))), 9) AS weight FROM it WHERE round = 6""")
 
 
-def few(spark, sf_dir):
-    return candidates(spark, sf_dir).filter("source_id = 's1' AND embodiment = 'ASIA'")
-
-
-add("q_sequential_pack", lambda s, d: G.plan_sequential(few(s, d), 400), f"""{CAND.replace('WITH c', 'WITH RECURSIVE c', 1)}, o AS (SELECT uid, n_frames, row_number() OVER (ORDER BY uid) AS r FROM e WHERE source_id = 's1' AND embodiment = 'ASIA'),
- f AS (SELECT 0::BIGINT AS r, 0::BIGINT AS used, NULL::VARCHAR AS uid, 0::BIGINT AS n, 0::BIGINT AS k UNION ALL SELECT o.r, CASE WHEN used + n_frames <= 400 THEN used + n_frames ELSE used END, CASE WHEN used + n_frames <= 400 THEN o.uid END, n_frames, CASE WHEN used + n_frames <= 400 THEN k + 1 ELSE k END FROM f JOIN o ON o.r = f.r + 1)
-SELECT CAST(k - 1 AS INT) AS pos, uid AS episode_uid, n AS n_frames FROM f WHERE uid IS NOT NULL""")
-
-
-# over all candidates; recursive SQL takes one row at a time, so that tests fold them instead
-add("q_sequential_pack_all", lambda s, d: G.plan_sequential(candidates(s, d), 400), None)
+# First fit in rounds: of what fits the rest, all up to the first that breaks the running sum; then on from there.
+# f has a row per group and round (rounds have ascending p), o the ordered candidates.
+_ROUNDS = """f AS (SELECT g, 0::BIGINT AS p, q AS rest FROM lim UNION ALL
+   SELECT g, coalesce(min(r) FILTER (cum > rest), 9223372036854775807), rest - coalesce(max(cum) FILTER (cum <= rest), 0) FROM
+     (SELECT f.g, f.p, f.rest, o.r, CAST(sum(o.n_frames) OVER (PARTITION BY f.g, f.p ORDER BY o.r) AS BIGINT) AS cum FROM f JOIN o ON o.g = f.g AND o.r > f.p AND o.n_frames <= f.rest)
+   GROUP BY g, p, rest),
+ got AS (SELECT g, r, uid, n_frames, source_id FROM (SELECT f.g, f.rest, o.r, o.uid, o.n_frames, o.source_id, sum(o.n_frames) OVER (PARTITION BY f.g, f.p ORDER BY o.r) AS cum FROM f JOIN o ON o.g = f.g AND o.r > f.p AND o.n_frames <= f.rest) WHERE cum <= rest)"""
+_PACK = f"""{CAND.replace('WITH c', 'WITH RECURSIVE c', 1)}, lim AS (SELECT '' AS g, 400::BIGINT AS q),
+ o AS (SELECT '' AS g, row_number() OVER (ORDER BY uid) AS r, uid, n_frames, source_id FROM e), {_ROUNDS}"""
+add("q_sequential_pack", lambda s, d: G.plan_sequential(candidates(s, d), 400), f"{_PACK} SELECT CAST(row_number() OVER (ORDER BY r) - 1 AS INT) AS pos, uid AS episode_uid, n_frames FROM got")
 
 
 def filled(c):
@@ -152,23 +151,24 @@ def filled(c):
     return G.first_fill(G.group_order(c, F.sha2(F.concat(F.lit("7:"), "episode_uid"), 256)), quota)
 
 
-add("q_first_fill_all", lambda s, d: filled(candidates(s, d)), None)
-add("q_first_fill", lambda s, d: filled(candidates(s, d).filter("source_id = 's1'")), f"""{CAND.replace('WITH c', 'WITH RECURSIVE c', 1)}, e1 AS (SELECT * FROM e WHERE source_id = 's1'),
- q AS (SELECT embodiment, CAST(trunc(sqrt(sum(n_frames)) / sum(sqrt(sum(n_frames))) OVER () * 1500) AS BIGINT) AS quota FROM e1 GROUP BY embodiment),
- b AS (SELECT *, CASE WHEN qc_verdict = 'PASS' THEN 0 ELSE 1 END AS tier, coalesce(task, '') AS tk FROM e1),
+add("q_first_fill", lambda s, d: filled(candidates(s, d)), f"""{CAND.replace('WITH c', 'WITH RECURSIVE c', 1)},
+ lim AS (SELECT embodiment AS g, CAST(trunc(weight * 1500) AS BIGINT) AS q FROM ws),
+ b AS (SELECT *, CASE WHEN qc_verdict = 'PASS' THEN 0 ELSE 1 END AS tier, coalesce(task, '') AS tk FROM e),
  t AS (SELECT *, row_number() OVER (PARTITION BY embodiment, tier, source_id, tk ORDER BY sha256('7:' || uid), uid) AS rd FROM b),
- o AS (SELECT embodiment, uid, n_frames, row_number() OVER (PARTITION BY embodiment ORDER BY tier, rd, source_id, tk) AS r FROM t),
- f AS (SELECT embodiment, quota, 0::BIGINT AS r, 0::BIGINT AS used, NULL::VARCHAR AS uid, 0::BIGINT AS k FROM q UNION ALL
-   SELECT f.embodiment, quota, o.r, CASE WHEN used + n_frames <= quota THEN used + n_frames ELSE used END, CASE WHEN used + n_frames <= quota THEN o.uid END, CASE WHEN used + n_frames <= quota THEN k + 1 ELSE k END FROM f JOIN o ON o.embodiment = f.embodiment AND o.r = f.r + 1)
-SELECT embodiment, CAST(k - 1 AS INT) AS pos, uid AS episode_uid FROM f WHERE uid IS NOT NULL""")
+ o AS (SELECT embodiment AS g, uid, n_frames, source_id, row_number() OVER (PARTITION BY embodiment ORDER BY tier, rd, source_id, tk) AS r FROM t), {_ROUNDS}
+SELECT g AS embodiment, CAST(row_number() OVER (PARTITION BY g ORDER BY r) - 1 AS INT) AS pos, uid AS episode_uid FROM got""")
 add("q_group_order", lambda s, d: G.group_order(candidates(s, d), F.lit("")).select("embodiment", "episode_uid", "turn"), f"""{CAND}, t AS (SELECT *, CASE WHEN qc_verdict = 'PASS' THEN 0 ELSE 1 END AS tier, coalesce(task, '') AS tk, row_number() OVER (PARTITION BY embodiment, CASE WHEN qc_verdict = 'PASS' THEN 0 ELSE 1 END, source_id, coalesce(task, '') ORDER BY uid) AS rd FROM e)
 SELECT embodiment, uid AS episode_uid, CAST(row_number() OVER (PARTITION BY embodiment ORDER BY tier, rd, source_id, tk) AS INT) AS turn FROM t""")
 add("q_balanced_plan", lambda s, d: G.plan_balanced(candidates(s, d), 2000, seed=7)[0], None)
 add("q_balanced_groups", lambda s, d: G.plan_balanced(candidates(s, d), 2000, seed=7)[1].select("embodiment", "n_eligible", "frames_eligible", F.round("weight", 9).alias("weight")), f"{CAND}, n AS (SELECT embodiment, count(*) AS n_eligible FROM e GROUP BY embodiment) SELECT embodiment, n_eligible, frames AS frames_eligible, round(weight, 9) AS weight FROM ws JOIN n USING (embodiment)")
 
 
-def exported(spark, sf_dir, c):
-    plan = G.plan_sequential(c, 400)
+# quotas and selections depend on every decision before them; tests take one episode at a time instead
+add("q_balanced_allocation", lambda s, d: G.plan_balanced(candidates(s, d), 2000, seed=7)[1].select("embodiment", "quota", "n_selected", "frames_selected"), None)
+
+
+def exported(spark, sf_dir):
+    plan = G.plan_sequential(candidates(spark, sf_dir), 400)
     licences = spark.createDataFrame([("s0", "mit"), ("s1", "cc-by")], "source_id string, licence string")
     e = V.catalog(spark, sf_dir).select("episode_uid", "source_id", "embodiment", "n_frames", "qc_verdict")
     hits = P.rules_hit(V.results(spark, sf_dir))
@@ -176,5 +176,4 @@ def exported(spark, sf_dir, c):
     return lines.select("pos", F.get_json_object("line", "$.episode_uid").alias("episode_uid"), F.get_json_object("line", "$.licence").alias("licence"), F.get_json_object("line", "$.frame_end").cast("long").alias("frame_end"))
 
 
-add("q_export_manifest_all", lambda s, d: exported(s, d, candidates(s, d)), None)
-add("q_export_manifest", lambda s, d: exported(s, d, few(s, d)), f"SELECT pos, episode_uid, 'cc-by' AS licence, n_frames AS frame_end FROM ({QUERIES['q_sequential_pack'][1]})")
+add("q_export_manifest", exported, f"{_PACK} SELECT CAST(row_number() OVER (ORDER BY r) - 1 AS INT) AS pos, uid AS episode_uid, CASE source_id WHEN 's0' THEN 'mit' WHEN 's1' THEN 'cc-by' END AS licence, CAST(n_frames AS BIGINT) AS frame_end FROM got")

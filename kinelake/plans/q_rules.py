@@ -146,25 +146,31 @@ add("q_gate_reasons", gate_reasons, f"{E} SELECT rule_id, reason, count(*) AS n
 
 
 def rollup(spark, sf_dir):
-    t = V.event_tables(spark, sf_dir)
-    ids = ("TS_MONOTONIC", "ACTION_RANGE", "VIDEO_FRAME_MISMATCH", "TERMINATION_CONSISTENCY", "SEGMENT_BOUNDS")
-    return R.roll_up(t.episodes, R.evaluate_all(t, [R.rule_by_id(i) for i in ids]))
-
-
-def rollup_all(spark, sf_dir):
-    """Over all eleven rules; tests fold each rule's verdicts."""
+    """Over all eleven rules."""
     t = V.event_tables(spark, sf_dir)
     return R.roll_up(t.episodes, R.evaluate_all(t))
 
 
-add("q_rollup_all", rollup_all, None)
-
-
-def _verdict_of(name: str) -> str:
-    return f"SELECT episode_uid, verdict FROM ({QUERIES[name][1]})"
-
-
-add("q_rollup", rollup, "WITH r AS (" + " UNION ALL ".join(map(_verdict_of, ("q_ts_monotonic", "q_action_range_downgraded", "q_video_mismatch", "q_termination", "q_segment_bounds"))) + ") SELECT episode_uid, CASE WHEN bool_or(verdict = 'FAIL') THEN 'FAIL' WHEN bool_or(verdict IN ('REVIEW', 'ERROR')) THEN 'REVIEW' ELSE 'PASS' END AS qc_verdict FROM r GROUP BY episode_uid")
+# The verdicts of all rules with their own parameters, over the event stream
+_STILL = """SELECT uid, u, count(*) AS n, avg(CASE WHEN i > 0 AND (u % 13 <> 0 OR sc IS NOT NULL) THEN CAST((u % 13 = 0 OR sv = 0) AND coalesce(sc = 0, true) AS INT) END) AS still, CASE WHEN u % 13 <> 0 THEN sum(sv) / 299.98 END AS travel FROM (
+  SELECT uid, u, i, CASE WHEN i > 0 THEN abs(CASE WHEN u % 2 = 1 THEN value ELSE value - lag(value) OVER w END) END AS sv, abs(cam - lag(cam) OVER w) AS sc
+  FROM (SELECT *, CASE WHEN event_type <> 'error' THEN value END AS cam FROM e) WINDOW w AS (PARTITION BY uid ORDER BY i)) GROUP BY uid, u"""
+_FROZEN = "coalesce(still > 0.95, false) OR coalesce(travel < 0.05, false)"
+_VERDICTS = {
+    "TS_MONOTONIC": QUERIES["q_ts_monotonic"][1], "FPS_DRIFT": QUERIES["q_fps_drift"][1], "ACTION_RANGE": QUERIES["q_action_range_downgraded"][1],
+    "ACTION_JERK": rule_sql(E, ACTION_GATE, "CASE WHEN k = 0 THEN 'SKIPPED' WHEN hits > 0 THEN 'REVIEW' ELSE 'PASS' END", {"k": "k"}, _JERK.replace("ratio > 1.0 AND alone > 2.0", "ratio > 8.0 AND alone > 5.0")),
+    # what an odd user's episode reads is estimated; its state has no limits
+    "STATIC_EPISODE": rule_sql(E, "NULL::VARCHAR", f"CASE WHEN n < 20 THEN 'FAIL' WHEN {_FROZEN} THEN CASE WHEN u % 2 = 1 THEN 'REVIEW' ELSE 'FAIL' END ELSE 'PASS' END", {"still": "still"}, _STILL),
+    "GRIPPER_STUCK": QUERIES["q_gripper_stuck"][1],
+    # spaces of action and state differ, so that nothing is compared
+    "STATE_ACTION_ECHO": f"{E} SELECT uid AS episode_uid, 'SKIPPED' AS verdict FROM ep",
+    "VIDEO_FRAME_MISMATCH": QUERIES["q_video_mismatch"][1], "TERMINATION_CONSISTENCY": QUERIES["q_termination"][1],
+    "POSE_COVERAGE": rule_sql(E, "CASE WHEN u % 6 = 0 THEN 'capability_unmet:has_camera_pose' END", "CASE WHEN part < 0.8 OR gap > 0.5 THEN 'REVIEW' ELSE 'PASS' END", {"part": "part"}, _GAP),
+    "SEGMENT_BOUNDS": QUERIES["q_segment_bounds"][1],
+}
+_RESULTS = " UNION ALL ".join(f"SELECT episode_uid, '{k}' AS rule_id, verdict FROM ({v})" for k, v in _VERDICTS.items())
+add("q_rule_results", lambda s, d: R.evaluate_all(V.event_tables(s, d)).select("episode_uid", "rule_id", "verdict"), _RESULTS)
+add("q_rollup", rollup, f"WITH r AS ({_RESULTS}) SELECT episode_uid, CASE WHEN bool_or(verdict = 'FAIL') THEN 'FAIL' WHEN bool_or(verdict IN ('REVIEW', 'ERROR')) THEN 'REVIEW' ELSE 'PASS' END AS qc_verdict FROM r GROUP BY episode_uid")
 
 _STATS = "count(*) AS count, count(*) FILTER (v IS NULL) AS n_nan, round(avg(v), 6) AS mean, round(stddev_pop(v), 6) AS std, min(v) AS min, max(v) AS max, round(quantile_cont(v, 0.01), 6) AS p1, round(quantile_cont(v, 0.99), 6) AS p99"
 

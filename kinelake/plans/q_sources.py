@@ -40,17 +40,15 @@ n AS (SELECT k, count(*) AS n FROM s JOIN events ON event_id // 100 = k AND even
 SELECT CAST(s.k AS VARCHAR) AS episode_uid, CAST(b - a AS BIGINT) AS expected, coalesce(n, 0) AS n_rows FROM s LEFT JOIN n ON s.k = n.k WHERE b - a <> coalesce(n, 0)""")
 
 
-def interval_join(spark, sf_dir, which="true"):
-    """Events as inertial samples of five devices, sliced by intervals of users: the hour from each event, or from some."""
+def interval_join(spark, sf_dir):
+    """Events as inertial samples of five devices, sliced by intervals of users: the hour from each event."""
     base = V.table(spark, sf_dir, "events").select("event_id", "user_id", F.concat(F.lit("v"), (F.col("user_id") % 5).cast("string")).alias("video_id"), F.floor((V.micros("ts") - F.lit(1704067200000000)) / 1000).alias("ms"), "value")
-    seg = base.filter(which).select(F.col("event_id").cast("string").alias("episode_uid"), "video_id", (F.col("ms") / 1000).alias("start_s"), (F.col("ms") / 1000 + 3600).alias("stop_s"))
+    seg = base.select(F.col("event_id").cast("string").alias("episode_uid"), "video_id", (F.col("ms") / 1000).alias("start_s"), (F.col("ms") / 1000 + 3600).alias("stop_s"))
     return G.slice_samples(base.select("video_id", "ms", "value"), seg).groupBy("episode_uid").agg(F.count(F.lit(1)).alias("n"), F.round(F.max("t"), 3).alias("last_t"), F.max("sample_idx").alias("last_idx"))
 
 
-add("q_interval_join_all", interval_join, """WITH b AS (SELECT event_id, 'v' || (user_id % 5) AS vid, (epoch_us(ts) - 1704067200000000) // 1000 AS ms FROM events)
+add("q_interval_join", interval_join, """WITH b AS (SELECT event_id, 'v' || (user_id % 5) AS vid, (epoch_us(ts) - 1704067200000000) // 1000 AS ms FROM events)
 SELECT CAST(s.event_id AS VARCHAR) AS episode_uid, count(*) AS n, round(max(b.ms / 1000 - s.ms / 1000), 3) AS last_t, CAST(count(*) - 1 AS INT) AS last_idx FROM b JOIN b s ON b.vid = s.vid AND b.ms BETWEEN s.ms / 1000 * 1000 AND (s.ms / 1000 + 3600) * 1000 GROUP BY s.event_id""")
-add("q_interval_join", lambda s, d: interval_join(s, d, "event_id % 97 = 0"), """WITH b AS (SELECT event_id, 'v' || (user_id % 5) AS vid, (epoch_us(ts) - 1704067200000000) // 1000 AS ms FROM events)
-SELECT CAST(s.event_id AS VARCHAR) AS episode_uid, count(*) AS n, round(max(b.ms / 1000 - s.ms / 1000), 3) AS last_t, CAST(count(*) - 1 AS INT) AS last_idx FROM b JOIN b s ON b.vid = s.vid AND s.event_id % 97 = 0 AND b.ms BETWEEN s.ms / 1000 * 1000 AND (s.ms / 1000 + 3600) * 1000 GROUP BY s.event_id""")
 
 
 def sparse_left_join(spark, sf_dir):
@@ -74,14 +72,13 @@ def round_robin(spark, sf_dir):
 add("q_roundrobin", round_robin, "SELECT file_pos, CAST((k - 1) * 3 + p AS BIGINT) AS place FROM (SELECT event_id AS file_pos, list_position(['view', 'click', 'error'], event_type) - 1 AS p, row_number() OVER (PARTITION BY event_type ORDER BY event_id) AS k FROM events WHERE event_type IN ('view', 'click', 'error')) WHERE k <= (SELECT min(c) FROM (SELECT count(*) AS c FROM events WHERE event_type IN ('view', 'click', 'error') GROUP BY event_type))")
 
 
-def frame_ranges(spark, sf_dir, which="true"):
-    e = V.table(spark, sf_dir, "events").filter(which)
+def frame_ranges(spark, sf_dir):
+    e = V.table(spark, sf_dir, "events")
     seg = e.select(F.col("event_id").cast("string").alias("episode_uid"), F.lit("v").alias("video_id"), (F.col("value") / 100).alias("start_s"), (F.col("value") / 100 + F.col("user_id") / 100).alias("stop_s"), G.extraction_fps(F.when(F.col("event_type") == "error", 50).otherwise(F.lit(59.94))).alias("fps"))
     return G.frames_of(seg).groupBy("episode_uid").agg(F.min("frame_no").cast("long").alias("first"), F.max("frame_no").cast("long").alias("last"), F.count(F.lit(1)).alias("n"))
 
 
-add("q_frame_ranges_all", frame_ranges, "SELECT CAST(event_id AS VARCHAR) AS episode_uid, a AS first, greatest(a, b) AS last, greatest(a, b) - a + 1 AS n FROM (SELECT event_id, CAST(trunc(value / 100 * r) AS BIGINT) AS a, CAST(trunc((value / 100 + user_id / 100) * r) AS BIGINT) AS b FROM (SELECT *, CASE WHEN event_type = 'error' THEN 50.0::DOUBLE ELSE 60.0::DOUBLE END AS r FROM events))")
-add("q_frame_ranges", lambda s, d: frame_ranges(s, d, "event_id % 5 = 0"), "SELECT CAST(event_id AS VARCHAR) AS episode_uid, a AS first, greatest(a, b) AS last, greatest(a, b) - a + 1 AS n FROM (SELECT event_id, CAST(trunc(value / 100 * r) AS BIGINT) AS a, CAST(trunc((value / 100 + user_id / 100) * r) AS BIGINT) AS b FROM (SELECT *, CASE WHEN event_type = 'error' THEN 50.0::DOUBLE ELSE 60.0::DOUBLE END AS r FROM events WHERE event_id % 5 = 0))")
+add("q_frame_ranges", frame_ranges, "SELECT CAST(event_id AS VARCHAR) AS episode_uid, a AS first, greatest(a, b) AS last, greatest(a, b) - a + 1 AS n FROM (SELECT event_id, CAST(trunc(value / 100 * r) AS BIGINT) AS a, CAST(trunc((value / 100 + user_id / 100) * r) AS BIGINT) AS b FROM (SELECT *, CASE WHEN event_type = 'error' THEN 50.0::DOUBLE ELSE 60.0::DOUBLE END AS r FROM events))")
 
 
 def timecodes(spark, sf_dir):
@@ -121,14 +118,13 @@ def reshape(spark, sf_dir):
 add("q_reshape", reshape, "SELECT vec_id, CAST(s AS INT) AS step, round(CAST(embedding[s * 8 + 4] AS DOUBLE), 6) AS v3, CAST(8 AS INT) AS width FROM (SELECT vec_id, embedding, unnest(range(8)) AS s FROM embeddings)")
 
 
-def instructions(spark, sf_dir, which="true"):
-    """A conversation's role pattern: the one role of its turns, or of some, if it is one."""
-    c = V.table(spark, sf_dir, "conversations").filter(which)
+def instructions(spark, sf_dir):
+    """A conversation's role pattern: the one role of its turns, if it is one."""
+    c = V.table(spark, sf_dir, "conversations")
     return c.groupBy("conv_id").agg(F.collect_list("role").alias("roles")).select("conv_id", tfrecord.instruction(F.col("roles")).alias("task"))
 
 
-add("q_constant_instruction_all", instructions, "SELECT conv_id, CASE WHEN count(DISTINCT role) = 1 THEN min(role) END AS task FROM conversations GROUP BY conv_id")
-add("q_constant_instruction", lambda s, d: instructions(s, d, "turn % 2 = 0"), "SELECT conv_id, CASE WHEN count(DISTINCT role) = 1 THEN min(role) END AS task FROM conversations WHERE turn % 2 = 0 GROUP BY conv_id")
+add("q_constant_instruction", instructions, "SELECT conv_id, CASE WHEN count(DISTINCT role) = 1 THEN min(role) END AS task FROM conversations GROUP BY conv_id")
 
 
 def missing_encoded(spark, sf_dir):

@@ -28,10 +28,11 @@ def micros(ts: Column | str) -> Column:
 
 
 def event_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
-    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
-    e = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value", "props")
+    # dealt out by the uid itself, so that whatever is by episode later finds its rows in place
+    w = Window.partitionBy("episode_uid").orderBy("ts", "event_id")
+    e = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value", "props").withColumn("episode_uid", F.col("user_id").cast("string"))
     e = e.withColumn("frame_idx", F.row_number().over(w) - 1).withColumn("us", micros("ts"))
-    return e.withColumn("t", (F.col("us") - F.first("us").over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))) / 1e6).withColumn("episode_uid", F.col("user_id").cast("string"))
+    return e.withColumn("t", (F.col("us") - F.first("us").over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))) / 1e6)
 
 
 def event_embodiment(user: Column) -> Column:
@@ -81,9 +82,9 @@ LINE_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extende
 
 
 def line_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
-    w = Window.partitionBy("l_orderkey").orderBy(*LINE_ORDER)
+    w = Window.partitionBy("episode_uid").orderBy(*LINE_ORDER)
     columns = ["l_orderkey", *LINE_ORDER, "l_quantity", "l_discount", "l_tax", "l_returnflag"]
-    return table(spark, sf_dir, "lineitem").select(*columns).withColumn("frame_idx", F.row_number().over(w) - 1).withColumn("episode_uid", F.col("l_orderkey").cast("string"))
+    return table(spark, sf_dir, "lineitem").select(*columns).withColumn("episode_uid", F.col("l_orderkey").cast("string")).withColumn("frame_idx", F.row_number().over(w) - 1)
 
 
 def line_tables(spark: SparkSession, sf_dir: str) -> Tables:
