@@ -3,10 +3,16 @@
 Inputs are gate pre-activations (steps, batch, 3 * hidden) for reset, update and candidate; whoever makes them (a row
 of a table for each byte, a product for each word) gets their gradient back. Where `mask` is 0 a step leaves the state
 as it is, in either direction.
+
+Trained networks are rounded (`rounded`): weights of products to multiples of 2^-8 within 8, states to multiples of
+2^-9. A sum of up to 16 such products is exact in float32, in any order, so that a state does not depend on what else is
+in a batch, and equal texts score alike wherever they are read.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 
 
@@ -25,12 +31,28 @@ def tanh(x: np.ndarray) -> np.ndarray:
     return out
 
 
+#: States are multiples of 1 / STATE, weights of products multiples of 1 / WEIGHT within +-LIMIT.
+STATE, WEIGHT, LIMIT = np.float32(512), np.float32(256), np.float32(8)
+
+
+def rounded(x: np.ndarray) -> np.ndarray:
+    return (np.rint(np.clip(x, -LIMIT, LIMIT) * WEIGHT) / WEIGHT).astype(np.float32)
+
+
+def on_grid(state: np.ndarray) -> np.ndarray:
+    """Rounds states in place."""
+    state *= STATE
+    np.rint(state, out=state)
+    state *= 1 / STATE
+    return state
+
+
 def steps(n: int, back: bool):
     return range(n - 1, -1, -1) if back else range(n)
 
 
-def forward(gates: np.ndarray, u: np.ndarray, back: bool, mask: np.ndarray | None = None, tape: list | None = None) -> np.ndarray:
-    """States after each step. With a tape, what the way back needs is written there."""
+def forward(gates: np.ndarray, u: np.ndarray, back: bool, mask: np.ndarray | None = None, tape: list | None = None, grid: bool = False) -> np.ndarray:
+    """States after each step, rounded if `grid`. With a tape, what the way back needs is written there."""
     n, batch, h3 = gates.shape
     h = h3 // 3
     state = np.zeros((batch, h), np.float32)
@@ -45,6 +67,8 @@ def forward(gates: np.ndarray, u: np.ndarray, back: bool, mask: np.ndarray | Non
         nxt = state - new
         nxt *= z
         nxt += new
+        if grid:
+            on_grid(nxt)
         if mask is not None:
             nxt = np.where(mask[t], nxt, state)
         if tape is not None:
@@ -97,10 +121,49 @@ class ByteNet:
         make = lambda *shape: rng.uniform(-scale, scale, shape).astype(np.float32)
         self.p = {"ef": make(256, 3 * hidden), "eb": make(256, 3 * hidden), "uf": make(hidden, 3 * hidden), "ub": make(hidden, 3 * hidden), "v": make(2 * hidden, outputs), "c": np.zeros(outputs, np.float32)}
 
-    def states(self, bytes_: np.ndarray, tapes: tuple[list, list] | None = None) -> np.ndarray:
+    def states(self, bytes_: np.ndarray, tapes: tuple[list, list] | None = None, grid: bool = False) -> np.ndarray:
         """(steps, batch, 2 * hidden) for bytes (steps, batch)."""
         f, b = tapes or (None, None)
-        return np.concatenate([forward(self.p["ef"][bytes_], self.p["uf"], False, tape=f), forward(self.p["eb"][bytes_], self.p["ub"], True, tape=b)], axis=2)
+        return np.concatenate([forward(self.p["ef"][bytes_], self.p["uf"], False, tape=f, grid=grid), forward(self.p["eb"][bytes_], self.p["ub"], True, tape=b, grid=grid)], axis=2)
+
+    def settle(self) -> None:
+        """Rounds what is multiplied, after training."""
+        for k in ("uf", "ub", "v"):
+            self.p[k] = rounded(self.p[k])
+
+    def ragged_states(self, bytes_: np.ndarray, length: np.ndarray, each: Callable[[int, int, bool, np.ndarray], None]) -> None:
+        """Reads sequences (steps, batch) of these lengths, longest first, in both directions; `each` gets every step,
+        how many sequences reach it, the direction, and their rounded states. No step is taken beyond a sequence."""
+        h, batch = self.p["uf"].shape[0], len(length)
+        live = np.searchsorted(-length, -np.arange(len(bytes_)), "left").tolist()  # sequences longer than the step
+        # sigmoid(x) = 1 / (1 + exp(-x)) and tanh(x) = 2 sigmoid(2 x) - 1; the signs and twos are exact in the weights
+        scale = np.repeat(np.float32([-1, -1, -2]), h)
+        own, x = np.empty((batch, 3 * h), np.float32), np.empty((batch, 3 * h), np.float32)
+        gate, new = np.empty((batch, 2 * h), np.float32), np.empty((batch, h), np.float32)
+        with np.errstate(over="ignore"):
+            for back, e, u in ((False, self.p["ef"] * scale, self.p["uf"] * scale), (True, self.p["eb"] * scale, self.p["ub"] * scale)):
+                state = np.zeros((batch, h), np.float32)
+                for t in steps(len(bytes_), back):
+                    k = live[t]
+                    old, o, i, g, n = state[:k], own[:k], x[:k], gate[:k], new[:k]
+                    np.matmul(old, u, out=o)
+                    np.take(e, bytes_[t, :k], axis=0, out=i, mode="clip")
+                    np.add(i[:, : 2 * h], o[:, : 2 * h], out=g)
+                    np.exp(g, out=g)
+                    g += 1
+                    np.reciprocal(g, out=g)
+                    np.multiply(g[:, :h], o[:, 2 * h :], out=n)
+                    n += i[:, 2 * h :]
+                    np.exp(n, out=n)
+                    n += 1
+                    np.reciprocal(n, out=n)
+                    n *= 2
+                    n -= 1
+                    old -= n
+                    old *= g[:, h:]
+                    old += n
+                    on_grid(old)
+                    each(t, k, back, old)
 
     def grads(self, bytes_: np.ndarray, states: np.ndarray, d_logits: np.ndarray, d_states: np.ndarray, tapes) -> dict[str, np.ndarray]:
         h = self.p["uf"].shape[0]

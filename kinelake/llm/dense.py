@@ -13,6 +13,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from kinelake.llm import textkit as K
 from kinelake.llm.store import n_partitions
 
 SCHEMA = "k int, v binary"
@@ -32,6 +33,7 @@ def total(docs: DataFrame, count: Callable[[pa.RecordBatch, np.ndarray], None],
             if batch.num_rows:
                 count(batch, held)
         yield from _rows((k, held[k]) for k in np.flatnonzero(held.any(axis=1)).tolist())
+        K.tidy()
 
     def one(data: bytes) -> np.ndarray:
         return np.frombuffer(data, "<u4" if len(data) == 4 * shape[1] else "<u8").astype(np.int64)

@@ -8,7 +8,7 @@ and different ones stay different:
 | card | 13 to 19 digits, Luhn; also as whole groups among other numbers | all digits but the last | separators; the last digit is the new Luhn digit |
 | phone | 8 to 15 digits, with + or a usual grouping | all digits but the country code's | separators, country code |
 | ssn | area not 000, 666 or 9xx, group not 00, serial not 0000 | area, group and serial | hyphens |
-| iban | length, mod 97 | digits of the account | letters, country; the check digits are new |
+| iban | length, mod 97; also as whole groups before other words | digits of the account | letters, country; the check digits are new |
 | ip | four octets to 255 | the 32 bits | |
 | date | in the calendar, 1900 to 2099 | the day among all these days | order and separators |
 | email | shape of an address | letters and digits of the local part | case, other characters, domain |
@@ -19,7 +19,8 @@ left += F(right) mod a, right += F(left) mod b, ROUNDS times, with F from sha-25
 Texts over letters and digits use the same network with character-wise addition within each character's class.
 
 Defined results: a null text stays null with counts 0; an empty text stays empty; repeated rows are each replaced
-alike; columns of docs are kept, and the text column's name is free. Without digit or @ a text is not searched at all.
+alike; an empty table gives an empty one; columns of docs are kept, but those called as a count give way to it, and the
+text column's name is free. Without digit or @ a text is not searched at all.
 """
 
 from __future__ import annotations
@@ -29,6 +30,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from kinelake.llm.store import fresh, quoted
+
 ROUNDS = 10
 #: Days from 1900-01-01 to 2099-12-31 are 17 * 4297.
 DAYS = 17, 4297
@@ -36,7 +39,13 @@ DAYS = 17, 4297
 # Patterns of the kinds; every one starts at an edge and repeats in bounds, so that long runs stay linear.
 EMAIL = r"(?<![A-Za-z0-9._+\-])[A-Za-z0-9._+\-]{1,64}+@(?:[A-Za-z0-9\-]{1,63}+\.){1,8}[A-Za-z]{2,24}(?![A-Za-z0-9])"
 SECRET = r"(?<=(?:[Tt]oken|TOKEN|[Kk]ey|KEY|[Ss]ecret|SECRET|[Pp]assword|PASSWORD)[ ]{0,2}[=:][ ]{0,2}[\"']?)[0-9A-Fa-f]{32,}+(?![0-9A-Za-z])"
-IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"
+#: Lengths of account numbers by country; others are looked for in groups of four.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FO GL NL", 19: "MK SI", 20: "AT BA EE KZ LT LU XK", 21: "CH CR HR LI LV", 22: "BG BH DE GB GE IE ME RS VA", 23: "AE GI IL IQ TL",
+    24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "PT", 26: "IS TR", 27: "FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB PL", 29: "BR EG PS QA UA", 30: "JO KW MU", 31: "MT SC", 32: "LC",
+}
+_BY_LENGTH = "|".join(f"(?:{c.replace(' ', '|')})[0-9]{{2}}(?: ?[A-Z0-9]){{{n - 4}}}(?![A-Za-z0-9])" for n, c in IBAN_LENGTHS.items())
+IBAN = rf"(?<![A-Za-z0-9])(?=[A-Z]{{2}}[0-9]{{2}})(?:{_BY_LENGTH}|[A-Z]{{2}}[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{2,7}}(?: ?[A-Z0-9]{{1,3}})?)(?![A-Za-z0-9])"
 OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 IP = rf"(?<![0-9.])(?:{OCTET}\.){{3}}{OCTET}(?![0-9]|\.[0-9])"
 ISO_DATE = r"(?<![0-9\-])[0-9]{4}-[0-9]{2}-[0-9]{2}(?![0-9\-])"
@@ -151,6 +160,10 @@ def mod97(text: Column) -> Column:
     return F.aggregate(F.filter(F.split(text, ""), lambda c: c != ""), F.lit(0), lambda a, c: (a * F.when(c.rlike("[0-9]"), 10).otherwise(100) + value(c)) % 97)
 
 
+def is_account(bare: Column) -> Column:
+    return F.length(bare).between(15, 34) & (mod97(F.concat(F.substring(bare, F.lit(5), F.length(bare)), F.substring(bare, 1, 4))) == 1)
+
+
 def _day(m: Column) -> Column:
     """Days since 1900-01-01 of a date in one of the formats; null if the calendar has no such day."""
     iso = F.when(m.rlike("-"), m).when(m.rlike("/"), F.concat_ws("-", F.substring(m, 7, 4), F.substring(m, 1, 2), F.substring(m, 4, 2))).otherwise(F.concat_ws("-", F.substring(m, 7, 4), F.substring(m, 4, 2), F.substring(m, 1, 2)))
@@ -174,17 +187,40 @@ def classify(m: Column) -> Column:
         .when(m.rlike("^[0-9]{3}-[0-9]{2}-[0-9]{4}$"), F.when(m.rlike("^(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}$"), "ssn"))
         .when(m.startswith("+"), F.when(F.length(digits).between(8, 15), "phone"))
         .when(m.rlike("^(?:[(][0-9]{3}[)] ?|[0-9]{3}[.-])[0-9]{3}[.-][0-9]{4}$"), "phone")
-        .when(m.rlike("^[A-Z]{2}[0-9]{2}"), F.when(F.length(bare).between(15, 34) & (mod97(F.concat(F.substring(bare, F.lit(5), F.length(bare)), F.substring(bare, 1, 4))) == 1), "iban"))
+        .when(m.rlike("^[A-Z]{2}[0-9]{2}"), F.when(is_account(bare), "iban"))
         .when(m.rlike("^[0-9A-Fa-f]{32,}$"), "secret")
         .when(F.length(digits).between(13, 19), F.when(luhn_sum(digits) % 10 == 0, "card"))
     )
 
 
+def part(s: Column, k: Column) -> Column:
+    return F.struct(s.alias("s"), k.cast("string").alias("k"))
+
+
 def parts(m: Column) -> Column:
     """array of struct(s, k): a candidate and its kind; a run of digit groups that is no card as a whole is cut, so that
-    from the left the longest span of whole groups that validates is a card."""
+    from the left the longest span of whole groups that validates is a card. A candidate for an account number that is
+    none is cut behind its longest span of groups that is one, or else behind its first group."""
+
+    def account(words: Column) -> Column:
+        join = lambda i, n: F.array_join(F.slice(words, i, n), " ")
+        sizes = F.sequence(F.size(words) - 1, F.lit(1), F.lit(-1))
+        longest = F.get(F.filter(sizes, lambda n: is_account(F.array_join(F.slice(words, 1, n), ""))), F.lit(0))
+
+        def cut(n: Column) -> Column:
+            at = F.coalesce(n, F.lit(1))
+            head = F.array(part(join(F.lit(1), at), F.when(n.isNotNull(), "iban")), part(F.lit(" "), F.lit(None)))
+            return F.concat(head, numbers(join(at + 1, F.size(words))))
+
+        return _let(longest, cut)
+
+    shaped = m.rlike("^[A-Z]{2}[0-9]{2}.* ")
+    return F.when(shaped & classify(m).isNull(), _let(F.split(m, " "), account)).otherwise(numbers(m))
+
+
+def numbers(m: Column) -> Column:
+    """The parts of a candidate that is no account number."""
     groups = F.regexp_extract_all(m, F.lit("[ -]?[0-9]+"), F.lit(0))
-    part = lambda s, k: F.struct(s.alias("s"), k.cast("string").alias("k"))
 
     def longest(g: Column, i: Column) -> Column:
         """Number of groups of the longest card that starts at group i (from 0); null if there is none."""
@@ -258,24 +294,27 @@ def _spaced(model: Column, text: Column) -> Column:
 
 def pseudonymise(docs: DataFrame, key: str, text: str = "text", out: str | None = None, counts: bool = True) -> DataFrame:
     """docs with pseudonyms in `out` (the text column itself by default) and, if asked for, n_<kind> for every kind."""
-    whole = docs[text]
+    out = out or text
+    numbered = [f"n_{k}" for k in KINDS] if counts else []
+    names = {k: fresh(f"_{k}", docs.columns) for k in ("found", "parts", "kinds", "new")}
+    whole = F.col(quoted(text))
     may = whole.rlike("[0-9@]")
-    found = F.when(may, F.regexp_extract_all(whole, F.lit(PATTERN), F.lit(0)))
-    some = docs.withColumn("_found", found)
-    told = some.withColumn("_parts", F.when(F.size("_found") > 0, F.transform("_found", parts)))
-    told = told.withColumn("_kinds", F.transform(F.flatten("_parts"), lambda p: p["k"]))
-    hit = F.exists("_kinds", lambda k: k.isNotNull())
-    new = F.transform("_parts", lambda ps: F.array_join(F.transform(ps, lambda p: F.when(p["k"].isNull(), p["s"]).otherwise(pseudonym(p["s"], p["k"], key))), ""))
-    pieces = F.split(F.col(text), PATTERN, -1)
+    some = docs.withColumn(names["found"], F.when(may, F.regexp_extract_all(whole, F.lit(PATTERN), F.lit(0))))
+    told = some.withColumn(names["parts"], F.when(F.size(names["found"]) > 0, F.transform(names["found"], parts)))
+    told = told.withColumn(names["kinds"], F.transform(F.flatten(names["parts"]), lambda p: p["k"]))
+    hit = F.exists(names["kinds"], lambda k: k.isNotNull())
+    new = F.transform(names["parts"], lambda ps: F.array_join(F.transform(ps, lambda p: F.when(p["k"].isNull(), p["s"]).otherwise(pseudonym(p["s"], p["k"], key))), ""))
+    pieces = F.split(whole, PATTERN, -1)
     joined = _let(
         F.struct(pieces.alias("p"), new.alias("n")),
         lambda s: F.array_join(F.flatten(F.transform(s["p"], lambda p, i: F.when(i == 0, F.array(p)).otherwise(F.array(s["n"][i - 1], p)))), ""),
     )
-    told = told.withColumn("_new", F.when(hit, joined).otherwise(F.col(text)))
-    kept = [F.col(c) if c != (out or text) else F.col("_new").alias(c) for c in docs.columns]
-    if out and out not in docs.columns:
-        kept.append(F.col("_new").alias(out))
-    number = lambda k: F.coalesce(F.size(F.filter("_kinds", lambda x: x == k)), F.lit(0)).cast("long").alias(f"n_{k}")
+    told = told.withColumn(names["new"], F.when(hit, joined).otherwise(whole))
+    own = [c for c in docs.columns if c.lower() not in {n.lower() for n in numbered}]
+    kept = [F.col(quoted(c)) if c != out else F.col(names["new"]).alias(c) for c in own]
+    if out not in own:
+        kept.append(F.col(names["new"]).alias(out))
+    number = lambda k: F.coalesce(F.size(F.filter(names["kinds"], lambda x: x == k)), F.lit(0)).cast("long").alias(f"n_{k}")
     return told.select(*kept, *[number(k) for k in KINDS if counts])
 
 

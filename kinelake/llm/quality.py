@@ -12,13 +12,13 @@ Fitted in numpy on a bounded sample, about `size` documents of each grade. The t
 distances are fitted as logarithms.
 
 Defined results: null and empty texts have only the measures' features and get a grade as any other text; with no
-labelled document the expected grade and the tail are null and nothing is kept; with one grade that grade is expected.
+labelled document the expected grade and the tail are null and nothing is kept; with one grade that grade is expected;
+equal texts get equal grades; an empty table gives an empty one; columns of docs called expected_grade, p_tail or keep
+give way to the new ones.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -154,34 +154,25 @@ def train(texts: list[str], labels: list[int], epochs: int = EPOCHS, seed: int =
     return Model(grades, weights, cuts().astype(float))
 
 
-def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", size: int = SIZE) -> Model | None:
+def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", size: int = SIZE, longest: int = sampling.LONGEST) -> Model | None:
     """A model learned from the texts that these labels (doc_id, an integer grade) belong to."""
     rows = labels.select("doc_id", F.col(label).cast("int").alias("grade"))
-    return train(*sampling.texts(docs, rows, "grade", size))
+    return train(*sampling.labelled(docs, rows, "grade", size, longest))
 
 
 def grade(docs: DataFrame, model: Model | None, text: str = "text", at_least: float | None = None, keep: float = KEEP) -> DataFrame:
     """All columns of docs with expected_grade, p_tail (of grades from at_least on, the top one by default) and keep."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    names = docs.columns
-    at = names.index(text)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def what(texts: pa.Array) -> list[pa.Array]:
         m = shared.value
-        for batch in batches:
-            for part in K.slices(batch, batch.schema.names[at]):
-                if m is None:
-                    more = [pa.nulls(part.num_rows, pa.float64())] * 2
-                else:
-                    s = m.latent(part.column(at))
-                    more = [pa.array(m.expected(s)), pa.array(m.tail(s, m.grades[-1] if at_least is None else at_least))]
-                yield pa.RecordBatch.from_arrays([*part.columns, *more], names=[*part.schema.names, "_expected", "_tail"])
-
-    from pyspark.sql import types as T
-
-    flat = docs.toDF(*[f"_i{k}" for k in range(len(names))])
-    out = flat.mapInArrow(run, T.StructType([*flat.schema, T.StructField("_expected", T.DoubleType()), T.StructField("_tail", T.DoubleType())]))
-    return out.toDF(*names, "expected_grade", "p_tail").withColumn("keep", F.coalesce(F.col("p_tail") >= keep, F.lit(False)))
+        if m is None:
+            return [pa.nulls(len(texts), pa.float64()), pa.nulls(len(texts), pa.float64()), pa.array(np.zeros(len(texts), bool))]
+        s = m.latent(texts)
+        tail = m.tail(s, m.grades[-1] if at_least is None else at_least)
+        return [pa.array(m.expected(s), pa.float64()), pa.array(tail, pa.float64()), pa.array(tail >= keep)]
+
+    return K.told(docs, text, what, {"expected_grade": "double", "p_tail": "double", "keep": "boolean"})
 
 
 def op7_quality_ordinal(spark, sf_dir: str) -> DataFrame:

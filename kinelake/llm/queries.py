@@ -6,10 +6,7 @@ from kinelake.llm import brown_lm, byte_bpe, dac, decontaminate, jaccard_join, l
 
 
 def queries() -> dict:
-    import corpus_pipeline
-
     return {
-        "pipeline": corpus_pipeline.run,
         "op1_pii_feistel": pii.op1_pii_feistel,
         "op2_jaccard_join": jaccard_join.op2_jaccard_join,
         "op3_brown_lm": brown_lm.op3_brown_lm,

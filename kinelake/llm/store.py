@@ -1,13 +1,17 @@
 """Tables between the jobs of one operator, in the folder that all executors share.
 
 A written table cuts lineage: a lost executor costs its running tasks, not what came before. The folder is the
-session's spark.checkpoint.dir; only where that is unset (tests in one JVM) a temporary folder is made and set.
+session's spark.checkpoint.dir; only where that is unset and there is one JVM (tests) a temporary folder is made. What
+an operator writes inside `scratch` goes when it is done, but for its result.
 """
 
 from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,18 +26,49 @@ def shared_dir(spark: SparkSession) -> str:
     return conf.rstrip("/")
 
 
+_scratch: ContextVar[list[str] | None] = ContextVar("_scratch", default=None)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables that `keep` writes here are deleted at the end, unless they are written as `result`."""
+    mark = _scratch.set([])
+    try:
+        yield
+    finally:
+        paths = _scratch.get() or []
+        _scratch.reset(mark)
+        for path in paths:
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def keep(df: DataFrame, name: str) -> DataFrame:
+def keep(df: DataFrame, name: str, result: bool = False) -> DataFrame:
     """The rows of df, written once and reread."""
     spark = df.sparkSession
     path = new_path(spark, name)
+    if not result and _scratch.get() is not None:
+        _scratch.get().append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def fresh(name: str, taken: list[str]) -> str:
+    """A column name like this one that is not taken (Spark's names differ by more than case)."""
+    low = {c.lower() for c in taken}
+    while name.lower() in low:
+        name += "_"
+    return name
+
+
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -3,20 +3,30 @@
 Words are found and hashed on the UTF-8 bytes of a whole Arrow batch with a fixed number of numpy passes, so the cost
 is a few nanoseconds a byte and there is no Python object per word. Work is cut into slices of whole documents, which
 bounds a worker's memory; a document longer than a slice is a slice of its own.
+
+A word's hash is taken eight bytes at a time, each step a bijection of all that came before, so that no pattern of
+bytes cancels out; words over LONG bytes are hashed by blake2b. Two words share 64 bits by chance alone.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import functools
+import hashlib
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from kinelake.llm.store import fresh, quoted
 
-#: Bytes of text that are tokenised at once, and bytes hashed by one run of prefix sums.
+#: Bytes of text that are tokenised at once, and bytes of a word that are hashed eight at a time.
 SLICE_BYTES = 2 << 20
-RUN_BYTES = 1 << 18
+LONG = 64
 _BASE = np.uint64(0x9E3779B97F4A7C55)
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -47,16 +57,9 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    inverse = np.uint64(pow(int(_BASE), -1, 1 << 64))
-    power, back = np.full(n, _BASE, np.uint64), np.full(n, inverse, np.uint64)
-    power[0] = back[0] = 1
-    return np.cumprod(power, dtype=np.uint64), np.cumprod(back, dtype=np.uint64)
-
-
-#: A random 64-bit value for each byte, equal for A-Z and a-z.
-_VALUE = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95))[FOLD]
-_POWER, _BACK = _powers(RUN_BYTES)
+#: The first bytes of a little-endian word of eight, by their number.
+_FIRST = np.array([(1 << 8 * k) - 1 for k in range(8)] + [2**64 - 1], np.uint64)
+_STEP = np.uint64(0xD1342543DE82EF95)
 
 
 @dataclass
@@ -110,22 +113,23 @@ def spans(data: np.ndarray, at: np.ndarray, inside: np.ndarray) -> tuple[np.ndar
 
 
 def hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hashes of byte ranges that ascend and do not overlap; A-Z count as a-z."""
-    n = len(starts)
-    out = np.empty(n, np.uint64)
-    i = 0
-    while i < n:
-        base = starts[i]
-        j = max(i + 1, int(np.searchsorted(ends, base + RUN_BYTES, "right")))
-        run = _VALUE[data[base : ends[j - 1]]]
-        power, back = (_POWER, _BACK) if len(run) <= RUN_BYTES else _powers(len(run))
-        run *= power[: len(run)]
-        total = np.zeros(len(run) + 1, np.uint64)
-        np.cumsum(run, out=total[1:])
-        s, e = starts[i:j] - base, ends[i:j] - base
-        out[i:j] = (total[e] - total[s]) * back[s]
-        i = j
-    return mix(out + (ends - starts).astype(np.uint64) * np.uint64(0x9FB21C651E98DF25))
+    """64-bit hashes of byte ranges; A-Z count as a-z."""
+    size = ends - starts
+    out = mix((size + 1).astype(np.uint64) * _BASE)
+    if not len(size):
+        return out
+    low = np.zeros(len(data) + 8, np.uint8)
+    np.take(FOLD, data, out=low[: len(data)])
+    eights = np.ndarray(len(data) + 1, "<u8", low.data, strides=(1,))
+    live = np.flatnonzero((size > 0) & (size <= LONG))
+    at, rest = starts[live], size[live]
+    while len(live):
+        out[live] = mix(out[live] * _STEP + (eights[at] & _FIRST[np.minimum(rest, 8)]))
+        more = rest > 8
+        live, at, rest = live[more], at[more] + 8, rest[more] - 8
+    for k in np.flatnonzero(size > LONG).tolist():
+        out[k] = int.from_bytes(hashlib.blake2b(low[starts[k] : ends[k]].data, digest_size=8).digest(), "little")
+    return out
 
 
 def words(texts: pa.Array, inside: np.ndarray = NOT_SPACE) -> Words:
@@ -163,6 +167,7 @@ def shingles(w: Words, n: int) -> tuple[np.ndarray, np.ndarray]:
 
 def slices(batch: pa.RecordBatch, column: str = "text", limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The batch in runs of rows with at most `limit` bytes of text, or one row."""
+    _lean()
     n = batch.num_rows
     if not n:
         return
@@ -175,6 +180,86 @@ def slices(batch: pa.RecordBatch, column: str = "text", limit: int = SLICE_BYTES
         i = j
 
 
+class Table:
+    """Numbers of distinct 64-bit hashes by open addressing; a hash of 0 stands for a free place and is not found."""
+
+    def __init__(self, bits: int):
+        self.shift, self.mask = np.uint64(64 - bits), (1 << bits) - 1
+        self.keys, self.rows = np.zeros(1 << bits, np.uint64), np.zeros(1 << bits, np.int32)
+
+    def add(self, hashes: np.ndarray, first: int) -> None:
+        """New hashes, none twice, with numbers from `first` on."""
+        at = (hashes >> self.shift).astype(np.int64)
+        left = np.arange(len(hashes))
+        while len(left):
+            free = self.keys[at[left]] == 0
+            put = left[free]
+            self.keys[at[put]] = hashes[put]
+            won = self.keys[at[put]] == hashes[put]
+            self.rows[at[put[won]]] = put[won] + first
+            left = np.concatenate([left[~free], put[~won]])
+            at[left] = (at[left] + 1) & self.mask
+
+    def find(self, hashes: np.ndarray) -> np.ndarray:
+        """The number of each hash, -1 where it is unknown."""
+        at = (hashes >> self.shift).astype(np.int64)
+        key = self.keys[at]
+        hit = key == hashes
+        out = np.where(hit, self.rows[at], -1).astype(np.int64)
+        left = np.flatnonzero(~hit & (key != 0))
+        while len(left):
+            at[left] = (at[left] + 1) & self.mask
+            here = at[left]
+            key = self.keys[here]
+            hit = key == hashes[left]
+            out[left[hit]] = self.rows[here[hit]]
+            left = left[~hit & (key != 0)]
+        return out
+
+
+@functools.cache
+def _libc():
+    try:
+        return ctypes.CDLL("libc.so.6")
+    except OSError:  # another C library
+        return None
+
+
+@functools.cache
+def _lean() -> None:
+    """Large arrays are mapped, and so go back to the system as soon as they are freed; else workers keep them."""
+    if _libc():
+        _libc().mallopt(-3, 1 << 20)  # M_MMAP_THRESHOLD
+
+
+def tidy() -> None:
+    """Gives memory that is no longer used back to the system; workers are kept between tasks."""
+    pa.default_memory_pool().release_unused()
+    if _libc():
+        _libc().malloc_trim(0)
+
+
+def told(docs: DataFrame, text: str, what: Callable[[pa.Array], list[pa.Array]], fields: dict[str, str], limit: int = SLICE_BYTES) -> DataFrame:
+    """The columns of docs and, for each text, the fields (name: type) that `what` gives for an array of texts.
+
+    The text alone goes to Python, which reads `limit` bytes at once, and the fields alone come back. A column of docs
+    with the name of a field gives way to it."""
+    names = list(fields)
+
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            parts = [pa.StructArray.from_arrays(what(part.column(0)), names=names) for part in slices(pa.RecordBatch.from_arrays([batch], names=["t"]), "t", limit)]
+            yield pa.concat_arrays(parts) if parts else pa.StructArray.from_arrays(what(batch), names=names)
+        tidy()
+
+    run.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
+    udf = F.arrow_udf(run, "struct<" + ", ".join(f"{n}: {t}" for n, t in fields.items()) + ">").asNondeterministic()  # else filters would run it again
+    own = [c for c in docs.columns if c.lower() not in {n.lower() for n in names}]
+    made = fresh("_told", docs.columns)
+    found = docs.withColumn(made, udf(F.col(quoted(text))))
+    return found.select(*[F.col(quoted(c)) for c in own], *[F.col(made)[n].alias(n) for n in names])
+
+
 def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """The indices start, start+1, ... of each range, one range after the other."""
     at = np.cumsum(lengths) - lengths
