@@ -10,17 +10,20 @@ chunks, the bitmap (n / 64 rounded up, u64 words), the directory (u32 per 8 word
 
 Files: one shard per range of document ids, in ascending order, holding blocks of at most `block_tokens` ids (a longer
 document is a block of its own) with each document's id and length. The shards are written as one Parquet table whose
-rows are blocks, so that any store that Spark writes to holds them and a failed task's files never count.
+rows are blocks, so that any store that Spark writes to holds them and a failed task's files never count. Parquet adds
+no compression, so that a block in memory is its codes. `read` takes each document out of its block by one rank per
+level (`Codes.span`), `tokens_at` any token by its place in the whole corpus (`Codes.get`).
 
-Defined results: null and empty texts have only the end id; repeated document ids keep one entry each, ordered by their
-ids; null document ids come first.
+Defined results: null and empty texts have only the end id; repeated document ids keep one entry each, ordered by a
+hash of their texts and then their ids; null document ids come first; an empty table gives no files' rows. An id that
+very many rows share is parted over several shards by that hash.
 """
 
 from __future__ import annotations
 
 import functools
+import hashlib
 import os
-import re
 import zlib
 from collections.abc import Iterator
 from itertools import chain
@@ -35,11 +38,17 @@ from kinelake.llm import textkit as K
 
 BLOCK_TOKENS = 1 << 18
 END_ID = 1
-#: Words, and parts of words, whose ids a worker keeps; the table starts anew when it is full.
+#: Words whose ids a worker keeps; the table starts anew when it is full.
 CACHE_WORDS = 1_500_000
 #: Letters below this code point are taken as Latin ones, whose lower case and normal form are settled.
 LATIN = 0x250
 MAGIC = b"DAC1"
+#: Punctuation that is parted from a letter before it, and small letters.
+TAIL, SMALL = np.zeros(256, bool), np.zeros(256, bool)
+TAIL[list(b".,!?;:%$#&*|()\"-+=/")] = True
+SMALL[97:123] = True
+#: What a null document id counts as in the order of ids.
+NONE = -(2**63)
 
 
 def pack(ids: np.ndarray) -> bytes:
@@ -98,156 +107,168 @@ class Codes:
             at = rank + np.bitwise_count(words[word] & ((np.uint64(1) << bit) - np.uint64(1)))
         return out
 
-    def all(self) -> np.ndarray:
-        """All ids of the block, in order."""
-        out = np.zeros(0, np.uint32)
-        for chunks, words, _ in reversed(self.levels):
-            here = chunks.astype(np.uint32)
-            more = np.unpackbits(words.view(np.uint8), bitorder="little")[: len(chunks)].astype(bool)
-            if len(out):
-                here[more] |= out << np.uint32(8)
-            out = here
+    def span(self, a: int, b: int) -> np.ndarray:
+        """The ids at places a to b - 1: a range of each level, found by one rank; nothing else is read."""
+        if not 0 <= a <= b <= self.n:
+            raise IndexError("no such tokens")
+        out = np.zeros(b - a, np.uint32)
+        who: np.ndarray | None = None  # of the ids that reach this level, all at first
+        for k, (chunks, words, ranks) in enumerate(self.levels):
+            here = chunks[a:b].astype(np.uint32) << np.uint32(8 * k)
+            if who is None:
+                out |= here
+            else:
+                out[who] |= here
+            bits = np.unpackbits(words[a >> 6 : (b + 63) >> 6].view(np.uint8), bitorder="little")[a & 63 : (a & 63) + b - a]
+            more = np.flatnonzero(bits)
+            if not len(more):
+                break
+            who = more if who is None else who[more]
+            a = self._rank(words, ranks, a)
+            b = a + len(more)
         return out
 
+    @staticmethod
+    def _rank(words: np.ndarray, ranks: np.ndarray, at: int) -> int:
+        """The number of ones before a place."""
+        word, bit = at >> 6, at & 63
+        count = int(ranks[word >> 3]) + int(np.bitwise_count(words[word & ~7 : word]).sum())
+        return count + (int(words[word]) & ((1 << bit) - 1)).bit_count() if bit else count
+
 
 class WordEncoder:
     """Ids of texts by a tokenizer that treats what white space parts separately; each word is encoded once.
 
-    Words are put together from parts: the tokenizer's pattern always parts letters from other characters, but for
-    apostrophes, so that "word," and "word." share an entry. Parts of Latin letters in lower case need no more of the
-    tokenizer than its model; many are handed to it at once and told apart by the tokens that end a word. Whatever is
-    not surely one such part goes through the whole tokenizer.
+    Words are found and looked up by hash, many at a time, A-Z as a-z. Punctuation behind a letter at the end of a word
+    is a word of its own, as the tokenizer's pattern parts the two. Where case may count (a special string of the
+    tokenizer, or a capital before a character beyond ASCII, which might combine with the small letter alone) a word
+    is taken as it is. Words of Latin letters need no more of the tokenizer than its model; many are handed to it at
+    once and told apart by the tokens that end a word. All others go through the whole tokenizer.
     """
 
-    TAIL = b".,!?;:%$#&*|()\"-+=/"
-
     def __init__(self, tokenizer: str, limit: int = CACHE_WORDS):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.whole = Tokenizer.from_str(tokenizer)
-        self.whole.encode_special_tokens = True
+        self.literal = Tokenizer.from_str(tokenizer)  # for words that are a special string but for their case
+        self.literal.encode_special_tokens = True
+        self.special = [t.content.encode() for t in self.whole.get_added_tokens_decoder().values()]
         self.model = Tokenizer(self.whole.model)
         self.model.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
         suffix = getattr(self.whole.model, "end_of_word_suffix", None) or "</w>"
-        self.ends = np.zeros(self.whole.get_vocab_size(), bool)
+        self.ends = np.zeros(max(self.whole.get_vocab().values()) + 1, bool)
         for word, i in self.whole.get_vocab().items():
             self.ends[i] = word.endswith(suffix)
         level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.visible = {c: level.pre_tokenize_str(c)[0][0] for c in map(chr, range(0x80, LATIN))}
-        self.limit, self.letters = limit, re.compile(r"[^\W\d_]+|[\W\d_]+")
+        self.limit = limit
         self.clear()
 
     def clear(self) -> None:
-        self.part: dict[bytes, int] = {}
-        self.part_ids, self.part_at = np.zeros(0, np.uint32), np.zeros(1, np.int64)
-        self.row: dict[bytes, int] = {}
-        self.flat, self.at = np.zeros(0, np.uint32), np.zeros(1, np.int64)
-
-    def parts_of(self, word: bytes) -> list[bytes]:
-        if b"'" in word:
-            return [word]
+        self.table, self.known = K.Table(max(8, (2 * self.limit).bit_length())), 0
+        self.flat, self.at = np.zeros(1 << 16, np.uint16 if len(self.ends) <= 1 << 16 else np.uint32), np.zeros(1 << 12, np.int64)
+
+    def plain(self, word: bytes) -> str | None:
+        """A word of Latin letters as the model reads it; None for any other."""
+        if word.isalpha():
+            return word.decode()
         text = word.decode()
-        if max(text) >= chr(LATIN) or "\u0130" in text:  # the one letter there whose lower case is not a letter alone
-            return [word]
-        found = self.letters.findall(text)
-        return [x.encode() for x in found] if all(x.isalpha() or not any(map(str.isalpha, x)) for x in found) else [word]
-
-    def plain(self, part: bytes) -> str | None:
-        """A part of Latin letters as the model reads it; None for any other."""
-        if part.isalpha():
-            return part.lower().decode()
-        text = part.decode()
         if text.isalpha() and max(text) < chr(LATIN):
             low = "".join(map(str.lower, text))
             if max(low) < chr(LATIN):
                 return "".join(self.visible.get(c, c) for c in low)
         return None
 
-    def add_parts(self, parts: list[bytes]) -> None:
-        ids: list[np.ndarray] = []
-        size: list[np.ndarray] = []
-        order: list[bytes] = []
-        rest: list[bytes] = []
-        easy: list[tuple[bytes, str]] = []
-        for p in parts:
-            seen = self.plain(p)
+    def learn(self, hashes: np.ndarray, words: list[bytes], exact: np.ndarray) -> None:
+        """Adds words, A-Z in lower case but for those that are taken exactly."""
+        easy: list[str] = []
+        order: list[int] = []
+        rest: list[int] = []
+        for k, w in enumerate(words):
+            seen = None if exact[k] else self.plain(w)
             if seen is None:
-                rest.append(p)
+                rest.append(k)
             else:
-                easy.append((p, seen))
+                easy.append(seen)
+                order.append(k)
+        ids: list[np.ndarray] = []
+        size: list[np.ndarray] = []
+        place: list[int] = []
         for i in range(0, len(easy), 2048):
             some = easy[i : i + 2048]
-            found = np.array(self.model.encode_batch_fast([" ".join(x[1] for x in some)], add_special_tokens=False)[0].ids, np.uint32)
+            found = np.array(self.model.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, np.uint32)
             stop = np.flatnonzero(self.ends[found]) + 1
             if len(stop) != len(some) or stop[-1] != len(found):
-                rest += [x[0] for x in some]
+                rest += order[i : i + 2048]
                 continue
-            order += [x[0] for x in some]
+            place += order[i : i + 2048]
             ids.append(found)
             size.append(np.diff(stop, prepend=0))
-        for i in range(0, len(rest), 2048):
-            some = rest[i : i + 2048]
-            found = [e.ids for e in self.whole.encode_batch_fast([p.decode() for p in some], add_special_tokens=False)]
-            order += some
-            ids.append(np.fromiter(chain.from_iterable(found), np.uint32))
-            size.append(np.array([len(x) for x in found], np.int64))
-        self.part.update(zip(order, range(len(self.part), len(self.part) + len(order)), strict=True))
-        self.part_ids = np.concatenate([self.part_ids, *ids])
-        self.part_at = np.concatenate([self.part_at, self.part_at[-1] + np.cumsum(np.concatenate([np.zeros(0, np.int64), *size]))])
-
-    def learn(self, words: list[bytes]) -> None:
-        parts: list[bytes] = []
-        count: list[int] = []
-        for w in words:
-            if w.isalpha():
-                parts.append(w)
-                count.append(1)
-                continue
-            core = w.rstrip(self.TAIL)
-            if core.isalpha():
-                parts += (core, w[len(core) :])
-                count.append(2)
-            else:
-                found = self.parts_of(w)
-                parts += found
-                count.append(len(found))
-        new = set(parts).difference(self.part)
-        if new:
-            self.add_parts(list(new))
-        at = np.fromiter(map(self.part.__getitem__, parts), np.int64, len(parts))
-        size = self.part_at[at + 1] - self.part_at[at]
-        ends = np.concatenate([[0], np.cumsum(size)])[np.cumsum(count)]
-        self.row.update(zip(words, range(len(self.row), len(self.row) + len(words)), strict=True))
-        self.flat = np.concatenate([self.flat, self.part_ids[K.ragged(self.part_at[at], size)]])
-        self.at = np.concatenate([self.at, self.at[-1] + ends])
-
-    def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        for tokenizer, group in ((self.whole, [k for k in rest if exact[k]]), (self.literal, [k for k in rest if not exact[k]])):
+            for i in range(0, len(group), 2048):
+                some = group[i : i + 2048]
+                found = [e.ids for e in tokenizer.encode_batch_fast([words[k].decode() for k in some], add_special_tokens=False)]
+                place += some
+                ids.append(np.fromiter(chain.from_iterable(found), np.uint32))
+                size.append(np.array([len(x) for x in found], np.int64))
+        new, total = np.concatenate(ids), int(self.at[self.known])
+        if total + len(new) > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.zeros(max(len(self.flat), len(new)), self.flat.dtype)])
+        if self.known + len(words) >= len(self.at):
+            self.at = np.concatenate([self.at, np.zeros(max(len(self.at), len(words)), np.int64)])
+        self.flat[total : total + len(new)] = new
+        self.at[self.known + 1 : self.known + len(words) + 1] = total + np.cumsum(np.concatenate(size))
+        self.table.add(hashes[np.array(place)], self.known)
+        self.known += len(words)
+
+    def words(self, texts: pa.Array) -> tuple[K.Words, np.ndarray]:
+        """The words of the texts, and which of them are taken exactly."""
+        data, at = K.raw(texts)
+        starts, ends, bounds = K.spans(data, at, K.NOT_SPACE)
+        exact = np.zeros(len(starts), bool)
+        exact[np.searchsorted(starts, np.flatnonzero((data[:-1] >= 65) & (data[:-1] <= 90) & (data[1:] >= 128)), "right") - 1] = True
+        whole = data.tobytes()
+        for s in self.special:
+            i = whole.find(s)
+            while i >= 0:
+                exact[np.searchsorted(starts, i, "right") - 1] = True
+                i = whole.find(s, i + 1)
+        if len(starts):
+            last = np.maximum.accumulate(np.where(TAIL[data], -1, np.arange(len(data), dtype=np.int32)))
+            cut = last[ends - 1].astype(np.int64) + 1
+            part = (cut > starts) & (cut < ends) & SMALL[K.FOLD[data[cut - 1]]] & ~exact
+            count = 1 + part
+            first = np.cumsum(count) - count
+            starts, ends, exact = np.repeat(starts, count), np.repeat(ends, count), np.repeat(exact, count)
+            starts[first[part] + 1] = ends[first[part]] = cut[part]
+            bounds = np.append(first, len(starts))[bounds]
+        hashes = K.hash_spans(data, starts, ends)
+        hashes[exact] = [int.from_bytes(hashlib.blake2b(data[starts[k] : ends[k]].data, digest_size=8).digest(), "little") for k in np.flatnonzero(exact).tolist()]
+        return K.Words(data, starts, ends, hashes, bounds), exact
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, each followed by the end id, and where each text's start."""
-        words: list[bytes] = []
-        count = np.zeros(len(texts), np.int64)
-        for k, t in enumerate(texts):
-            if t:
-                found = t.encode().split()
-                words += found
-                count[k] = len(found)
-        rows = list(map(self.row.get, words))
-        if None in rows:
-            at = [k for k, r in enumerate(rows) if r is None]
-            new = {words[k] for k in at}
-            if len(self.row) + len(new) > self.limit and self.row:
+        w, exact = self.words(texts)
+        row = self.table.find(w.hashes)
+        new = np.flatnonzero(row < 0)
+        if len(new):
+            hashes, first = np.unique(w.hashes[new], return_index=True)
+            if self.known + len(hashes) > self.limit and self.known:
                 self.clear()
-                at, new = range(len(words)), set(words)
-            self.learn(list(new))
-            for k in at:
-                rows[k] = self.row[words[k]]
-        row = np.array(rows, np.int64)
+                new = np.arange(len(row))
+                hashes, first = np.unique(w.hashes, return_index=True)
+                if len(hashes) > self.limit:  # one long text may have more
+                    self.table = K.Table((2 * len(hashes)).bit_length())
+            first = new[first]
+            self.learn(hashes, [w.data[w.starts[k] : w.ends[k]].tobytes() if exact[k] else w.text(k) for k in first.tolist()], exact[first])
+            row[new] = self.table.find(w.hashes[new])
         size = self.at[row + 1] - self.at[row]
         total = np.concatenate([[0], np.cumsum(size)])
-        ends = np.cumsum(count)
-        doc_at = total[np.concatenate([[0], ends])] + np.arange(len(texts) + 1)
+        count = np.diff(w.bounds)
+        doc_at = total[w.bounds] + np.arange(len(w.bounds))
         out = np.full(int(doc_at[-1]), END_ID, np.uint32)
-        shift = np.repeat(np.arange(len(texts)), count)
+        shift = np.repeat(np.arange(len(count)), count)
         out[K.ragged(total[:-1] + shift, size)] = self.flat[K.ragged(self.at[row], size)]
         return out, doc_at
 
@@ -258,17 +279,34 @@ def word_encoder(tokenizer: str) -> WordEncoder:
     return WordEncoder(tokenizer)
 
 
-def _narrow(ids: np.ndarray) -> bytes:
-    """Ids between the encoder and the writer: two bytes each if they fit, with the width in front."""
-    return b"\2" + ids.astype("<u2").tobytes() if not len(ids) or int(ids.max()) < 1 << 16 else b"\4" + ids.astype("<u4").tobytes()
+def _narrow(ids: np.ndarray, at: np.ndarray) -> pa.Array:
+    """Each text's ids between the encoder and the writer: two bytes for every id if all fit, and four otherwise, with
+    the width in the last byte."""
+    width = 2 if int(ids.max(initial=0)) < 1 << 16 else 4
+    size = np.diff(at) * width
+    ends = np.cumsum(size + 1)
+    out = np.full(int(ends[-1]) if len(ends) else 0, width, np.uint8)
+    inside = np.ones(len(out), bool)
+    inside[ends - 1] = False
+    out[inside] = ids.astype(f"<u{width}").view(np.uint8)
+    return pa.Array.from_buffers(pa.binary(), len(size), [None, pa.py_buffer(np.concatenate([[0], ends]).astype(np.int32)), pa.py_buffer(out)])
 
 
 def _wide(data: bytes) -> np.ndarray:
-    return np.frombuffer(data, f"<u{data[0]}", offset=1).astype(np.uint32)
+    return np.frombuffer(data, f"<u{data[-1]}", (len(data) - 1) // data[-1]).astype(np.uint32)
+
+
+def shard_of(cut: np.ndarray, key: np.ndarray, tie: np.ndarray) -> np.ndarray:
+    """The shard of each id: how many cuts are not above it; an id that is m cuts at once is parted evenly by `tie`."""
+    low, high = np.searchsorted(cut, key, "left"), np.searchsorted(cut, key, "right")
+    more = high - low
+    part = (tie.astype(np.float64) / 2.0**64 + 0.5) * more
+    return low + np.where(more > 0, 1 + np.clip(part.astype(np.int64), 0, np.maximum(more - 1, 0)), 0)
 
 
 def encode(docs: DataFrame, tokenizer_path: str, edges: list[int], doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, shard (its range of document ids) and ids with the end id, packed for the way to the writer."""
+    """doc_id, tie (a hash of the text), shard (its range of document ids) and ids with the end id, packed for the way
+    to the writer."""
     with open(tokenizer_path, encoding="utf-8") as f:
         tokenizer = docs.sparkSession.sparkContext.broadcast(f.read())
     cut = np.array(edges, np.int64)
@@ -277,14 +315,15 @@ def encode(docs: DataFrame, tokenizer_path: str, edges: list[int], doc_id: str =
         encoder = word_encoder(tokenizer.value)
         for batch in batches:
             for part in K.slices(batch):
-                ids, at = encoder.encode(part.column("text").to_pylist())
-                key = part.column("doc_id").fill_null(-(2**63)).to_numpy(zero_copy_only=False)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array(np.searchsorted(cut, key, "right"), pa.int32()), pa.array([_narrow(ids[a:b]) for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)], pa.binary())],
-                    names=["doc_id", "shard", "ids"],
-                )
+                ids, at = encoder.encode(part.column("text"))
+                key = part.column("doc_id").fill_null(NONE).to_numpy(zero_copy_only=False)
+                tie = part.column("tie")
+                shard = shard_of(cut, key, tie.to_numpy())
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), tie, pa.array(shard, pa.int32()), _narrow(ids, at)], names=["doc_id", "tie", "shard", "ids"])
+        K.tidy()
 
-    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, "doc_id long, shard int, ids binary")
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), F.xxhash64(text).alias("tie"))
+    return rows.mapInArrow(run, "doc_id long, tie long, shard int, ids binary")
 
 
 BLOCK = T.StructType(
@@ -322,6 +361,7 @@ def _blocks(block_tokens: int):
                 ids.append(x)
                 held += len(x)
         yield from flush()
+        K.tidy()
 
     return run
 
@@ -332,46 +372,78 @@ def _arrow(schema: T.StructType) -> list[pa.DataType]:
 
 
 def edges(docs: DataFrame, n: int, doc_id: str = "doc_id") -> list[int]:
-    """At most n - 1 document ids that part the documents into ranges of like size."""
+    """At most n - 1 document ids that part the documents into ranges of like size; an id is there as often as it would
+    fill ranges by itself."""
     if n < 2:
         return []
     at = ", ".join(f"{k / n:.6f}d" for k in range(1, n))
-    found = docs.agg(F.expr(f"percentile_approx(CAST(`{doc_id}` AS BIGINT), array({at}), {10 * n})")).first()[0]
-    return sorted(set(found or []))
+    found = docs.agg(F.expr(f"percentile_approx(coalesce(CAST(`{doc_id}` AS BIGINT), {NONE}), array({at}), {10 * n})")).first()[0]
+    return sorted(found or [])
 
 
 def write(docs: DataFrame, tokenizer_path: str, path: str, n_shards: int, block_tokens: int = BLOCK_TOKENS, doc_id: str = "doc_id", text: str = "text") -> None:
     """Encodes the documents and writes the shards in ascending order of document ids."""
     cut = edges(docs, n_shards, doc_id)
     encoded = encode(docs, tokenizer_path, cut, doc_id, text)
-    placed = encoded.repartitionById(len(cut) + 1, F.col("shard")).sortWithinPartitions("shard", "doc_id", "ids")
-    placed.mapInArrow(_blocks(block_tokens), BLOCK).write.option("compression", "zstd").parquet(path)
+    placed = encoded.repartitionById(len(cut) + 1, F.col("shard")).sortWithinPartitions("shard", "doc_id", "tie", "ids")
+    placed.mapInArrow(_blocks(block_tokens), BLOCK).write.option("compression", "none").parquet(path)
 
 
-def read(spark, path: str) -> DataFrame:
-    """doc_id, start (ids of all documents before it), n_tokens and ids_crc32, from the files alone.
-
-    The driver holds one count per shard."""
+def _opened(spark, path: str):
+    """The blocks, and for each shard the number of ids in all shards before it; the driver holds one count per shard."""
     blocks = spark.read.schema(BLOCK).parquet(path)
     base, total = {}, 0
     for shard, n in sorted(blocks.groupBy("shard").agg(F.sum("n_tokens")).toLocalIterator()):
         base[shard] = total
         total += n
+    return blocks, base
+
+
+def read(spark, path: str) -> DataFrame:
+    """doc_id, start (ids of all documents before it), n_tokens and ids_crc32, from the files alone."""
+    blocks, base = _opened(spark, path)
     bases = spark.sparkContext.broadcast(base)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for b in batch.to_pylist():
-                ids = Codes(b["codes"]).all().astype("<u4")
-                length = np.array(b["lengths"], np.int64)
+            for k in range(batch.num_rows):
+                b = {c: batch.column(c)[k] for c in ("shard", "before", "doc_ids", "lengths", "codes")}
+                codes = Codes(b["codes"].as_buffer().to_pybytes())
+                length = b["lengths"].values.to_numpy()
                 at = np.concatenate([[0], np.cumsum(length)])
-                crc = [zlib.crc32(ids[x:y].tobytes()) for x, y in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
-                start = at[:-1] + b["before"] + bases.value[b["shard"]]
-                yield pa.RecordBatch.from_arrays([pa.array(b["doc_ids"], pa.int64()), pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(crc, pa.int64())], names=["doc_id", "start", "n_tokens", "ids_crc32"])
+                crc = [zlib.crc32(codes.span(x, y).astype("<u4", copy=False)) for x, y in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
+                start = at[:-1] + b["before"].as_py() + bases.value[b["shard"].as_py()]
+                yield pa.RecordBatch.from_arrays([b["doc_ids"].values, pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(crc, pa.int64())], names=["doc_id", "start", "n_tokens", "ids_crc32"])
+        K.tidy()
 
     return blocks.mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
+def tokens_at(places: DataFrame, path: str, place: str = "place") -> DataFrame:
+    """(place, token): the ids at these places of the whole corpus, null where there is none. Places meet the range that
+    a block holds; each id is then read by one rank per level."""
+    spark = places.sparkSession
+    blocks, base = _opened(spark, path)
+    bases = spark.createDataFrame([(k, v) for k, v in base.items()], "shard int, base long")
+    held = blocks.join(F.broadcast(bases), "shard").select((F.col("base") + F.col("before")).alias("low"), "n_tokens", "codes")
+    # buckets of as many ids as a block has at least, so that a block and a place meet by equality
+    bucket = BLOCK_TOKENS
+    held = held.withColumn("bucket", F.explode(F.sequence(F.floor(F.col("low") / bucket), F.floor((F.col("low") + F.greatest("n_tokens", F.lit(1)) - 1) / bucket))))
+    asked = places.select(F.col(place).cast("long").alias("place")).withColumn("bucket", F.floor(F.col("place") / bucket))
+    near = (held["bucket"] == asked["bucket"]) & (asked["place"] >= held["low"]) & (asked["place"] < held["low"] + held["n_tokens"])
+    met = asked.join(held.select("bucket", "low", "n_tokens"), near, "left").select("place", "low")
+
+    def run(key, left: pa.Table, right: pa.Table) -> pa.Table:
+        at = left.column("place").to_numpy()
+        if not right.num_rows:
+            return pa.table({"place": at, "token": pa.nulls(len(at), pa.int64())})
+        low = right.column("low")[0].as_py()
+        return pa.table({"place": at, "token": Codes(right.column("codes")[0].as_py()).get(at - low).astype(np.int64)})
+
+    codes = blocks.join(F.broadcast(bases), "shard").select((F.col("base") + F.col("before")).alias("low"), "codes")
+    return met.groupBy("low").cogroup(codes.join(met.select("low").distinct(), "low", "left_semi").groupBy("low")).applyInArrow(run, "place long, token long")
+
+
 def op8_dac_tokens(spark, sf_dir: str) -> DataFrame:
     import public_tokenizers as P
 
