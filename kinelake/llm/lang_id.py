@@ -1,33 +1,37 @@
 """Language identification by a bidirectional gated recurrent network over bytes.
 
-The network reads the bytes of each white-space-delimited word (A-Z as a-z; a longer run in segments of SEGMENT bytes)
-in both directions and labels every byte with a distribution over the languages it has learned; a text's probabilities
-are the mean over all bytes of all its words that have a letter. States start anew in each word, so that a word's
-labels depend on the word alone and are computed once however often it occurs; nothing of a text is left out.
+The network reads a text's bytes (A-Z as a-z) in both directions and labels every position with a distribution over the
+languages it has learned; a text's probabilities are the mean over all its positions that hold a byte of a letter.
+A text is read in pieces of PIECE bytes, each with CONTEXT bytes of the text before and behind it, in which states
+warm up and whose labels count in the pieces they belong to; so words are read in their surroundings, every byte is
+labelled once, and texts of any length fill the same batches. States are rounded (see bigru), so that a text's score is
+the same whatever it is read with.
 
-Trained in numpy by backpropagation through time on the words of a bounded sample: about `size` documents of each
-language, at most `words` of their words.
+Trained in numpy by backpropagation through time on a bounded sample: about `size` documents of each language, of which
+`pieces` pieces are drawn, as many of each language.
 
 Defined results: `und` with score 0 for a null text or one without a letter; with no labelled document every text is
-`und`; ties go to the language that sorts first; repeated rows are each predicted.
+`und`; ties go to the language that sorts first; repeated rows are each predicted alike; an empty table gives an empty
+one; columns of docs called lang_pred or score give way to the new ones.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from kinelake.llm import sampling
 from kinelake.llm import textkit as K
-from kinelake.llm.bigru import Adam, ByteNet, Cache, by_length, matrix
+from kinelake.llm.bigru import Adam, ByteNet, by_length, matrix
 from kinelake.llm.brown_lm import remainder
 
-SIZE, WORDS, HIDDEN, EPOCHS, BATCH, RATE, SEGMENT = 400, 60_000, 16, 5, 256, 0.01, 48
+SIZE, PIECES, HIDDEN, EPOCHS, BATCH, RATE = 400, 6_000, 8, 3, 64, 0.01
+#: Bytes of a piece, of its surroundings on either side, and of a piece that is learned from.
+PIECE, CONTEXT, LESSON = 224, 24, 64
+#: Pieces that are read at once.
+GROUP = 2048
 LETTER = np.zeros(256, bool)
 LETTER[[*range(65, 91), *range(97, 123), *range(128, 256)]] = True
 
@@ -37,73 +41,88 @@ def _softmax(x: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=-1, keepdims=True)
 
 
+def pieces(at: np.ndarray, piece: int, context: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of texts that lie one after the other at these places: each piece's text, first byte and length with its
+    surroundings, and the range of it whose labels count."""
+    size = np.diff(at)
+    count = -(-size // piece)
+    doc = np.repeat(np.arange(len(size)), count)
+    core = (np.arange(len(doc)) - np.repeat(np.cumsum(count) - count, count)) * piece
+    stop = np.minimum(core + piece, size[doc])
+    start, end = np.maximum(core - context, 0), np.minimum(stop + context, size[doc])
+    return doc, at[:-1][doc] + start, end - start, core - start, stop - start
+
+
 class Model:
     def __init__(self, langs: list[str], net: ByteNet | None):
-        self.langs, self.net, self.cache = langs, net, None
-
-    def labels(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        """Sums over their bytes of the words' label distributions."""
-        size = ends - starts
-        pieces = -(-size // SEGMENT)
-        owner = np.repeat(np.arange(len(size)), pieces)
-        at = starts[owner] + (np.arange(len(owner)) - np.repeat(np.cumsum(pieces) - pieces, pieces)) * SEGMENT
-        length = np.minimum(SEGMENT, ends[owner] - at)
-        out = np.zeros((len(size), len(self.langs)), np.float32)
-        for group in by_length(length, 512):
-            states = self.net.states(K.FOLD[matrix(data, at[group], int(length[group[0]]))])
-            p = _softmax(states @ self.net.p["v"] + self.net.p["c"]).sum(axis=0)
-            if (pieces[owner[group]] == 1).all():
-                out[owner[group]] = p
-            else:
-                np.add.at(out, owner[group], p)
-        return out
+        self.langs, self.net = langs, net
 
     def predict(self, texts: pa.Array) -> np.ndarray:
-        """Mean label distribution of each text, zeros where no word has a letter."""
-        w = K.words(texts)
-        n = len(w.bounds) - 1
-        if self.net is None or not len(w.starts):
-            return np.zeros((n, len(self.langs)))
-        if self.cache is None:
-            self.cache = Cache(19, len(self.langs))
-        known, first, which = np.unique(w.hashes, return_index=True, return_inverse=True)
-        rows = self.cache.get(known, lambda k: self.labels(w.data, w.starts[first[k]], w.ends[first[k]]))
-        has = _any_letter(w.data, w.starts[first], w.ends[first])
-        weight = np.where(has, w.ends[first] - w.starts[first], 0).astype(float)
-        rows = np.where(has[:, None], rows, 0)
-        doc = np.repeat(np.arange(n), np.diff(w.bounds))
-        total = np.bincount(doc, weight[which], n)
-        sums = np.stack([np.bincount(doc, rows[which, j], n) for j in range(rows.shape[1])], axis=1)
-        return sums / np.maximum(total, 1)[:, None]
-
-
-def _any_letter(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    total = np.zeros(len(data) + 1, np.int32)
-    np.cumsum(LETTER[data], out=total[1:])
-    return total[ends] > total[starts]
-
-
-def train(texts: list[str], labels: list[str], words: int = WORDS, hidden: int = HIDDEN, epochs: int = EPOCHS, seed: int = 11) -> Model:
+        """Mean label distribution of each text, zeros where it has no byte of a letter."""
+        data, at = K.raw(texts)
+        n, kinds = len(at) - 1, len(self.langs)
+        if self.net is None or not len(data):
+            return np.zeros((n, kinds))
+        letter = LETTER[data]
+        low = K.FOLD[data]
+        doc, start, length, first, stop = pieces(at, PIECE, CONTEXT)
+        sums = np.zeros((len(doc), kinds))
+        order = np.argsort(-length, kind="stable")
+        h = self.net.p["uf"].shape[0]
+        vf, vb, c = self.net.p["v"][:h].T.copy(), self.net.p["v"][h:].T.copy(), self.net.p["c"][:, None]
+        for i in range(0, len(order), GROUP):
+            part = order[i : i + GROUP]
+            steps = np.arange(int(length[part[0]]))[:, None]
+            place = np.minimum(start[part].astype(np.int32) + steps.astype(np.int32), len(data) - 1)
+            counts = (letter[place] & (steps >= first[part]) & (steps < stop[part])).astype(np.float32)
+            logits = np.empty((len(steps), kinds, len(part)), np.float32)
+            total = np.zeros((kinds, len(part)))
+
+            def each(t: int, k: int, back: bool, state: np.ndarray) -> None:
+                x = logits[t, :, :k]
+                if not back:
+                    x[:] = vf @ state.T
+                    return
+                x += vb @ state.T
+                x += c
+                x -= x.max(axis=0)
+                np.exp(x, out=x)
+                x *= counts[t, :k] / sum(x)
+                total[:, :k] += x
+
+            self.net.ragged_states(low[place], length[part], each)
+            sums[part] = total.T
+        weight = np.concatenate([[0], np.cumsum(letter)])
+        weight = weight[at[1:]] - weight[at[:-1]]
+        pooled = np.stack([np.bincount(doc, sums[:, j], n) for j in range(kinds)], axis=1)
+        return pooled / np.maximum(weight, 1)[:, None]
+
+
+def train(texts: list[str], labels: list[str], pieces_: int = PIECES, hidden: int = HIDDEN, epochs: int = EPOCHS, seed: int = 11) -> Model:
     langs = sorted(set(labels))
     if not langs:
         return Model([], None)
     rng = np.random.default_rng(seed)
     number = {x: k for k, x in enumerate(langs)}
-    w = K.words(pa.array(texts, pa.string()))
-    label = np.repeat([number[x] for x in labels], np.diff(w.bounds))
-    good = np.flatnonzero(_any_letter(w.data, w.starts, w.ends))
+    data, at = K.raw(pa.array(texts, pa.string()))
+    label = np.array([number[x] for x in labels])
+    doc, start, length, _, _ = pieces(at, LESSON, 0)
+    letters = np.concatenate([[0], np.cumsum(LETTER[data])])
+    good = np.flatnonzero(letters[start + length] > letters[start])
     if not len(good):
         return Model([], None)
+    label = label[doc]
     share = np.bincount(label[good], minlength=len(langs))
     chance = (1 / share[label[good]]) / (1 / share[label[good]]).sum()
-    some = rng.choice(good, min(words, 4 * len(good)), p=chance)
-    starts, label = w.starts[some], label[some]
-    length = np.minimum(w.ends[some] - starts, SEGMENT)
-    data = K.FOLD[w.data]
+    some = rng.choice(good, pieces_, p=chance)
+    starts, label = start[some], label[some]
+    # a third of the lessons are short, as short texts are
+    length = np.where(rng.random(len(some)) < 1 / 3, np.minimum(length[some], rng.integers(4, 25, len(some))), length[some])
+    data = K.FOLD[data]
     net = ByteNet(hidden, len(langs), rng)
     adam = Adam(net.p, RATE)
     for epoch in range(epochs):
-        adam.rate = RATE * 0.6**epoch
+        adam.rate = RATE * 0.5**epoch
         for group in by_length(length, BATCH, rng):
             x = matrix(data, starts[group], int(length[group[0]]))
             tapes: tuple[list, list] = ([], [])
@@ -114,13 +133,14 @@ def train(texts: list[str], labels: list[str], words: int = WORDS, hidden: int =
             grads = net.grads(x, states, d, d @ net.p["v"].T, tapes)
             grads["v"], grads["c"] = np.einsum("tbh,tbl->hl", states, d), d.sum(axis=(0, 1))
             adam.step(grads)
+    net.settle()
     return Model(langs, net)
 
 
-def fit(docs: DataFrame, size: int = SIZE, words: int = WORDS) -> Model:
+def fit(docs: DataFrame, size: int = SIZE, pieces_: int = PIECES, longest: int = sampling.LONGEST) -> Model:
     """A model learned from text and lang of these rows alone."""
-    texts, labels = sampling.texts(docs.select("doc_id", "text"), docs.select("doc_id", "lang"), "lang", size)
-    return train(texts, labels, words)
+    texts, labels = sampling.own(docs, "lang", size, longest)
+    return train(texts, labels, pieces_)
 
 
 def _letters(text: str | None) -> bool:
@@ -130,31 +150,25 @@ def _letters(text: str | None) -> bool:
 def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """All columns of docs with lang_pred and score."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    names = docs.columns
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def what(texts: pa.Array) -> list[pa.Array]:
         m = shared.value
-        at = names.index(text)
-        for batch in batches:
-            for part in K.slices(batch, batch.schema.names[at]):
-                p = m.predict(part.column(at))
-                best = p.argmax(axis=1) if p.shape[1] else np.zeros(len(p), np.int64)
-                score = p.max(axis=1, initial=0.0)
-                plain = score > 0
-                # bytes beyond ASCII may be no letters at all
-                data, where = K.raw(part.column(at))
-                ascii_letters = np.zeros(len(data) + 1, np.int32)
-                np.cumsum(LETTER[data] & (data < 128), out=ascii_letters[1:])
-                unsure = np.flatnonzero(plain & (ascii_letters[where[1:]] == ascii_letters[where[:-1]]))
-                for k in unsure.tolist():
-                    plain[k] = _letters(part.column(at)[k].as_py())
-                langs = np.array([*m.langs, "und"], object)
-                pred = langs[np.where(plain, best, len(m.langs))]
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(pred, pa.string()), pa.array(np.where(plain, np.minimum(score, 1), 0.0))], names=[*part.schema.names, "_lang", "_score"])
-
-    flat = docs.toDF(*[f"_i{k}" for k in range(len(names))])
-    schema = T.StructType([*flat.schema, T.StructField("_lang", T.StringType()), T.StructField("_score", T.DoubleType())])
-    return flat.mapInArrow(run, schema).toDF(*names, "lang_pred", "score")
+        p = m.predict(texts)
+        best = p.argmax(axis=1) if p.shape[1] else np.zeros(len(p), np.int64)
+        score = p.max(axis=1, initial=0.0)
+        plain = score > 0
+        # bytes beyond ASCII may be no letters at all
+        data, where = K.raw(texts)
+        ascii_letters = np.zeros(len(data) + 1, np.int32)
+        np.cumsum(LETTER[data] & (data < 128), out=ascii_letters[1:])
+        unsure = np.flatnonzero(plain & (ascii_letters[where[1:]] == ascii_letters[where[:-1]]))
+        for k in unsure.tolist():
+            plain[k] = _letters(texts[k].as_py())
+        langs = np.array([*m.langs, "und"], object)
+        pred = langs[np.where(plain, best, len(m.langs))]
+        return [pa.array(pred, pa.string()), pa.array(np.where(plain, np.minimum(score, 1), 0.0), pa.float64())]
+
+    return K.told(docs, text, what, {"lang_pred": "string", "score": "double"})
 
 
 def op6_lang_id(spark, sf_dir: str) -> DataFrame:

@@ -9,32 +9,34 @@ toxic window; a text of fewer words is one window.
 Trained in numpy on a bounded sample (about SIZE toxic and CLEAN other documents, whole texts): first the byte network on
 words, weighted by how often they are in either class, so that it reads word shapes that it has not met; then the rest
 on windows by backpropagation through time, where a toxic text teaches by its most toxic window and a clean one by all
-of a few, again in every epoch. Of a large sample a fifth is kept apart: the bias is set so that the threshold
-parts its labels best, a clean text counting CLEAN_WEIGHT times, as there are so many more of them.
+of a few, again in every epoch. The number of epochs is a parameter of the fit: EPOCHS, or as many as it takes to read
+READS texts in all, up to MOST_EPOCHS. A fifth of the sample is kept apart: the bias is set so that the threshold parts
+its labels best, a clean text counting CLEAN_WEIGHT times, as there are so many more of them; where the fifth lacks a
+kind of label the bias stays as trained.
+
+Trained weights and all states are rounded (see bigru), so that equal texts score alike whatever they are read with.
 
 Defined results: null, empty and blank texts have no window and score 0; without a labelled document of either kind
-all score 0; repeated rows are each scored; words over SEGMENT bytes are read by the byte network in segments, of
-which the mean counts.
+all score 0; repeated rows are each scored alike; an empty table gives an empty one; words over SEGMENT bytes are read
+by the byte network in segments, of which the mean counts; columns of docs called score or predicted give way to the
+new ones.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from kinelake.llm import sampling
 from kinelake.llm import textkit as K
-from kinelake.llm.bigru import Adam, ByteNet, Cache, backward, by_length, forward, matrix, sigmoid
+from kinelake.llm.bigru import Adam, ByteNet, Cache, backward, by_length, forward, matrix, on_grid, rounded, sigmoid
 from kinelake.llm.brown_lm import remainder
 
 SIZE, CLEAN, WINDOW, STRIDE, HIDDEN, BYTE_HIDDEN, SEGMENT = 1500, 2250, 24, 12, 8, 12, 32
-BYTE_WORDS, BYTE_EPOCHS, EPOCHS, RATE, THRESHOLD = 80_000, 3, 8, 0.01, 0.7
-CLEAN_WEIGHT, LEAST_APART = 5, 40
+BYTE_WORDS, BYTE_EPOCHS, RATE, THRESHOLD, CLEAN_WEIGHT = 80_000, 3, 0.01, 0.7, 5
+EPOCHS, READS, MOST_EPOCHS = 8, 30_000, 40
 #: Words must be in so many training documents to have a weight of their own.
 LEAST_DOCS = 3
 PUNCTUATION = np.zeros(256, bool)
@@ -58,12 +60,19 @@ def tokens(texts: pa.Array) -> K.Words:
 
 class Model:
     def __init__(self, net: ByteNet, known: np.ndarray, weights: np.ndarray, rng: np.random.Generator):
-        self.net, self.known, self.weights, self.cache = net, known, weights, None
+        self.net, self.known, self.weights, self.cache, self.settled = net, known, weights, None, False
         width = 2 * BYTE_HIDDEN + 2
         make = lambda *shape: (rng.standard_normal(shape) / np.sqrt(shape[0])).astype(np.float32)
         h = HIDDEN
         self.p = {"wf": make(width, 3 * h), "wb": make(width, 3 * h), "uf": make(h, 3 * h), "ub": make(h, 3 * h), "a": make(2 * h, h), "q": make(h), "o": make(2 * h), "b": np.full(1, -1.0, np.float32)}
 
+    def settle(self) -> Model:
+        """Rounds the network after training."""
+        self.net.settle()
+        self.p = {k: v if k == "b" else rounded(v) for k, v in self.p.items()}
+        self.settled = True
+        return self
+
     def vectors(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, hashes: np.ndarray) -> np.ndarray:
         size = ends - starts
         pieces = -(-size // SEGMENT)
@@ -73,36 +82,38 @@ class Model:
         h = BYTE_HIDDEN
         last = np.empty((len(owner), 2 * h + 1), np.float32)
         for group in by_length(length, 512):
-            s = self.net.states(K.FOLD[matrix(data, at[group], int(length[group[0]]))])
+            s = self.net.states(K.FOLD[matrix(data, at[group], int(length[group[0]]))], grid=self.settled)
             last[group, : 2 * h] = np.concatenate([s[-1, :, :h], s[0, :, h:]], axis=1)
         last[:, -1] = last[:, : 2 * h] @ self.net.p["v"][:, 0] + self.net.p["c"][0]
         if len(owner) > len(size):
             last = np.add.reduceat(last, np.cumsum(pieces) - pieces) / pieces[:, None]
         k = np.minimum(np.searchsorted(self.known, hashes), max(len(self.known) - 1, 0))
         weight = np.where(self.known[k] == hashes, self.weights[k], 0.0) if len(self.known) else np.zeros(len(hashes))
-        return np.concatenate([last, weight[:, None]], axis=1).astype(np.float32)
+        out = np.concatenate([last, weight[:, None]], axis=1).astype(np.float32)
+        return on_grid(out) if self.settled else out
 
     def gates(self, w: K.Words) -> tuple[np.ndarray, np.ndarray]:
         """Gates of each distinct word for both directions, and each word's row."""
         if self.cache is None:
             self.cache = Cache(17, 6 * HIDDEN)
         known, first, which = np.unique(w.hashes, return_index=True, return_inverse=True)
-        project = np.concatenate([self.p["wf"], self.p["wb"]], axis=1)
-        return self.cache.get(known, lambda k: self.vectors(w.data, w.starts[first[k]], w.ends[first[k]], known[k]) @ project), which
+        project = np.concatenate([self.p["wf"], self.p["wb"]], axis=1).astype(float)  # sums of 26 are exact in float64
+        return self.cache.get(known, lambda k: self.vectors(w.data, w.starts[first[k]], w.ends[first[k]], known[k]).astype(float) @ project), which
 
     def logits(self, gates_f: np.ndarray, gates_b: np.ndarray, mask: np.ndarray | None, tape: dict | None = None) -> np.ndarray:
         tf, tb = ([], []) if tape is not None else (None, None)
-        s = np.concatenate([forward(gates_f, self.p["uf"], False, mask, tf), forward(gates_b, self.p["ub"], True, mask, tb)], axis=2)
+        grid = self.settled
+        s = np.concatenate([forward(gates_f, self.p["uf"], False, mask, tf, grid), forward(gates_b, self.p["ub"], True, mask, tb, grid)], axis=2)
         inner = np.tanh(s @ self.p["a"])
-        e = inner @ self.p["q"]
+        e = (on_grid(inner) if grid else inner) @ self.p["q"]
         if mask is not None:
             e = np.where(mask[:, :, 0], e, -1e9)
         e = np.exp(e - e.max(axis=0))
-        att = e / e.sum(axis=0)
+        att = e / sum(e)
         value = s @ self.p["o"]
         if tape is not None:
             tape.update(s=s, inner=inner, att=att, value=value, tf=tf, tb=tb, mask=mask)
-        return (att * value).sum(axis=0) + self.p["b"][0]
+        return sum(att * value) + self.p["b"][0]  # step by step, so that the order of the sum is the same for any batch
 
     def learn(self, x: np.ndarray, mask: np.ndarray, y: np.ndarray, adam: Adam) -> None:
         """One step on windows of word vectors (steps, windows, width)."""
@@ -155,12 +166,16 @@ def places(start: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return np.where(mask, start + step, start), mask[:, :, None]
 
 
-def train(texts: list[str], labels: list[int]) -> Model | None:
+def train(texts: list[str], labels: list[int], reads: int = READS) -> Model | None:
     """A model from texts labelled 0 or 1; None unless both are there."""
     y, apart = np.array(labels), np.arange(len(labels)) % 5 == 4
-    if min((apart & (y == 0)).sum(), (apart & (y == 1)).sum()) < LEAST_APART:
-        return train_network(texts, labels)
-    model = train_network([t for t, a in zip(texts, apart, strict=True) if not a], y[~apart])
+    if not (apart & (y == 0)).any() or not (apart & (y == 1)).any():
+        model = train_network(texts, labels, reads)
+        return model and model.settle()
+    model = train_network([t for t, a in zip(texts, apart, strict=True) if not a], y[~apart], reads)
+    if model is None:
+        return None
+    model.settle()
     s = np.concatenate([model.score(pa.array([texts[k] for k in part], pa.string())) for part in np.array_split(np.flatnonzero(apart), 8)])
     model.p["b"] += np.float32(_logit(THRESHOLD) - best_cut(_logit(s), y[apart]))
     return model
@@ -183,7 +198,7 @@ def best_cut(value: np.ndarray, y: np.ndarray) -> float:
     return float((value[k] + value[min(k + 1, len(value) - 1)]) / 2)
 
 
-def train_network(texts: list[str], labels, seed: int = 5) -> Model | None:
+def train_network(texts: list[str], labels, reads: int, seed: int = 5) -> Model | None:
     y = np.array(labels)
     w = tokens(pa.array(texts, pa.string()))
     size = np.diff(w.bounds)
@@ -207,8 +222,11 @@ def train_network(texts: list[str], labels, seed: int = 5) -> Model | None:
     chance = a / a.sum() + b / b.sum()
     some = rng.choice(len(known), min(BYTE_WORDS, 6 * len(known)), p=chance / chance.sum())
     goal = (a / n1 / (a / n1 + b / n0))[some]
-    starts = w.starts[first[some]]
-    length = np.minimum(w.ends[first[some]] - starts, SEGMENT)
+    # of a word of several segments one is drawn
+    size_ = w.ends[first[some]] - w.starts[first[some]]
+    segment = rng.integers(0, -(-size_ // SEGMENT)) * SEGMENT
+    starts = w.starts[first[some]] + segment
+    length = np.minimum(size_ - segment, SEGMENT)
     data, adam, h = K.FOLD[w.data], Adam(net.p, RATE), BYTE_HIDDEN
     for epoch in range(BYTE_EPOCHS):
         adam.rate = RATE * 0.5**epoch
@@ -230,7 +248,7 @@ def train_network(texts: list[str], labels, seed: int = 5) -> Model | None:
     wdoc, start, length = windows(size, w.bounds[:-1])
     of_doc = np.searchsorted(wdoc, np.arange(len(size) + 1))
     adam = Adam(model.p, RATE)
-    rounds = min(40, max(EPOCHS, 30_000 // len(size)))  # a small sample is read more often
+    rounds = min(MOST_EPOCHS, max(EPOCHS, reads // len(size)))
     for epoch in range(rounds):
         adam.rate = RATE * 0.05 ** (epoch / rounds)
         value = np.empty(len(wdoc))
@@ -256,29 +274,23 @@ def train_network(texts: list[str], labels, seed: int = 5) -> Model | None:
     return model
 
 
-def fit(docs: DataFrame, labels: DataFrame, size: int = SIZE, clean: int = CLEAN) -> Model | None:
+def fit(docs: DataFrame, labels: DataFrame, size: int = SIZE, clean: int = CLEAN, longest: int = sampling.LONGEST, reads: int = READS) -> Model | None:
     """A model learned from the texts that these labels (doc_id, toxic) belong to."""
     rows = labels.filter("toxic IN (0, 1)").select("doc_id", F.col("toxic").cast("int").alias("toxic"))
-    texts, y = sampling.texts(docs, rows, "toxic", {0: clean, 1: size})
-    return train(texts, y)
+    texts, y = sampling.labelled(docs, rows, "toxic", {0: clean, 1: size}, longest)
+    return train(texts, y, reads)
 
 
 def assess(docs: DataFrame, model: Model | None, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """All columns of docs with score and predicted."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    names = docs.columns
-    at = names.index(text)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def what(texts: pa.Array) -> list[pa.Array]:
         m = shared.value
-        for batch in batches:
-            for part in K.slices(batch, batch.schema.names[at]):
-                score = m.score(part.column(at)) if m else np.zeros(part.num_rows)
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(score, pa.float64())], names=[*part.schema.names, "_score"])
-
-    flat = docs.toDF(*[f"_i{k}" for k in range(len(names))])
-    scored = flat.mapInArrow(run, T.StructType([*flat.schema, T.StructField("_score", T.DoubleType())])).toDF(*names, "score")
-    return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+        score = m.score(texts) if m else np.zeros(len(texts))
+        return [pa.array(score, pa.float64()), pa.array((score >= threshold).astype(np.int32))]
+
+    return K.told(docs, text, what, {"score": "double", "predicted": "int"})
 
 
 def op10_toxicity(spark, sf_dir: str) -> DataFrame:
