@@ -8,9 +8,12 @@ order. Cuts are taken only behind a pre-token that ends in a character other tha
 one pre-token that looks at the character behind it. Where an overlap has no common boundary (one pre-token longer than
 the overlap), the rest of that text stays one piece: slower, with the same ids.
 
-Decoding concatenates the bytes of the ids; it never fails, also not on ids that part a character.
+Decoding concatenates the bytes of the ids; it never fails, also not on ids that part a character. `encode` can decode
+what it has encoded beside it, so that ids need not go to Python once more.
 
-Defined results: null and empty texts have no ids; repeated rows are each encoded; further columns are kept as they are.
+Defined results: null and empty texts have no ids; repeated rows are each encoded alike; an empty table gives an empty
+one; further columns are kept as they are, but one that is called as an output gives way to it; texts of any length are
+encoded whole.
 """
 
 from __future__ import annotations
@@ -26,6 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kinelake.llm import textkit as K
+from kinelake.llm.store import quoted
 
 CHUNK, OVERLAP = 1 << 16, 1 << 10
 
@@ -69,19 +73,21 @@ def _pretokenise(pattern: str, chunk: int, overlap: int):
             found = [cuts(t, k * chunk, k == n - 1, pattern, chunk, overlap) for t, k, n in zip(*(batch.column(c).to_pylist() for c in ("_text", "_k", "_n")), strict=True)]
             both = [pa.array([x[i] for x in found], pa.list_(pa.int64())) for i in (0, 1)]
             yield pa.RecordBatch.from_arrays([*batch.columns, *both], names=[*batch.schema.names, "_head", "_tail"])
+        K.tidy()
 
     return run
 
 
-def _encode(ranks, pattern: str, column: str, keep: list[str], out: str):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(ranks.value, pattern).encode_ordinary
-        for batch in batches:
-            for part in K.slices(batch, column):
-                ids = [np.array(encode(t), "<u4").tobytes() if t else b"" for t in part.column(column).to_pylist()]
-                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in keep), pa.array(ids, pa.binary())], names=[*keep, out])
+def _encode(ranks, pattern: str, both: bool):
+    """What `told` asks: the ids of texts, and the bytes that they decode to if asked for."""
 
-    return run
+    def what(texts: pa.Array) -> list[pa.Array]:
+        coder = encoder(ranks.value, pattern)
+        ids = [coder.encode_ordinary(t) if t else [] for t in texts.to_pylist()]
+        out = [pa.array([np.array(x, "<u4").tobytes() for x in ids], pa.binary())]
+        return out + [pa.array(list(map(coder.decode_bytes, ids)), pa.binary())] if both else out
+
+    return what
 
 
 def _broadcast(spark, path: str):
@@ -90,17 +96,20 @@ def _broadcast(spark, path: str):
         return spark.sparkContext.broadcast(f.read())
 
 
-def encode(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text", out: str = "ids", columns: list[str] | None = None, chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
-    """The columns asked for (all by default) and `out`: a binary of little-endian unsigned 32-bit ids."""
+def encode(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text", out: str = "ids", columns: list[str] | None = None, chunk: int = CHUNK, overlap: int = OVERLAP, decoded: str | None = None) -> DataFrame:
+    """The columns asked for (all by default), `out`: a binary of little-endian unsigned 32-bit ids, and `decoded`, if it is
+    named: the bytes that these ids decode to."""
     spark = docs.sparkSession
-    columns = docs.columns if columns is None else columns
+    made = [out] if decoded is None else [out, decoded]
+    columns = [c for c in (docs.columns if columns is None else columns) if c.lower() not in {m.lower() for m in made}]
     names = {c: f"_c{i}" for i, c in enumerate(columns)}
-    flat = docs.select(*[docs[c].alias(n) for c, n in names.items()], docs[text].alias("_text"))
+    flat = docs.select(*[F.col(quoted(c)).alias(n) for c, n in names.items()], F.col(quoted(text)).alias("_text"))
     ranks = _broadcast(spark, ranks_path)
     kept = list(names.values())
-    binary = T.StructField("_ids", T.BinaryType())
     whole = flat.filter(F.coalesce(F.length("_text"), F.lit(0)) <= chunk)
-    short = whole.mapInArrow(_encode(ranks, pattern, "_text", kept, "_ids"), T.StructType([flat.schema[c] for c in kept] + [binary]))
+    what, fields = _encode(ranks, pattern, decoded is not None), {"_ids": "binary", "_back": "binary"}
+    fields = fields if decoded is not None else {"_ids": "binary"}
+    short = K.told(whole, "_text", what, fields).select(*kept, *fields)
 
     n = F.ceil(F.length("_text") / chunk).cast("int")
     long = flat.filter(F.length("_text") > chunk).withColumn("_row", F.monotonically_increasing_id()).withColumn("_n", n)
@@ -124,11 +133,11 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text", o
         .groupBy("_row", "_run").agg(F.array_sort(F.collect_list(F.struct("_k", "_part"))).alias("_parts"), F.max("_kept").alias("_kept"))
         .select("_row", "_run", "_kept", F.array_join("_parts._part", "").alias("_text"))
     )
-    done = pieces.mapInArrow(_encode(ranks, pattern, "_text", ["_row", "_run", "_kept"], "_ids"), T.StructType([*pieces.schema[:3], binary]))
-    joined = done.groupBy("_row").agg(F.array_sort(F.collect_list(F.struct("_run", "_ids"))).alias("_all"), F.max("_kept").alias("_kept"))
-    ids = F.aggregate("_all", F.unhex(F.lit("")), lambda a, x: F.concat(a, x["_ids"]))
-    result = short.unionByName(joined.select(*[F.col("_kept")[c].alias(c) for c in kept], ids.alias("_ids")))
-    return result.select(*[F.col(n).alias(c) for c, n in names.items()], F.col("_ids").alias(out))
+    done = K.told(pieces, "_text", what, fields).drop("_text")
+    joined = done.groupBy("_row").agg(F.array_sort(F.collect_list(F.struct("_run", *fields))).alias("_all"), F.max("_kept").alias("_kept"))
+    put = lambda f: F.aggregate("_all", F.unhex(F.lit("")), lambda a, x: F.concat(a, x[f])).alias(f)
+    result = short.unionByName(joined.select(*[F.col("_kept")[c].alias(c) for c in kept], *map(put, fields)))
+    return result.select(*[F.col(n).alias(c) for c, n in names.items()], *[F.col(f).alias(m) for f, m in zip(fields, made, strict=True)])
 
 
 def _parts(spark) -> int:
@@ -138,19 +147,12 @@ def _parts(spark) -> int:
 def decode(encoded: DataFrame, ranks_path: str, pattern: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
     """All columns and `out`: the bytes of the ids, one after the other."""
     ranks = _broadcast(encoded.sparkSession, ranks_path)
-    names = encoded.columns
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def what(column: pa.Array) -> list[pa.Array]:
         table = encoder(ranks.value, pattern).decode_bytes
-        at = names.index(ids)
-        for batch in batches:
-            for part in K.slices(batch, batch.schema.names[at]):
-                data = [table(np.frombuffer(x, "<u4").tolist()) if x else b"" for x in part.column(at).to_pylist()]
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(data, pa.binary())], names=[*part.schema.names, "_decoded"])
+        return [pa.array([table(np.frombuffer(x, "<u4").tolist()) if x else b"" for x in column.to_pylist()], pa.binary())]
 
-    flat = encoded.toDF(*[f"_d{i}" for i in range(len(names))])
-    back = flat.mapInArrow(run, T.StructType([*flat.schema, T.StructField("_decoded", T.BinaryType())]))
-    return back.toDF(*names, out)
+    return K.told(encoded, ids, what, {out: "binary"})
 
 
 def digest(decoded: DataFrame) -> DataFrame:
@@ -172,4 +174,4 @@ def op4_byte_bpe(spark, sf_dir: str) -> DataFrame:
     from kinelake.llm.store import table
 
     ranks, pattern = production()
-    return digest(decode(encode(table(spark, sf_dir, "documents"), ranks, pattern, columns=["doc_id"]), ranks, pattern))
+    return digest(encode(table(spark, sf_dir, "documents"), ranks, pattern, columns=["doc_id"], decoded="decoded"))

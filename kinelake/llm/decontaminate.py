@@ -1,15 +1,19 @@
 """Benchmark decontamination with an FM-index for each shard of training text.
 
-Phrases are the windows of `window` consecutive words of a benchmark item (a shorter item is one window). Each Arrow
-batch of documents is a shard. Words that no phrase has become separators, and runs between separators that are
+Phrases are the windows of `window` consecutive words of a benchmark item (a shorter item is one window). Documents of
+SHARD bytes together, or one longer document, are a shard. Words that no phrase has become separators, and runs between separators that are
 shorter than the shortest phrase are left out of the index, since no phrase fits there; both steps are exact. All
 phrases are searched backwards at once, located by sampled suffix positions, and their spans merged per document.
 
 The benchmark is the query set: it is read in blocks of at most `block_windows` windows, each block a broadcast of
-bounded size, and every block is searched in all shards, one pass after the other in the same stage.
+bounded size that is searched in all shards. Where there are several, what was found is written after each, and the
+block's broadcast is given up before the next one is made. Texts go to Python to be searched and do not come back; those
+with a hit go there once more to be cut.
 
 Defined results: null and empty texts have no words and are never hit; repeated documents are each reported; an empty
-benchmark hits nothing; items without words are ignored; a null item_id counts as the text "null".
+table gives an empty one, an empty benchmark hits nothing; items without words are ignored; a null item_id counts as
+the text "null"; columns of docs called as an output give way to it; texts of any length are searched whole, one longer
+than a slice in a shard of its own.
 """
 
 from __future__ import annotations
@@ -24,10 +28,13 @@ from pyspark.sql import types as T
 
 from kinelake.llm import textkit as K
 from kinelake.llm.fm_index import FMIndex
+from kinelake.llm.store import keep
 
 WINDOW = 10
 BLOCK_WINDOWS = 200_000
-STATE = "_n_words", "_spans", "_bytes", "_items"
+SHARD = 4 << 20
+OUT = "n_words", "hit_spans", "hit_bytes", "hit_items"
+FIELDS = {"_n_words": "bigint", "_spans": "array<bigint>", "_bytes": "array<bigint>", "_items": "array<string>"}
 
 
 class Phrases:
@@ -150,26 +157,13 @@ def _without(text: str, cuts: list[int]) -> str:
     return b"".join([*pieces, raw[at:]]).decode()
 
 
-def _pass(block, column: str, keep: list[str], clean: bool):
-    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        phrases = block.value
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            parts = [s.column(0) for s in K.slices(batch.select([column]), column)]
-            n_words, spans, cuts, items = _shard(parts, phrases)
-            old = [batch.column(c).to_pylist() for c in STATE[1:]]
-            spans = [_merge(x or [], y) for x, y in zip(old[0], spans, strict=True)]
-            cuts = [_merge(x or [], y) for x, y in zip(old[1], cuts, strict=True)]
-            items = [sorted({*(x or []), *y}) for x, y in zip(old[2], items, strict=True)]
-            kept = [batch.column(c) for c in keep]
-            if clean and any(cuts):
-                texts = [_without(t, c) if c else t for t, c in zip(batch.column(column).to_pylist(), cuts, strict=True)]
-                kept = [pa.array(texts, v.type) if c == column else v for c, v in zip(keep, kept, strict=True)]
-            state = [pa.array(n_words, pa.int64()), pa.array(spans, pa.list_(pa.int64())), pa.array(cuts, pa.list_(pa.int64())), pa.array(items, pa.list_(pa.string()))]
-            yield pa.RecordBatch.from_arrays(kept + state, names=[*keep, *STATE])
+@F.arrow_udf(T.StringType())
+def _cut(texts: pa.Array, cuts: pa.Array) -> pa.Array:
+    """Texts without ranges of their bytes; null where there is no range."""
+    return pa.array([_without(t, c) if c else None for t, c in zip(texts.to_pylist(), cuts.to_pylist(), strict=True)], pa.string())
 
-    return search
+
+_MERGE = F.udf(lambda a, b: _merge(a or [], b or []), T.ArrayType(T.LongType()))
 
 
 def blocks(benchmark: DataFrame, window: int, block_windows: int) -> Iterator[Phrases]:
@@ -193,17 +187,34 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text", win
     """The columns asked for (all by default), the text without hit words if `clean`, with `n_words`, `hit_spans` (merged [start, end) in words, flat),
     `hit_bytes` (the same in bytes of the text's UTF-8), and `hit_items` (sorted as strings)."""
     spark = docs.sparkSession
-    columns = docs.columns if columns is None else columns
+    columns = [c for c in (docs.columns if columns is None else columns) if c.lower() not in OUT]
     outer = {c: f"_c{k}" for k, c in enumerate(dict.fromkeys([*columns, text]))}
-    empty = [F.lit(0).cast("long"), F.array().cast("array<long>"), F.array().cast("array<long>"), F.array().cast("array<string>")]
-    out = docs.select(*[docs[c].alias(n) for c, n in outer.items()], *[e.alias(s) for e, s in zip(empty, STATE, strict=True)])
-    todo = list(map(spark.sparkContext.broadcast, blocks(benchmark, window, block_windows))) or [spark.sparkContext.broadcast(Phrases([], window))]
-    for k, block in enumerate(todo):
-        keep = [outer[c] for c in (columns if k == len(todo) - 1 else outer)]
-        schema = T.StructType([out.schema[c] for c in [*keep, *STATE]])
-        out = out.mapInArrow(_pass(block, outer[text], keep, clean and k == len(todo) - 1), schema)
-    names = "n_words", "hit_spans", "hit_bytes", "hit_items"
-    return out.select(*[F.col(outer[c]).alias(c) for c in columns], *[F.col(s).alias(n) for s, n in zip(STATE, names, strict=True)])
+    out = docs.select(*[docs[c].alias(n) for c, n in outer.items()])
+    todo = blocks(benchmark, window, block_windows)
+    now, first = next(todo, None) or Phrases([], window), True
+    while now is not None:
+        after = next(todo, None)
+        block = spark.sparkContext.broadcast(now)
+        found = K.told(out, outer[text], _search(block), FIELDS, SHARD)
+        if not first:  # beside what the blocks before have found
+            found = found.withColumns({"_spans": _MERGE("_s", "_spans"), "_bytes": _MERGE("_b", "_bytes"), "_items": F.array_sort(F.array_union("_i", "_items"))}).drop("_s", "_b", "_i")
+        if after is not None:
+            out = keep(found.drop("_n_words"), "hits").withColumnsRenamed({"_spans": "_s", "_bytes": "_b", "_items": "_i"})
+            block.destroy()
+        now, first = after, False
+    if clean and text in columns:
+        hit = F.size("_bytes") > 0
+        found = found.withColumn(outer[text], F.when(hit, _cut(F.when(hit, F.col(outer[text])), F.when(hit, F.col("_bytes")))).otherwise(F.col(outer[text])))
+    return found.select(*[F.col(outer[c]).alias(c) for c in columns], *[F.col(s).alias(n) for s, n in zip(FIELDS, OUT, strict=True)])
+
+
+def _search(block):
+    def search(texts: pa.Array) -> list[pa.Array]:
+        n_words, spans, cuts, items = _shard([texts], block.value)
+        lists = pa.list_(pa.int64())
+        return [pa.array(n_words, pa.int64()), pa.array(spans, lists), pa.array(cuts, lists), pa.array([sorted(x) for x in items], pa.list_(pa.string()))]
+
+    return search
 
 
 def digest(found: DataFrame) -> DataFrame:

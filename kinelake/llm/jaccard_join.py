@@ -15,12 +15,15 @@ its first n-grams really are, the fewer pairs meet.
 Equal sets are one class from the start and only the class's smallest document is joined. Within an n-gram with many
 classes, all pairs are never emitted: each class meets the n-gram's first class and its neighbour in order of size;
 components of the links found that way leave, for each n-gram, the classes that are still apart, and only those are
-compared across, in blocks whose verification happens inside the task (links come out, not pairs). So the components
-are exact, whatever the size of a group, while work within a group of true copies is linear.
+compared across, in blocks of like size whose verification happens inside the task (links come out, not pairs). So the
+components are exact, whatever the size of a group, while work within a group of true copies is linear. What comes out
+are components of all links, not the links themselves: within a component not every pair is looked at.
 
 Defined results: documents without words (null, empty, white space) link with nothing and are their own component;
 documents with fewer words than n have their whole sequence as the one n-gram; repeated doc_ids are one document with
-several texts, each row is returned; a null doc_id links with nothing and has no component.
+several texts, each row is returned; a null doc_id links with nothing and has no component; an empty table gives an
+empty one; only the id and the text of docs are read, so that other columns do not matter; texts of any length are
+read whole, and blocks are bounded by the sizes of their sets too.
 """
 
 from __future__ import annotations
@@ -35,7 +38,7 @@ from pyspark.sql import functions as F
 
 from kinelake.llm import textkit as K
 from kinelake.llm.components import components
-from kinelake.llm.store import keep, n_partitions
+from kinelake.llm.store import keep, n_partitions, scratch
 
 #: Bins of the rarity table (one byte each once broadcast) and counts that a row of its partial sums holds.
 BINS, ROW = 1 << 20, 1 << 14
@@ -43,8 +46,8 @@ BINS, ROW = 1 << 20, 1 << 14
 GROUP = 48
 #: Classes from which an n-gram is handled where its rows are, without dealing them out, and how many such at most.
 HOT, HOT_KINDS = 8192, 1 << 15
-#: Classes to a block when those still apart are compared.
-BLOCK = 256
+#: Classes to a block when those still apart are compared, and n-grams of all its sets, in the mean.
+BLOCK, BLOCK_GRAMS = 256, 1 << 20
 #: Bits of the filter that tells which documents' sets are needed.
 FILTER_BITS = 1 << 23
 
@@ -81,6 +84,7 @@ def rarity(docs: DataFrame, n: int):
             for part in K.slices(batch):
                 total += np.bincount((K.shingles(K.words(part.column(0)), n)[0] >> np.uint64(44)).astype(np.int64), minlength=BINS)
         yield from rows(dict(enumerate(total.reshape(-1, ROW))) if total.any() else {})
+        K.tidy()
 
     def rows(found: dict[int, np.ndarray]) -> Iterator[pa.RecordBatch]:
         for k, v in found.items():
@@ -113,6 +117,7 @@ def _prefixes(n: int, percent: int, classes):
                 flat = np.concatenate([np.zeros(0, np.int64), *prefix])
                 at = np.concatenate([[0], np.cumsum([len(p) for p in prefix])]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(size, pa.int64()), pa.array(digest, pa.binary()), pa.ListArray.from_arrays(at, flat), pa.array(parts, pa.binary())], names=["doc_id", "n", "digest", "prefix", "parts"])
+        K.tidy()
 
     return run
 
@@ -178,6 +183,7 @@ def _pairs(percent: int, group: int):
             i, j = np.triu_indices(held.shape[1], 1)
             ok = _fits(held[2][i], held[3][i], held[2][j], held[3][j], percent) & (held[1][i] != held[1][j])
             yield out(0, held[1][i][ok], held[1][j][ok])
+        K.tidy()
 
     return run
 
@@ -197,12 +203,21 @@ def alike(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
     return int((both[1:] == both[:-1]).sum()) >= least
 
 
+def _views(column: pa.Array) -> list[np.ndarray]:
+    """Binary values as arrays of n-grams, in place."""
+    n = len(column)
+    at = np.frombuffer(column.buffers()[1], np.int32, n + 1, column.offset * 4).tolist()
+    data = column.buffers()[2]
+    return [np.frombuffer(data, "<u8", (y - x) // 8, x) if y > x else np.zeros(0, "<u8") for x, y in zip(at[:-1], at[1:], strict=True)]
+
+
 def _verify(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            a, b, x, y = (batch.column(k).to_pylist() for k in range(4))
-            ok = np.array([alike(np.frombuffer(p, "<u8"), np.frombuffer(q, "<u8"), percent) for p, q in zip(x, y, strict=True)], bool)
-            yield pa.RecordBatch.from_arrays([pa.array(np.array(a, np.int64)[ok]), pa.array(np.array(b, np.int64)[ok])], names=["a", "b"])
+            if batch.num_rows:
+                ok = pa.array([alike(p, q, percent) for p, q in zip(_views(batch.column(2)), _views(batch.column(3)), strict=True)], pa.bool_())
+                yield pa.RecordBatch.from_arrays([batch.column(k).filter(ok) for k in (0, 1)], names=["a", "b"])
+        K.tidy()
 
     return run
 
@@ -222,6 +237,7 @@ def _sets_of(docs: DataFrame, ids: DataFrame, n: int, classes) -> DataFrame:
             batch = batch.filter(pa.array((marked.value[at >> 5] >> (at & 31).astype(np.uint32)) & 1 == 1))
             for part in K.slices(batch):
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array([s.tobytes() for s in sets(part.column("text"), n, classes.value)], pa.binary())], names=["doc_id", "set"])
+        K.tidy()
 
     return docs.select("doc_id", "text", bit.alias("bit")).mapInArrow(run, "doc_id long, set binary")
 
@@ -292,20 +308,23 @@ def _across(members: DataFrame, roots: DataFrame, docs: DataFrame, n: int, perce
     left = here.join(open_, "gram")
     by_comp = left.groupBy("gram", "comp").agg(F.count("*").alias("k"))
     main = by_comp.groupBy("gram").agg(F.max(F.struct("k", "comp"))["comp"].alias("main"))
-    # blocks of documents of like size, those of the main component apart from the others
-    told = left.join(main, "gram").withColumn("odd", F.col("comp") != F.col("main"))
-    counts = told.groupBy("gram", "odd").agg(F.count("*").alias("c"), F.min("size").alias("s0"), F.max("size").alias("s1"))
-    slot = F.floor(F.pmod(F.xxhash64("doc", "gram"), F.greatest(F.ceil(F.col("c") / BLOCK), F.lit(1)))).cast("int")
-    placed = keep(told.join(counts.select("gram", "odd", "c"), ["gram", "odd"]).withColumn("slot", slot).select("gram", "odd", "slot", "doc", "comp", "size"), "blocks")
-    blocks = placed.groupBy("gram", "odd", "slot").agg(F.min("size").alias("s0"), F.max("size").alias("s1"))
-    p, q = blocks.filter("odd").alias("p"), blocks.alias("q")
-    near = (100 * F.least(F.col("p.s1"), F.col("q.s1")) >= percent * F.greatest(F.col("p.s0"), F.col("q.s0")))
-    units = p.join(q, (F.col("p.gram") == F.col("q.gram")) & (~F.col("q.odd") | (F.col("q.slot") >= F.col("p.slot"))) & near).select(
-        F.col("p.gram").alias("gram"), F.col("p.slot").alias("ps"), F.col("q.odd").alias("qo"), F.col("q.slot").alias("qs")
+    # blocks of documents whose sizes are in one step of the threshold, those of the main component apart from the others;
+    # alike sets are in one step or in two that follow each other
+    step = F.floor(F.log(F.col("size")) / float(np.log(100 / percent)) + 1e-9).cast("int") if percent < 100 else F.col("size").cast("int")
+    told = left.join(main, "gram").withColumns({"odd": F.col("comp") != F.col("main"), "step": step})
+    counts = told.groupBy("gram", "odd", "step").agg(F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("size") / BLOCK_GRAMS), F.lit(1)).alias("c"))
+    slot = F.pmod(F.xxhash64("doc", "gram"), F.col("c")).cast("int")
+    placed = keep(told.join(counts, ["gram", "odd", "step"]).withColumn("slot", slot).select("gram", "odd", "step", "slot", "doc", "comp", "size"), "blocks")
+    blocks = placed.groupBy("gram", "odd", "step", "slot").agg(F.min("size").alias("s0"), F.max("size").alias("s1"))
+    p, q = blocks.filter("odd").withColumn("near", F.explode(F.array(*[F.col("step") + k for k in (-1, 0, 1)]))).alias("p"), blocks.alias("q")
+    near = 100 * F.least(F.col("p.s1"), F.col("q.s1")) >= percent * F.greatest(F.col("p.s0"), F.col("q.s0"))
+    once = ~F.col("q.odd") | (F.struct("q.step", "q.slot") >= F.struct("p.step", "p.slot"))
+    units = p.join(q, (F.col("p.gram") == F.col("q.gram")) & (F.col("p.near") == F.col("q.step")) & once & near).select(
+        F.col("p.gram").alias("gram"), F.struct("p.step", "p.slot").alias("ps"), F.col("q.odd").alias("qo"), F.struct("q.step", "q.slot").alias("qs")
     )
-    first = units.select("gram", F.lit(True).alias("odd"), F.col("ps").alias("slot"), F.lit(0).alias("side"), "ps", "qo", "qs")
-    second = units.filter("NOT qo OR qs <> ps").select("gram", F.col("qo").alias("odd"), F.col("qs").alias("slot"), F.lit(1).alias("side"), "ps", "qo", "qs")
-    work = placed.join(first.unionByName(second), ["gram", "odd", "slot"]).select("gram", "ps", "qo", "qs", "side", "doc", "comp")
+    first = units.select("gram", F.lit(True).alias("odd"), F.col("ps.step").alias("step"), F.col("ps.slot").alias("slot"), F.lit(0).alias("side"), "ps", "qo", "qs")
+    second = units.filter("NOT qo OR qs <> ps").select("gram", F.col("qo").alias("odd"), F.col("qs.step").alias("step"), F.col("qs.slot").alias("slot"), F.lit(1).alias("side"), "ps", "qo", "qs")
+    work = placed.join(first.unionByName(second), ["gram", "odd", "step", "slot"]).select("gram", "ps", "qo", "qs", "side", "doc", "comp")
     found = keep(_sets_of(docs, placed.select(F.col("doc").alias("doc_id")).distinct(), n, classes).toDF("doc", "set"), "sets")
     return work.join(found, "doc").groupBy("gram", "ps", "qo", "qs").applyInArrow(_apart(percent), "a long, b long")
 
@@ -313,6 +332,11 @@ def _across(members: DataFrame, roots: DataFrame, docs: DataFrame, n: int, perce
 def jaccard_components(docs: DataFrame, n: int, percent: int, doc_id: str = "doc_id", text: str = "text", group: int = GROUP, hot: int = HOT) -> DataFrame:
     """(doc_id, n_shingles, component_id), one row per row of docs; links: 100 * overlap >= percent * union."""
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    with scratch(docs.sparkSession):
+        return keep(_components(docs, n, percent, group, hot), "components", result=True)
+
+
+def _components(docs: DataFrame, n: int, percent: int, group: int, hot: int) -> DataFrame:
     classes = rarity(docs, n)
     table = keep(docs.mapInArrow(_prefixes(n, percent, classes), "doc_id long, n long, digest binary, prefix array<long>, parts binary"), "prefixes")
     able = table.filter("n > 0 AND doc_id IS NOT NULL")
