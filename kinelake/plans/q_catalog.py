@@ -46,10 +46,10 @@ add("q_verdict_counts_run", lambda s, d: P.verdict_counts(V.results(s, d), "run2
 add("q_skip_reasons", lambda s, d: P.skip_reason_counts(V.results(s, d)), f"{R} SELECT rule_id, coalesce(nullif(reason, ''), 'unspecified') AS reason, count(*) AS n FROM latest WHERE verdict = 'SKIPPED' GROUP BY ALL")
 add("q_skip_reasons_run", lambda s, d: P.skip_reason_counts(V.results(s, d), "run0"), f"{R} SELECT rule_id, coalesce(nullif(reason, ''), 'unspecified') AS reason, count(*) AS n FROM r WHERE verdict = 'SKIPPED' AND run_id = 'run0' GROUP BY ALL")
 add("q_rules_hit", lambda s, d: P.rules_hit(V.results(s, d)).select("episode_uid", F.array_join("rules_hit", ",").alias("rules_hit")), f"{R} SELECT uid AS episode_uid, string_agg(DISTINCT rule_id, ',' ORDER BY rule_id) AS rules_hit FROM latest WHERE verdict IN ('FAIL', 'REVIEW') GROUP BY uid")
-add("q_rule_rates", lambda s, d: P.rule_rates(V.results(s, d)).withColumns({c: F.round(c, 9) for c in ("hit_rate", "skip_rate")}), f"{R} SELECT rule_id, total, skipped, hits, total - skipped AS evaluated, round(coalesce(hits / nullif(total - skipped, 0), 0), 9) AS hit_rate, round(skipped / total, 9) AS skip_rate FROM (SELECT rule_id, count(*) AS total, count(*) FILTER (verdict = 'SKIPPED') AS skipped, count(*) FILTER (verdict IN ('FAIL', 'REVIEW')) AS hits FROM r GROUP BY rule_id)")
+add("q_rule_rates", lambda s, d: P.rule_rates(V.results(s, d)).withColumns({c: F.round(c, 9) for c in ("hit_rate", "skip_rate")}), f"{R} SELECT rule_id, total, skipped, hits, errors, total - skipped AS evaluated, round(coalesce(hits / nullif(total - skipped, 0), 0), 9) AS hit_rate, round(skipped / total, 9) AS skip_rate FROM (SELECT rule_id, count(*) AS total, count(*) FILTER (verdict = 'SKIPPED') AS skipped, count(*) FILTER (verdict IN ('FAIL', 'REVIEW')) AS hits, count(*) FILTER (verdict = 'ERROR') AS errors FROM r GROUP BY rule_id)")
 add("q_counts_by_stage", lambda s, d: P.counts_by_stage(V.catalog(s, d)), f"{C} SELECT status, count(*) AS n FROM c GROUP BY status")
 add("q_corpus_totals", lambda s, d: P.corpus_totals(V.catalog(s, d)).withColumn("duration_s", F.round("duration_s", 3)), f"{C} SELECT count(*) AS n_episodes, CAST(coalesce(sum(n_frames), 0) AS BIGINT) AS n_frames, round(coalesce(sum(duration_s), 0.0), 3) AS duration_s FROM c WHERE status = 'COMMITTED'")
-add("q_source_embodiment", lambda s, d: P.counts_by_source_embodiment(V.catalog(s, d)), f"{C} SELECT source_id, coalesce(embodiment, '') AS embodiment, count(*) AS n FROM c GROUP BY ALL")
+add("q_source_embodiment", lambda s, d: P.counts_by_source_embodiment(V.catalog(s, d)), f"{C} SELECT source_id, coalesce(embodiment, '') AS embodiment, count(*) AS n, CAST(sum(n_frames) AS BIGINT) AS n_frames FROM c WHERE status = 'COMMITTED' GROUP BY ALL")
 
 
 def failures(spark, sf_dir):

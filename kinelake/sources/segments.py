@@ -7,20 +7,108 @@ from pyspark.sql import functions as F
 
 from kinelake.functions import signals as S
 
-SEGMENT = "narration_id string, participant_id string, video_id string, narration_timestamp string, start_timestamp string, stop_timestamp string, start_frame long, stop_frame long, narration string, verb string, verb_class int, noun string, noun_class int, all_nouns string, all_noun_classes string"
-VIDEO = "video_id string, duration double, fps double, resolution string"
+# Columns that are read, and their types; the inertial files' columns by stream.
+SEGMENT = {"narration_id": "string", "participant_id": "string", "video_id": "string", "start_timestamp": "string", "stop_timestamp": "string", "start_frame": "long", "stop_frame": "long", "narration": "string", "verb": "string", "verb_class": "int", "noun": "string", "noun_class": "int"}
+VIDEO = {"video_id": "string", "duration": "double", "fps": "double", "resolution": "string"}
+INERTIAL = {"gyro": ("gyro", ("GyroX", "GyroY", "GyroZ")), "accel": ("accl", ("AcclX", "AcclY", "AcclZ"))}
 #: An interval join meets in buckets of so many milliseconds.
 BUCKET_MS = 10_000
 
 
+def _csv(spark: SparkSession, path: str, columns: dict[str, str]) -> DataFrame:
+    """Columns of a CSV by the names in its header, wherever they stand; one that is not there is an error."""
+    rows = spark.read.csv(path, header=True)
+    return rows.select(*[F.col(f"`{c}`").cast(t).alias(c) for c, t in columns.items()])
+
+
 def read_segments(spark: SparkSession, path: str) -> DataFrame:
     """Segments with their bounds in seconds and their place in the file."""
-    rows = spark.read.csv(path, header=True, schema=SEGMENT)
+    rows = _csv(spark, path, SEGMENT)
     return rows.withColumn("file_pos", F.monotonically_increasing_id()).withColumn("start_s", S.timecode_seconds("start_timestamp")).withColumn("stop_s", S.timecode_seconds("stop_timestamp"))
 
 
 def read_videos(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.csv(path, header=True, schema=VIDEO)
+    """(video_id, duration, fps, height, width); a resolution that says nothing is 0 by 0."""
+    v = _csv(spark, path, VIDEO)
+    size = lambda k: F.coalesce(F.when(F.col("resolution").rlike("^[0-9]+x[0-9]+$"), F.split("resolution", "x")[k].cast("int")), F.lit(0))
+    return v.select("video_id", "duration", "fps", size(1).alias("height"), size(0).alias("width"))
+
+
+def read_inertial(spark: SparkSession, root: str) -> DataFrame:
+    """(video_id, stream_id, ms, x, y, z) of all sensors' files <video>-<sensor>.csv below a root, columns by name."""
+    out = None
+    for stream, (file, columns) in INERTIAL.items():
+        rows = spark.read.csv(root, header=True, pathGlobFilter=f"*-{file}.csv", recursiveFileLookup=True)
+        name = F.regexp_extract(F.input_file_name(), rf"([^/]+)-{file}[.]csv$", 1)
+        if "Milliseconds" not in rows.columns:  # no such files
+            continue
+        one = rows.select(name.alias("video_id"), F.lit(stream).alias("stream_id"), F.col("Milliseconds").cast("double").alias("ms"), *[F.col(c).cast("double").alias(a) for c, a in zip(columns, "xyz", strict=True)])
+        out = one if out is None else out.unionByName(one)
+    return spark.createDataFrame([], "video_id string, stream_id string, ms double, x double, y double, z double") if out is None else out
+
+
+def discover(segments: DataFrame, videos: DataFrame, wanted: list[str], source_id: str) -> DataFrame:
+    """Segments of the wanted videos, in turns over them, with their neighbours' bounds, the video's length and rate, and
+    their frames at the extraction rate. The list must not be empty, and every video must be known."""
+    if not wanted:
+        raise ValueError("name the videos to take")
+    known = {r[0] for r in videos.filter(F.col("video_id").isin(wanted)).select("video_id").collect()}  # of those asked for
+    if set(wanted) - known:
+        raise ValueError(f"no such videos: {', '.join(sorted(set(wanted) - known))}")
+    turns = round_robin(with_neighbours(segments.filter(F.col("video_id").isin(wanted))), wanted)
+    both = turns.join(F.broadcast(videos.filter(F.col("video_id").isin(wanted))), "video_id")  # as many rows as were asked for
+    rate = extraction_fps(F.col("fps"))
+    first, last = S.frame_range(F.col("start_s"), F.col("stop_s"), rate)
+    place = (F.col("turn") - 1) * len(wanted) + F.col("video_pos")
+    return both.withColumns({"episode_uid": F.concat(F.lit(f"{source_id}:"), "narration_id"), "place": place, "extraction_fps": rate, "first_frame": first, "last_frame": last})
+
+
+def duration_facts(segments: DataFrame, videos: DataFrame, short_s: float = 0.4) -> DataFrame:
+    """(video_id, n, n_short, n_past_end, n_overlap, n_over_half): how long segments are, how many end behind their video,
+    and how many overlap the next one by more than half of the shorter of the two."""
+    w = Window.partitionBy("video_id").orderBy("start_s", "stop_s")
+    length = F.col("stop_s") - F.col("start_s")
+    nxt = F.least("stop_s", F.lead("stop_s").over(w)) - F.greatest("start_s", F.lead("start_s").over(w))
+    nxt = F.when(F.lead("start_s").over(w).isNotNull(), nxt)
+    shorter = F.greatest(F.least(length, F.lead(length).over(w)), F.lit(1e-9))
+    told = segments.select("video_id", "stop_s", length.alias("d"), nxt.alias("o"), (nxt / shorter).alias("part"))
+    over = F.col("o") > 0
+    end = videos.select("video_id", "duration")
+    return told.join(end, "video_id", "left").groupBy("video_id").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("d") < short_s).alias("n_short"), F.count_if(F.col("stop_s") > F.col("duration")).alias("n_past_end"), F.count_if(over).alias("n_overlap"), F.count_if(over & (F.col("part") > 0.5)).alias("n_over_half")
+    )
+
+
+def rate_search(segments: DataFrame, videos: DataFrame, flat: tuple[float, ...] = (60.0, 50.0, 60000 / 1001)) -> DataFrame:
+    """(rate, reproduced): the part of segments whose own frame numbers a rate gives within one: the videos' rates, flat
+    ones, and the extraction rate."""
+    both = segments.join(videos.select("video_id", "fps"), "video_id")
+    named = {"official": F.col("fps"), **{f"flat {r:g}": F.lit(r) for r in flat}, "extraction": extraction_fps(F.col("fps"))}
+    near = lambda r: F.coalesce((F.abs(F.floor(F.col("start_s") * r) - F.col("start_frame")) <= 1) & (F.abs(F.floor(F.col("stop_s") * r) - F.col("stop_frame")) <= 1), F.lit(False))
+    one = both.agg(*[F.avg(near(r).cast("int")).alias(k) for k, r in named.items()])
+    return one.select(F.explode(F.map_from_arrays(F.array(*map(F.lit, named)), F.array(*[F.col(f"`{k}`") for k in named]))).alias("rate", "reproduced"))
+
+
+def pose_coverage(poses: DataFrame, videos: DataFrame) -> DataFrame:
+    """(video_id, n_posed, coverage, step_min, step_median, step_max): how much of a video has a pose, and how far apart."""
+    k = F.regexp_extract("frame_key", r"([0-9]+)[.]", 1).cast("int")
+    step = k - F.lag(k).over(Window.partitionBy("video_id").orderBy(k))
+    told = poses.select("video_id", step.alias("step"))
+    a = told.groupBy("video_id").agg(F.count(F.lit(1)).alias("n_posed"), F.min("step").alias("step_min"), F.percentile("step", F.lit(0.5)).alias("step_median"), F.max("step").alias("step_max"))
+    frames = F.floor(F.col("duration") * F.col("fps"))
+    return a.join(videos, "video_id").select("video_id", "n_posed", F.try_divide("n_posed", frames).alias("coverage"), "step_min", "step_median", "step_max")
+
+
+def inertial_facts(samples: DataFrame) -> DataFrame:
+    """(video_id, stream_id, n, hz, p50, p99, largest, mean_norm, unit): rate and size of a sensor's samples, and the unit
+    that these sizes can only be in: a hand turns at a few rad/s, and a head at rest feels about 9.8 m/s^2."""
+    size = F.array(*[F.abs(F.col(c)) for c in "xyz"])
+    norm = F.sqrt(sum(F.col(c) * F.col(c) for c in "xyz"))
+    each = samples.select("video_id", "stream_id", "ms", norm.alias("norm"), F.explode(size).alias("v"))
+    a = each.groupBy("video_id", "stream_id").agg((F.count(F.lit(1)) / 3).cast("long").alias("n"), ((F.max("ms") - F.min("ms")) / 1000).alias("span"), F.percentile("v", F.lit(0.5)).alias("p50"), F.percentile("v", F.lit(0.99)).alias("p99"), F.max("v").alias("largest"), F.avg("norm").alias("mean_norm"))
+    gyro = F.col("stream_id") == "gyro"
+    unit = F.when(gyro & (F.col("largest") < 40), "rad/s").when(gyro, "deg/s").when(F.col("mean_norm").between(7, 12), "m/s^2").otherwise("unknown")
+    return a.select("video_id", "stream_id", "n", F.try_divide("n", "span").alias("hz"), "p50", "p99", "largest", "mean_norm", unit.alias("unit"))
 
 
 def extraction_fps(official: Column) -> Column:

@@ -1,11 +1,21 @@
-"""The normalised store: long tables by source, missing numbers as NULL, whole partitions replaced at once."""
+"""The normalised store: long tables by source, missing numbers as NULL, whole partitions replaced at once.
+
+Samples, streams and episodes lie side by side below one root. What an episode no longer has goes when it is written
+again. Raw files are staged with a marker that is written last and names the version of what staged them.
+"""
 
 from __future__ import annotations
 
+import hashlib
+import json
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kinelake.functions import signals as S
+from kinelake.operators.order import settled
 
 
 def nan_to_null(df: DataFrame) -> DataFrame:
@@ -31,3 +41,50 @@ def unregistered(frames: DataFrame, registry: DataFrame) -> DataFrame:
     have = frames.select("episode_uid", F.explode(F.map_keys("raw")).alias("column")).distinct()
     told = registry.select("episode_uid", F.explode("raw_columns").alias("column")).distinct()
     return have.exceptAll(told).withColumn("problem", F.lit("not registered")).unionByName(told.exceptAll(have).withColumn("problem", F.lit("not there")))
+
+
+def content_hash(columns: DataFrame) -> DataFrame:
+    """(episode_uid, content_hash) of rows (episode_uid, pos, column, dtype, frame_idx, value): a digest of what an episode
+    holds, whatever file it is in. A header with the columns' names, types and length comes first, then each column's
+    values in order of frames as little-endian float64; columns go by `pos`, those without one behind, by name."""
+
+    def one(key: tuple, rows: pa.Table) -> pa.Table:
+        t = rows.to_pandas()
+        order = t[["column", "pos", "dtype"]].drop_duplicates("column")
+        order = order.assign(last=order["pos"].isna(), by=order["pos"].fillna(0)).sort_values(["last", "by", "column"])
+        parts = {c: g.sort_values("frame_idx")["value"].to_numpy(float) for c, g in t.groupby("column")}
+        head = {"columns": order["column"].tolist(), "dtypes": order["dtype"].tolist(), "n_rows": max((len(v) for v in parts.values()), default=0)}
+        digest = hashlib.sha256(json.dumps(head, sort_keys=True, separators=(",", ":")).encode())
+        for c in head["columns"]:
+            digest.update(np.ascontiguousarray(parts[c], "<f8").tobytes())
+        return pa.table({"episode_uid": [key[0].as_py()], "content_hash": [digest.hexdigest()]})
+
+    return columns.select("episode_uid", "pos", "column", "dtype", "frame_idx", "value").groupBy("episode_uid").applyInArrow(one, "episode_uid string, content_hash string")
+
+
+def write_streams(streams: DataFrame, path: str, episodes: DataFrame) -> None:
+    """Replaces all streams of these episodes (source_id, episode_uid): samples (source_id, episode_uid, stream_id,
+    sample_idx, ...) of those that they have now, and none of those that they had before."""
+    spark = streams.sparkSession
+    keys = ["source_id", "episode_uid"]
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place):
+        sources = [r[0] for r in episodes.select("source_id").distinct().collect()]
+        kept = spark.read.schema(streams.schema).parquet(path).filter(F.col("source_id").isin(sources)).join(episodes.select(*keys).distinct(), keys, "left_anti")
+        streams = settled(kept.unionByName(streams))
+    write(streams, path, sort=("episode_uid", "stream_id", "sample_idx"))
+
+
+def stage(spark: SparkSession, path: str, version: str, **facts: object) -> None:
+    """Marks raw files below a path as complete; to be called when all that it describes is there."""
+    marker = json.dumps({**facts, "adapter_version": version}, sort_keys=True)
+    spark.createDataFrame([(marker,)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/.staged")
+
+
+def is_staged(spark: SparkSession, path: str, version: str) -> bool:
+    """Whether the files are complete and of this version; another one has to stage them anew."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/.staged")
+    if not place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place):
+        return False
+    rows = spark.read.text(f"{path}/.staged/part-*").collect()
+    return bool(rows) and json.loads(rows[0][0]).get("adapter_version") == version
