@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from kinelake.operators.order import numbered
+
 # Stages in order, and what a stale episode goes back to.
 STAGES = ("DISCOVERED", "FETCHED", "NORMALIZED", "QC_DONE", "COMMITTED")
 FRESH, REDO_NORMALIZE, REDO_QC = "FRESH", "REDO_NORMALIZE", "REDO_QC"
@@ -21,6 +23,11 @@ def newest(rows: DataFrame, at: str = "started_at", seq: str = "seq") -> DataFra
     return rows.orderBy(F.desc(at), F.desc(seq)).limit(1)
 
 
+def first_of(discovered: DataFrame, group: str, order: list[str], n: int) -> DataFrame:
+    """The first n episodes of each group, with their place."""
+    return numbered(discovered, [group], order, "place").filter(F.col("place") <= n)
+
+
 def upsert(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
     """source's rows in place of target's with the same keys, and all others of target."""
     return target.join(source.select(*keys).distinct(), keys, "left_anti").unionByName(source)

@@ -32,6 +32,9 @@ ROTATIONS = ("ee_rotation_abs", "ee_rotation_delta", "camera_rotation_abs")
 POSES = ("camera_translation_abs", "camera_rotation_abs")
 GRIPPER = "gripper"
 EPISODE = "episode_uid"
+#: Schemas of declared channels and of an episode's cameras.
+CHANNEL = "embodiment string, signal string, channel string, pos int, is_physical boolean, is_delta boolean, min double, max double, space string, role string, origin string, unit string, phys_ordinal int"
+CAMERA = "array<struct<name:string,encoding:string,is_present:boolean,n_frames:bigint>>"
 
 
 @dataclass(frozen=True)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from kinelake.operators import history as H
+from kinelake.operators import lifecycle as L
 from kinelake.operators import report as P
 from kinelake.operators import sampler as G
 from kinelake.operators import stats
@@ -67,7 +68,7 @@ def tallies(spark, sf_dir):
 
 
 add("q_stage_tallies", tallies, "SELECT stage, round(coalesce(sum(value), 0), 3) AS seconds, count(value) AS calls FROM (SELECT unnest(['FETCHED', 'NORMALIZED', 'QC_DONE', 'COMMITTED']) AS stage) LEFT JOIN (SELECT (['FETCHED', 'NORMALIZED', 'QC_DONE', 'COMMITTED'])[event_id % 3 + 1] AS st, value FROM events) ON stage = st GROUP BY stage")
-add("q_exportable", lambda s, d: V.catalog(s, d).filter("status = 'COMMITTED' AND qc_verdict IN ('PASS', 'REVIEW') AND embodiment = 'ASIA'").select("episode_uid", "qc_verdict", "n_frames").orderBy("episode_uid"), f"{C} SELECT uid AS episode_uid, qc_verdict, n_frames FROM c WHERE status = 'COMMITTED' AND qc_verdict IN ('PASS', 'REVIEW') AND embodiment = 'ASIA'")
+add("q_exportable", lambda s, d: G.exportable(V.catalog(s, d), True, "ASIA").select("episode_uid", "qc_verdict", "n_frames"), f"{C} SELECT uid AS episode_uid, qc_verdict, n_frames FROM c WHERE status = 'COMMITTED' AND qc_verdict IN ('PASS', 'REVIEW') AND embodiment = 'ASIA'")
 
 
 def work(spark, sf_dir):
@@ -177,3 +178,69 @@ def exported(spark, sf_dir):
 
 
 add("q_export_manifest", exported, f"{_PACK} SELECT CAST(row_number() OVER (ORDER BY r) - 1 AS INT) AS pos, uid AS episode_uid, CASE source_id WHEN 's0' THEN 'mit' WHEN 's1' THEN 'cc-by' END AS licence, CAST(n_frames AS BIGINT) AS frame_end FROM got")
+
+
+def full_export(spark, sf_dir):
+    """A sequential plan's lines with all their fields; channels are the event stream's, given to every embodiment."""
+    e = V.catalog(spark, sf_dir)
+    plan = G.plan_sequential(candidates(spark, sf_dir), 400)
+    told = e.select(
+        "episode_uid", "source_id", "embodiment", "task", "n_frames", "duration_s", "qc_verdict", "schema_version", F.lit("per_frame_continuous").alias("action_level"), F.lit(10.0).alias("fps_nominal"), F.lit(9.5).alias("fps_effective"),
+        F.struct(F.lit(True).alias("has_action")).alias("capabilities"), F.struct(F.lit("unknown").alias("end_reason")).alias("boundary"), F.concat(F.lit("x/"), "episode_uid").alias("frames_path"), F.array(F.lit("done")).alias("raw_frame_columns"),
+    )
+    regions = V.table(spark, sf_dir, "region").select(F.col("r_name").alias("embodiment"))
+    channels = V.event_tables(spark, sf_dir).channels.filter("embodiment = 'odd'").drop("embodiment").crossJoin(F.broadcast(regions))  # five by three
+    licences = spark.createDataFrame([("s0", "mit"), ("s1", "cc-by")], "source_id string, licence string")
+    lines = V.table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").cast("string").alias("episode_uid"), F.lit("action").alias("signal"), F.lit("value").alias("channel")).agg(F.count(F.lit(1)).alias("count"), F.max("l_quantity").alias("max"))
+    return G.full_manifest(plan, told, channels, licences, P.rules_hit(V.results(spark, sf_dir)), lines)
+
+
+_TAKEN = f"{_PACK} SELECT CAST(row_number() OVER (ORDER BY r) - 1 AS INT) AS pos, got.uid, got.n_frames, got.source_id FROM got"
+add("q_full_manifest", lambda s, d: full_export(s, d).select("pos", *[F.get_json_object("line", f"$.{k}").alias(k) for k in ("episode_uid", "license", "task", "action_space", "action_dim", "action_is_delta", "frame_end", "qc_verdict", "schema_version")], F.get_json_object("line", "$.key_stats['action.value'].max").cast("double").alias("largest"), F.size(F.json_object_keys("line")).alias("n_fields")), f"""{_PACK}, l AS (SELECT l_orderkey AS k, max(l_quantity) AS q FROM lineitem GROUP BY l_orderkey)
+SELECT CAST(row_number() OVER (ORDER BY r) - 1 AS INT) AS pos, got.uid AS episode_uid, CASE got.source_id WHEN 's0' THEN 'mit' WHEN 's1' THEN 'cc-by' END AS license, e.task, 'cartesian_2d' AS action_space, '2' AS action_dim, 'true' AS action_is_delta, CAST(got.n_frames AS VARCHAR) AS frame_end, e.qc_verdict, e.schema_version, q AS largest, CAST(24 AS INT) AS n_fields
+FROM got JOIN e ON e.uid = got.uid JOIN l ON l.k = e.k""")
+add("q_export_audit", lambda s, d: G.audit(G.plan_sequential(candidates(s, d), 400), None, "out/plan.jsonl", "run1", "sequential", 400, "2026-01-01T00:00:00Z").select("export_id", "n_episodes", "n_frames", F.get_json_object("stats", "$.shortfall_frames").alias("shortfall")), f"{_PACK} SELECT 'plan.jsonl@2026-01-01T00:00:00Z' AS export_id, count(*) AS n_episodes, CAST(sum(n_frames) AS BIGINT) AS n_frames, CAST(400 - sum(n_frames) AS VARCHAR) AS shortfall FROM got")
+
+
+def sections(spark, sf_dir):
+    """A report of the corpus and of run 2, a row for each of its lines."""
+    e, r = V.catalog(spark, sf_dir), V.results(spark, sf_dir)
+    report = P.build(e, r, {"run_id": "run2", "stats": {}})
+    problems, _ = P.disagreements(report, e, r)
+    rows = [(t, ",".join(map(str, row))) for t, s in report["sections"].items() if t in ("Catalog totals", "Source x embodiment", "QC verdicts (this run)", "Skip reasons (cumulative)") for row in s["rows"]]
+    return spark.createDataFrame([*rows, *(("problem", p) for p in problems)], "section string, line string")
+
+
+_R2 = R.strip().removeprefix("WITH ")
+add("q_report_sections", sections, f"""{C}, {_R2}
+SELECT 'Catalog totals' AS section, status || ',' || count(*) AS line FROM c GROUP BY status
+UNION ALL SELECT 'Source x embodiment', source_id || ',' || coalesce(embodiment, '') || ',' || count(*) || ',' || CAST(sum(n_frames) AS BIGINT) FROM c WHERE status = 'COMMITTED' GROUP BY source_id, coalesce(embodiment, '')
+UNION ALL SELECT 'QC verdicts (this run)', rule_id || ',' || verdict || ',' || count(*) FROM r WHERE run_id = 'run2' GROUP BY rule_id, verdict
+UNION ALL SELECT 'Skip reasons (cumulative)', rule_id || ',' || coalesce(nullif(reason, ''), 'unspecified') || ',' || count(*) FROM latest WHERE verdict = 'SKIPPED' GROUP BY rule_id, coalesce(nullif(reason, ''), 'unspecified')""")
+
+
+def states(spark, sf_dir):
+    """Orders as rows of state: two thirds are leased, some without an end."""
+    o, k = V.table(spark, sf_dir, "orders"), F.col("o_orderkey")
+    return o.select(k.cast("string").alias("episode_uid"), F.when(k % 3 != 0, F.concat(F.lit("w"), (k % 2).cast("string"))).alias("lease_owner"), F.when(k % 5 != 0, F.timestamp_seconds(k)).alias("lease_expires_at"), (k % 4).cast("int").alias("attempt"))
+
+
+add("q_expired_leases", lambda s, d: L.expired(states(s, d), F.timestamp_seconds(F.lit(2000)), "w1").select("episode_uid", "lease_owner"), "SELECT CAST(o_orderkey AS VARCHAR) AS episode_uid, 'w' || (o_orderkey % 2) AS lease_owner FROM orders WHERE o_orderkey % 3 <> 0 AND (o_orderkey % 5 = 0 OR o_orderkey <= 2000 OR o_orderkey % 2 = 1)")
+add("q_lease_attempts", lambda s, d: L.leased(V.catalog(s, d).filter("status = 'FETCHED'"), states(s, d).filter("attempt > 0"), "w0", F.timestamp_seconds(F.lit(0)), 60).select("episode_uid", "attempt", F.unix_timestamp("lease_expires_at").alias("until")), f"{C} SELECT uid AS episode_uid, CAST(k % 4 + 1 AS INT) AS attempt, CAST(60 AS BIGINT) AS until FROM c WHERE status = 'FETCHED'")
+add("q_requeued", lambda s, d: L.requeued(V.catalog(s, d).filter("status = 'FAILED'"), "DISCOVERED", "retry", "r9", F.timestamp_seconds(F.lit(0))).select("episode_uid", "status", "qc_verdict", "last_update_run"), f"{C} SELECT uid AS episode_uid, 'DISCOVERED' AS status, 'PENDING' AS qc_verdict, 'r9' AS last_update_run FROM c WHERE status = 'FAILED'")
+add("q_advanced", lambda s, d: L.advanced(V.catalog(s, d).filter("status = 'FETCHED'"), "NORMALIZED", "r9", F.timestamp_seconds(F.lit(0)), content_hash=F.lit("h")).groupBy("status", "content_hash").agg(F.count(F.lit(1)).alias("n")), f"{C} SELECT 'NORMALIZED' AS status, 'h' AS content_hash, count(*) AS n FROM c WHERE status = 'FETCHED'")
+
+
+def recovered(spark, sf_dir):
+    """Orders as runs, open where their status is; catalog rows as state, of which those with an odd key can be read."""
+    o = V.table(spark, sf_dir, "orders")
+    runs = o.select(F.col("o_orderkey").cast("string").alias("run_id"), F.col("o_orderdate").cast("string").alias("started_at"), F.col("o_orderkey").alias("seq"), F.when(F.col("o_orderstatus") != "P", F.lit("x")).alias("finished_at"))
+    state = V.catalog(spark, sf_dir).select("episode_uid", "status")
+    found = H.recover(runs, state, state.filter("CAST(episode_uid AS BIGINT) % 2 = 1"), F.lit("now"))
+    count = lambda k: found[k].agg(F.lit(k).alias("what"), F.count(F.lit(1)).cast("string").alias("value"))
+    return count("interrupted").unionByName(found["resumed_from"].select(F.lit("resumed_from").alias("what"), F.col("run_id").alias("value"))).unionByName(count("demoted"))
+
+
+add("q_recover", recovered, f"""{C} SELECT 'interrupted' AS what, CAST(count(*) AS VARCHAR) AS value FROM orders WHERE o_orderstatus = 'P'
+UNION ALL SELECT 'resumed_from', CAST(max_by(o_orderkey, (o_orderdate, o_orderkey)) AS VARCHAR) FROM orders WHERE o_orderstatus = 'P'
+UNION ALL SELECT 'demoted', CAST(count(*) AS VARCHAR) FROM c WHERE status IN ('NORMALIZED', 'QC_DONE') AND k % 2 = 0""")

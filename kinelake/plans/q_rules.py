@@ -9,6 +9,8 @@ from kinelake.functions import signals as S
 from kinelake.operators import rules as R
 from kinelake.operators import stats
 from kinelake.plans import surrogate as V
+from kinelake.sources import segments, tfrecord
+from kinelake.sources import vector_parquet as P
 
 E = f"""
 WITH e AS (SELECT CAST(user_id AS VARCHAR) AS uid, user_id AS u, event_type, value, ts, event_id,
@@ -191,11 +193,14 @@ def vector_unpack(spark, sf_dir):
 add("q_vector_unpack", vector_unpack, f"SELECT label, CAST(pos AS INT) AS pos, {_STATS} FROM (SELECT label, CAST(unnest(embedding) AS DOUBLE) AS v, unnest(range(0, len(embedding))) AS pos FROM embeddings) GROUP BY label, pos")
 
 
-def effective_fps(spark, sf_dir):
+def recorded(spark, sf_dir) -> DataFrame:
+    """Events as frames of a vector dataset: timestamp, index."""
     f = V.event_frames(spark, sf_dir)
-    d = f.select("episode_uid", S.difference("t", S.ordered("episode_uid")).alias("dt"))
-    a = d.groupBy("episode_uid").agg(F.percentile("dt", F.lit(0.5)).alias("mid"))
-    return a.select("episode_uid", F.round(F.when(F.col("mid") > 0, F.try_divide(F.lit(1.0), "mid")).otherwise(V.RATE), 10).alias("fps"))
+    return f.select("episode_uid", "user_id", F.col("t").alias("timestamp"), F.col("frame_idx").alias("index"), F.col("frame_idx").alias("frame_index"), (F.col("event_type") == "click").alias("next.success"))
+
+
+def effective_fps(spark, sf_dir):
+    return P.effective_fps(recorded(spark, sf_dir), F.lit(V.RATE)).withColumn("fps", F.round("fps", 10))
 
 
 add("q_effective_fps", effective_fps, f"{E} SELECT uid AS episode_uid, round(CASE WHEN mid > 0 THEN 1.0 / mid ELSE {_RATE} END, 10) AS fps FROM (SELECT uid, quantile_cont(dt, 0.5) AS mid FROM dt GROUP BY uid)")
@@ -203,30 +208,42 @@ add("q_effective_fps", effective_fps, f"{E} SELECT uid AS episode_uid, round(CAS
 
 def clock_test(spark, sf_dir):
     """Is a clock exactly frame / rate in single precision? Every third user's clock is made so."""
-    f = V.event_frames(spark, sf_dir)
-    made = (F.col("frame_idx") / F.lit(10.0)).cast("float")
-    ts = F.when(F.col("user_id") % 3 == 0, made).otherwise(F.col("t").cast("float"))
-    same = F.bool_and(ts == (F.col("frame_idx") / F.lit(10.0)).cast("float"))
-    return f.groupBy("episode_uid").agg(F.when(same, "synthesized@10Hz").otherwise("real").alias("timestamp_source"))
+    made = (F.col("frame_index") / F.lit(10.0)).cast("float")
+    return P.timestamp_source(recorded(spark, sf_dir).withColumn("timestamp", F.when(F.col("user_id") % 3 == 0, made).otherwise(F.col("timestamp").cast("float"))), 10)
 
 
 add("q_clock_test", clock_test, f"{E} SELECT uid AS episode_uid, CASE WHEN bool_and(CASE WHEN u % 3 = 0 THEN CAST(i / 10.0::DOUBLE AS FLOAT) ELSE CAST(t AS FLOAT) END = CAST(i / 10.0::DOUBLE AS FLOAT)) THEN 'synthesized@10Hz' ELSE 'real' END AS timestamp_source FROM e GROUP BY uid")
+add("q_boundary", lambda s, d: P.boundary(recorded(s, d)).select("episode_uid", "success", "adjudicator"), "SELECT CAST(user_id AS VARCHAR) AS episode_uid, bool_or(event_type = 'click') AS success, 'environment' AS adjudicator FROM events GROUP BY user_id")
 
 
-def trim_tail(spark, sf_dir):
-    """Frames kept when the trailing run of errors below 50 is padding."""
+def rebased(spark, sf_dir):
+    """Time since a user's first event, by the events' own numbers."""
+    e = V.table(spark, sf_dir, "events").select("user_id", "event_id", V.micros("ts").alias("us"))
+    return e.select("event_id", S.rebased(F.col("us"), ["user_id"], "event_id").alias("since"))
+
+
+add("q_rebased", rebased, "SELECT event_id, epoch_us(ts) - first_value(epoch_us(ts)) OVER (PARTITION BY user_id ORDER BY event_id) AS since FROM events")
+
+
+def steps_of(spark, sf_dir) -> DataFrame:
+    """Users as records: of every step whether it is last (an error) and its pose, which stands still below 50."""
     f = V.event_frames(spark, sf_dir)
-    pad = (F.col("event_type") == "error") & (F.col("value") < 50)
-    return f.groupBy("episode_uid").agg(F.coalesce(F.max(F.when(~pad, F.col("frame_idx") + 1)), F.lit(0)).cast("long").alias("n_kept"), F.count(F.lit(1)).alias("n_frames"))
+    step = F.struct("frame_idx", (F.col("event_type") == "error").cast("double").alias("last"), F.array(F.when(F.col("value") < 50, 0.0).otherwise(F.col("value"))).alias("pose"), (F.col("event_type") == "click").cast("double").alias("end"))
+    return f.groupBy("episode_uid").agg(F.sort_array(F.collect_list(step)).alias("s")).select("episode_uid", "s.last", "s.pose", "s.end")
+
+
+def trim_tail(spark, sf_dir):
+    """Steps kept when the trailing run of last steps that stand still is padding."""
+    return steps_of(spark, sf_dir).select("episode_uid", tfrecord.kept_steps(F.col("last"), F.col("pose")).cast("long").alias("n_kept"), F.size("last").cast("long").alias("n_frames"))
 
 
 add("q_trim_tail", trim_tail, f"{E} SELECT uid AS episode_uid, CAST(coalesce(max(i + 1) FILTER (NOT (event_type = 'error' AND value < 50)), 0) AS BIGINT) AS n_kept, count(*) AS n_frames FROM e GROUP BY uid")
+add("q_record_boundary", lambda s, d: steps_of(s, d).select("episode_uid", tfrecord.boundary(F.col("last"), F.col("end")).alias("truncated")), "SELECT CAST(user_id AS VARCHAR) AS episode_uid, bool_or(event_type = 'error') AND NOT bool_or(event_type = 'click') AS truncated FROM events GROUP BY user_id")
 
 
 def neighbours(spark, sf_dir):
-    f = V.event_frames(spark, sf_dir).select("episode_uid", "event_id", F.col("us").alias("start"), (F.col("us") + (F.col("value") * 1e9).cast("long")).alias("stop"))
-    w = Window.partitionBy("episode_uid").orderBy("start", "event_id")
-    return f.select("event_id", F.lag("stop").over(w).alias("prev_stop"), F.lead("start").over(w).alias("next_start"))
+    f = V.event_frames(spark, sf_dir).select(F.col("user_id").alias("video_id"), "event_id", F.col("event_id").alias("file_pos"), F.col("us").alias("start_s"), (F.col("us") + (F.col("value") * 1e9).cast("long")).alias("stop_s"))
+    return segments.with_neighbours(f).select("event_id", F.col("prev_end_s").alias("prev_stop"), F.col("next_start_s").alias("next_start"))
 
 
 add("q_neighbours", neighbours, "SELECT event_id, lag(stop) OVER w AS prev_stop, lead(start) OVER w AS next_start FROM (SELECT user_id, event_id, epoch_us(ts) AS start, epoch_us(ts) + CAST(trunc(value * 1e9) AS BIGINT) AS stop FROM events) WINDOW w AS (PARTITION BY user_id ORDER BY start, event_id)")

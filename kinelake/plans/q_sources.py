@@ -6,6 +6,8 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from kinelake.functions import signals as S
+from kinelake.operators import history as H
+from kinelake.operators import invariants as I
 from kinelake.operators import rules as R
 from kinelake.plans import surrogate as V
 from kinelake.sources import segments as G
@@ -165,18 +167,67 @@ add("q_backward_streams", backward_clocks, "SELECT user_id, count(*) FILTER (bac
 
 def capped(spark, sf_dir):
     """The first twenty episodes of each source in order of discovery."""
-    e = V.catalog(spark, sf_dir)
-    w = Window.partitionBy("source_id").orderBy(F.col("episode_uid").cast("long"))
-    return e.withColumn("place", F.row_number().over(w)).filter("place <= 20").select("source_id", "episode_uid", "place")
+    e = V.catalog(spark, sf_dir).select("source_id", "episode_uid", F.col("episode_uid").cast("long").alias("found"))
+    return H.first_of(e, "source_id", ["found"], 20).select("source_id", "episode_uid", F.col("place").cast("int").alias("place"))
 
 
 add("q_max_episodes", capped, "SELECT source_id, episode_uid, CAST(place AS INT) AS place FROM (SELECT 's' || (o_orderkey % 3) AS source_id, CAST(o_orderkey AS VARCHAR) AS episode_uid, row_number() OVER (PARTITION BY o_orderkey % 3 ORDER BY o_orderkey) AS place FROM orders JOIN customer ON o_custkey = c_custkey) WHERE place <= 20")
 
 
-def digests(spark, sf_dir):
-    e = V.event_frames(spark, sf_dir)
-    line = F.concat_ws(":", F.lpad(F.col("frame_idx").cast("string"), 6, "0"), "event_type", F.col("event_id").cast("string"))
-    return e.groupBy("episode_uid").agg(F.sha2(F.array_join(F.sort_array(F.collect_list(line)), "\n"), 256).alias("content_hash"))
+def content_hashes(spark, sf_dir):
+    """Every user's time and value, as columns of an episode."""
+    f = V.event_frames(spark, sf_dir).select("episode_uid", "frame_idx", F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.lit(p).cast("int").alias("pos"), F.lit("float64").alias("dtype"), F.col(v).alias("value")) for c, p, v in (("t", 0, "t"), ("action.value", 1, "value"))])))
+    return store.content_hash(f)
 
 
-add("q_content_hash", digests, "SELECT CAST(user_id AS VARCHAR) AS episode_uid, sha256(string_agg(lpad(CAST(i AS VARCHAR), 6, '0') || ':' || event_type || ':' || event_id, chr(10) ORDER BY i)) AS content_hash FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS i FROM events) GROUP BY user_id")
+# bytes of float64 are beyond SQL here; tests hash them plainly
+add("q_content_hash", content_hashes, None)
+add("q_row_digest", lambda s, d: V.table(s, d, "customer").select("c_custkey", S.canonical_digest(["c_name", "c_mktsegment", F.when(F.col("c_custkey") % 3 > 0, F.col("c_nationkey"))]).alias("digest")), "SELECT c_custkey, sha256(c_name || chr(31) || c_mktsegment || chr(31) || CASE WHEN c_custkey % 3 > 0 THEN CAST(c_nationkey AS VARCHAR) ELSE chr(0) END) AS digest FROM customer")
+
+
+def invariants(spark, sf_dir):
+    """What the event stream's episodes, channels, columns and streams break."""
+    t = V.event_tables(spark, sf_dir)
+    e = V.table(spark, sf_dir, "events").select(F.col("user_id").cast("string").alias("episode_uid"), F.lit("s").alias("stream_id"), F.lit("c").alias("channel"), F.col("event_id").alias("sample_idx"), V.micros("ts").alias("t"))
+    return I.all_of(I.episode_checks(t.episodes), I.channel_checks(t.channels), I.column_checks(t.episodes, t.channels, t.samples), I.stream_checks(e))
+
+
+add("q_invariants", invariants, """WITH u AS (SELECT DISTINCT user_id AS u, CAST(user_id AS VARCHAR) AS uid FROM events)
+SELECT '3action' AS invariant, uid AS subject, 'action level contradicts has_action' AS detail FROM u WHERE u % 7 = 0
+UNION ALL SELECT '18', uid, 'segment without is_segment' FROM u WHERE u % 17 <> 3 AND u % 11 = 0
+UNION ALL SELECT '19', uid, 'end marker that is not declared' FROM u WHERE u % 12 <> 5 AND u % 5 = 0
+UNION ALL SELECT '2', uid || '.action.flag', 'declared and not stored' FROM u WHERE u % 13 <> 0
+UNION ALL SELECT '2', uid || '.action.value', 'stored and not declared' FROM u WHERE u % 13 = 0
+UNION ALL SELECT DISTINCT '17', CAST(user_id AS VARCHAR) || '.s', 'time goes back' FROM (SELECT user_id, lag(epoch_us(ts)) OVER (PARTITION BY user_id ORDER BY event_id) > epoch_us(ts) AS back FROM events) WHERE back""")
+
+
+def annotated(spark, sf_dir):
+    """Events as segments of fifty videos, whose frame numbers were counted at the extraction rate but for every fifth."""
+    e = V.table(spark, sf_dir, "events")
+    start, rate = F.col("event_id") / F.lit(8.0), G.extraction_fps(F.when(F.col("user_id") % 2 == 0, 50.0).otherwise(59.94))
+    stop = start + F.col("value") / F.lit(64.0)
+    counted = F.when(F.col("event_id") % 5 == 0, F.lit(30.0)).otherwise(rate)
+    seg = e.select(F.concat(F.lit("v"), (F.col("user_id") % 50).cast("string")).alias("video_id"), start.alias("start_s"), stop.alias("stop_s"), F.floor(start * counted).alias("start_frame"), F.floor(stop * counted).alias("stop_frame"))
+    vid = spark.range(50).select(F.concat(F.lit("v"), F.col("id").cast("string")).alias("video_id"), F.lit(900.0).alias("duration"), F.when(F.col("id") % 2 == 0, 50.0).otherwise(59.94).alias("fps"))
+    return seg, vid
+
+
+_ANNOTATED = """WITH s AS (SELECT 'v' || (user_id % 50) AS vid, event_id / 8.0::DOUBLE AS a, event_id / 8.0::DOUBLE + value / 64.0::DOUBLE AS b, CASE WHEN user_id % 2 = 0 THEN 50.0::DOUBLE ELSE 59.94::DOUBLE END AS fps, event_id % 5 = 0 AS odd, CASE WHEN user_id % 2 = 0 THEN 50.0::DOUBLE ELSE 60.0::DOUBLE END AS ex FROM events),
+f AS (SELECT *, floor(a * CASE WHEN odd THEN 30.0::DOUBLE ELSE ex END) AS fa, floor(b * CASE WHEN odd THEN 30.0::DOUBLE ELSE ex END) AS fb FROM s)"""
+add("q_duration_facts", lambda s, d: G.duration_facts(*annotated(s, d)), f"""{_ANNOTATED}, w AS (SELECT *, lead(a) OVER k AS a2, lead(b) OVER k AS b2 FROM s WINDOW k AS (PARTITION BY vid ORDER BY a, b)),
+o AS (SELECT *, least(b, b2) - greatest(a, a2) AS o, greatest(least(b - a, b2 - a2), 1e-9) AS shorter FROM w)
+SELECT vid AS video_id, count(*) AS n, count(*) FILTER (b - a < 0.4) AS n_short, count(*) FILTER (b > 900) AS n_past_end, count(*) FILTER (a2 IS NOT NULL AND o > 0) AS n_overlap, count(*) FILTER (a2 IS NOT NULL AND o > 0 AND o / shorter > 0.5) AS n_over_half FROM o GROUP BY vid""")
+add("q_rate_search", lambda s, d: G.rate_search(*annotated(s, d)).withColumn("reproduced", F.round("reproduced", 9)), f"{_ANNOTATED} SELECT rate, round(avg(CAST(abs(floor(a * r) - fa) <= 1 AND abs(floor(b * r) - fb) <= 1 AS INT)), 9) AS reproduced FROM (SELECT *, unnest([{{'rate': 'official', 'r': fps}}, {{'rate': 'flat 60', 'r': 60.0::DOUBLE}}, {{'rate': 'flat 50', 'r': 50.0::DOUBLE}}, {{'rate': 'flat 59.9401', 'r': 60000 / 1001.0::DOUBLE}}, {{'rate': 'extraction', 'r': ex}}], recursive := true) FROM f) GROUP BY rate")
+
+
+def inertial(spark, sf_dir):
+    e = V.table(spark, sf_dir, "events")
+    x = lambda k: (F.col("value") / 50 - (F.col("event_id") % k)).alias
+    s = e.select(F.concat(F.lit("v"), (F.col("user_id") % 5).cast("string")).alias("video_id"), F.when(F.col("event_id") % 2 == 0, "gyro").otherwise("accel").alias("stream_id"), (F.col("event_id") * 5).cast("double").alias("ms"), x(2)("x"), x(3)("y"), x(5)("z"))
+    return G.inertial_facts(s).withColumns({c: F.round(c, 6) for c in ("hz", "p50", "p99", "largest", "mean_norm")})
+
+
+add("q_inertial_facts", inertial, """WITH s AS (SELECT 'v' || (user_id % 5) AS vid, CASE WHEN event_id % 2 = 0 THEN 'gyro' ELSE 'accel' END AS st, event_id * 5.0::DOUBLE AS ms, value / 50 - event_id % 2 AS x, value / 50 - event_id % 3 AS y, value / 50 - event_id % 5 AS z FROM events),
+a AS (SELECT vid, st, count(*) AS n, (max(ms) - min(ms)) / 1000 AS span, avg(sqrt(x * x + y * y + z * z)) AS m FROM s GROUP BY ALL),
+v AS (SELECT vid, st, quantile_cont(abs(v), 0.5) AS p50, quantile_cont(abs(v), 0.99) AS p99, max(abs(v)) AS top FROM (SELECT vid, st, unnest([x, y, z]) AS v FROM s) GROUP BY ALL)
+SELECT vid AS video_id, st AS stream_id, n, round(n / span, 6) AS hz, round(p50, 6) AS p50, round(p99, 6) AS p99, round(top, 6) AS largest, round(m, 6) AS mean_norm, CASE WHEN st = 'gyro' THEN CASE WHEN top < 40 THEN 'rad/s' ELSE 'deg/s' END WHEN m BETWEEN 7 AND 12 THEN 'm/s^2' ELSE 'unknown' END AS unit FROM a JOIN v USING (vid, st)""")

@@ -10,10 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from kinelake.operators.rules import CONTINUOUS, Tables
+from kinelake.operators.rules import CAMERA, CHANNEL, CONTINUOUS, Tables
 
-CHANNEL = "embodiment string, signal string, channel string, pos int, is_physical boolean, is_delta boolean, min double, max double, space string, role string, origin string, unit string, phys_ordinal int"
-CAMERA = "array<struct<name:string,encoding:string,is_present:boolean,n_frames:bigint>>"
 #: Declared rate of the event stream's episodes: one event in six hours.
 RATE = 1 / 21600
 

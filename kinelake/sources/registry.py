@@ -12,7 +12,7 @@ from dataclasses import replace
 from pyspark.sql import DataFrame, SparkSession
 
 from kinelake.operators import rules as R
-from kinelake.plans.surrogate import CHANNEL
+from kinelake.operators.rules import CHANNEL
 
 SETTINGS = ("source_id", "kind", "uri", "revision", "licence", "embodiment", "max_episodes", "enabled")
 

@@ -38,10 +38,11 @@ def read_inertial(spark: SparkSession, root: str) -> DataFrame:
     """(video_id, stream_id, ms, x, y, z) of all sensors' files <video>-<sensor>.csv below a root, columns by name."""
     out = None
     for stream, (file, columns) in INERTIAL.items():
-        rows = spark.read.csv(root, header=True, pathGlobFilter=f"*-{file}.csv", recursiveFileLookup=True)
-        name = F.regexp_extract(F.input_file_name(), rf"([^/]+)-{file}[.]csv$", 1)
-        if "Milliseconds" not in rows.columns:  # no such files
+        which = {"pathGlobFilter": f"*-{file}.csv", "recursiveFileLookup": True}
+        if not spark.read.format("binaryFile").options(**which).load(root).select("path").take(1):  # no such files
             continue
+        rows = spark.read.csv(root, header=True, **which)
+        name = F.regexp_extract(F.input_file_name(), rf"([^/]+)-{file}[.]csv$", 1)
         one = rows.select(name.alias("video_id"), F.lit(stream).alias("stream_id"), F.col("Milliseconds").cast("double").alias("ms"), *[F.col(c).cast("double").alias(a) for c, a in zip(columns, "xyz", strict=True)])
         out = one if out is None else out.unionByName(one)
     return spark.createDataFrame([], "video_id string, stream_id string, ms double, x double, y double, z double") if out is None else out

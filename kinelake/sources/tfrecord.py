@@ -2,14 +2,19 @@
 
 A record is its length (u64), a checksum of it (u32), the payload and a checksum (u32); checksums are not read, and a
 shard that ends inside a record ends there. The payload is a map of features, each a list of bytes, floats or unsigned
-varints. A shard file is a partition: `spark.read.format("tfrecord")` streams it record by record.
+varints. A shard file is a partition: `spark.read.format("tfrecord")` holds one record of it at a time. Where executors
+do not mount the shards, `read` gets them through Spark, a whole shard at a time.
 """
 
 from __future__ import annotations
 
+import io
 import struct
 from collections.abc import Iterator
+from decimal import Decimal
+from typing import BinaryIO
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
@@ -18,14 +23,14 @@ FEATURES = "map<string,struct<kind:string,floats:array<double>,ints:array<decima
 SCHEMA = f"path string, record long, features {FEATURES}"
 
 
-def records(data: memoryview) -> Iterator[memoryview]:
-    at = 0
-    while at + 12 <= len(data):
-        (n,) = struct.unpack_from("<Q", data, at)
-        if at + 16 + n > len(data):
+def records(stream: BinaryIO) -> Iterator[memoryview]:
+    """The payloads of a shard, one after the other."""
+    while len(head := stream.read(12)) == 12:
+        (n,) = struct.unpack_from("<Q", head)
+        body = stream.read(n + 4)
+        if len(body) < n + 4:
             return
-        yield data[at + 12 : at + 12 + n]
-        at += 16 + n
+        yield memoryview(body)[:n]
 
 
 def _varint(data: memoryview, at: int) -> tuple[int, int]:
@@ -86,10 +91,8 @@ def example(data: memoryview) -> dict[str, tuple]:
     return out
 
 
-def decode(data: bytes) -> Iterator[tuple]:
-    from decimal import Decimal
-
-    for k, payload in enumerate(records(memoryview(data))):
+def decode(stream: BinaryIO) -> Iterator[tuple]:
+    for k, payload in enumerate(records(stream)):
         yield k, {name: (kind, f, [Decimal(i) for i in ints], b) for name, (kind, f, ints, b) in example(payload).items()}
 
 
@@ -112,9 +115,8 @@ class Reader(DataSourceReader):
 
     def read(self, partition: Shard):
         with open(partition.path, "rb") as f:
-            data = f.read()
-        for k, features in decode(data):
-            yield partition.path, k, features
+            for k, features in decode(f):
+                yield partition.path, k, features
 
 
 class TFRecordSource(DataSource):
@@ -133,14 +135,13 @@ class TFRecordSource(DataSource):
 
 def read(spark: SparkSession, path: str) -> DataFrame:
     """Records of all shards below a path on any store that Spark reads; a shard is decoded where it is read."""
-    import pandas as pd
-
     shards = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.tfrecord*").load(path).select("path", "content")
 
     def run(batches):
         for batch in batches:
-            rows = [(p, k, f) for p, data in zip(batch["path"], batch["content"], strict=True) for k, f in decode(data)]
-            yield pd.DataFrame(rows, columns=["path", "record", "features"])
+            for path, data in zip(batch["path"], batch["content"], strict=True):
+                for k, features in decode(io.BytesIO(data)):
+                    yield pd.DataFrame([(path, k, features)], columns=["path", "record", "features"])
 
     return shards.mapInPandas(run, SCHEMA)
 
@@ -189,45 +190,3 @@ def instruction(texts: Column) -> Column:
 def boundary(is_last: Column, is_terminal: Column) -> Column:
     """Truncated: it has a last step and none that is terminal."""
     return F.exists(is_last, lambda x: x != 0) & ~F.coalesce(F.exists(is_terminal, lambda x: x != 0), F.lit(False))
-
-
-def write(path: str, examples: list[dict[str, list]]) -> None:
-    """A shard for tests: features of floats, ints or bytes, with right checksums."""
-
-    def varint(n: int) -> bytes:
-        out = bytearray()
-        while n >= 0x80:
-            out.append(n & 0x7F | 0x80)
-            n >>= 7
-        return bytes([*out, n])
-
-    def block(number: int, data: bytes) -> bytes:
-        return varint(number << 3 | 2) + varint(len(data)) + data
-
-    table = []
-    for n in range(256):
-        for _ in range(8):
-            n = n >> 1 ^ (0x82F63B78 if n & 1 else 0)
-        table.append(n)
-
-    def masked(data: bytes) -> int:
-        c = 0xFFFFFFFF
-        for b in data:
-            c = c >> 8 ^ table[(c ^ b) & 255]
-        c ^= 0xFFFFFFFF
-        return ((c >> 15 | c << 17) + 0xA282EAD8) & 0xFFFFFFFF
-
-    with open(path, "wb") as f:
-        for ex in examples:
-            entries = b""
-            for name, values in ex.items():
-                if values and isinstance(values[0], bytes):
-                    feat = block(1, b"".join(block(1, v) for v in values))
-                elif values and isinstance(values[0], float):
-                    feat = block(2, block(1, struct.pack(f"<{len(values)}f", *values)))
-                else:
-                    feat = block(3, block(1, b"".join(varint(v & (2**64 - 1)) for v in values)))
-                entries += block(1, block(1, name.encode()) + block(2, feat))
-            payload = block(1, entries)
-            head = struct.pack("<Q", len(payload))
-            f.write(head + struct.pack("<I", masked(head)) + payload + struct.pack("<I", masked(payload)))

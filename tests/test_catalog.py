@@ -16,6 +16,7 @@ from kinelake.operators import sampler as G
 from kinelake.plans import catalog
 from kinelake.sources import segments, store, tfrecord
 from kinelake.sources import vector_parquet as P
+from tests import shards
 
 SF = "/root/testdata/sf0.001"
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
@@ -207,7 +208,7 @@ def test_work_list_leaves_fresh_ones_out(spark):
 def test_tfrecord_shards_both_ways(spark, tmp_path):
     steps = {"steps/is_last": [0, 0, 1, 1], "steps/action/world_vector": [1.0, 2.0, 3.0, 4.0, 5.0, 6.0, 7.0, 8.0, 9.0, 0.0, 0.0, 0.0], "steps/text": [b"go"] * 4, "big": [2**64 - 1]}
     path = str(tmp_path / "x.tfrecord-00000")
-    tfrecord.write(path, [steps, steps])
+    shards.write(path, [steps, steps])
     with open(path, "ab") as f:
         f.write(b"\x10\x00\x00")  # a record that was cut off
     spark.dataSource.register(tfrecord.TFRecordSource)

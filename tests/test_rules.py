@@ -3,7 +3,7 @@
 import pytest
 
 from kinelake.operators import rules as R
-from kinelake.plans.surrogate import CAMERA, CHANNEL
+from kinelake.operators.rules import CAMERA, CHANNEL
 
 NAN = float("nan")
 CAPS = ["has_action", "has_state", "has_gripper", "has_video", "has_camera_pose", "has_termination_signal", "is_segment"]
