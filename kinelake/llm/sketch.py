@@ -11,10 +11,12 @@ Equal texts have equal fingerprints. Likeness of two texts whose sketches are bo
 shingles and 0 if one has; if both have some but none was retained, it is 0 unless the fingerprints' texts are equal.
 
 `chained` compares each document with the one behind it in descending doc_id without a global sort on one task:
-documents are dealt out by ranges of doc_id, and each range also gets the first row of the range behind it.
+documents are dealt out by ranges of doc_id, and each range also gets the first row of the range behind it. An id that
+very many rows share fills several ranges, by the texts' md5.
 
-Defined results: a null text is empty; repeated doc_ids follow each other in the order of their texts; a null doc_id
-comes last; a single document is its own next one.
+Defined results: a null text is empty; repeated doc_ids follow each other in the order of their texts' md5 and then of
+the texts; a null doc_id comes last; a single document is its own next one; an empty table gives an empty one; only the id and the text of docs
+are read, so that other columns do not matter; texts of any length are read whole, in one row.
 """
 
 from __future__ import annotations
@@ -85,17 +87,22 @@ def merge(a: Column, b: Column) -> Column:
     return F.concat(F.lit(":"), F.array_join(F.array_sort(F.array_union(hashes(a), hashes(b))), ","))
 
 
+#: What a null doc_id counts as in the order of ids.
+NONE = -(2**63)
+
+
 def edges(docs: DataFrame, n: int) -> list[int]:
+    """Ids that part the documents into ranges of like size; an id is there as often as it would fill ranges by itself."""
     at = ", ".join(f"{k / n:.6f}d" for k in range(1, n))
-    found = docs.agg(F.expr(f"percentile_approx(doc_id, array({at}), {10 * n})")).first()[0] if n > 1 else []
-    return sorted(set(found or []))
+    found = docs.agg(F.expr(f"percentile_approx(coalesce(doc_id, {NONE}L), array({at}), {10 * n})")).first()[0] if n > 1 else []
+    return sorted(found or [])
 
 
-def _not_above(cut: list[int], x: Column) -> Column:
-    """How many of the ascending numbers are not above x: whole blocks by their last number, then within one block, so
-    that a row costs twice the square root of their number."""
+def _count(cut: list[int], x: Column, upto: bool) -> Column:
+    """How many of the ascending numbers are below x, or not above it: whole blocks by their last number, then within one
+    block, so that a row costs twice the square root of their number."""
     m = int(len(cut) ** 0.5) + 1
-    count = lambda a: F.size(F.filter(a, lambda c: c <= x))
+    count = lambda a: F.size(F.filter(a, (lambda c: c <= x) if upto else (lambda c: c < x)))
     numbers = lambda v: F.array(*[F.lit(c).cast("long") for c in v]) if v else F.array().cast("array<long>")
     return _let_one(count(numbers(cut[m - 1 :: m])), lambda b: b * m + count(F.slice(numbers(cut), b * m + 1, m)))
 
@@ -110,11 +117,13 @@ def chained(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> tupl
     Also has each range's number, and as a guest the first row of the range behind it; the window is the order of all
     rows of a range, so that other columns can be taken from the next document too before guests are left out."""
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    docs = docs.withColumn("_tie", F.md5("text"))
     cut = edges(docs, n_partitions(docs.sparkSession))
-    # ranges in descending order; the null ids' range is the last one
-    last = len(cut)
-    place = F.lit(last) - _not_above(cut, F.col("doc_id")) if cut else F.lit(0)
-    placed = docs.withColumn("_part", F.when(F.col("doc_id").isNull(), F.lit(last)).otherwise(place).cast("int"))
+    # ranges in descending order of ids; one id's rows in ascending order of the tie over all ranges that it fills
+    last, key = len(cut), F.coalesce("doc_id", F.lit(NONE))
+    part = F.conv(F.substring("_tie", 1, 8), 16, 10).cast("double") / 2.0**32
+    rank = _let_one(F.struct(_count(cut, key, False).alias("low"), _count(cut, key, True).alias("high")), lambda c: F.when(c["low"] == c["high"], c["low"]).otherwise(c["high"] - F.floor(part * (c["high"] - c["low"]))))
+    placed = docs.withColumn("_part", (F.lit(last) - rank if cut else F.lit(0)).cast("int"))
     heads = placed.groupBy("_part").agg(F.max("doc_id").alias("top"), F.count("*").alias("n")).collect()  # a row per range
     used = sorted(h["_part"] for h in heads)
     top = {h["_part"]: h["top"] for h in heads}
@@ -122,10 +131,10 @@ def chained(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> tupl
     rows = placed.sparkSession.createDataFrame([(p, top[p], before[p]) for p in used], "_p int, _top long, _before int")
     first = placed.join(F.broadcast(rows), (F.col("_part") == F.col("_p")) & F.col("doc_id").eqNullSafe(F.col("_top")))
     # one row stands for the first of a range: of equal doc_ids the first text
-    first = first.groupBy("_before", "doc_id").agg(F.min("text").alias("text")).select("doc_id", "text", F.col("_before").alias("_part"), F.lit(True).alias("_guest"))
-    all_ = placed.select("doc_id", "text", "_part", F.lit(False).alias("_guest")).unionByName(first).repartitionById(last + 1, F.col("_part"))
-    order = Window.partitionBy("_part").orderBy("_guest", F.desc_nulls_last("doc_id"), "text")
-    return all_.withColumn("next_text", F.lead("text").over(order)).select("doc_id", "text", "next_text", "_part", "_guest"), order
+    first = first.groupBy("_before", "doc_id").agg(F.min(F.struct("_tie", "text")).alias("x")).select("doc_id", "x.text", "x._tie", F.col("_before").alias("_part"), F.lit(True).alias("_guest"))
+    all_ = placed.select("doc_id", "text", "_tie", "_part", F.lit(False).alias("_guest")).unionByName(first).repartitionById(last + 1, F.col("_part"))
+    order = Window.partitionBy("_part").orderBy("_guest", F.desc_nulls_last("doc_id"), "_tie", "text")
+    return all_.withColumn("next_text", F.lead("text").over(order)).select("doc_id", "text", "_tie", "next_text", "_part", "_guest"), order
 
 
 def op5_sketch(spark, sf_dir: str) -> DataFrame:
@@ -141,7 +150,7 @@ def edited(docs: DataFrame) -> DataFrame:
     swap = F.floor(n / 3).cast("int")
     new = F.concat(F.col("text").substr(F.lit(1), n - swap), F.coalesce(F.col("next_text"), F.lit("")).substr(F.lit(1), swap))
     made = found.select(
-        "doc_id", "text", "_part", "_guest", n.cast("long").alias("n_chars"), F.sha2(new, 256).alias("edited_sha256"), fingerprint(F.col("text")).alias("fingerprint"), F.when(~F.col("_guest"), fingerprint(new)).alias("edited_fingerprint"),
+        "doc_id", "text", "_tie", "_part", "_guest", n.cast("long").alias("n_chars"), F.sha2(new, 256).alias("edited_sha256"), fingerprint(F.col("text")).alias("fingerprint"), F.when(~F.col("_guest"), fingerprint(new)).alias("edited_fingerprint"),
     )
     both = made.withColumn("_next", F.lead("fingerprint").over(order)).filter("NOT _guest")
     return both.select(
@@ -150,27 +159,30 @@ def edited(docs: DataFrame) -> DataFrame:
     )
 
 
-_FP = """CAST(len({l}) AS VARCHAR) || ':' || array_to_string(list_sort(list_filter({l}, lambda h: h < '{below}')), ',')"""
-_LIST = """list_distinct(CASE WHEN len({w}) = 0 THEN []::VARCHAR[] ELSE list_transform(range(1, greatest(len({w}) - {m}, 1) + 1), lambda i: md5(array_to_string({w}[i : i + {m}], ' '))[1:{d}]) END)"""
-_SPLIT = """list_filter(regexp_split_to_array(translate({t}, '{u}', '{l}'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '')"""
-
-
 def _sql() -> str:
-    split = lambda t: _SPLIT.format(t=t, u=UPPER, l=LOWER)
-    hashed = lambda w: _LIST.format(w=w, m=WORDS - 1, d=DIGITS)
+    """Words as rows, shingles by windows over them, sketches by groups: no list is read more than once."""
     below = f"{SIXTEENTHS:x}"
-    kept = lambda c: f"list_filter({c}, lambda h: h < '{below}')"
-    near = lambda f, g, a, b: f"CASE WHEN {f} = {g} THEN 1.0::DOUBLE WHEN len({a}) + len({b}) = 0 THEN 0.0::DOUBLE ELSE len(list_intersect({a}, {b}))::DOUBLE / (len({a}) + len({b}) - len(list_intersect({a}, {b}))) END"
+    split = f"list_filter(regexp_split_to_array(translate(x, '{UPPER}', '{LOWER}'), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '')"
+    run = ", ".join(["w", *[f"lead(w, {k}) OVER q" for k in range(1, WORDS)]])
+    near = lambda same, a, b, both: f"CASE WHEN {same} THEN 1.0::DOUBLE WHEN {a} + {b} = 0 THEN 0.0::DOUBLE ELSE {both}::DOUBLE / ({a} + {b} - {both}) END"
     return f"""
-WITH d AS (SELECT row_number() OVER (ORDER BY doc_id DESC NULLS LAST, coalesce(text, '')) AS r, doc_id, coalesce(text, '') AS text FROM documents),
-n AS (SELECT d.r, d.doc_id, d.text, length(d.text) AS n, e.text AS nxt FROM d JOIN d AS e ON e.r = CASE WHEN d.r = (SELECT max(r) FROM d) THEN 1 ELSE d.r + 1 END),
-e AS (SELECT *, substr(text, 1, n - n // 3) || substr(nxt, 1, n // 3) AS edit FROM n),
-w AS (SELECT r, doc_id, n, edit, {split("text")} AS w, {split("edit")} AS we FROM e),
-h AS (SELECT r, doc_id, n, sha256(edit) AS sha, {hashed("w")} AS l, {hashed("we")} AS le FROM w),
-f AS (SELECT r, doc_id, n, sha, {_FP.format(l="l", below=below)} AS fp, {_FP.format(l="le", below=below)} AS fe, {kept("l")} AS a, {kept("le")} AS b FROM h)
-SELECT f.doc_id, CAST(f.n AS BIGINT) AS n_chars, f.sha AS edited_sha256, f.fp AS fingerprint, f.fe AS edited_fingerprint,
-       {near("f.fp", "f.fe", "f.a", "f.b")} AS near_edited, {near("f.fp", "g.fp", "f.a", "g.a")} AS near_next
-FROM f JOIN f AS g ON g.r = CASE WHEN f.r = (SELECT max(r) FROM d) THEN 1 ELSE f.r + 1 END
+WITH d AS (SELECT row_number() OVER (ORDER BY doc_id DESC NULLS LAST, md5(coalesce(text, '')), coalesce(text, '')) AS r, doc_id, coalesce(text, '') AS text FROM documents),
+n AS (SELECT d.r, e.r AS r2, d.doc_id, d.text, length(d.text) AS n, e.text AS nxt FROM d JOIN d AS e ON e.r = CASE WHEN d.r = (SELECT max(r) FROM d) THEN 1 ELSE d.r + 1 END),
+e AS MATERIALIZED (SELECT r, r2, doc_id, n, text, substr(text, 1, n - n // 3) || substr(nxt, 1, n // 3) AS edit FROM n),
+t AS (SELECT r, 0 AS k, text AS x FROM e UNION ALL SELECT r, 1, edit FROM e),
+l AS MATERIALIZED (SELECT r, k, {split} AS ws FROM t),
+w AS (SELECT r, k, len(ws) AS m, unnest(ws) AS w, generate_subscripts(ws, 1) AS i FROM l),
+g AS (SELECT r, k, m, i, concat_ws(' ', {run}) AS s FROM w WINDOW q AS (PARTITION BY r, k ORDER BY i)),
+h AS MATERIALIZED (SELECT DISTINCT r, k, md5(s)[1:{DIGITS}] AS h FROM g WHERE i <= greatest(m - {WORDS - 1}, 1)),
+f AS MATERIALIZED (SELECT r, k, count(*) || ':' || coalesce(string_agg(h, ',' ORDER BY h) FILTER (h < '{below}'), '') AS fp, count(*) FILTER (h < '{below}') AS c FROM h GROUP BY r, k),
+p AS (SELECT e.r, coalesce(a.fp, '0:') AS fa, coalesce(b.fp, '0:') AS fb, coalesce(g.fp, '0:') AS fg, coalesce(a.c, 0) AS ca, coalesce(b.c, 0) AS cb, coalesce(g.c, 0) AS cg
+      FROM e LEFT JOIN f a ON a.r = e.r AND a.k = 0 LEFT JOIN f b ON b.r = e.r AND b.k = 1 LEFT JOIN f g ON g.r = e.r2 AND g.k = 0),
+s AS (SELECT * FROM h WHERE h < '{below}'),
+x AS (SELECT a.r, count(*) AS n FROM s a JOIN s b ON b.r = a.r AND a.k = 0 AND b.k = 1 AND a.h = b.h GROUP BY a.r),
+y AS (SELECT e.r, count(*) AS n FROM e JOIN s a ON a.r = e.r AND a.k = 0 JOIN s b ON b.r = e.r2 AND b.k = 0 AND a.h = b.h GROUP BY e.r)
+SELECT e.doc_id, CAST(e.n AS BIGINT) AS n_chars, sha256(e.edit) AS edited_sha256, fa AS fingerprint, fb AS edited_fingerprint,
+       {near("fa = fb", "ca", "cb", "coalesce(x.n, 0)")} AS near_edited, {near("fa = fg", "ca", "cg", "coalesce(y.n, 0)")} AS near_next
+FROM e JOIN p ON p.r = e.r LEFT JOIN x ON x.r = e.r LEFT JOIN y ON y.r = e.r
 """
 
 
