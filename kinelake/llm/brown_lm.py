@@ -206,8 +206,10 @@ def learn(train: DataFrame, head: int, classed: int, core: int, classes: int, ro
     counts = keep(word_counts(train), "words")
     n_words, n_tokens, n_end = counts.agg(F.count("*"), F.coalesce(F.sum("c"), F.lit(0)), F.coalesce(F.max(F.when(F.col("word") == int(END), F.col("c"))), F.lit(0))).first()
     spark = train.sparkSession
-    top = most_frequent(counts.filter(F.col("word") != int(END)), head).toPandas().sort_values(["c", "word"], ascending=[False, True])
-    hashes, c = top["word"].to_numpy(np.int64).view(np.uint64), top["c"].to_numpy(np.int64)
+    top = most_frequent(counts.filter(F.col("word") != int(END)), head).toArrow()
+    hashes, c = top["word"].to_numpy().view(np.uint64), top["c"].to_numpy()
+    by = np.lexsort((hashes, -c))
+    hashes, c = hashes[by], c[by]
     core, classed = min(core, len(c)), min(classed, len(c))
     width = classes + 2
     lookup = spark.sparkContext.broadcast(numbered(hashes[:classed]))
@@ -312,10 +314,10 @@ def learn(train: DataFrame, head: int, classed: int, core: int, classes: int, ro
     known = keep(dealt.mapInArrow(assigned, "word long, c long, state int"), "classes")
     if len(c) > classed:
         # a word of the head is one of at least its rarest word's count
-        told = known.filter(F.col("c") >= int(c[-1])).toPandas()
-        place = numbered(hashes).find(told["word"].to_numpy(np.int64).view(np.uint64))
+        told = known.filter(F.col("c") >= int(c[-1])).select("word", "state").toArrow()
+        place = numbered(hashes).find(told["word"].to_numpy().view(np.uint64))
         state = np.append(state, np.zeros(len(c) - classed, np.int64))
-        state[place] = told["state"]
+        state[place] = told["state"].to_numpy()
     return Classes(hashes, c, state, joint, known, classed, int(n_tokens), int(n_words), int(n_end))
 
 

@@ -226,9 +226,9 @@ def _sets_of(docs: DataFrame, ids: DataFrame, n: int, classes) -> DataFrame:
     """(doc_id, set) of the documents in `ids`, and of the few that share a filter bit with one of them."""
     spark = docs.sparkSession
     bit = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS).cast("long"))
-    marks = ids.select(F.floor(bit / 32).cast("int").alias("w"), F.expr(f"shiftleft(1L, CAST(pmod(xxhash64(doc_id), {FILTER_BITS}L) % 32 AS INT))").alias("m")).groupBy("w").agg(F.bit_or("m").alias("m")).toPandas()
+    marks = ids.select(F.floor(bit / 32).cast("int").alias("w"), F.expr(f"shiftleft(1L, CAST(pmod(xxhash64(doc_id), {FILTER_BITS}L) % 32 AS INT))").alias("m")).groupBy("w").agg(F.bit_or("m").alias("m")).toArrow()
     words = np.zeros(FILTER_BITS // 32, np.uint32)
-    words[marks["w"].to_numpy(np.int64)] = marks["m"].to_numpy(np.int64).astype(np.uint32)
+    words[marks["w"].to_numpy()] = marks["m"].to_numpy().astype(np.uint32)
     marked = spark.sparkContext.broadcast(words)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
