@@ -252,6 +252,9 @@ def test_sketch_and_decontamination_equal_their_sql(spark):
     con = duckdb.connect()
     con.register("documents", pd.DataFrame(rows, columns=["doc_id", "text"]).astype({"doc_id": "Int64"}))
     con.register("benchmark", pd.DataFrame(items, columns=["item_id", "text"]).astype({"item_id": "Int64"}))
+    heavy = docs.unionByName(docs_of(spark, [(25, f"many rows share this id {k}") for k in range(80)] + [(None, f"or have none {k}") for k in range(60)]))
+    con.register("documents_", heavy.toPandas()[["doc_id", "text"]].astype({"doc_id": "Int64"}))
+    assert plain_rows(sketch.edited(heavy).toPandas()) == plain_rows(con.execute(sketch.OP5_SQL.replace("FROM documents", "FROM documents_")).df())
     for df, sql in ((sketch.edited(docs), sketch.OP5_SQL), (decontaminate.digest(decontaminate.decontaminate(docs, bench, columns=["doc_id"], block_windows=4)), decontaminate.OP9_SQL)):
         got, want = df.toPandas(), con.execute(sql).df()
         assert plain_rows(got) == plain_rows(want)
@@ -331,9 +334,163 @@ def test_token_files_give_back_every_document(spark):
     assert dac.read(spark, empty).count() == 0
 
 
+    # an id of many rows is parted over shards; any token can be had by its place
+    many = [(7, f"text number {k}") for k in range(60)] + [(None, f"no id {k}") for k in range(40)] + [(i, "word " * i) for i in range(30)]
+    parted = new_path(spark, "dac")
+    dac.write(docs_of(spark, many), path, parted, 6, block_tokens=30)
+    found = sorted(dac.read(spark, parted).collect(), key=lambda r: r["start"])
+    key = [(r["doc_id"] is not None, r["doc_id"] or 0) for r in found]
+    assert key == sorted(key) and Counter(key) == Counter((i is not None, i or 0) for i, _ in many)
+    assert spark.read.parquet(parted).select("shard").distinct().count() > 3
+    crc = {r["ids_crc32"] for r in found}
+    assert crc == {zlib.crc32(np.array([*whole.encode(t, add_special_tokens=False).ids, 1], "<u4").tobytes()) for _, t in many}
+    n = sum(r["n_tokens"] for r in found)
+    got = {r["place"]: r["token"] for r in dac.tokens_at(spark.range(-2, n + 3).toDF("place"), parted).collect()}
+    assert len(got) == n + 5 and got[-1] is None and got[n] is None
+    for r in found:
+        ids = np.array([got[r["start"] + k] for k in range(r["n_tokens"])], "<u4")
+        assert zlib.crc32(ids.tobytes()) == r["ids_crc32"]
+
+
+# ---------------------------------------------------------------- names that clash, empty tables, long texts
+
+
+def clashing(docs):
+    names = "lang_pred score expected_grade p_tail keep predicted n_card n_email _found _parts _kinds _new _told _row _node n_words hit_spans hit_items decoded tokens held_out n_tokens states tail component_id".split()
+    return docs.withColumns({n: F.lit(n) for n in names})
+
+
+def models(spark):
+    train = docs_of(spark, [(i, "the and of to in " * 4) for i in range(6)])
+    labels = spark.createDataFrame([(i, i % 2, i % 2) for i in range(6)], "doc_id long, quality int, toxic int")
+    return lang_id.fit(train), quality.fit(train, labels), toxicity.fit(train, labels)
+
+
+def test_columns_that_are_called_as_outputs(spark):
+    docs = clashing(docs_of(spark, ODD))
+    lang, grades, toxic = models(spark)
+    ranks, pattern = byte_bpe.production()
+    bench = spark.createDataFrame([(1, "word word word")], "item_id long, text string")
+    made = {
+        "lang_pred": lang_id.identify(docs, lang), "p_tail": quality.grade(docs, grades), "predicted": toxicity.assess(docs, toxic), "n_card": pii.pseudonymise(docs, "k"),
+        "hit_spans": decontaminate.decontaminate(docs, bench, clean=True), "tokens": byte_bpe.encode(docs, ranks, pattern, out="tokens", decoded="decoded"),
+    }
+    for name, df in made.items():
+        rows = df.collect()
+        assert len(rows) == len(ODD) and sorted(df.columns) == sorted(set(df.columns)), name
+        assert all(r[name] != name for r in rows) and {r["_row"] for r in rows} == {"_row"} and {r["_told"] for r in rows} == {"_told"}
+    assert {r["n_card"] for r in made["n_card"].collect()} == {0, 1} and {r["_found"] for r in made["n_card"].collect()} == {"_found"}
+    plain = docs_of(spark, ODD)
+    for f in (lambda d: jaccard_join.jaccard_components(d, 3, 90), lambda d: brown_lm.score(d, brown_lm.remainder(7) == 2, head=9, classed=6, core=3, classes=2), sketch.edited):
+        assert sorted(map(str, f(docs).collect())) == sorted(map(str, f(plain).collect()))
+
+
+def test_empty_tables(spark):
+    none = docs_of(spark, [(1, "x")]).limit(0)
+    lang, grades, toxic = models(spark)
+    ranks, pattern = byte_bpe.production()
+    bench = spark.createDataFrame([(1, "word word word")], "item_id long, text string")
+    for df in (
+        jaccard_join.jaccard_components(none, 3, 90), brown_lm.score(none, F.lit(False)), byte_bpe.encode(none, ranks, pattern, decoded="back"), sketch.edited(none), lang_id.identify(none, lang), quality.grade(none, grades),
+        decontaminate.decontaminate(none, bench, clean=True), toxicity.assess(none, toxic), pii.pseudonymise(none, "k"),
+    ):
+        assert df.count() == 0
+    assert lang_id.fit(none).langs == [] and toxicity.fit(none, spark.createDataFrame([], "doc_id long, toxic int")) is None
+
+
+def test_very_long_texts(spark):
+    rnd = random.Random(8)
+    words = [f"w{rnd.randrange(30000)}" for _ in range(60000)]
+    near = words.copy()
+    near[5] = near[40000] = "changed"
+    rows = [(1, " ".join(words)), (2, " ".join(near)), (3, " ".join(words[:30000])), (4, "x" * 300_000), (5, "x" * 300_000)]
+    docs = docs_of(spark, rows)
+    assert sorted(map(tuple, jaccard_join.jaccard_components(docs, 3, 90).collect())) == plain_components(rows, 3, 90)
+    found = {r["doc_id"]: r for r in brown_lm.score(docs, F.col("doc_id") == 2, head=500, classed=60, core=20, classes=4).collect()}
+    assert found[2]["n_tokens"] == 60001 and found[2]["n_known"] == 59999 and found[4]["n_known"] == 2 and math.isfinite(found[1]["score"])
+    spans = {r["doc_id"]: r["hit_spans"] for r in decontaminate.decontaminate(docs, spark.createDataFrame([(1, " ".join(words[29990:30020]))], "item_id long, text string"), columns=["doc_id"]).collect()}
+    assert spans[1] == [29990, 30020] and spans[3] == [29990, 30000] and spans[4] == []
+    lang, grades, toxic = models(spark)
+    for df in (lang_id.identify(docs, lang), quality.grade(docs, grades), toxicity.assess(docs, toxic), pii.pseudonymise(docs, "k"), sketch.edited(docs.limit(2))):
+        assert df.count() in (5, 2)
+
+
+def test_words_that_a_polynomial_hash_takes_as_one(spark):
+    a, b = "ab", "ba"
+    for _ in range(10):
+        a, b = a + b, b + a
+    docs = docs_of(spark, [(1, a), (2, b)])
+    assert {r["component_id"] for r in jaccard_join.jaccard_components(docs, 3, 90).collect()} == {1, 2}
+    assert {r["doc_id"]: r["n_known"] for r in brown_lm.score(docs, F.col("doc_id") == 2).collect()} == {1: 2, 2: 1}
+    bench = spark.createDataFrame([(1, a)], "item_id long, text string")
+    assert {r["doc_id"]: r["hit_spans"] for r in decontaminate.decontaminate(docs, bench, columns=["doc_id"]).collect()} == {1: [0, 1], 2: []}
+
+
+def test_samples_are_of_rows_and_bounded(spark):
+    from kinelake.llm import sampling
+
+    rows = [(1, f"text {k}") for k in range(50)] + [(2, "same")] * 50
+    docs = docs_of(spark, rows).withColumn("lang", F.when(F.col("text") == "same", "xx").otherwise("en"))
+    texts, labels = sampling.own(docs, "lang", 400)
+    assert sorted(zip(texts, labels, strict=True)) == sorted({(t, "xx" if t == "same" else "en") for _, t in rows})
+    assert len(sampling.own(docs, "lang", 5)[0]) <= 20
+    labels_ = spark.createDataFrame([(1, 1)] * 40 + [(2, 0)], "doc_id long, toxic int")
+    texts, y = sampling.labelled(docs, labels_, "toxic", 60)
+    assert len(texts) == 51 and y.count(1) == 50
+    kinds = docs_of(spark, [(k, f"t{k}") for k in range(300)]).withColumn("lang", F.col("text"))
+    assert len(sampling.own(kinds, "lang", 3)[0]) == sampling.KINDS
+
+
+def test_account_numbers_before_other_words(spark):
+    texts = ["AT61 1904 3002 3457 3201 NOW", "pay GB82 WEST 1234 5698 7654 32 A1 today", "AT61 1904 3002 3457 3201 4111 1111 1111 1111", "XX12 4111 1111 1111 1111", "AB12 CDEF GHIJ KLMN", "DE89 3704 0044 0532 0130 00"]
+    got = {r["doc_id"]: r for r in pii.pseudonymise(docs_of(spark, list(enumerate(texts))), "k").collect()}
+    assert [(got[k]["n_iban"], got[k]["n_card"]) for k in range(6)] == [(1, 0), (1, 0), (1, 1), (0, 1), (0, 0), (1, 0)]
+    for k, gone in ((0, "1904 3002"), (1, "1234 5698"), (2, "1904 3002"), (2, "4111 1111"), (3, "4111 1111"), (5, "3704 0044")):
+        assert gone not in got[k]["text"] and len(got[k]["text"]) == len(texts[k])
+    assert got[0]["text"].endswith(" NOW") and got[1]["text"].endswith(" A1 today") and got[4]["text"] == texts[4]
+
+
 # ---------------------------------------------------------------- the pipeline
 
 
+def test_pipeline_keeps_unlike_rows_and_rejects_what_no_language_holds(spark, tmp_path):
+    import corpus_pipeline
+
+    rnd = random.Random(6)
+    en, de = ["the", "and", "of", "that", "with", "this"], ["der", "und", "die", "nicht", "auch", "eine"]
+    text = lambda v, n: " ".join(rnd.choice(v) + rnd.choice(["ing", "er", "on", ""]) for _ in range(n))
+    rows = [(i, text(en if i % 2 else de, 60), "en" if i % 2 else "de") for i in range(150)]
+    half = " ".join(text(v, 90)[:300] for _ in range(4) for v in (en, de))
+    held = next(i for i in range(200, 300) if zlib.crc32(str(i).encode()) % 4 == 2)
+    rows += [(held, half, "en"), (199, "??? 12", "en")]
+    docs = clashing(spark.createDataFrame([(i, t, g, "s", len(t or "")) for i, t, g in rows], SCHEMA))
+    kept = corpus_pipeline.language(spark, docs, "")
+    assert {r["doc_id"] for r in kept.collect()} == set(range(150)) and kept.columns == docs.columns and kept.first()["lang_pred"] == "lang_pred"
+
+    # of rows that share an id, unlike ones stay; equal ones and near copies go
+    a, b, c = text(en, 50), text(en, 50), text(de, 50)
+    rows = [(7, a), (7, b), (7, b), (8, a), (9, None), (9, None), (None, c), (None, c + " und"), (10, ""), (11, "")]
+    docs = docs_of(spark, rows)
+    got = sorted(((r["doc_id"], r["text"]) for r in corpus_pipeline.near_copies(spark, docs, "").collect()), key=str)
+    assert got == sorted([(8, a), (7, b), (9, None), (10, ""), (11, ""), min([(None, c), (None, c + " und")], key=lambda x: [r for r in got if r[1] == x[1]] == [])], key=str)
+    # against all pairs, with ids that tell rows apart
+    words = [f"w{k}" for k in range(40)]
+    base = [[rnd.choice(words) for _ in range(rnd.randint(1, 60))] for _ in range(8)]
+    rows = []
+    for i in range(60):
+        t = list(rnd.choice(base))
+        if i % 3:
+            t[rnd.randrange(len(t))] = rnd.choice(words)
+        rows.append((i, " ".join(t)))
+    left = {r["doc_id"] for r in corpus_pipeline.near_copies(spark, docs_of(spark, rows), "").collect()}
+    assert left == {root for _, _, root in plain_components(rows, 5, 80)}
+    none = docs.limit(0)
+    bench = str(tmp_path / "benchmark.parquet")
+    spark.createDataFrame([(1, "some words")], "item_id long, text string").write.parquet(bench)
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, none, str(tmp_path)).count() == 0
+
+
 def test_pipeline_stages_take_effect(spark, tmp_path):
     import corpus_pipeline
 
