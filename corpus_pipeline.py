@@ -37,21 +37,24 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return lang_id.identify(inner, model, inner.columns[kept.index("text")]).filter(sure).select(*inner.columns).toDF(*kept)
 
 
+#: Nodes of rows that a doc_id does not name: above all ids, so that a row with an id of its own stays rather than they.
+NAMELESS = 1 << 62
+
+
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps of each component of near copies the row with the smallest doc_id (nulls last), once."""
-    row = fresh("_row", docs.columns)
-    rows = docs.withColumn(row, F.xxhash64("doc_id", "text"))  # equal rows are one; of others, ids alone are moved
+    """Keeps of each component of near copies the row with the smallest doc_id, once. Rows whose doc_id is null or also
+    another row's count as nameless: they stay only where no row with an id of its own does, one for each component."""
+    node, shared, id_ = (fresh(n, docs.columns) for n in ("_node", "_shared", "_id"))
     with scratch(spark):
-        found = jaccard_join.jaccard_components(rows, SHINGLE, PERCENT, doc_id=row).select(F.col("doc_id").alias("r"), F.col("component_id").alias("c"))
-        named = rows.select(F.col(row).alias("r"), F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col(row).alias("r")).alias("by")).groupBy("r").agg(F.min("by").alias("by"), F.count("*").alias("n"))
-        told = keep(found.distinct().join(named, "r"), "told")
-        first = told.groupBy("c").agg(F.min("by")["r"].alias("first"))
-        marked = told.join(first, "c").select("r", (F.col("r") != F.col("first")).alias("gone"), (F.col("n") > 1).alias("many"))
-        marked = keep(marked.filter("gone OR many"), "marked", result=True)
-    columns = [F.col(quoted(c)) for c in docs.columns]
-    plain = rows.join(marked.select(F.col("r").alias(row)), row, "left_anti").select(*columns)
-    again = rows.join(marked.filter("NOT gone").select(F.col("r").alias(row)), row, "left_semi").dropDuplicates([row]).select(*columns)
-    return plain.unionByName(again)
+        twice = docs.groupBy(F.col("doc_id").alias(id_)).agg(F.count("*").alias("n")).filter(f"n > 1 OR {id_} IS NULL").select(id_, F.lit(True).alias(shared))
+        twice = keep(twice, "twice", result=True)
+        named = docs.join(twice, F.col("doc_id").eqNullSafe(F.col(id_)), "left").withColumn(shared, F.coalesce(shared, F.lit(False)))
+        rows = named.withColumn(node, F.when(F.col(shared), NAMELESS + F.shiftrightunsigned(F.xxhash64("doc_id", "text"), 3)).otherwise(F.col("doc_id")))
+        found = jaccard_join.jaccard_components(rows, SHINGLE, PERCENT, doc_id=node)
+        gone = keep(found.filter("component_id <> doc_id").select(F.col("doc_id").alias(node)).distinct(), "gone", result=True)
+    left = rows.join(gone, node, "left_anti")
+    once = left.filter(~F.col(shared)).unionByName(left.filter(F.col(shared)).dropDuplicates([node]))
+    return once.select(*[F.col(quoted(c)) for c in docs.columns])
 
 
 def benchmark_free(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
