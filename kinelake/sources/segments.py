@@ -170,3 +170,10 @@ def available_layers(segments: DataFrame, inventory: DataFrame, layers: list[str
     want = F.array(*map(F.lit, layers))
     got = segments.join(have, "video_id", "left").withColumn("_have", F.coalesce("_have", F.array().cast("array<string>")))
     return got.select("episode_uid", F.array_intersect(want, "_have").alias("layers"), F.array_except(want, "_have").alias("missing"))
+
+
+def transforms(layers: DataFrame) -> DataFrame:
+    """(episode_uid, transforms): that a segment was cut out of its recording, and each enabled layer that it has not."""
+    make = lambda op, what: F.struct(F.lit(op).alias("op"), what.alias("layer"))
+    absent = F.transform("missing", lambda x: make("layer_absent", x))
+    return layers.select("episode_uid", F.concat(F.array(make("slice_segment", F.lit(None).cast("string"))), absent).alias("transforms"))

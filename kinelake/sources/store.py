@@ -36,6 +36,13 @@ def read(spark: SparkSession, path: str, source_id: str | None = None) -> DataFr
     return df if source_id is None else df.filter(F.col("source_id") == source_id)
 
 
+def write_episodes(episodes: DataFrame, frames: DataFrame, path: str) -> None:
+    """Episode records beside the frames, each with the raw columns that it has (`raw_columns`, in order of names)."""
+    names = frames.select("episode_uid", F.explode(F.map_keys("raw")).alias("c")).groupBy("episode_uid").agg(F.sort_array(F.collect_set("c")).alias("raw_columns"))
+    told = episodes.drop("raw_columns").join(names, "episode_uid", "left").withColumn("raw_columns", F.coalesce("raw_columns", F.array().cast("array<string>")))
+    write(told, path, sort=("episode_uid",))
+
+
 def unregistered(frames: DataFrame, registry: DataFrame) -> DataFrame:
     """Raw columns that an episode has and did not register, or registered and does not have."""
     have = frames.select("episode_uid", F.explode(F.map_keys("raw")).alias("column")).distinct()

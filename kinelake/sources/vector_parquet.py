@@ -57,7 +57,10 @@ def check_lengths(frames: DataFrame, episodes: DataFrame) -> DataFrame:
 
 
 def task_texts(spark: SparkSession, root: str) -> DataFrame:
-    """(task_index, task), from whichever column has the text."""
+    """(task_index, task), from whichever column has the text; no rows where the dataset has no such file."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/meta/tasks.parquet")
+    if not place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place):
+        return spark.createDataFrame([], "task_index long, task string")
     t = spark.read.parquet(f"{root}/meta/tasks.parquet")
     text = "__index_level_0__" if "__index_level_0__" in t.columns else "task"
     return t.select("task_index", F.col(text).alias("task"))
@@ -76,6 +79,20 @@ def unpack(frames: DataFrame, channels: DataFrame, embodiment: str) -> DataFrame
     return out.join(F.broadcast(declared), ["signal", "pos"]).select("episode_uid", "embodiment", "signal", "channel", "frame_idx", "t", S.finite("value").alias("value"))
 
 
+def transforms(frames: DataFrame, source: DataFrame) -> DataFrame:
+    """(episode_uid, transforms): what unpacking does to an episode: its time starts at 0 where it did not, vectors become
+    named channels, and numbers that are missing become NULL. `source` has (episode_uid, timestamp_source)."""
+    vectors = [c for c in VECTORS if c in frames.columns]
+    holes = sum((F.size(F.filter(F.col(f"`{c}`"), lambda x: F.isnan(x) | x.isNull())) for c in vectors), F.lit(0))
+    a = frames.groupBy("episode_uid").agg(F.min("timestamp").alias("t0"), F.sum(F.greatest(holes, F.lit(0))).cast("int").alias("holes")).join(source, "episode_uid")
+    make = lambda op, n, columns: F.struct(F.lit(op).alias("op"), n.cast("int").alias("n"), F.array(*map(F.lit, columns)).cast("array<string>").alias("columns"))
+    steps = [
+        F.when(F.col("t0") != 0, make("rebase_time", F.lit(None), ["timestamp"])), F.when(F.lit(bool(vectors)), make("unpack_vectors", F.lit(len(vectors)), vectors)),
+        F.when(F.col("holes") > 0, make("missing_to_null", F.col("holes"), vectors)), F.when(F.col("timestamp_source") != "real", make("clock_is_synthesized", F.lit(None), ["timestamp"])),
+    ]
+    return a.select("episode_uid", F.array_compact(F.array(*steps)).alias("transforms"))
+
+
 def check_widths(frames: DataFrame, channels: DataFrame, embodiment: str) -> DataFrame:
     """(signal, width, declared) where a vector's width is not the number of declared channels."""
     declared = channels.filter(F.col("embodiment") == embodiment).groupBy("signal").agg(F.count(F.lit(1)).alias("declared"))
@@ -97,7 +114,10 @@ def raw_frames(frames: DataFrame) -> DataFrame:
 
 
 def timestamp_source(frames: DataFrame, fps: float) -> DataFrame:
-    """(episode_uid, timestamp_source): made up if every time is exactly frame / fps in single precision."""
+    """(episode_uid, timestamp_source): made up if every time is exactly frame / fps in single precision; without numbers
+    of frames nothing says so, and it is real."""
+    if "frame_index" not in frames.columns:
+        return frames.select("episode_uid").distinct().withColumn("timestamp_source", F.lit("real"))
     made = F.col("timestamp") == (F.col("frame_index") / F.lit(float(fps))).cast("float")
     return frames.groupBy("episode_uid").agg(F.when(F.bool_and(made), f"synthesized@{fps:g}Hz").otherwise("real").alias("timestamp_source"))
 

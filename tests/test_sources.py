@@ -205,3 +205,43 @@ def test_export_lines_have_all_fields_and_an_audit(spark):
     row = G.audit(entries, None, "out/x.jsonl", "r", "balanced", 12, "now", seed=3).first()
     assert (row["export_id"], row["n_frames"], json.loads(row["stats"])["shortfall_frames"], row["seed"]) == ("x.jsonl@now", 10, 2, 3)
     assert len(G.FIELDS) == 24 and list(G.FIELDS) == sorted(G.FIELDS)
+
+
+def test_files_come_from_a_folder_or_the_cache(spark, tmp_path):
+    from kinelake.sources.upstream import NotUpstream, Upstream, fetch_all
+
+    (tmp_path / "d").mkdir()
+    (tmp_path / "d" / "x.bin").write_bytes(b"abcdef")
+    for uri in (str(tmp_path), f"file://{tmp_path}"):
+        u = Upstream("s", uri)
+        with u.stream("d/x.bin") as f:
+            assert f.read(3) == b"abc"
+        assert u.local("d/x.bin") == str(tmp_path / "d" / "x.bin") and u.has("d/x.bin") and not u.has("y")
+        with pytest.raises(NotUpstream), u.stream("y"):
+            pass
+    got = {r["path"]: r for r in fetch_all(spark.createDataFrame([("d/x.bin",), ("y",)], "path string"), Upstream("s", str(tmp_path))).collect()}
+    assert got["d/x.bin"]["error"] is None and got["y"]["place"] is None and "NotUpstream" in got["y"]["error"]
+    web = Upstream("s", "https://host.example/{revision}/data/{path}", "v 1", str(tmp_path / "cache"))
+    assert web.address("a b/c") == "https://host.example/v%201/data/a%20b/c" and Upstream("s", "https://h.example/x/").address("y") == "https://h.example/x/y"
+    os.makedirs(tmp_path / "cache" / "s" / "v 1")
+    (tmp_path / "cache" / "s" / "v 1" / "z").write_bytes(b"z")
+    assert web.local("z") == str(tmp_path / "cache" / "s" / "v 1" / "z")
+    with pytest.raises(ValueError, match="neither"):
+        Upstream("s", "http://h.example").local("x")
+
+
+def test_what_was_done_on_the_way_is_told(spark, tmp_path):
+    from kinelake.sources import vector_parquet as V
+
+    frames = spark.createDataFrame([("a", 5.0, 0, [1.0, float("nan")]), ("a", 5.1, 1, [1.0, 2.0]), ("b", 0.0, 0, [0.0, 0.0])], "episode_uid string, timestamp double, index long, action array<double>")
+    real = V.timestamp_source(frames, 10)
+    assert {r[1] for r in real.collect()} == {"real"}
+    told = {r["episode_uid"]: [(x["op"], x["n"]) for x in r["transforms"]] for r in V.transforms(frames, real).collect()}
+    assert told == {"a": [("rebase_time", None), ("unpack_vectors", 1), ("missing_to_null", 1)], "b": [("unpack_vectors", 1)]}
+    assert V.task_texts(spark, str(tmp_path)).count() == 0
+    layers = spark.createDataFrame([("a", ["imu"], ["pose"]), ("b", ["imu"], [])], "episode_uid string, layers array<string>, missing array<string>")
+    assert {r["episode_uid"]: [(x["op"], x["layer"]) for x in r["transforms"]] for r in segments.transforms(layers).collect()} == {"a": [("slice_segment", None), ("layer_absent", "pose")], "b": [("slice_segment", None)]}
+    e = spark.createDataFrame([("s", "a", 2), ("s", "b", 1)], "source_id string, episode_uid string, n_frames int")
+    raw = spark.createDataFrame([("a", {"z": 1.0, "y": 2.0}), ("a", {"z": None, "y": 2.0})], "episode_uid string, raw map<string,double>")
+    store.write_episodes(e, raw, str(tmp_path / "e"))
+    assert {r["episode_uid"]: r["raw_columns"] for r in spark.read.parquet(str(tmp_path / "e")).collect()} == {"a": ["y", "z"], "b": []}
