@@ -31,7 +31,7 @@ from pyspark.sql import types as T
 from kinelake.llm import textkit as K
 from kinelake.llm.store import quoted
 
-CHUNK, OVERLAP = 1 << 16, 1 << 10
+CHUNK, OVERLAP = 1 << 14, 1 << 9
 
 
 @functools.lru_cache(maxsize=2)
