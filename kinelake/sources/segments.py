@@ -11,7 +11,7 @@ from kinelake.functions import signals as S
 SEGMENT = {"narration_id": "string", "participant_id": "string", "video_id": "string", "start_timestamp": "string", "stop_timestamp": "string", "start_frame": "long", "stop_frame": "long", "narration": "string", "verb": "string", "verb_class": "int", "noun": "string", "noun_class": "int"}
 VIDEO = {"video_id": "string", "duration": "double", "fps": "double", "resolution": "string"}
 INERTIAL = {"gyro": ("gyro", ("GyroX", "GyroY", "GyroZ")), "accel": ("accl", ("AcclX", "AcclY", "AcclZ"))}
-#: An interval join meets in buckets of so many milliseconds.
+#: An interval join meets in buckets of so many milliseconds at least.
 BUCKET_MS = 10_000
 
 
@@ -156,10 +156,13 @@ def with_pose(frames: DataFrame, poses: DataFrame) -> DataFrame:
 def slice_samples(samples: DataFrame, segments: DataFrame) -> DataFrame:
     """Samples (video_id, ms, ...) within each segment, both ends included, on the sensor's own clock.
 
-    An interval join: both sides meet in buckets of time, so that it is an equi-join whose rows grow with the input."""
+    An interval join: both sides meet in buckets of time as long as segments are in the mean (BUCKET_MS at least), so that
+    it is an equi-join in which a segment stands in about two buckets, however long segments are."""
     s = segments.select("episode_uid", "video_id", "start_s", (F.col("start_s") * 1000).alias("_a"), (F.col("stop_s") * 1000).alias("_b"))
-    s = s.withColumn("_k", F.explode(F.sequence(F.floor(F.col("_a") / BUCKET_MS), F.floor(F.col("_b") / BUCKET_MS))))
-    joined = samples.withColumn("_k", F.floor(F.col("ms") / BUCKET_MS)).join(s, ["video_id", "_k"]).filter("ms BETWEEN _a AND _b")
+    mean = s.agg(F.avg(F.col("_b") - F.col("_a"))).first()[0]
+    bucket = max(BUCKET_MS, int(mean or 0))
+    s = s.withColumn("_k", F.explode(F.sequence(F.floor(F.col("_a") / bucket), F.floor(F.col("_b") / bucket))))
+    joined = samples.withColumn("_k", F.floor(F.col("ms") / bucket)).join(s, ["video_id", "_k"]).filter("ms BETWEEN _a AND _b")
     w = Window.partitionBy("episode_uid").orderBy("ms")
     return joined.withColumn("t", F.col("ms") / 1000 - F.col("start_s")).withColumn("sample_idx", F.row_number().over(w) - 1).drop("_a", "_b", "_k", "start_s")
 
