@@ -14,16 +14,16 @@ from contextlib import contextmanager
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinelake.operators.history import STAGES, stage_rank, upsert
+from kinelake.operators.history import STAGES, recover, stage_rank, upsert
 from kinelake.operators.order import settled
 
 PENDING = "PENDING"
 # What a run counts, and the points at which it can be made to die.
-COUNTERS = ("discovered", "skipped_already_processed", "stale_renormalize", "stale_reqc", "resumed", "fetched", "normalized", "qc_done", "committed", "failed")
-CHECKPOINTS = ("fetch.before", "fetch.after", "normalize.before", "normalize.after_write_before_commit", "qc.before", "qc.mid_rule", "qc.after_episode", "commit.after_file_before_db")
+COUNTERS = ("discovered", "skipped_already_processed", "stale_renormalize", "stale_reqc", "resumed_in_progress", "fetched", "normalized", "qc_done", "committed", "failed")
+CHECKPOINTS = ("fetch.before", "fetch.after", "normalize.before", "normalize.after_write_before_commit", "qc.before", "qc.mid_rule", "qc.after_episode_n", "commit.after_file_before_db")
 
 
 def advanced(episodes: DataFrame, to: str, run_id: str, now: Column, **changes: Column) -> DataFrame:
@@ -62,6 +62,27 @@ def expired(states: DataFrame, now: Column, owner: str) -> DataFrame:
     return states.filter(F.col("lease_owner").isNotNull() & (F.col("lease_expires_at").isNull() | (F.col("lease_expires_at") <= now) | (F.col("lease_owner") == owner)))
 
 
+def recovery(runs: DataFrame, episodes: DataFrame, states: DataFrame, readable: DataFrame, owner: str, run_id: str, now: Column) -> dict[str, DataFrame]:
+    """What a restart has to write: open runs closed, leases that nobody holds released, and episodes sent back to be
+    normalised again whose artifact (episode_uid in `readable`) will not open; and the run that it goes on from."""
+    found = recover(runs, episodes, readable, now)
+    lost = episodes.join(found["demoted"].select("episode_uid"), "episode_uid", "left_semi")
+    return {"interrupted": found["interrupted"], "resumed_from": found["resumed_from"], "released": released(expired(states, now, owner), now), "demoted": requeued(lost, "FETCHED", "unreadable artifact", run_id, now)}
+
+
+def sweep(spark: SparkSession, root: str) -> list[str]:
+    """Deletes files *.tmp below a root, which a writer that died has left; their paths."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(root)
+    fs = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    files, gone = (fs.listFiles(place, True) if fs.exists(place) else None), []
+    while files is not None and files.hasNext():
+        path = files.next().getPath()
+        if path.getName().endswith(".tmp"):
+            fs.delete(path, False)
+            gone.append(path.toString())
+    return sorted(gone)
+
+
 class Faults:
     """Ends the process at the n-th time that it comes to a checkpoint, as if it were killed; for tests of recovery."""
 
@@ -132,15 +153,16 @@ class Source:
     write: Callable[[DataFrame], None]
 
 
-def ingest(catalog: DataFrame, work: DataFrame, source: Source, run: Run, faults: Faults | None = None) -> DataFrame:
+def ingest(catalog: DataFrame, work: DataFrame, source: Source, run: Run, faults: Faults | None = None, n_discovered: int | None = None) -> DataFrame:
     """The catalog (episode_uid, status, qc_verdict, last_error, last_update_run, updated_at) after a run over the work-list
     (episode_uid, action, from_stage). Files are written before the catalog says so, so that a run that dies between
-    the two writes them again."""
+    the two writes them again. Episodes found and not on the work-list are counted as skipped."""
     faults, now = faults or Faults(), F.current_timestamp()
     count = lambda name, n: run.counters.__setitem__(name, run.counters[name] + n)
     actions = {r[0]: r[1] for r in work.groupBy("action").count().collect()}
-    for action, name in (("NEW", "discovered"), ("RESUME", "resumed"), ("REDO_NORMALIZE", "stale_renormalize"), ("REDO_QC", "stale_reqc")):
+    for action, name in (("NEW", "discovered"), ("RESUME", "resumed_in_progress"), ("REDO_NORMALIZE", "stale_renormalize"), ("REDO_QC", "stale_reqc")):
         count(name, actions.get(action, 0))
+    count("skipped_already_processed", max((n_discovered or 0) - sum(actions.values()), 0))
     state = settled(work.select("episode_uid", F.col("from_stage").alias("status")))
 
     def lose(broken: list[tuple[str, str]], rows: DataFrame) -> DataFrame:
@@ -168,9 +190,10 @@ def ingest(catalog: DataFrame, work: DataFrame, source: Source, run: Run, faults
     faults.reach("qc.before")
     with run.timed("qc"):
         verdicts, broken = apart(state, source.judge)
+        faults.reach("qc.mid_rule")
         state = lose(broken, state)
         count("qc_done", verdicts.count() if verdicts is not None else 0)
-    faults.reach("qc.after_episode")
+    faults.reach("qc.after_episode_n")
     faults.reach("commit.after_file_before_db")
     with run.timed("commit"):
         none = F.lit(None).cast("string")

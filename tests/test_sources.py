@@ -148,12 +148,12 @@ def test_a_run_takes_the_good_ones_and_tells_of_the_others(spark):
     bad = lambda df, which, what: df.withColumn("x", F.when(F.col("episode_uid") == which, F.raise_error(F.lit(what)).cast("int")).otherwise(1))
     source = L.Source(None, lambda e: bad(e, "e7", "gone"), lambda e: bad(e, "e3", "odd width"), lambda e: e.select("episode_uid", F.lit("PASS").alias("qc_verdict")), lambda rows: written.append({r[0] for r in rows.select("episode_uid").collect()}))
     run = L.Run("r1")
-    out = {r["episode_uid"]: r for r in L.ingest(catalog, work, source, run).collect()}
+    out = {r["episode_uid"]: r for r in L.ingest(catalog, work, source, run, n_discovered=12).collect()}
     assert {k for k, r in out.items() if r["status"] == "FAILED"} == {"e3", "e7"} and out["old"]["last_update_run"] == "r0"
     assert all(out[n]["status"] == "COMMITTED" and out[n]["qc_verdict"] == "PASS" for n in names if n not in ("e3", "e7"))
     assert "odd width" in out["e3"]["last_error"] and written == [set(names) - {"e3", "e7"}]
     stats = run.stats()
-    assert {k: v for k, v in stats["counters"].items() if v} == {"discovered": 8, "resumed": 1, "fetched": 7, "normalized": 7, "qc_done": 7, "committed": 7, "failed": 2}
+    assert {k: v for k, v in stats["counters"].items() if v} == {"discovered": 8, "skipped_already_processed": 3, "resumed_in_progress": 1, "fetched": 7, "normalized": 7, "qc_done": 7, "committed": 7, "failed": 2}
     assert stats["stage_calls"] == dict.fromkeys(("fetch", "normalize", "qc", "commit"), 1) and len(stats["failures"]) == 2 and all(v >= 0 for v in stats["stage_seconds"].values())
     assert L.ingest(catalog, work.limit(0), source, L.Run("r2")).count() == 2
 
@@ -183,6 +183,19 @@ def test_changes_of_stage_and_leases(spark):
     assert L.expired(L.released(taken, now()), now(), "w").count() == 0
 
 
+def test_a_restart_mends_what_the_last_run_left(spark, tmp_path):
+    runs = spark.createDataFrame([("r1", "t1", 1, "t2", "COMPLETED"), ("r2", "t3", 2, None, "RUNNING"), ("r3", "t4", 3, None, "RUNNING")], "run_id string, started_at string, seq int, finished_at string, status string")
+    e = spark.createDataFrame([("a", "NORMALIZED", "PASS", None, "r3", None), ("b", "QC_DONE", "PASS", None, "r3", None), ("c", "COMMITTED", "PASS", None, "r3", None)], CATALOG)
+    states = L.leased(e, spark.createDataFrame([], "episode_uid string, attempt int"), "w", now(), 60)
+    got = {k: sorted(map(tuple, v.collect())) for k, v in L.recovery(runs, e, states, spark.createDataFrame([("b",)], "episode_uid string"), "w", "r4", now()).items()}
+    assert [r[0] for r in got["interrupted"]] == ["r2", "r3"] and [r[0] for r in got["resumed_from"]] == ["r3"] and [r[0] for r in got["released"]] == ["a", "b", "c"]
+    assert [r[:3] for r in got["demoted"]] == [("a", "FETCHED", "PENDING")]
+    (tmp_path / "x").mkdir()
+    for name in ("x/a.tmp", "b.tmp", "x/c"):
+        (tmp_path / name).write_text("")
+    assert [p.rpartition("/")[2] for p in L.sweep(spark, str(tmp_path))] == ["b.tmp", "a.tmp"] and os.path.exists(tmp_path / "x" / "c") and L.sweep(spark, str(tmp_path / "none")) == []
+
+
 def test_reports_agree_with_their_tables(spark):
     e = spark.createDataFrame([("a", "s", "x", "COMMITTED", 10, 1.0), ("b", "s", None, "COMMITTED", 5, 0.5), ("c", "t", "x", "FAILED", 7, 1.0)], "episode_uid string, source_id string, embodiment string, status string, n_frames long, duration_s double")
     r = spark.createDataFrame([("a", "R", "r1", "2024", 1, "PASS", None), ("a", "R", "r2", "2025", 2, "FAIL", None), ("b", "R", "r2", "2025", 3, "SKIPPED", "")], "episode_uid string, rule_id string, run_id string, created_at string, seq long, verdict string, reason string")
