@@ -207,6 +207,59 @@ def test_pseudonyms_keep_format_validity_and_links(spark):
     assert other != new
 
 
+def test_pseudonyms_equal_a_plain_feistel_network(spark):
+    import datetime
+
+    key = "k"
+
+    def f(tweak, i, x):
+        return int(hashlib.sha256(f"{key}|{tweak}|{i}|{x}|{key}".encode()).hexdigest()[:15], 16)
+
+    def network(left, right, a, b, tweak):
+        for i in range(pii.ROUNDS):
+            if i % 2 == 0:
+                left = (left + f(tweak, i, right) % a) % a
+            else:
+                right = (right + f(tweak, i, left) % b) % b
+        return left, right
+
+    def digits(d, tweak):
+        u = len(d) // 2
+        x, y = network(int(d[:u]), int(d[u:]), 10**u, 10 ** (len(d) - u), tweak)
+        return f"{x:0{u}d}{y:0{len(d) - u}d}"
+
+    def luhn(body):
+        total = sum(x if k % 2 else 2 * x - 9 * (x > 4) for k, x in enumerate(map(int, reversed(body))))
+        return body + str(-total % 10)
+
+    def dressed(shape, d):
+        it = iter(d)
+        return "".join(next(it) if c.isdigit() else c for c in shape)
+
+    def day(text):
+        n = (datetime.date.fromisoformat(text) - datetime.date(1900, 1, 1)).days
+        x, y = network(n // pii.DAYS[1], n % pii.DAYS[1], *pii.DAYS, "date")
+        return (datetime.date(1900, 1, 1) + datetime.timedelta(x * pii.DAYS[1] + y)).isoformat()
+
+    def ssn(text):
+        area, group, serial = map(int, text.split("-"))
+        x, y = network(area - 1 - (area > 666), (group - 1) * 9999 + serial - 1, 898, 99 * 9999, "ssn")
+        return f"{x + 1 + (x >= 665):03d}-{y // 9999 + 1:02d}-{y % 9999 + 1:04d}"
+
+    def ip(text):
+        o = list(map(int, text.split(".")))
+        x, y = network(o[0] * 256 + o[1], o[2] * 256 + o[3], 65536, 65536, "ip")
+        return f"{x // 256}.{x % 256}.{y // 256}.{y % 256}"
+
+    want = {
+        "4111 1111 1111 1111": dressed("0000 0000 0000 0000", luhn(digits("411111111111111", "card"))), "5500-0000-0000-0004": dressed("0000-0000-0000-0000", luhn(digits("550000000000000", "card"))),
+        "1999-12-31": day("1999-12-31"), "123-45-6789": ssn("123-45-6789"), "700-01-0001": ssn("700-01-0001"), "10.0.255.3": ip("10.0.255.3"), "(017) 555-7713": dressed("(000) 000-0000", digits("0175557713", "phone")),
+        "+1 017 555 7713": "+1 " + dressed("000 000 0000", digits("0175557713", "phone")),
+    }
+    rows = {r["doc_id"]: r["text"] for r in pii.pseudonymise(docs_of(spark, list(enumerate(f"a {x} b" for x in want))), key).collect()}
+    assert rows == {k: f"a {x} b" for k, x in enumerate(want.values())}
+
+
 def test_cards_beside_other_numbers_and_long_secrets(spark):
     import re
 
@@ -517,3 +570,16 @@ def test_pipeline_stages_take_effect(spark, tmp_path):
     assert kept[2][104]["n_chars"] == len(kept[2][104]["text"])
     assert "4111111111111111" not in kept[3][105]["text"]
     assert kept[4][5]["decoded_sha256"] == hashlib.sha256(kept[3][5]["text"].encode()).hexdigest() and set(kept[4]) == set(kept[1])
+
+
+def test_entry_imports_without_the_pipeline(tmp_path):
+    import os
+    import shutil
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    shutil.copytree(f"{root}/kinelake", tmp_path / "kinelake", ignore=shutil.ignore_patterns("__pycache__"))
+    shutil.copy(f"{root}/__spark_entry__.py", tmp_path)
+    code = "import __spark_entry__ as e; q = e.queries(); assert 'pipeline' not in q and 'op2_jaccard_join' in q and 'q_rollup' in q"
+    subprocess.run([sys.executable, "-c", code], cwd=tmp_path, check=True, env={k: v for k, v in os.environ.items() if k != "PYTHONPATH"})

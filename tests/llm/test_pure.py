@@ -214,5 +214,62 @@ def test_ordinal_regression_orders_grades():
     assert quality.train([], []) is None and quality.train(["a"], [2]).expected(np.zeros(1))[0] == 2
 
 
+def test_grades_equal_a_plain_sum_of_features():
+    rng = np.random.default_rng(2)
+    m = quality.Model([0, 1, 2], rng.standard_normal(quality.WIDTH), np.array([-0.5, 0.5]))
+    for text in ("The CAT sat, the cat!", "a", "", "é 12 ü", "word " * 500 + "End"):
+        raw, words = text.encode(), text.encode().lower().split()
+        s = 0.0
+        for w in words:
+            s += m.weights[K.hash_word(w) >> (64 - quality.WORD_BITS)] / len(words)
+        coarse = [97 if 97 <= c < 123 or c > 127 else 65 if 65 <= c < 91 else 48 if 48 <= c < 58 else c for c in raw]
+        for a, b, c in zip(coarse, coarse[1:], coarse[2:], strict=False):
+            code = (a << 16 | b << 8 | c) * 0x9E3779B97F4A7C15 % 2**64 >> (64 - quality.SHAPE_BITS)
+            s += m.weights[quality.SHAPE_AT + code] / (len(raw) - 2)
+        many, few = np.log2(len(words) + 1), len(set(words)) / max(len(words), 1)
+        steps = [min(int(many), quality.STEPS - 1), int(few * (quality.STEPS - 1)), int(sum(65 <= c < 91 for c in raw) / max(len(raw), 1) * (quality.STEPS - 1))]
+        s += 0.5 * sum(m.weights[quality.STEP_AT + quality.STEPS * k + x] for k, x in enumerate(steps))
+        got = m.latent(pa.array([text]))[0]
+        assert abs(got - s) < 1e-9
+        above = [1 / (1 + np.exp(t - s)) for t in m.thresholds]
+        assert abs(m.expected(np.array([s]))[0] - sum(above)) < 1e-6 and abs(m.tail(np.array([s]), 2)[0] - above[1]) < 1e-6
+
+
+def test_toxicity_equals_a_plain_reading_of_windows():
+    rng = np.random.default_rng(1)
+    net = bigru.ByteNet(toxicity.BYTE_HIDDEN, 1, rng)
+    known = np.unique([K.hash_word(w) for w in (b"bad", b"good", b"so")])
+    model = toxicity.Model(net, known.astype(np.uint64), np.array([2.0, -1.0, 0.25]), rng).settle()
+    h, hb, grid = toxicity.HIDDEN, toxicity.BYTE_HIDDEN, lambda x: bigru.on_grid(np.array(x, np.float32))
+
+    def vector(word: bytes) -> np.ndarray:
+        parts = []
+        for k in range(0, len(word), toxicity.SEGMENT):
+            s = net.states(np.frombuffer(word[k : k + toxicity.SEGMENT], np.uint8)[:, None], grid=True)[:, 0]
+            last = np.concatenate([s[-1, :hb], s[0, hb:]])
+            parts.append(np.append(last, last @ net.p["v"][:, 0] + net.p["c"][0]))
+        at = np.flatnonzero(model.known == K.hash_word(word))
+        return grid(np.append(np.add.reduce(np.array(parts, np.float32)) / len(parts), model.weights[at[0]] if len(at) else 0.0))
+
+    def score(text: str) -> float:
+        punctuation = bytes(range(0x21, 0x30)) + bytes(range(0x3A, 0x41)) + bytes(range(0x5B, 0x61)) + bytes(range(0x7B, 0x7F))
+        words = [w.strip(punctuation) or w for w in text.encode().lower().split()]
+        if not words:
+            return 0.0
+        best = -np.inf
+        starts = sorted({min(k, max(len(words) - toxicity.WINDOW, 0)) for k in range(0, max(len(words) - toxicity.WINDOW, 0) + toxicity.STRIDE, toxicity.STRIDE)})
+        for a in starts:
+            x = np.array([vector(w) for w in words[a : a + toxicity.WINDOW]], float)
+            gates = [(x @ model.p[k].astype(float)).astype(np.float32)[:, None] for k in ("wf", "wb")]
+            s = np.concatenate([bigru.forward(gates[0], model.p["uf"], False, grid=True), bigru.forward(gates[1], model.p["ub"], True, grid=True)], axis=2)[:, 0]
+            e = grid(np.tanh(s @ model.p["a"])) @ model.p["q"]
+            weight = np.exp(e - e.max()) / np.exp(e - e.max()).sum()
+            best = max(best, float((weight * (s @ model.p["o"])).sum() + model.p["b"][0]))
+        return 1 / (1 + np.exp(-best))
+
+    texts = ["You are BAD!", "good, (so) good --", " ".join(f"w{k}" for k in range(61)), "x" * 100 + " bad", "", "...", "é bad ü " * 20]
+    assert np.allclose(model.score(pa.array(texts)), [score(t) for t in texts], atol=1e-5)
+
+
 def test_crc_of_a_known_value():
     assert zlib.crc32(b"123456789") == 0xCBF43926
