@@ -4,7 +4,7 @@ A text of at most `chunk` characters is one piece. A longer one is dealt out as
 characters. Every chunk is pre-tokenised by itself, in parallel; a chunk and the one before it resynchronise at the
 first boundary that both have in their overlap, and from there on both see the same pre-tokens, since a match depends
 only on what follows it. Texts are cut at these boundaries, and the pieces are encoded in parallel and put together in
-order. Cuts are taken only behind a pre-token that ends in a character other than white space, as white space is the
+order; only their ids meet by text. Cuts are taken only behind a pre-token that ends in a character other than white space, as white space is the
 one pre-token that looks at the character behind it. Where an overlap has no common boundary (one pre-token longer than
 the overlap), the rest of that text stays one piece: slower, with the same ids.
 
@@ -70,9 +70,10 @@ def cuts(text: str, at: int, end: bool, pattern: str, chunk: int, overlap: int)
 def _pretokenise(pattern: str, chunk: int, overlap: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [cuts(t, k * chunk, k == n - 1, pattern, chunk, overlap) for t, k, n in zip(*(batch.column(c).to_pylist() for c in ("_text", "_k", "_n")), strict=True)]
-            both = [pa.array([x[i] for x in found], pa.list_(pa.int64())) for i in (0, 1)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *both], names=[*batch.schema.names, "_head", "_tail"])
+            for part in K.slices(batch, "_text"):
+                found = [cuts(t, k * chunk, k == n - 1, pattern, chunk, overlap) for t, k, n in zip(*(part.column(c).to_pylist() for c in ("_text", "_k", "_n")), strict=True)]
+                both = [pa.array([x[i] for x in found], pa.list_(pa.int64())) for i in (0, 1)]
+                yield pa.RecordBatch.from_arrays([part.column(c) for c in ("_row", "_n", "_k")] + both, names=["_row", "_n", "_k", "_head", "_tail"])
         K.tidy()
 
     return run
@@ -118,8 +119,8 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text", o
     ).select(
         "_row", "_n", "_k", F.when(F.col("_k") == 0, F.col("_kept")).alias("_kept"), F.col("_text").substr(F.col("_k") * chunk + 1, F.lit(chunk + overlap)).alias("_text"),
     ).repartition(_parts(spark), "_row", "_k")
-    bounds = T.ArrayType(T.LongType())
-    seen = piece.mapInArrow(_pretokenise(pattern, chunk, overlap), T.StructType([*piece.schema, T.StructField("_head", bounds), T.StructField("_tail", bounds)]))
+    # boundaries alone meet by text; the chunks stay where they are and are cut there
+    seen = piece.mapInArrow(_pretokenise(pattern, chunk, overlap), "_row long, _n int, _k int, _head array<bigint>, _tail array<bigint>")
     by = Window.partitionBy("_row").orderBy("_k")
     cut = F.when(F.col("_k") == 0, F.lit(0).cast("long")).otherwise(F.array_min(F.array_intersect("_head", F.lag("_tail").over(by))))
     synced = seen.withColumn("_cut", cut).withColumn("_ok", F.min(F.col("_cut").isNotNull()).over(by.rowsBetween(Window.unboundedPreceding, 0)))
@@ -127,16 +128,19 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text", o
     nxt = runs.withColumn("_end", F.when(F.lead("_ok").over(by), F.lead("_cut").over(by)))
     start = F.when(F.col("_ok"), F.col("_cut")).otherwise(F.col("_k") * chunk)
     stop = F.coalesce("_end", F.when(F.col("_k") == F.col("_n") - 1, F.lit(1 << 40)).otherwise((F.col("_k") + 1) * chunk))
-    part = F.expr("_text").substr((start - F.col("_k") * chunk + 1).cast("int"), F.least(stop - start, F.lit(1 << 30)).cast("int"))
-    pieces = (
-        nxt.select("_row", "_run", "_k", "_kept", part.alias("_part"))
-        .groupBy("_row", "_run").agg(F.array_sort(F.collect_list(F.struct("_k", "_part"))).alias("_parts"), F.max("_kept").alias("_kept"))
+    many = F.count(F.lit(1)).over(Window.partitionBy("_row", "_run"))
+    plan = nxt.select("_row", "_k", "_run", many.alias("_many"), (start - F.col("_k") * chunk + 1).cast("int").alias("_from"), F.least(stop - start, F.lit(1 << 30)).cast("int").alias("_size"))
+    parts = piece.join(plan, ["_row", "_k"]).select("_row", "_run", "_many", "_k", "_kept", F.expr("substring(_text, _from, _size)").alias("_part"))
+    alone = parts.filter("_many = 1").select("_row", "_run", "_kept", F.col("_part").alias("_text"))
+    # chunks that one pre-token holds together
+    held = (
+        parts.filter("_many > 1").groupBy("_row", "_run").agg(F.array_sort(F.collect_list(F.struct("_k", "_part"))).alias("_parts"), F.max("_kept").alias("_kept"))
         .select("_row", "_run", "_kept", F.array_join("_parts._part", "").alias("_text"))
     )
-    done = K.told(pieces, "_text", what, fields).drop("_text")
-    joined = done.groupBy("_row").agg(F.array_sort(F.collect_list(F.struct("_run", *fields))).alias("_all"), F.max("_kept").alias("_kept"))
-    put = lambda f: F.aggregate("_all", F.unhex(F.lit("")), lambda a, x: F.concat(a, x[f])).alias(f)
-    result = short.unionByName(joined.select(*[F.col("_kept")[c].alias(c) for c in kept], *map(put, fields)))
+    done = K.told(alone.unionByName(held), "_text", _encode(ranks, pattern, False), {"_ids": "binary"}).drop("_text")
+    joined = done.groupBy("_row").agg(F.array_sort(F.collect_list(F.struct("_run", "_ids"))).alias("_all"), F.max("_kept").alias("_kept"))
+    whole_ids = joined.select(*[F.col("_kept")[c].alias(c) for c in kept], F.aggregate("_all", F.unhex(F.lit("")), lambda a, x: F.concat(a, x["_ids"])).alias("_ids"))
+    result = short.unionByName(whole_ids if decoded is None else K.told(whole_ids, "_ids", _decode(ranks, pattern), {"_back": "binary"}))
     return result.select(*[F.col(n).alias(c) for c, n in names.items()], *[F.col(f).alias(m) for f, m in zip(fields, made, strict=True)])
 
 
@@ -146,13 +150,15 @@ def _parts(spark) -> int:
 
 def decode(encoded: DataFrame, ranks_path: str, pattern: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
     """All columns and `out`: the bytes of the ids, one after the other."""
-    ranks = _broadcast(encoded.sparkSession, ranks_path)
+    return K.told(encoded, ids, _decode(_broadcast(encoded.sparkSession, ranks_path), pattern), {out: "binary"})
 
+
+def _decode(ranks, pattern: str):
     def what(column: pa.Array) -> list[pa.Array]:
         table = encoder(ranks.value, pattern).decode_bytes
         return [pa.array([table(np.frombuffer(x, "<u4").tolist()) if x else b"" for x in column.to_pylist()], pa.binary())]
 
-    return K.told(encoded, ids, what, {out: "binary"})
+    return what
 
 
 def digest(decoded: DataFrame) -> DataFrame:
