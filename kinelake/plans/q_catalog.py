@@ -164,8 +164,42 @@ add("q_balanced_plan", lambda s, d: G.plan_balanced(candidates(s, d), 2000, seed
 add("q_balanced_groups", lambda s, d: G.plan_balanced(candidates(s, d), 2000, seed=7)[1].select("embodiment", "n_eligible", "frames_eligible", F.round("weight", 9).alias("weight")), f"{CAND}, n AS (SELECT embodiment, count(*) AS n_eligible FROM e GROUP BY embodiment) SELECT embodiment, n_eligible, frames AS frames_eligible, round(weight, 9) AS weight FROM ws JOIN n USING (embodiment)")
 
 
-# quotas and selections depend on every decision before them; tests take one episode at a time instead
-add("q_balanced_allocation", lambda s, d: G.plan_balanced(candidates(s, d), 2000, seed=7)[1].select("embodiment", "quota", "n_selected", "frames_selected"), None)
+def _balanced_sql(budget: int) -> str:
+    """The balanced plan without a seed, one decision after the other. A row of s is the state between two of them: the
+    phase (0 first shares, 1 shares of the rest, 2 the rest whole), the groups still to be served in it, how far the
+    first of them is, what groups may take and have taken, what is left, and the episodes taken so far."""
+    put = lambda a, new: f"list_transform(range(1, len({a}) + 1), lambda i: CASE WHEN i = todo[1] THEN {new} ELSE {a}[i] END)"
+    return f"""{CAND.replace('WITH c', 'WITH RECURSIVE c', 1)},
+ t AS (SELECT *, CASE WHEN qc_verdict = 'PASS' THEN 0 ELSE 1 END AS tier, coalesce(task, '') AS tk, row_number() OVER (PARTITION BY embodiment, CASE WHEN qc_verdict = 'PASS' THEN 0 ELSE 1 END, source_id, coalesce(task, '') ORDER BY uid) AS rd FROM e),
+ gs AS (SELECT embodiment, weight, row_number() OVER (ORDER BY embodiment) AS g FROM ws),
+ o AS MATERIALIZED (SELECT g, uid, n_frames AS n, row_number() OVER (PARTITION BY embodiment ORDER BY tier, rd, source_id, tk) AS r FROM t JOIN gs USING (embodiment)),
+ s AS (SELECT 0 AS phase, (SELECT list(g ORDER BY g) FROM gs) AS todo, 0::BIGINT AS p, (SELECT list(CAST(trunc(weight * {budget}) AS BIGINT) ORDER BY g) FROM gs) AS allowed, (SELECT list(0::BIGINT ORDER BY g) FROM gs) AS spent,
+    {budget}::BIGINT AS free, {budget}::BIGINT AS began, []::BIGINT[] AS taken
+  UNION ALL
+  SELECT
+    CASE WHEN len(todo) > 0 THEN phase WHEN able IS NULL OR phase = 2 THEN 9 WHEN phase = 1 AND free = began THEN 2 ELSE 1 END,
+    CASE WHEN len(todo) > 0 AND k > 0 THEN todo WHEN len(todo) > 0 THEN todo[2:] ELSE able END,
+    CASE WHEN len(todo) > 0 AND k > 0 THEN coalesce(stop, 9223372036854775807) ELSE 0 END,
+    CASE WHEN len(todo) > 0 OR able IS NULL THEN allowed WHEN phase = 1 AND free = began THEN list_transform(range(1, len(allowed) + 1), lambda i: CASE WHEN list_contains(able, i) THEN {budget} ELSE allowed[i] END)
+      ELSE list_transform(range(1, len(allowed) + 1), lambda i: CASE WHEN list_contains(able, i) THEN allowed[i] + CAST(trunc(free * shares[list_position(able, i)]) AS BIGINT) ELSE allowed[i] END) END,
+    CASE WHEN len(todo) > 0 AND k > 0 THEN {put("spent", "spent[i] + coalesce(gained, 0)")} ELSE spent END,
+    free - CASE WHEN len(todo) > 0 THEN coalesce(gained, 0) ELSE 0 END,
+    CASE WHEN len(todo) = 0 THEN free ELSE began END,
+    CASE WHEN len(todo) > 0 THEN list_concat(taken, coalesce(keys, [])) ELSE taken END
+  FROM s,
+    LATERAL (SELECT count(*) AS k, min(r) FILTER (cum > cap) AS stop, max(cum) FILTER (cum <= cap) AS gained, list(todo[1] * 1000000000 + r ORDER BY r) FILTER (cum <= cap) AS keys FROM
+       (SELECT r, least(s.allowed[s.todo[1]] - s.spent[s.todo[1]], s.free) AS cap, CAST(sum(n) OVER (ORDER BY r) AS BIGINT) AS cum FROM o
+        WHERE o.g = s.todo[1] AND o.r > s.p AND o.n <= least(s.allowed[s.todo[1]] - s.spent[s.todo[1]], s.free) AND NOT list_contains(s.taken, o.g * 1000000000 + o.r))) a,
+    LATERAL (SELECT list(g ORDER BY weight DESC, embodiment) AS able, list(weight / total ORDER BY weight DESC, embodiment) AS shares FROM
+       (SELECT *, sum(weight) OVER () AS total FROM gs WHERE g IN (SELECT o.g FROM o WHERE o.n <= s.free AND NOT list_contains(s.taken, o.g * 1000000000 + o.r)))) b
+  WHERE phase <> 9),
+ fin AS (SELECT allowed, spent, taken FROM s WHERE phase = 9),
+ got AS (SELECT key // 1000000000 AS g, key % 1000000000 AS r, nth FROM (SELECT unnest(taken) AS key, generate_subscripts(taken, 1) AS nth FROM fin))"""
+
+
+_BALANCED = _balanced_sql(2000)
+add("q_balanced_plan_in_order", lambda s, d: G.plan_balanced(candidates(s, d), 2000)[0], f"{_BALANCED} SELECT CAST(row_number() OVER (ORDER BY got.g, nth) - 1 AS INT) AS pos, embodiment, uid AS episode_uid, n AS n_frames FROM got JOIN o ON o.g = got.g AND o.r = got.r JOIN gs ON gs.g = got.g")
+add("q_balanced_allocation", lambda s, d: G.plan_balanced(candidates(s, d), 2000)[1].select("embodiment", "quota", "n_selected", "frames_selected"), f"{_BALANCED} SELECT embodiment, allowed[gs.g] AS quota, count(got.r) AS n_selected, spent[gs.g] AS frames_selected FROM gs CROSS JOIN fin LEFT JOIN got ON got.g = gs.g GROUP BY ALL")
 
 
 def exported(spark, sf_dir):
