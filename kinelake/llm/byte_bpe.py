@@ -42,6 +42,11 @@ def encoder(ranks: bytes, pattern: str):
     return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=table, special_tokens={})
 
 
+def _forget() -> None:
+    """An encoder is made in a tenth of a second; workers that go on to something else need not hold it."""
+    encoder.cache_clear()
+
+
 @functools.lru_cache(maxsize=2)
 def _pattern(pattern: str):
     import regex
@@ -110,7 +115,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text", o
     whole = flat.filter(F.coalesce(F.length("_text"), F.lit(0)) <= chunk)
     what, fields = _encode(ranks, pattern, decoded is not None), {"_ids": "binary", "_back": "binary"}
     fields = fields if decoded is not None else {"_ids": "binary"}
-    short = K.told(whole, "_text", what, fields).select(*kept, *fields)
+    short = K.told(whole, "_text", what, fields, done=_forget).select(*kept, *fields)
 
     n = F.ceil(F.length("_text") / chunk).cast("int")
     long = flat.filter(F.length("_text") > chunk).withColumn("_row", F.monotonically_increasing_id()).withColumn("_n", n)
@@ -137,10 +142,10 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text", o
         parts.filter("_many > 1").groupBy("_row", "_run").agg(F.array_sort(F.collect_list(F.struct("_k", "_part"))).alias("_parts"), F.max("_kept").alias("_kept"))
         .select("_row", "_run", "_kept", F.array_join("_parts._part", "").alias("_text"))
     )
-    done = K.told(alone.unionByName(held), "_text", _encode(ranks, pattern, False), {"_ids": "binary"}).drop("_text")
+    done = K.told(alone.unionByName(held), "_text", _encode(ranks, pattern, False), {"_ids": "binary"}, done=_forget).drop("_text")
     joined = done.groupBy("_row").agg(F.array_sort(F.collect_list(F.struct("_run", "_ids"))).alias("_all"), F.max("_kept").alias("_kept"))
     whole_ids = joined.select(*[F.col("_kept")[c].alias(c) for c in kept], F.aggregate("_all", F.unhex(F.lit("")), lambda a, x: F.concat(a, x["_ids"])).alias("_ids"))
-    result = short.unionByName(whole_ids if decoded is None else K.told(whole_ids, "_ids", _decode(ranks, pattern), {"_back": "binary"}))
+    result = short.unionByName(whole_ids if decoded is None else K.told(whole_ids, "_ids", _decode(ranks, pattern), {"_back": "binary"}, done=_forget))
     return result.select(*[F.col(n).alias(c) for c, n in names.items()], *[F.col(f).alias(m) for f, m in zip(fields, made, strict=True)])
 
 
@@ -150,7 +155,7 @@ def _parts(spark) -> int:
 
 def decode(encoded: DataFrame, ranks_path: str, pattern: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
     """All columns and `out`: the bytes of the ids, one after the other."""
-    return K.told(encoded, ids, _decode(_broadcast(encoded.sparkSession, ranks_path), pattern), {out: "binary"})
+    return K.told(encoded, ids, _decode(_broadcast(encoded.sparkSession, ranks_path), pattern), {out: "binary"}, done=_forget)
 
 
 def _decode(ranks, pattern: str):

@@ -239,17 +239,19 @@ def tidy() -> None:
         _libc().malloc_trim(0)
 
 
-def told(docs: DataFrame, text: str, what: Callable[[pa.Array], list[pa.Array]], fields: dict[str, str], limit: int = SLICE_BYTES) -> DataFrame:
+def told(docs: DataFrame, text: str, what: Callable[[pa.Array], list[pa.Array]], fields: dict[str, str], limit: int = SLICE_BYTES, done: Callable[[], None] | None = None) -> DataFrame:
     """The columns of docs and, for each text, the fields (name: type) that `what` gives for an array of texts.
 
     The text alone goes to Python, which reads `limit` bytes at once, and the fields alone come back. A column of docs
-    with the name of a field gives way to it."""
+    with the name of a field gives way to it. At the end of a task `done` gives up what a worker need not keep."""
     names = list(fields)
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
             parts = [pa.StructArray.from_arrays(what(part.column(0)), names=names) for part in slices(pa.RecordBatch.from_arrays([batch], names=["t"]), "t", limit)]
             yield pa.concat_arrays(parts) if parts else pa.StructArray.from_arrays(what(batch), names=names)
+        if done:
+            done()
         tidy()
 
     run.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
