@@ -214,9 +214,9 @@ def learn(train: DataFrame, head: int, classed: int, core: int, classes: int, ro
     width = classes + 2
     lookup = spark.sparkContext.broadcast(numbered(hashes[:classed]))
 
-    def read(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    def read(batch: pa.RecordBatch, limit: int = K.SLICE_BYTES) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """Of every token its hash, its number among the classed words or -1, and whether it is an end."""
-        for part in K.slices(batch):
+        for part in K.slices(batch, limit=limit):
             h, at = tokens(part.column(0))
             end = np.zeros(len(h), bool)
             end[at[1:] - 1] = True
@@ -244,13 +244,13 @@ def learn(train: DataFrame, head: int, classed: int, core: int, classes: int, ro
 
         def count(batch: pa.RecordBatch, held: np.ndarray) -> None:
             flat = held.reshape(-1)
-            for _, number, end in read(batch):
+            for _, number, end in read(batch, 2 * K.SLICE_BYTES):  # the sums of a slice are as wide as the table
                 x, before, after = beside(number, end, now)
                 some = np.flatnonzero(number >= 0)
                 row = number[some] * wide
                 same = number[some] == np.concatenate([[-1], number[:-1]])[some]
-                for cells in (row + before[some], row + width + after[some], row[same] + 2 * width, (classed + before) * wide + x):
-                    flat += np.bincount(cells, minlength=len(flat))
+                cells = np.concatenate([row + before[some], row + width + after[some], row[same] + 2 * width, (classed + before) * wide + x])
+                flat += np.bincount(cells, minlength=len(flat))
 
         total = dense.total(train.select("text"), count, (classed + width, wide))
         return total[:classed], total[classed:, :width]
@@ -334,6 +334,7 @@ def tail_of(h: np.ndarray, at: np.ndarray, state: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(np.searchsorted(doc[first], np.arange(len(at))).astype(np.int32), each)
 
 
+NAMES = ["doc_id", "held_out", "row", "n_tokens", "n_known", "base", "emit", "states", "tail"]
 SCANNED = "held_out boolean, row long, n_tokens long, n_known long, base double, emit double, states binary, tail array<struct<word: bigint, places: array<int>>>"
 LINKED = "held_out boolean, n_tokens long, n_known long, base double, emit double, states binary"
 
@@ -369,9 +370,6 @@ def scan(docs: DataFrame, of: Classes, classes: int) -> DataFrame:
     return docs.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, {SCANNED}")
 
 
-NAMES = ["doc_id", "held_out", "row", "n_tokens", "n_known", "base", "emit", "states", "tail"]
-
-
 def linked(scanned: DataFrame, known: DataFrame, classes: int) -> DataFrame:
     """The scanned texts with every state settled: each text asks once for each of its words outside the head."""
     asked = scanned.select("row", F.explode("tail").alias("t")).select("row", "t.*")
