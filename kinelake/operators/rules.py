@@ -74,18 +74,19 @@ def metrics(values: dict[str, Column]) -> Column:
 
 
 def _signal(t: Tables, *signals: str, physical: bool = True) -> DataFrame:
-    """Samples of signals with what is declared of their channels."""
+    """Samples of signals with what is declared of their channels, and `cid`, a number for each channel of an embodiment, by
+    signal and then by place."""
     declared = t.channels.filter(F.col("signal").isin(*signals))
     declared = declared.filter("is_physical") if physical else declared
-    keep = declared.select("embodiment", "signal", "channel", "is_delta", F.col("min").alias("lo"), F.col("max").alias("hi"), "space", "role", "phys_ordinal")
+    place = F.array_position(F.array(*map(F.lit, signals)), F.col("signal")) * (1 << 20) + F.col("pos")
+    keep = declared.select("embodiment", "signal", "channel", place.alias("cid"), "is_delta", F.col("min").alias("lo"), F.col("max").alias("hi"), "space", "role", "phys_ordinal")
     return t.samples.join(F.broadcast(keep), ["embodiment", "signal", "channel"]).withColumn("value", S.finite("value"))
 
 
 def _steps(df: DataFrame) -> DataFrame:
     """Rows with `first`, whether they are a channel's first, and `step`, how far it moved into this frame."""
-    w = Window.partitionBy(EPISODE).orderBy("signal", "channel", "frame_idx")
-    same = (F.lag("signal").over(w) == F.col("signal")) & (F.lag("channel").over(w) == F.col("channel"))
-    told = df.withColumns({"first": ~F.coalesce(same, F.lit(False)), "change": S.difference("value", w)})
+    w = Window.partitionBy(EPISODE).orderBy("cid", "frame_idx")
+    told = df.withColumns({"first": ~F.coalesce(F.lag("cid").over(w) == F.col("cid"), F.lit(False)), "change": S.difference("value", w)})
     return told.withColumn("step", F.when(~F.col("first"), F.abs(F.when(F.col("is_delta"), F.col("value")).otherwise(F.col("change"))))).drop("change")
 
 
@@ -132,10 +133,10 @@ def fps_drift(f: Callable[[str], Column], p: dict) -> Judgement:
 def action_range_facts(t: Tables, p: dict) -> DataFrame:
     v = F.col("value")
     outside = F.coalesce(v < F.col("lo"), F.lit(False)) | F.coalesce(v > F.col("hi"), F.lit(False))
-    return _signal(t, "action").groupBy(EPISODE).agg(
-        F.count_if(v.isNull()).alias("holes"), F.count_if(outside).alias("out"), F.size(F.collect_set("channel")).alias("k"),
-        F.array_join(F.sort_array(F.collect_set(F.when(v.isNull() | outside, F.col("channel")))), ", ").alias("who"),
-    )
+    # by channel first, in numbers alone; names of those that are out are few
+    per = _signal(t, "action").groupBy(EPISODE, "channel").agg(F.count_if(v.isNull()).alias("holes"), F.count_if(outside).alias("out"))
+    bad = F.collect_list(F.when(F.col("holes") + F.col("out") > 0, F.col("channel")))
+    return per.groupBy(EPISODE).agg(F.sum("holes").alias("holes"), F.sum("out").alias("out"), F.count(F.lit(1)).alias("k"), F.array_join(F.sort_array(bad), ", ").alias("who"))
 
 
 def action_range(f: Callable[[str], Column], p: dict) -> Judgement:
@@ -147,7 +148,7 @@ def action_range(f: Callable[[str], Column], p: dict) -> Judgement:
 
 def action_jerk_facts(t: Tables, p: dict) -> DataFrame:
     steps = _steps(_signal(t, "action")).filter("NOT first").withColumn("step", F.coalesce("step", F.lit(0.0)))
-    channel = Window.partitionBy(EPISODE, "signal", "channel")
+    channel = Window.partitionBy(EPISODE, "cid")
     told = steps.withColumns({"ref": F.percentile("step", F.lit(0.99)).over(channel), "n": F.count(F.lit(1)).over(channel), "peak": F.max("step").over(channel)})
     near = S.around("step", channel.orderBy("frame_idx"), p["isolation_window"])
     told = told.withColumn("near", near)
@@ -177,7 +178,7 @@ def static_episode_facts(t: Tables, p: dict) -> DataFrame:
     """Of either signal and of both, the part of frames in which nothing moves, and the longest way of a channel."""
     steps = _steps(_signal(t, "action", "state"))
     far = (F.col("hi") > F.col("lo")) & ~F.col("space").isin(*ROTATIONS, GRIPPER)
-    way = F.sum("step").over(Window.partitionBy(EPISODE, "signal", "channel")) / (F.col("hi") - F.col("lo"))
+    way = F.sum("step").over(Window.partitionBy(EPISODE, "cid")) / (F.col("hi") - F.col("lo"))
     told = steps.withColumns({"way": F.when(far, way), "still": F.col("step") == 0})
     of = lambda s, c: F.when(F.col("signal") == s, F.col(c))
     frame = told.groupBy(EPISODE, "frame_idx").agg(*[x for s in ("action", "state") for x in (F.bool_and(of(s, "still")).alias(f"still_{s}"), F.max(of(s, "way")).alias(f"way_{s}"))])
@@ -224,10 +225,11 @@ def gripper_stuck(f: Callable[[str], Column], p: dict) -> Judgement:
 
 def state_action_echo_facts(t: Tables, p: dict) -> DataFrame:
     """In an episode's rows by frame and ordinal a state follows the action that it is compared with."""
-    w = Window.partitionBy(EPISODE).orderBy("frame_idx", "phys_ordinal", "signal")
+    w = Window.partitionBy(EPISODE).orderBy("frame_idx", "phys_ordinal", "is_state")
     before = lambda c: F.lag(c).over(w)
-    rows = _signal(t, "action", "state").select(EPISODE, "frame_idx", "phys_ordinal", "signal", F.col("value").alias("state"), before("value").alias("action"), before(F.struct("frame_idx", "phys_ordinal", "signal")).alias("last"))
-    pairs = rows.filter((F.col("signal") == "state") & (F.col("last") == F.struct("frame_idx", "phys_ordinal", F.lit("action").alias("signal"))))
+    cells = _signal(t, "action", "state").select(EPISODE, "frame_idx", "phys_ordinal", (F.col("signal") == "state").cast("int").alias("is_state"), F.col("value").alias("state"))
+    rows = cells.withColumns({"action": before("state"), "f0": before("frame_idx"), "o0": before("phys_ordinal"), "s0": before("is_state")})
+    pairs = rows.filter("is_state = 1 AND s0 = 0 AND f0 = frame_idx AND o0 = phys_ordinal").select(EPISODE, "frame_idx", "phys_ordinal", "action", "state")
     pairs = pairs.withColumn("d", F.abs(F.col("action") - F.col("state")))
     frame = Window.partitionBy(EPISODE, "frame_idx")
     told = pairs.withColumns({"worst": F.max("d").over(frame), "whole": F.min(F.col("d").isNotNull()).over(frame), "k": F.row_number().over(frame.orderBy("phys_ordinal"))}).filter("whole")
