@@ -385,3 +385,24 @@ def op2_jaccard_join(spark, sf_dir: str) -> DataFrame:
     from kinelake.llm.store import table
 
     return jaccard_components(table(spark, sf_dir, "documents"), n=3, percent=90)
+
+
+def _sql(n: int, percent: int) -> str:
+    """All pairs of rows that share an n-gram, and what each document reaches by links."""
+    run = ", ".join(["w", *[f"lead(w, {k}) OVER q" for k in range(1, n)]])
+    return f"""
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS r, doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+w AS (SELECT r, len(ws) AS m, unnest(ws) AS w, generate_subscripts(ws, 1) AS i FROM d),
+g AS (SELECT r, m, i, concat_ws(' ', {run}) AS s FROM w WINDOW q AS (PARTITION BY r ORDER BY i)),
+h AS MATERIALIZED (SELECT DISTINCT r, s FROM g WHERE i <= greatest(m - {n - 1}, 1)),
+c AS MATERIALIZED (SELECT r, count(*) AS n FROM h GROUP BY r),
+p AS (SELECT a.r AS x, b.r AS y, count(*) AS k FROM h a JOIN h b ON a.s = b.s AND a.r < b.r GROUP BY ALL),
+l AS (SELECT dx.doc_id AS x, dy.doc_id AS y FROM p JOIN c cx ON cx.r = x JOIN c cy ON cy.r = y JOIN d dx ON dx.r = x JOIN d dy ON dy.r = y WHERE 100 * k >= {percent} * (cx.n + cy.n - k)),
+e AS MATERIALIZED (SELECT x, y FROM l WHERE x <> y UNION SELECT y, x FROM l WHERE x <> y),
+t AS (SELECT DISTINCT doc_id AS x, doc_id AS y FROM d WHERE doc_id IS NOT NULL UNION SELECT t.x, e.y FROM t JOIN e ON e.x = t.y),
+m AS (SELECT x, min(y) AS root FROM t GROUP BY x)
+SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, root AS component_id FROM d LEFT JOIN c ON c.r = d.r LEFT JOIN m ON m.x = d.doc_id
+"""
+
+
+OP2_SQL = _sql(3, 90)

@@ -22,6 +22,7 @@ def queries() -> dict:
 
 def oracles() -> dict:
     return {
+        "op2_jaccard_join": jaccard_join.OP2_SQL,
         "op5_sketch": sketch.OP5_SQL,
         "op9_decontaminate": decontaminate.OP9_SQL,
     }

@@ -292,10 +292,10 @@ def test_pii_of_odd_rows(spark):
     assert pii.pseudonymise(docs_of(spark, [(1, "x")]).limit(0), "k").count() == 0
 
 
-# ---------------------------------------------------------------- 5, 9: the SQL is the plain version
+# ---------------------------------------------------------------- 2, 5, 9: the SQL is the plain version
 
 
-def test_sketch_and_decontamination_equal_their_sql(spark):
+def test_join_sketch_and_decontamination_equal_their_sql(spark):
     rnd = random.Random(4)
     words = [f"w{k}" for k in range(30)]
     rows = [*ODD, *((20 + i, " ".join(rnd.choice(words) for _ in range(rnd.randint(0, 60)))) for i in range(60)), (None, "null id words here and more words")]
@@ -308,6 +308,9 @@ def test_sketch_and_decontamination_equal_their_sql(spark):
     heavy = docs.unionByName(docs_of(spark, [(25, f"many rows share this id {k}") for k in range(80)] + [(None, f"or have none {k}") for k in range(60)]))
     con.register("documents_", heavy.toPandas()[["doc_id", "text"]].astype({"doc_id": "Int64"}))
     assert plain_rows(sketch.edited(heavy).toPandas()) == plain_rows(con.execute(sketch.OP5_SQL.replace("FROM documents", "FROM documents_")).df())
+    again = docs.unionByName(docs_of(spark, [(200 + i, rows[30 + i % 9][1] + " " + rows[31][1]) for i in range(20)]))
+    con.register("documents_2", again.toPandas()[["doc_id", "text"]].astype({"doc_id": "Int64"}))
+    assert plain_rows(jaccard_join.jaccard_components(again, 3, 90).toPandas()) == plain_rows(con.execute(jaccard_join.OP2_SQL.replace("FROM documents", "FROM documents_2")).df())
     for df, sql in ((sketch.edited(docs), sketch.OP5_SQL), (decontaminate.digest(decontaminate.decontaminate(docs, bench, columns=["doc_id"], block_windows=4)), decontaminate.OP9_SQL)):
         got, want = df.toPandas(), con.execute(sql).df()
         assert plain_rows(got) == plain_rows(want)
