@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from kinelake.llm import brown_lm, byte_bpe, dac, decontaminate, jaccard_join, lang_id, pii, quality, sketch, toxicity
+from kinelake.llm import brown_lm, byte_bpe, centroids, dac, decontaminate, jaccard_join, lang_id, pii, quality, sketch, toxicity
 
 
 def queries() -> dict:
@@ -17,6 +17,7 @@ def queries() -> dict:
         "op8_dac_tokens": dac.op8_dac_tokens,
         "op9_decontaminate": decontaminate.op9_decontaminate,
         "op10_toxicity": toxicity.op10_toxicity,
+        "op12_centroid_clusters": centroids.op12_centroid_clusters,
     }
 
 
@@ -25,4 +26,5 @@ def oracles() -> dict:
         "op2_jaccard_join": jaccard_join.OP2_SQL,
         "op5_sketch": sketch.OP5_SQL,
         "op9_decontaminate": decontaminate.OP9_SQL,
+        "op12_centroid_clusters": centroids.OP12_SQL,
     }
