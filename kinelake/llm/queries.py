@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from kinelake.llm import brown_lm, byte_bpe, centroids, dac, decontaminate, jaccard_join, lang_id, pii, quality, sketch, toxicity
+from kinelake.llm import brown_lm, byte_bpe, centroids, dac, decontaminate, jaccard_join, lang_id, line_crf, pii, quality, sketch, toxicity
 
 
 def queries() -> dict:
@@ -18,6 +18,7 @@ def queries() -> dict:
         "op9_decontaminate": decontaminate.op9_decontaminate,
         "op10_toxicity": toxicity.op10_toxicity,
         "op12_centroid_clusters": centroids.op12_centroid_clusters,
+        "op13_line_quality": line_crf.op13_line_quality,
     }
 
 

@@ -112,14 +112,17 @@ def spans(data: np.ndarray, at: np.ndarray, inside: np.ndarray) -> tuple[np.ndar
     return starts, ends, np.searchsorted(starts, at)
 
 
-def hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hashes of byte ranges; A-Z count as a-z."""
+def hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, fold: bool = True) -> np.ndarray:
+    """64-bit hashes of byte ranges; A-Z count as a-z if `fold`."""
     size = ends - starts
     out = mix((size + 1).astype(np.uint64) * _BASE)
     if not len(size):
         return out
     low = np.zeros(len(data) + 8, np.uint8)
-    np.take(FOLD, data, out=low[: len(data)])
+    if fold:
+        np.take(FOLD, data, out=low[: len(data)])
+    else:
+        low[: len(data)] = data
     eights = np.ndarray(len(data) + 1, "<u8", low.data, strides=(1,))
     live = np.flatnonzero((size > 0) & (size <= LONG))
     at, rest = starts[live], size[live]
