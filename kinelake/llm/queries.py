@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from kinelake.llm import brown_lm, byte_bpe, centroids, dac, decontaminate, jaccard_join, lang_id, line_crf, pii, quality, sketch, toxicity
+from kinelake.llm import brown_lm, byte_bpe, centroids, dac, decontaminate, jaccard_join, lang_id, line_crf, pii, quality, repair, sketch, toxicity
 
 
 def queries() -> dict:
@@ -17,6 +17,7 @@ def queries() -> dict:
         "op8_dac_tokens": dac.op8_dac_tokens,
         "op9_decontaminate": decontaminate.op9_decontaminate,
         "op10_toxicity": toxicity.op10_toxicity,
+        "op11_conversation_repair": repair.op11_conversation_repair,
         "op12_centroid_clusters": centroids.op12_centroid_clusters,
         "op13_line_quality": line_crf.op13_line_quality,
     }
@@ -27,5 +28,6 @@ def oracles() -> dict:
         "op2_jaccard_join": jaccard_join.OP2_SQL,
         "op5_sketch": sketch.OP5_SQL,
         "op9_decontaminate": decontaminate.OP9_SQL,
+        "op11_conversation_repair": repair.OP11_SQL,
         "op12_centroid_clusters": centroids.OP12_SQL,
     }
