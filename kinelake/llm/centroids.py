@@ -56,6 +56,11 @@ def whole(x: np.ndarray, scale: int) -> np.ndarray:
     return np.floor(x * scale)
 
 
+def integers(x: np.ndarray) -> np.ndarray:
+    """The same as Python's integers; what is float64 is below 2^53."""
+    return x if x.dtype == object else x.astype(np.int64).astype(object)
+
+
 def magnitude(x: np.ndarray) -> int:
     return int(np.abs(x).max()) if x.size else 0
 
@@ -66,7 +71,7 @@ def nearest(x: np.ndarray, centroids: list[list[int]]) -> tuple[np.ndarray, np.n
     m, k, n = magnitude(x), magnitude(c), c.shape[1]
     reach = n * (m + k) ** 2  # every partial sum of the three terms, whatever their signs
     kind = np.float64 if x.dtype != object and reach < FLOAT else np.int64 if reach < INT else object
-    x, c = x.astype(kind), c.astype(kind)
+    x, c = (integers(x), c) if kind is object else (x.astype(kind), c.astype(kind))
     d = (x * x).sum(axis=1)[:, None] - 2 * (x @ c.T) + (c * c).sum(axis=1)
     at = d.argmin(axis=1)
     return at, d[np.arange(len(x)), at]
@@ -94,9 +99,7 @@ class Sums:
         for j in np.unique(at).tolist():
             mine = x[at == j]
             self.counts[j] += len(mine)
-            if not exact:
-                mine = (mine if mine.dtype == object else mine.astype(np.int64)).astype(object)
-            self.sums[j] += np.array([int(s) for s in mine.sum(axis=0).tolist()], object)
+            self.sums[j] += np.array([int(s) for s in (mine if exact else integers(mine)).sum(axis=0).tolist()], object)
 
     def plus(self, other: Sums) -> Sums:
         return Sums(self.counts + other.counts, self.sums + other.sums)
