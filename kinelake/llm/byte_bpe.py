@@ -4,8 +4,8 @@ A text of at most `chunk` characters is one piece. A longer one is dealt out as
 characters. Every chunk is pre-tokenised by itself, in parallel; a chunk and the one before it resynchronise at the
 first boundary that both have in their overlap, and from there on both see the same pre-tokens, since a match depends
 only on what follows it. Texts are cut at these boundaries, and the pieces are encoded in parallel and put together in
-order; only their ids meet by text. Cuts are taken only behind a pre-token that ends in a character other than white space, as white space is the
-one pre-token that looks at the character behind it. Where an overlap has no common boundary (one pre-token longer than
+order; only their ids meet by text. Cuts are taken only behind a pre-token that ends in a character other than white
+space, as white space is the one pre-token that looks at the character behind it. Where an overlap has no common boundary (one pre-token longer than
 the overlap), the rest of that text stays one piece: slower, with the same ids.
 
 Decoding concatenates the bytes of the ids; it never fails, also not on ids that part a character. `encode` can decode
@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kinelake.llm import textkit as K
-from kinelake.llm.store import quoted
+from kinelake.llm.store import keep, quoted
 
 CHUNK, OVERLAP = 1 << 14, 1 << 9
 
@@ -118,7 +118,8 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text", o
     short = K.told(whole, "_text", what, fields, done=_forget).select(*kept, *fields)
 
     n = F.ceil(F.length("_text") / chunk).cast("int")
-    long = flat.filter(F.length("_text") > chunk).withColumn("_row", F.monotonically_increasing_id()).withColumn("_n", n)
+    # written, as numbers of rows are only good for as long as rows come in one order, and they are read twice
+    long = keep(flat.filter(F.length("_text") > chunk).withColumn("_row", F.monotonically_increasing_id()).withColumn("_n", n), "long", result=True)
     piece = long.select(
         "_row", "_n", F.struct(*kept).alias("_kept"), "_text", F.posexplode(F.sequence(F.lit(0), F.col("_n") - 1)).alias("_k", "_"),
     ).select(

@@ -1,12 +1,13 @@
 """Benchmark decontamination with an FM-index for each shard of training text.
 
 Phrases are the windows of `window` consecutive words of a benchmark item (a shorter item is one window). Documents of
-SHARD bytes together, or one longer document, are a shard. Words that no phrase has become separators, and runs between separators that are
-shorter than the shortest phrase are left out of the index, since no phrase fits there; both steps are exact. All
-phrases are searched backwards at once, located by sampled suffix positions, and their spans merged per document.
+SHARD bytes together, or one longer document, are a shard. Words that no phrase has become separators, and runs between
+separators that are shorter than the shortest phrase are left out of the index, since no phrase fits there; both steps
+are exact. All phrases are searched backwards at once, located by sampled suffix positions, and their spans merged per
+document.
 
-The benchmark is the query set: it is read in blocks of at most `block_windows` windows, each block a broadcast of
-bounded size that is searched in all shards. Where there are several, what was found is written after each, and the
+The benchmark is the query set: it is read in blocks of at most `block_windows` windows (an item that has
+more is cut into runs), each block a broadcast of bounded size that is searched in all shards. Where there are several, what was found is written after each, and the
 block's broadcast is given up before the next one is made. Texts go to Python to be searched and do not come back; those
 with a hit go there once more to be cut.
 
@@ -22,13 +23,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kinelake.llm import textkit as K
 from kinelake.llm.fm_index import FMIndex
-from kinelake.llm.store import keep
+from kinelake.llm.store import keep, quoted
 
 WINDOW = 10
 BLOCK_WINDOWS = 200_000
@@ -136,16 +138,21 @@ def _shard(texts: list[pa.Array], phrases: Phrases):
     return n_words, spans, cuts, items
 
 
-def _merge(a: list[int], b: list[int]) -> list[int]:
-    if not a or not b:
-        return a or b
-    out: list[int] = []
-    for s, e in sorted(zip(a[::2] + b[::2], a[1::2] + b[1::2], strict=True)):
-        if out and s <= out[-1]:
-            out[-1] = max(out[-1], e)
-        else:
-            out += [s, e]
-    return out
+@F.arrow_udf(T.ArrayType(T.LongType()))
+def _merged(spans: pa.Array) -> pa.Array:
+    """Lists of [start, end) in any order, flat, as sorted ranges that do not touch; all lists of a batch at once."""
+    flat = spans.flatten().to_numpy(zero_copy_only=False).reshape(-1, 2)
+    row = np.repeat(np.arange(len(spans)), pc.fill_null(pc.list_value_length(spans), 0).to_numpy(zero_copy_only=False) // 2)
+    order = np.lexsort((flat[:, 0], row))
+    row, (start, end) = row[order], flat[order].T
+    reach = np.maximum.accumulate(end + (row << 40))  # rows one after the other
+    new = np.ones(len(row), bool)
+    new[1:] = start[1:] + (row[1:] << 40) > reach[:-1]
+    first = np.flatnonzero(new)
+    last = np.append(first[1:], len(row))[: len(first)] - 1
+    out = np.stack([start[first], reach[last] - (row[last] << 40)], axis=1).ravel()
+    at = 2 * np.searchsorted(row[first], np.arange(len(spans) + 1))
+    return pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(out, pa.int64()))
 
 
 def _without(text: str, cuts: list[int]) -> str:
@@ -163,45 +170,48 @@ def _cut(texts: pa.Array, cuts: pa.Array) -> pa.Array:
     return pa.array([_without(t, c) if c else None for t, c in zip(texts.to_pylist(), cuts.to_pylist(), strict=True)], pa.string())
 
 
-_MERGE = F.udf(lambda a, b: _merge(a or [], b or []), T.ArrayType(T.LongType()))
+def runs(benchmark: DataFrame, window: int, most: int) -> Iterator[tuple[str, np.ndarray]]:
+    """Items as hashes of their words; one of more than `most` windows in runs that overlap by window - 1 words, which
+    have all its windows between them."""
+    for name, text in benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("null")), "text").toLocalIterator():
+        hashes = K.words(pa.array([text], pa.string()), K.ITEM).hashes
+        for k in range(0, max(1, len(hashes) - window + 1) if len(hashes) else 0, most):
+            yield name, hashes[k : k + most + window - 1]
 
 
-def blocks(benchmark: DataFrame, window: int, block_windows: int) -> Iterator[Phrases]:
-    """The benchmark's phrases in blocks of bounded size; the driver holds one at a time."""
+def blocks(benchmark: DataFrame, window: int, block_windows: int) -> Iterator[tuple[Phrases, bool]]:
+    """The benchmark's phrases in blocks of at most block_windows windows, and whether more come. The driver holds one
+    block and the run after it."""
     rows: list[tuple[str, np.ndarray]] = []
     size = 0
-    for row in benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("null")), "text").toLocalIterator():
-        hashes = K.words(pa.array([row[1]], pa.string()), K.ITEM).hashes
-        if not len(hashes):
-            continue
-        rows.append((row[0], hashes))
-        size += max(1, len(hashes) - window + 1)
-        if size >= block_windows:
-            yield Phrases(rows, window)
+    for name, hashes in runs(benchmark, window, block_windows):
+        n = max(1, len(hashes) - window + 1)
+        if rows and size + n > block_windows:
+            yield Phrases(rows, window), True
             rows, size = [], 0
-    if rows:
-        yield Phrases(rows, window)
+        rows.append((name, hashes))
+        size += n
+    yield Phrases(rows, window), False
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text", window: int = WINDOW, block_windows: int = BLOCK_WINDOWS, columns: list[str] | None = None, clean: bool = False) -> DataFrame:
-    """The columns asked for (all by default), the text without hit words if `clean`, with `n_words`, `hit_spans` (merged [start, end) in words, flat),
-    `hit_bytes` (the same in bytes of the text's UTF-8), and `hit_items` (sorted as strings)."""
+    """The columns asked for (all by default), the text without hit words if `clean`, with `n_words`, `hit_spans` (merged
+    [start, end) in words, flat), `hit_bytes` (the same in bytes of the text's UTF-8), and `hit_items` (sorted as
+    strings)."""
     spark = docs.sparkSession
     columns = [c for c in (docs.columns if columns is None else columns) if c.lower() not in OUT]
     outer = {c: f"_c{k}" for k, c in enumerate(dict.fromkeys([*columns, text]))}
-    out = docs.select(*[docs[c].alias(n) for c, n in outer.items()])
-    todo = blocks(benchmark, window, block_windows)
-    now, first = next(todo, None) or Phrases([], window), True
-    while now is not None:
-        after = next(todo, None)
-        block = spark.sparkContext.broadcast(now)
+    out = docs.select(*[F.col(quoted(c)).alias(n) for c, n in outer.items()])
+    first = True
+    for phrases, more in blocks(benchmark, window, block_windows):
+        block = spark.sparkContext.broadcast(phrases)
         found = K.told(out, outer[text], _search(block), FIELDS, SHARD)
         if not first:  # beside what the blocks before have found
-            found = found.withColumns({"_spans": _MERGE("_s", "_spans"), "_bytes": _MERGE("_b", "_bytes"), "_items": F.array_sort(F.array_union("_i", "_items"))}).drop("_s", "_b", "_i")
-        if after is not None:
+            found = found.withColumns({"_spans": _merged(F.concat("_s", "_spans")), "_bytes": _merged(F.concat("_b", "_bytes")), "_items": F.array_sort(F.array_union("_i", "_items"))}).drop("_s", "_b", "_i")
+        if more:
             out = keep(found.drop("_n_words"), "hits").withColumnsRenamed({"_spans": "_s", "_bytes": "_b", "_items": "_i"})
             block.destroy()
-        now, first = after, False
+        first = False
     if clean and text in columns:
         hit = F.size("_bytes") > 0
         found = found.withColumn(outer[text], F.when(hit, _cut(F.when(hit, F.col(outer[text])), F.when(hit, F.col("_bytes")))).otherwise(F.col(outer[text])))

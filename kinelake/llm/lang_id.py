@@ -137,9 +137,9 @@ def train(texts: list[str], labels: list[str], pieces_: int = PIECES, hidden: in
     return Model(langs, net)
 
 
-def fit(docs: DataFrame, size: int = SIZE, pieces_: int = PIECES, longest: int = sampling.LONGEST) -> Model:
-    """A model learned from text and lang of these rows alone."""
-    texts, labels = sampling.own(docs, "lang", size, longest)
+def fit(docs: DataFrame, size: int = SIZE, pieces_: int = PIECES, longest: int = sampling.LONGEST, kinds: int | None = None) -> Model:
+    """A model learned from text and lang of these rows alone; of the `kinds` most frequent languages, if it is given."""
+    texts, labels = sampling.own(docs, "lang", size, longest, kinds)
     return train(texts, labels, pieces_)
 
 

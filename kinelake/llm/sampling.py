@@ -2,9 +2,10 @@
 
 A text is in the sample if the hash of its id is below a fraction of all hashes; the fraction is chosen so that about
 `size` rows of a label are. Equal texts of one label are one row. Bounds, all parameters of a fit: `size` rows of a
-label (SPARE times as many at most, whatever the hashes do), the `kinds` most frequent labels, and texts of at most
-`longest` bytes; longer ones are not learned from (they are scored as all others). So the driver holds at most
-SPARE * size * kinds texts. What is not in the sample changes nothing but the fit.
+label (SPARE times as many at most, whatever the hashes do), and texts of at most `longest` bytes; longer ones are not
+learned from (they are scored as all others). All labels count; `kinds`, if it is given, leaves those beyond so many most
+frequent ones out, for columns that hold something else than a few labels. The driver holds at most SPARE * size texts of
+each label. What is not in the sample changes nothing but the fit.
 """
 
 from __future__ import annotations
@@ -12,13 +13,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-LONGEST, KINDS, SPARE = 200_000, 64, 2
+LONGEST, SPARE = 200_000, 2
 PARTS = 1 << 20
 
 
-def drawn(rows: DataFrame, label: str, size: int | dict, seed: int = 7, kinds: int = KINDS) -> tuple[DataFrame, int]:
+def drawn(rows: DataFrame, label: str, size: int | dict, seed: int = 7, kinds: int | None = None) -> tuple[DataFrame, int]:
     """The rows of the sample, about `size` for each label or all there are, and a bound on how many count."""
-    counts = rows.filter(F.col(label).isNotNull()).groupBy(label).count().orderBy(F.desc("count"), label).limit(kinds).collect()
+    counts = rows.filter(F.col(label).isNotNull()).groupBy(label).count()
+    counts = (counts if kinds is None else counts.orderBy(F.desc("count"), label).limit(kinds)).collect()
     wanted = {r[0]: size[r[0]] if isinstance(size, dict) else size for r in counts}
     part = F.pmod(F.xxhash64(F.lit(seed), F.col("doc_id")), F.lit(PARTS).cast("long"))
     keep = F.lit(False)
@@ -35,10 +37,10 @@ def listed(found: DataFrame, label: str, most: int) -> tuple[list, list]:
     return [r[1] for r in rows], [r[2] for r in rows]
 
 
-def own(docs: DataFrame, label: str, size: int | dict, longest: int = LONGEST) -> tuple[list, list]:
+def own(docs: DataFrame, label: str, size: int | dict, longest: int = LONGEST, kinds: int | None = None) -> tuple[list, list]:
     """Texts and labels of a sample of rows that carry their label themselves."""
     rows = docs.select(F.xxhash64("doc_id", "text").alias("doc_id"), "text", label).filter(F.octet_length("text") <= longest)
-    found, most = drawn(rows, label, size)
+    found, most = drawn(rows, label, size, kinds=kinds)
     return listed(found, label, most)
 
 

@@ -2,7 +2,8 @@
 
 A written table cuts lineage: a lost executor costs its running tasks, not what came before. The folder is the
 session's spark.checkpoint.dir; only where that is unset and there is one JVM (tests) a temporary folder is made. What
-an operator writes inside `scratch` goes when it is done, but for its result.
+an operator writes inside `scratch` goes when it is done, but for its result. Results are read by whoever has the
+DataFrame; they go with `drop`, or at the latest when the driver's JVM ends.
 """
 
 from __future__ import annotations
@@ -39,8 +40,17 @@ def scratch(spark: SparkSession) -> Iterator[None]:
         paths = _scratch.get() or []
         _scratch.reset(mark)
         for path in paths:
-            place = spark._jvm.org.apache.hadoop.fs.Path(path)
-            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+            drop(spark, path)
+
+
+def _place(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def drop(spark: SparkSession, path: str) -> None:
+    place, system = _place(spark, path)
+    system.delete(place, True)
 
 
 def new_path(spark: SparkSession, name: str) -> str:
@@ -54,6 +64,8 @@ def keep(df: DataFrame, name: str, result: bool = False) -> DataFrame:
     if not result and _scratch.get() is not None:
         _scratch.get().append(path)
     df.write.parquet(path)
+    place, system = _place(spark, path)
+    system.deleteOnExit(place)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -412,8 +412,8 @@ def test_token_files_give_back_every_document(spark):
 
 
 def clashing(docs):
-    names = "lang_pred score expected_grade p_tail keep predicted n_card n_email _found _parts _kinds _new _told _row _node n_words hit_spans hit_items decoded tokens held_out n_tokens states tail component_id".split()
-    return docs.withColumns({n: F.lit(n) for n in names})
+    names = "lang_pred score expected_grade p_tail keep predicted n_card n_email _found _parts _kinds _new _told _row _node n_words hit_spans hit_items decoded tokens held_out n_tokens states tail component_id a.b a`b".split()
+    return docs.select("*", *[F.lit(n).alias(n) for n in names])
 
 
 def models(spark):
@@ -494,7 +494,7 @@ def test_samples_are_of_rows_and_bounded(spark):
     texts, y = sampling.labelled(docs, labels_, "toxic", 60)
     assert len(texts) == 51 and y.count(1) == 50
     kinds = docs_of(spark, [(k, f"t{k}") for k in range(300)]).withColumn("lang", F.col("text"))
-    assert len(sampling.own(kinds, "lang", 3)[0]) == sampling.KINDS
+    assert len(sampling.own(kinds, "lang", 3)[0]) == 300 and len(sampling.own(kinds, "lang", 3, kinds=64)[0]) == 64
 
 
 def test_account_numbers_before_other_words(spark):
