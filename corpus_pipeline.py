@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from kinelake.llm import byte_bpe, decontaminate, jaccard_join, lang_id, pii
 from kinelake.llm.brown_lm import remainder
-from kinelake.llm.store import fresh, keep, quoted, scratch, table
+from kinelake.llm.store import drop, fresh, keep, new_path, quoted, scratch, table
 
 #: A document goes if it has no letter, or if its best language's mean probability is not this part of the way from an
 #: even guess among the languages learned (0) to certainty (1). Of the texts of check_s the lowest two, short ones with
@@ -88,15 +88,20 @@ STAGES = [
     ("byte-level BPE", tokens),
 ]
 
-#: Models and permutations under a key are beyond SQL; tests compare the stages that rows leave, and the last, with plain
-#: versions.
+#: Models and permutations under a key are beyond SQL; tests compare what every stage leaves with plain versions.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    for k, (name, stage) in enumerate(STAGES):
+    """All stages over documents; a stage's table goes when the next one is written."""
+    docs, before = table(spark, sf_dir, "documents"), None
+    for k, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if k < len(STAGES) - 1:
-            docs = keep(docs, "stage")
+            path = new_path(spark, "stage")
+            docs.write.parquet(path)
+            docs = spark.read.schema(docs.schema).parquet(path)
+            if before:
+                drop(spark, before)
+            before = path
     return docs
