@@ -48,8 +48,9 @@ GROUP = 48
 HOT, HOT_KINDS = 8192, 1 << 15
 #: Classes to a block when those still apart are compared, and n-grams of all its sets, in the mean.
 BLOCK, BLOCK_GRAMS = 256, 1 << 20
-#: Bits of the filter that tells which documents' sets are needed.
-FILTER_BITS = 1 << 23
+#: Bits for each document in the filter that tells whose sets are needed, and bits of the largest filter; where more
+#: documents are asked for, they are joined by id.
+FILTER_EACH, FILTER_MOST = 16, 1 << 27
 
 
 def need(x: np.ndarray, y: np.ndarray, percent: int) -> np.ndarray:
@@ -225,21 +226,27 @@ def _verify(percent: int):
 def _sets_of(docs: DataFrame, ids: DataFrame, n: int, classes) -> DataFrame:
     """(doc_id, set) of the documents in `ids`, and of the few that share a filter bit with one of them."""
     spark = docs.sparkSession
-    bit = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS).cast("long"))
-    marks = ids.select(F.floor(bit / 32).cast("int").alias("w"), F.expr(f"shiftleft(1L, CAST(pmod(xxhash64(doc_id), {FILTER_BITS}L) % 32 AS INT))").alias("m")).groupBy("w").agg(F.bit_or("m").alias("m")).toArrow()
-    words = np.zeros(FILTER_BITS // 32, np.uint32)
-    words[marks["w"].to_numpy()] = marks["m"].to_numpy().astype(np.uint32)
-    marked = spark.sparkContext.broadcast(words)
+    bits = max(1 << 16, 1 << (FILTER_EACH * ids.count() - 1).bit_length())
+    asked, marked = docs.select("doc_id", "text"), None
+    if bits > FILTER_MOST:
+        asked = asked.join(ids, "doc_id", "left_semi")
+    else:
+        bit = F.pmod(F.xxhash64("doc_id"), F.lit(bits).cast("long"))
+        marks = ids.select(bit.alias("b")).select(F.floor(F.col("b") / 32).cast("int").alias("w"), F.expr("shiftleft(1L, CAST(b % 32 AS INT))").alias("m")).groupBy("w").agg(F.bit_or("m").alias("m")).toArrow()
+        words = np.zeros(bits // 32, np.uint32)
+        words[marks["w"].to_numpy()] = marks["m"].to_numpy().astype(np.uint32)
+        marked, asked = spark.sparkContext.broadcast(words), asked.withColumn("bit", bit)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at = batch.column("bit").to_numpy(zero_copy_only=False)
-            batch = batch.filter(pa.array((marked.value[at >> 5] >> (at & 31).astype(np.uint32)) & 1 == 1))
+            if marked is not None:
+                at = batch.column("bit").to_numpy(zero_copy_only=False)
+                batch = batch.filter(pa.array((marked.value[at >> 5] >> (at & 31).astype(np.uint32)) & 1 == 1))
             for part in K.slices(batch):
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array([s.tobytes() for s in sets(part.column("text"), n, classes.value)], pa.binary())], names=["doc_id", "set"])
         K.tidy()
 
-    return docs.select("doc_id", "text", bit.alias("bit")).mapInArrow(run, "doc_id long, set binary")
+    return asked.mapInArrow(run, "doc_id long, set binary")
 
 
 def _suffix_filter(percent: int):

@@ -119,7 +119,7 @@ FOLD = {k: k + 32 for k in range(65, 91)}
 
 def plain_clean(text, items, window=10):
     """The text without words in any window of the items."""
-    words = [(m.group().translate(FOLD), m.start(), m.end()) for m in re.finditer(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", text)]
+    words = [(m.group(), m.start(), m.end()) for m in re.finditer(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", text.translate(FOLD))]
     windows = {tuple(w[k : k + min(window, len(w))]) for w in items for k in range(len(w) - min(window, len(w)) + 1) if w}
     hit = [False] * len(words)
     for n in {len(w) for w in windows}:
@@ -152,7 +152,7 @@ def test_stages_equal_plain_versions_row_by_row(spark, tmp_path):
         if t and any(map(str.isalpha, t)) and float(model.predict(pa.array([t])).max()) >= even + corpus_pipeline.LEAST_MARGIN * (1 - even):
             sure.add(i)
     assert {r["doc_id"] for r in corpus_pipeline.language(spark, docs, str(tmp_path)).collect()} == sure
-    items = [[w.translate(FOLD) for w in re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", t or "")] for t in bench.text]
+    items = [re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (t or "").translate(FOLD)) for t in bench.text]
     clean = {r["doc_id"]: r["text"] for r in corpus_pipeline.benchmark_free(spark, docs, str(tmp_path)).collect()}
     assert all(clean[i] == plain_clean(t, items) for i, t in zip(table.doc_id, table.text, strict=True) if t)
     assert any(clean[i] != t for i, t in zip(table.doc_id, table.text, strict=True))
