@@ -65,6 +65,10 @@ def isolation(x: Column | str, near: Column) -> Column:
     return F.when(base.isNull(), 1.0).when(base <= 0, still).otherwise(F.least(F.try_divide(_c(x), base), F.lit(MOST_ISOLATED)))
 
 
+#: Columns of a summary, in order.
+SUMMARY = ("count", "n_nan", "mean", "std", "min", "max", "p1", "p99")
+
+
 def summary(x: Column | str, prefix: str = "") -> list[Column]:
     """count, n_nan, mean, std (of the population), min, max, p1, p99; all but the counts over finite values alone."""
     v = finite(x)

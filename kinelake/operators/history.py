@@ -13,9 +13,11 @@ FRESH, REDO_NORMALIZE, REDO_QC = "FRESH", "REDO_NORMALIZE", "REDO_QC"
 
 
 def latest(rows: DataFrame, keys: tuple[str, ...] = ("episode_uid", "rule_id"), at: str = "created_at", seq: str = "seq") -> DataFrame:
-    """The newest row of each key; of equal times the one recorded last."""
-    w = Window.partitionBy(*keys).orderBy(F.desc(at), F.desc(seq))
-    return rows.withColumn("_rank", F.row_number().over(w)).filter("_rank = 1").drop("_rank")
+    """The newest row of each key; of equal times the one recorded last. Every task keeps one row a key before rows are
+    shuffled, so that history moves once for each key and task. `statelog` keeps snapshots of it beside."""
+    rest = [c for c in rows.columns if c not in keys]
+    best = rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct(at, seq)).alias("_best"))
+    return best.select(*[F.col(c) if c in keys else F.col("_best")[c].alias(c) for c in rows.columns])
 
 
 def newest(rows: DataFrame, at: str = "started_at", seq: str = "seq") -> DataFrame:
@@ -67,12 +69,6 @@ def bad_transitions(changes: DataFrame) -> DataFrame:
     return changes.filter(~F.coalesce(fine, F.lit(False)))
 
 
-def reclaimable(state: DataFrame, now: Column, owner: str, ttl_seconds: int) -> DataFrame:
-    """Leases that have expired, or are this owner's own."""
-    held = state.filter("lease_owner IS NOT NULL")
-    return held.filter((F.col("lease_owner") == owner) | (F.timestamp_diff("SECOND", "leased_at", now) >= ttl_seconds))
-
-
 def recover(runs: DataFrame, state: DataFrame, readable: DataFrame, now: Column) -> dict[str, DataFrame]:
     """What a restart has to mend: open runs to close, the run it goes on from, episodes whose artifact is unreadable."""
     open_ = runs.filter("finished_at IS NULL").orderBy("started_at", "seq")

@@ -3,22 +3,50 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
-def settled(df: DataFrame) -> DataFrame:
-    """The rows of df, computed once and kept in the session's checkpoint folder. Only where that is unset and there is
-    one JVM (tests) a temporary folder is set."""
-    sc = df.sparkSession.sparkContext
+def folder(spark: SparkSession) -> str:
+    """The session's checkpoint folder, which all executors share. Only where that is unset and there is one JVM (tests) a
+    temporary folder is set."""
+    sc = spark.sparkContext
     if not sc.getConf().get("spark.checkpoint.dir") and not sc._jsc.sc().getCheckpointDir().isDefined():
         if not sc.master.startswith("local["):
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="kinelake-"))
+    return sc._jsc.sc().getCheckpointDir().get()
+
+
+def settled(df: DataFrame) -> DataFrame:
+    """The rows of df, computed once and kept in the session's checkpoint folder."""
+    folder(df.sparkSession)
     return df.checkpoint()
 
 
+def dealt(df: DataFrame, *keys: str) -> DataFrame:
+    """The rows of df dealt out by keys, computed once and kept in a way that Spark knows: windows, groupings and joins by
+    these keys find their rows in place. How adaptive plans lie is not kept with their rows, so that this one is made
+    without adaptation; the setting is the session's own again afterwards."""
+    conf, name = df.sparkSession.conf, "spark.sql.adaptive.enabled"
+    before = conf.get(name)
+    conf.set(name, "false")
+    try:
+        return settled(df.repartition(n_ranges(df.sparkSession), *keys))
+    finally:
+        conf.set(name, before)
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path in the session's checkpoint folder, whose files go when the driver's JVM ends."""
+    path = f"{folder(spark)}/{name}-{uuid.uuid4().hex}"
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(place)
+    return path
+
+
 def n_ranges(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

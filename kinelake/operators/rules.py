@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kinelake.functions import signals as S
+from kinelake.operators import order
 
 PASS, FAIL, REVIEW, SKIPPED, ERROR = "PASS", "FAIL", "REVIEW", "SKIPPED", "ERROR"
 CONTINUOUS = "per_frame_continuous"
@@ -392,9 +393,16 @@ def _judged(rule: Rule, facts: str, params: dict) -> Column:
     return F.struct(F.lit(rule.rule_id).alias("rule_id"), F.when(why.isNotNull(), SKIPPED).otherwise(verdict).alias("verdict"), F.coalesce(why, reason).alias("reason"), all_.alias("metrics"))
 
 
+def dealt(t: Tables) -> Tables:
+    """The tables with samples and frames dealt out by episode and written once, for many rules: what is known of how a
+    written table lies stays known, so that all windows, groupings and joins by episode find their rows in place."""
+    return Tables(t.episodes, t.channels, order.dealt(t.samples, EPISODE), order.dealt(t.frames, EPISODE))
+
+
 def evaluate_all(t: Tables, rules: list[Rule] | None = None, params: dict | None = None) -> DataFrame:
     """(episode_uid, rule_id, verdict, reason, metrics), one row per episode and rule: episodes beside every rule's facts."""
     rules = RULES if rules is None else rules
+    t = dealt(t) if len(rules) > 1 else t
     wide = t.episodes.join(F.broadcast(declared(t.channels)), "embodiment", "left")
     results = []
     for rule in rules:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from kinelake.operators import history as H
@@ -9,6 +10,8 @@ from kinelake.operators import lifecycle as L
 from kinelake.operators import report as P
 from kinelake.operators import sampler as G
 from kinelake.operators import stats
+from kinelake.operators.order import scratch
+from kinelake.operators.statelog import StateLog
 from kinelake.plans import surrogate as V
 
 C = """
@@ -118,8 +121,8 @@ add("q_sqrt_weights", lambda s, d: G.sqrt_weights(candidates(s, d)).withColumn("
 
 
 def clamped(spark, sf_dir):
-    """Weights of line counts by return flag and status to a high power, so that floor and cap both bind."""
-    a = V.table(spark, sf_dir, "orders").groupBy("o_orderpriority").agg(F.sum(F.when(F.col("o_orderkey") % 2 == 0, F.pow(F.lit(4.0), F.substring("o_orderpriority", 1, 1).cast("int"))).otherwise(0)).alias("x"))
+    """Weights of orders by a high power of their priority, so that floor and cap both bind."""
+    a = V.table(spark, sf_dir, "orders").groupBy("o_orderpriority").agg(F.sum(F.pow(F.lit(4.0), F.substring("o_orderpriority", 1, 1).cast("int"))).alias("x"))
     raw = {r[0]: r[1] for r in a.collect()}
     total = sum(raw.values())
     out = G.clamp({k: v / total for k, v in sorted(raw.items())})
@@ -127,7 +130,7 @@ def clamped(spark, sf_dir):
 
 
 add("q_clamp", clamped, """
-WITH RECURSIVE a AS (SELECT o_orderpriority AS p, sum(CASE WHEN o_orderkey % 2 = 0 THEN pow(4.0, CAST(o_orderpriority[1] AS INT)) ELSE 0 END) AS x FROM orders GROUP BY 1),
+WITH RECURSIVE a AS (SELECT o_orderpriority AS p, sum(pow(4.0, CAST(o_orderpriority[1] AS INT))) AS x FROM orders GROUP BY 1),
 s0 AS (SELECT p, x / sum(x) OVER () AS w, NULL::DOUBLE AS pin, 0 AS round FROM a),
 it AS (SELECT * FROM s0 UNION ALL
   SELECT p, w, CASE WHEN pin IS NOT NULL THEN pin WHEN share < least(0.05, 1.0 / n) THEN least(0.05, 1.0 / n) WHEN share > greatest(0.4, 1.0 / n) THEN greatest(0.4, 1.0 / n) END, round + 1
@@ -237,20 +240,28 @@ add("q_export_audit", lambda s, d: G.audit(G.plan_sequential(candidates(s, d), 4
 
 
 def sections(spark, sf_dir):
-    """A report of the corpus and of run 2, a row for each of its lines."""
+    """A report of the corpus and of run 2, a row for each of its lines but rates, which are rounded."""
     e, r = V.catalog(spark, sf_dir), V.results(spark, sf_dir)
     report = P.build(e, r, {"run_id": "run2", "stats": {}})
     problems, _ = P.disagreements(report, e, r)
-    rows = [(t, ",".join(map(str, row))) for t, s in report["sections"].items() if t in ("Catalog totals", "Source x embodiment", "QC verdicts (this run)", "Skip reasons (cumulative)") for row in s["rows"]]
+    whole = {s.title for s in P.SECTIONS} - {"Rule rates", "Committed corpus"}
+    rows = [(t, ",".join(map(str, row))) for t, s in report["sections"].items() if t in whole for row in s["rows"]]
+    rows += [("Rule rates", ",".join(map(str, row[:5]))) for row in report["sections"]["Rule rates"]["rows"]]
+    rows += [("Committed corpus", ",".join(map(str, row[:2]))) for row in report["sections"]["Committed corpus"]["rows"]]
     return spark.createDataFrame([*rows, *(("problem", p) for p in problems)], "section string, line string")
 
 
 _R2 = R.strip().removeprefix("WITH ")
+_WHY = "coalesce(nullif(reason, ''), 'unspecified')"
 add("q_report_sections", sections, f"""{C}, {_R2}
-SELECT 'Catalog totals' AS section, status || ',' || count(*) AS line FROM c GROUP BY status
-UNION ALL SELECT 'Source x embodiment', source_id || ',' || coalesce(embodiment, '') || ',' || count(*) || ',' || CAST(sum(n_frames) AS BIGINT) FROM c WHERE status = 'COMMITTED' GROUP BY source_id, coalesce(embodiment, '')
-UNION ALL SELECT 'QC verdicts (this run)', rule_id || ',' || verdict || ',' || count(*) FROM r WHERE run_id = 'run2' GROUP BY rule_id, verdict
-UNION ALL SELECT 'Skip reasons (cumulative)', rule_id || ',' || coalesce(nullif(reason, ''), 'unspecified') || ',' || count(*) FROM latest WHERE verdict = 'SKIPPED' GROUP BY rule_id, coalesce(nullif(reason, ''), 'unspecified')""")
+SELECT 'Episodes by stage' AS section, status || ',' || count(*) AS line FROM c GROUP BY status
+UNION ALL SELECT 'Committed corpus', count(*) || ',' || CAST(sum(n_frames) AS BIGINT) FROM c WHERE status = 'COMMITTED'
+UNION ALL SELECT 'Committed by source and embodiment', source_id || ',' || coalesce(embodiment, '') || ',' || count(*) || ',' || CAST(sum(n_frames) AS BIGINT) FROM c WHERE status = 'COMMITTED' GROUP BY source_id, coalesce(embodiment, '')
+UNION ALL SELECT 'Verdicts of this run', rule_id || ',' || verdict || ',' || count(*) FROM r WHERE run_id = 'run2' GROUP BY rule_id, verdict
+UNION ALL SELECT 'Skips of this run', rule_id || ',' || {_WHY} || ',' || count(*) FROM r WHERE run_id = 'run2' AND verdict = 'SKIPPED' GROUP BY rule_id, {_WHY}
+UNION ALL SELECT 'Verdicts', rule_id || ',' || verdict || ',' || count(*) FROM latest GROUP BY rule_id, verdict
+UNION ALL SELECT 'Rule rates', rule_id || ',' || count(*) FILTER (verdict <> 'SKIPPED') || ',' || count(*) FILTER (verdict IN ('FAIL', 'REVIEW')) || ',' || count(*) FILTER (verdict = 'SKIPPED') || ',' || count(*) FILTER (verdict = 'ERROR') FROM latest GROUP BY rule_id
+UNION ALL SELECT 'Skips', rule_id || ',' || {_WHY} || ',' || count(*) FROM latest WHERE verdict = 'SKIPPED' GROUP BY rule_id, {_WHY}""")
 
 
 def states(spark, sf_dir):
@@ -278,3 +289,86 @@ def recovered(spark, sf_dir):
 add("q_recover", recovered, f"""{C} SELECT 'interrupted' AS what, CAST(count(*) AS VARCHAR) AS value FROM orders WHERE o_orderstatus = 'P'
 UNION ALL SELECT 'resumed_from', CAST(max_by(o_orderkey, (o_orderdate, o_orderkey)) AS VARCHAR) FROM orders WHERE o_orderstatus = 'P'
 UNION ALL SELECT 'demoted', CAST(count(*) AS VARCHAR) FROM c WHERE status IN ('NORMALIZED', 'QC_DONE') AND k % 2 = 0""")
+
+
+# ---- the log of states
+
+
+def _logged(spark, sf_dir) -> StateLog:
+    """Results as a log: three commits by number of the result, with snapshots between them."""
+    r = V.results(spark, sf_dir).select("episode_uid", "rule_id", "run_id", "created_at", "seq", "verdict")
+    log = StateLog(spark, scratch(spark, "results"), r.schema, keys=("episode_uid", "rule_id"), order=("created_at", "seq"), buckets=8)
+    # in order of time, as commits are
+    third = F.ntile(3).over(Window.orderBy("day"))
+    days = r.select(F.to_date("created_at").alias("day")).distinct().withColumn("part", third)  # a row a day
+    parts = r.withColumn("day", F.to_date("created_at")).join(F.broadcast(days), "day")
+    for k in (1, 2, 3):
+        log.append(parts.filter(F.col("part") == k).drop("day", "part"), token=f"part{k}")
+        if k < 3:
+            log.compact()
+    return log
+
+
+add("q_log_latest", lambda s, d: _logged(s, d).latest().select("episode_uid", "rule_id", "run_id", "seq", "verdict"), f"{R} SELECT uid AS episode_uid, rule_id, run_id, seq, verdict FROM latest")
+
+
+def _catalogued(spark, sf_dir) -> StateLog:
+    """The catalog as a log: all episodes as discovered, then every one of them as it is, and a snapshot."""
+    e = V.catalog(spark, sf_dir).select("episode_uid", "source_id", "status", "qc_verdict", "n_frames")
+    log = StateLog(spark, scratch(spark, "episodes"), e.schema, buckets=16)
+    log.append(e.withColumns({"status": F.lit("DISCOVERED"), "qc_verdict": F.lit("PENDING")}))
+    log.compact()
+    log.append(e.filter("status <> 'DISCOVERED'"))
+    log.compact()
+    return log
+
+
+def by_stage(spark, sf_dir):
+    return _catalogued(spark, sf_dir).latest(F.col("status").isin("NORMALIZED", "QC_DONE")).select("episode_uid", "source_id", "status", "qc_verdict")
+
+
+add("q_by_stage", by_stage, f"{C} SELECT uid AS episode_uid, source_id, status, qc_verdict FROM c WHERE status IN ('NORMALIZED', 'QC_DONE')")
+
+
+def by_uid(spark, sf_dir):
+    """The episode of the largest order, looked up in its bucket."""
+    uid = V.table(spark, sf_dir, "orders").agg(F.max_by("o_orderkey", F.struct("o_totalprice", "o_orderkey"))).first()[0]
+    return _catalogued(spark, sf_dir).lookup(episode_uid=str(uid)).select("episode_uid", "source_id", F.col("n_frames").cast("long").alias("n_frames"))
+
+
+add("q_by_uid", by_uid, f"{C} SELECT uid AS episode_uid, source_id, n_frames FROM c WHERE k = (SELECT o_orderkey FROM orders ORDER BY o_totalprice DESC, o_orderkey DESC LIMIT 1)")
+
+
+def ingested(spark, sf_dir):
+    """All orders through a run in two batches: a fifth of the customers' cannot be fetched, every line's quantity counts as
+    a frame, and an order of more than five lines is for review."""
+    o = V.table(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("string").alias("episode_uid"), (F.col("o_custkey") % 5 == 0).alias("lost"))
+    lines = V.table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").cast("string").alias("episode_uid"), F.lit("src").alias("source_id"), F.col("l_linenumber").alias("frame_idx"), F.col("l_quantity").alias("value"))
+    place = scratch(spark, "ingested")
+
+    def fetch(e):
+        return e.join(o, "episode_uid").select("episode_uid", F.when(F.col("lost"), F.concat(F.lit("NotFound: "), "episode_uid")).alias("error"))
+
+    def judge(e):
+        n = spark.read.parquet(f"{place}/frames").join(e.select("episode_uid"), "episode_uid", "left_semi").groupBy("episode_uid").agg(F.count(F.lit(1)).alias("n"))
+        return n.select("episode_uid", F.when(F.col("n") > 5, "REVIEW").otherwise("PASS").alias("qc_verdict"))
+
+    source = L.Source(lambda: o, fetch, lambda e: lines.join(e.select("episode_uid"), "episode_uid", "left_semi"), judge, lambda rows: rows.write.mode("append").parquet(f"{place}/frames"))
+    log = L.episode_log(spark, place)
+    return L.ingest(log, L.due(o, log), source, L.Run("r1"), batches=2).select("episode_uid", "status", "qc_verdict", "last_error")
+
+
+add("q_ingest", ingested, """SELECT CAST(o_orderkey AS VARCHAR) AS episode_uid, CASE WHEN o_custkey % 5 = 0 THEN 'FAILED' WHEN n IS NULL THEN 'FETCHED' ELSE 'COMMITTED' END AS status,
+ CASE WHEN o_custkey % 5 = 0 OR n IS NULL THEN 'PENDING' WHEN n > 5 THEN 'REVIEW' ELSE 'PASS' END AS qc_verdict, CASE WHEN o_custkey % 5 = 0 THEN 'NotFound: ' || o_orderkey END AS last_error
+FROM orders LEFT JOIN (SELECT l_orderkey, count(*) AS n FROM lineitem GROUP BY l_orderkey) ON o_orderkey = l_orderkey""")
+
+
+def large_groups(spark, sf_dir):
+    """Summaries of line prices by return flag with quantiles selected by counting, as if no task could hold a group."""
+    rows = V.table(spark, sf_dir, "lineitem").select("l_returnflag", "l_linestatus", F.col("l_extendedprice").alias("value"))
+    out = stats.distributions(rows, ["l_returnflag", "l_linestatus"], in_a_task=0)
+    return out.withColumns({c: F.round(c, 6) for c in ("mean", "std", "p1", "p99")})
+
+
+add("q_large_group_quantiles", large_groups, """SELECT l_returnflag, l_linestatus, count(*) AS count, CAST(0 AS BIGINT) AS n_nan, round(avg(l_extendedprice), 6) AS mean, round(stddev_pop(l_extendedprice), 6) AS std,
+ min(l_extendedprice) AS min, max(l_extendedprice) AS max, round(quantile_cont(l_extendedprice, 0.01), 6) AS p1, round(quantile_cont(l_extendedprice, 0.99), 6) AS p99 FROM lineitem GROUP BY ALL""")

@@ -104,10 +104,15 @@ add("q_layers", layers, "SELECT CAST(c_custkey AS VARCHAR) AS episode_uid, CASE
 
 
 def shards(spark, sf_dir):
-    return tfrecord.discover(spark, "train", [3, 0, 5, 2], "ur5")
+    """Orders as episodes in sixteen shards by customer."""
+    o = V.table(spark, sf_dir, "orders").groupBy((F.col("o_custkey") % 16).cast("int").alias("shard")).agg(F.count(F.lit(1)).alias("n"))
+    whole = spark.range(16).select(F.col("id").cast("int").alias("shard")).join(o, "shard", "left").select("shard", F.coalesce("n", F.lit(0)).alias("n"))
+    return tfrecord.discover(spark, "train", whole, "ur5")
 
 
-add("q_shard_discovery", shards, "SELECT 'ur5:train#' || lpad(CAST(b + i AS VARCHAR), 6, '0') AS episode_uid, CAST(s AS INT) AS shard, CAST(i AS INT) AS shard_index FROM (SELECT s, b, unnest(range(n)) AS i FROM (VALUES (0, 3, 0), (1, 0, 3), (2, 5, 3), (3, 2, 8)) t(s, n, b))")
+add("q_shard_discovery", shards, """WITH l AS (SELECT s, coalesce(n, 0) AS n FROM range(16) t(s) LEFT JOIN (SELECT o_custkey % 16 AS s, count(*) AS n FROM orders GROUP BY 1) USING (s)),
+b AS (SELECT s, n, coalesce(sum(n) OVER (ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS b FROM l)
+SELECT 'ur5:train#' || lpad(CAST(CAST(b + i AS BIGINT) AS VARCHAR), 6, '0') AS episode_uid, CAST(s AS INT) AS shard, CAST(i AS INT) AS shard_index FROM (SELECT s, b, unnest(range(n)) AS i FROM b)""")
 
 
 def reshape(spark, sf_dir):
@@ -148,11 +153,22 @@ def unregistered(spark, sf_dir):
 add("q_unregistered_columns", unregistered, "SELECT CAST(u AS VARCHAR) AS episode_uid, c AS \"column\", p AS problem FROM (SELECT DISTINCT user_id AS u FROM events WHERE user_id % 3 = 0), (VALUES ('error', 'not registered'), ('done', 'not there')) t(c, p)")
 
 
-def spec(spark, sf_dir):
-    return R.signal_specs(V.event_tables(spark, sf_dir).channels)
+_SPACES = ("joint_position", "ee_translation_abs", "ee_rotation_abs", "camera_rotation_abs", "imu_gyro", "gripper", "cartesian_2d", "odd")
 
 
-add("q_signal_specs", spec, "SELECT e AS embodiment, s AS signal, CASE s WHEN 'action' THEN 'cartesian_2d' ELSE 'camera_pose_abs' END AS space, s = 'action' AND e = 'odd' AS is_delta, CASE s WHEN 'action' THEN CAST(2 AS BIGINT) ELSE 1 END AS dim, CAST(1 AS BIGINT) AS physical_dim FROM (VALUES ('even'), ('odd')) a(e), (VALUES ('action'), ('state')) b(s)")
+def spec(spark, sf_dir):
+    """Parts as channels: an embodiment for each type, a signal for each brand."""
+    k = F.col("p_partkey")
+    space = F.when(F.col("p_size") % 3 == 0, "joint_position").otherwise(F.element_at(F.array(*map(F.lit, _SPACES)), (F.col("p_size") % len(_SPACES) + 1).cast("int")))
+    channels = V.table(spark, sf_dir, "part").select(F.col("p_type").alias("embodiment"), F.col("p_brand").alias("signal"), k.cast("string").alias("channel"), (k % 4 != 0).alias("is_physical"), (k % 7 == 0).alias("is_delta"), space.alias("space"))
+    return R.signal_specs(channels)
+
+
+add("q_signal_specs", spec, f"""WITH c AS (SELECT p_type AS embodiment, p_brand AS signal, p_partkey % 4 <> 0 AS phys, p_partkey % 7 = 0 AS delta,
+  CASE WHEN p_size % 3 = 0 THEN 'joint_position' ELSE ({list(_SPACES)})[p_size % {len(_SPACES)} + 1] END AS space FROM part),
+k AS (SELECT *, CASE WHEN space IN ('joint_position', 'cartesian_2d') THEN space WHEN space LIKE 'ee%abs' THEN 'ee_pose_abs' WHEN space LIKE 'camera%' THEN 'camera_pose_abs' WHEN space LIKE 'imu_%' THEN 'imu' WHEN space = 'gripper' THEN 'mixed' ELSE 'unknown' END AS kind FROM c)
+SELECT embodiment, signal, CASE count(DISTINCT kind) FILTER (phys) WHEN 0 THEN 'none' WHEN 1 THEN min(kind) FILTER (phys) ELSE 'mixed' END AS space,
+  coalesce(bool_or(delta) FILTER (phys), false) AS is_delta, count(*) AS dim, count(*) FILTER (phys) AS physical_dim FROM k GROUP BY embodiment, signal""")
 
 
 def backward_clocks(spark, sf_dir):

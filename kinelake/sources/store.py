@@ -8,14 +8,17 @@ from __future__ import annotations
 
 import hashlib
 import json
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
+from pyarrow.fs import FileSystem
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kinelake.functions import signals as S
-from kinelake.operators.order import settled
+from kinelake.operators.order import n_ranges, settled
 
 
 def nan_to_null(df: DataFrame) -> DataFrame:
@@ -53,20 +56,80 @@ def unregistered(frames: DataFrame, registry: DataFrame) -> DataFrame:
 def content_hash(columns: DataFrame) -> DataFrame:
     """(episode_uid, content_hash) of rows (episode_uid, pos, column, dtype, frame_idx, value): a digest of what an episode
     holds, whatever file it is in. A header with the columns' names, types and length comes first, then each column's
-    values in order of frames as little-endian float64; columns go by `pos`, those without one behind, by name."""
-
-    def one(key: tuple, rows: pa.Table) -> pa.Table:
-        t = rows.to_pandas()
-        order = t[["column", "pos", "dtype"]].drop_duplicates("column")
-        order = order.assign(last=order["pos"].isna(), by=order["pos"].fillna(0)).sort_values(["last", "by", "column"])
-        parts = {c: g.sort_values("frame_idx")["value"].to_numpy(float) for c, g in t.groupby("column")}
-        head = {"columns": order["column"].tolist(), "dtypes": order["dtype"].tolist(), "n_rows": max((len(v) for v in parts.values()), default=0)}
-        digest = hashlib.sha256(json.dumps(head, sort_keys=True, separators=(",", ":")).encode())
-        for c in head["columns"]:
-            digest.update(np.ascontiguousarray(parts[c], "<f8").tobytes())
-        return pa.table({"episode_uid": [key[0].as_py()], "content_hash": [digest.hexdigest()]})
-
-    return columns.select("episode_uid", "pos", "column", "dtype", "frame_idx", "value").groupBy("episode_uid").applyInArrow(one, "episode_uid string, content_hash string")
+    values in order of frames as little-endian float64; columns go by `pos`, those without one behind, by name.
+
+    A digest is a chain, so that an episode's rows pass through one task, sorted, a batch at a time; what is held is the
+    digest's state."""
+    uid = "episode_uid"
+    each = columns.groupBy(uid, "column").agg(F.min("pos").alias("pos"), F.min("dtype").alias("dtype"), F.count(F.lit(1)).alias("n"))
+    listed = F.sort_array(F.collect_list(F.struct(F.col("pos").isNull().alias("last"), F.coalesce("pos", F.lit(0)).alias("by"), "column", "dtype")))
+    heads = each.groupBy(uid).agg(listed.alias("l"), F.max("n").alias("n_rows"))
+    none = lambda kind: F.lit(None).cast(kind)
+    kinds = dict(columns.dtypes)
+    first = heads.select(uid, F.lit(0).alias("kind"), none("boolean").alias("last"), none(kinds["pos"]).alias("by"), none("string").alias("column"), none(kinds["frame_idx"]).alias("frame_idx"), none("double").alias("value"), F.col("l.column").alias("columns"), F.col("l.dtype").alias("dtypes"), "n_rows")
+    rows = columns.select(uid, F.lit(1).alias("kind"), F.col("pos").isNull().alias("last"), F.coalesce("pos", F.lit(0)).cast(kinds["pos"]).alias("by"), "column", "frame_idx", F.col("value").cast("double").alias("value"), none("array<string>").alias("columns"), none("array<string>").alias("dtypes"), none("bigint").alias("n_rows"))
+    dealt = first.unionByName(rows).repartition(uid).sortWithinPartitions(uid, "kind", "last", "by", "column", "frame_idx")
+    return dealt.select(uid, "kind", "value", "columns", "dtypes", "n_rows").mapInArrow(_digests, "episode_uid string, content_hash string")
+
+
+def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Digests of episodes whose rows come one after the other, each episode's header first."""
+    now, digest = None, None
+    for batch in batches:
+        kind, values = batch.column("kind").to_numpy(zero_copy_only=False), batch.column("value").to_numpy(zero_copy_only=False)
+        heads = np.flatnonzero(kind == 0)
+        ends = np.append(heads, len(kind))
+        done = []
+        if digest is not None:
+            digest.update(np.ascontiguousarray(values[: ends[0]], "<f8").tobytes())
+        for at, end in zip(heads.tolist(), ends[1:].tolist(), strict=True):
+            if digest is not None:
+                done.append((now, digest.hexdigest()))
+            now = batch.column("episode_uid")[at].as_py()
+            head = {c: batch.column(c)[at].as_py() for c in ("columns", "dtypes", "n_rows")}
+            digest = hashlib.sha256(json.dumps(head, sort_keys=True, separators=(",", ":")).encode())
+            digest.update(np.ascontiguousarray(values[at + 1 : end], "<f8").tobytes())
+        yield _told(done)
+    if digest is not None:
+        yield _told([(now, digest.hexdigest())])
+
+
+def _told(rows: list[tuple[str, str]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], pa.string()) for k in (0, 1)], names=["episode_uid", "content_hash"])
+
+
+def files_of(spark: SparkSession, path: str, episodes: DataFrame | None = None) -> DataFrame:
+    """(episode_uid, files): the files below a path that have rows of an episode; one that will not open has none."""
+    rows = spark.read.option("ignoreCorruptFiles", "true").schema("episode_uid string").parquet(path).select("episode_uid", F.col("_metadata.file_path").alias("file"))
+    if episodes is not None:
+        rows = rows.join(episodes.select("episode_uid"), "episode_uid", "left_semi")
+    return rows.distinct().groupBy("episode_uid").agg(F.sort_array(F.collect_list("file")).alias("files"))
+
+
+def probe(files: DataFrame) -> DataFrame:
+    """(episode_uid, file, readable, error) of rows (episode_uid, file): whether each file is there and its footer opens.
+
+    Every file is opened once, wherever Spark runs the task, and only its footer is read."""
+    once = files.select("file").distinct()
+    told = once.repartition(n_ranges(files.sparkSession), "file").mapInArrow(_footers, "file string, error string")
+    return files.select("episode_uid", "file").join(told, "file").select("episode_uid", "file", F.col("error").isNull().alias("readable"), "error")
+
+
+def _footers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def error(uri: str) -> str | None:
+        system, path = FileSystem.from_uri(uri)  # a store that cannot be reached at all is the job's failure, not the file's
+        try:
+            with system.open_input_file(path) as f:
+                pq.ParquetFile(f)
+        except FileNotFoundError:
+            return "gone"
+        except (pa.ArrowInvalid, OSError) as e:
+            return f"{type(e).__name__}: {str(e).partition(chr(10))[0]}"
+        return None
+
+    for batch in batches:
+        uris = batch.column(0)
+        yield pa.RecordBatch.from_arrays([uris, pa.array([error(u) for u in uris.to_pylist()], pa.string())], names=["file", "error"])
 
 
 def write_streams(streams: DataFrame, path: str, episodes: DataFrame) -> None:

@@ -4,6 +4,9 @@ A record is its length (u64), a checksum of it (u32), the payload and a checksum
 shard that ends inside a record ends there. The payload is a map of features, each a list of bytes, floats or unsigned
 varints. A shard file is a partition: `spark.read.format("tfrecord")` holds one record of it at a time. Where executors
 do not mount the shards, `read` gets them through Spark, a whole shard at a time.
+
+Large shards are read by several tasks with an index: `offsets` passes over a shard by its records' lengths alone, and
+`read_at` reads the records that an index (as it is, or filtered) names, each by its place, in parts of `split` bytes.
 """
 
 from __future__ import annotations
@@ -15,9 +18,14 @@ from decimal import Decimal
 from typing import BinaryIO
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.pandas.types import to_arrow_schema
+
+from kinelake.operators.order import n_ranges
 
 FEATURES = "map<string,struct<kind:string,floats:array<double>,ints:array<decimal(20,0)>,bytes:array<binary>>>"
 SCHEMA = f"path string, record long, features {FEATURES}"
@@ -82,18 +90,25 @@ def feature(data: memoryview) -> tuple[str, list, list, list]:
     return kind, floats, ints, texts
 
 
-def example(data: memoryview) -> dict[str, tuple]:
+def example(data: memoryview, wanted: list[str] | None = None) -> dict[str, tuple]:
     out = {}
     for _, _, feats in fields(data):
         for _, _, entry in fields(feats):
             parts = {n: v for n, _, v in fields(entry)}
-            out[bytes(parts.get(1, b"")).decode()] = feature(parts.get(2, memoryview(b"")))
+            name = bytes(parts.get(1, b"")).decode()
+            if wanted is None or name in wanted:
+                out[name] = feature(parts.get(2, memoryview(b"")))
     return out
 
 
+def decoded(payload: memoryview, wanted: list[str] | None = None) -> dict[str, dict]:
+    """A record's features as the fields of SCHEMA; only those that are wanted are read."""
+    return {name: {"kind": kind, "floats": f, "ints": [Decimal(i) for i in ints], "bytes": b} for name, (kind, f, ints, b) in example(payload, wanted).items()}
+
+
 def decode(stream: BinaryIO) -> Iterator[tuple]:
     for k, payload in enumerate(records(stream)):
-        yield k, {name: (kind, f, [Decimal(i) for i in ints], b) for name, (kind, f, ints, b) in example(payload).items()}
+        yield k, {name: tuple(x.values()) for name, x in decoded(payload).items()}
 
 
 class Shard(InputPartition):
@@ -146,16 +161,86 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     return shards.mapInPandas(run, SCHEMA)
 
 
+#: Bytes of a shard that one task reads, and bytes of payload in one Arrow batch.
+SPLIT, BATCH = 128 << 20, 32 << 20
+
+
+def offsets(spark: SparkSession, path: str) -> DataFrame:
+    """(path, record, offset, length) of every record of the shards below a path that executors mount; only lengths are
+    read, and a record that is cut off is not there."""
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.tfrecord*").load(path)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for uri, size in zip(batch.column("path").to_pylist(), batch.column("length").to_pylist(), strict=True):
+                at, starts, lengths = 0, [], []
+                with open(_local(uri), "rb") as f:
+                    while len(head := f.read(8)) == 8:
+                        (n,) = struct.unpack("<Q", head)
+                        if at + 16 + n > size:
+                            break
+                        starts.append(at + 12)
+                        lengths.append(n)
+                        at += 16 + n
+                        f.seek(at)
+                yield pa.RecordBatch.from_arrays([pa.array([uri] * len(starts)), pa.array(range(len(starts)), pa.int64()), pa.array(starts, pa.int64()), pa.array(lengths, pa.int64())], names=["path", "record", "offset", "length"])
+
+    return found.select("path", "length").mapInArrow(run, "path string, record long, offset long, length long")
+
+
+def _local(uri: str) -> str:
+    from urllib.parse import unquote, urlparse
+
+    return unquote(urlparse(uri).path) if uri.startswith("file:") else uri
+
+
+def read_at(index: DataFrame, split: int = SPLIT, wanted: list[str] | None = None) -> DataFrame:
+    """The records that an index names, of all features or of those that are wanted."""
+    part = F.floor(F.col("offset") / split)
+    # into as many tasks as there are: rows of an index are small, but what they name is not
+    n = n_ranges(index.sparkSession)
+    dealt = index.select("path", "record", "offset", "length").repartition(n, "path", part).sortWithinPartitions("path", "offset")
+    schema = to_arrow_schema(T.StructType.fromDDL(SCHEMA))
+    return dealt.mapInArrow(lambda batches: _read(batches, wanted, schema), SCHEMA)
+
+
+def _read(batches: Iterator[pa.RecordBatch], wanted: list[str] | None, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    def out(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], f.type) for k, f in enumerate(schema)], schema=schema)
+
+    file, at = None, None
+    try:
+        for batch in batches:
+            rows, size = [], 0
+            for path, record, offset, length in zip(*(batch.column(c).to_pylist() for c in ("path", "record", "offset", "length")), strict=True):
+                if path != at:
+                    if file:
+                        file.close()
+                    file, at = open(_local(path), "rb"), path  # noqa: SIM115
+                file.seek(offset)
+                rows.append((path, record, list(decoded(memoryview(file.read(length)), wanted).items())))
+                size += length
+                if size >= BATCH:
+                    yield out(rows)
+                    rows, size = [], 0
+            yield out(rows)
+    finally:
+        if file:
+            file.close()
+
+
 # ---- steps of an episode, one record each
 
 
-def discover(spark: SparkSession, split: str, shard_lengths: list[int], source_id: str) -> DataFrame:
-    """(episode_uid, shard, shard_index): an episode's name is its running number over all shards."""
-    rows = spark.createDataFrame([(k, n) for k, n in enumerate(shard_lengths)], "shard int, n int")
-    before = [sum(shard_lengths[:k]) for k in range(len(shard_lengths))]
-    start = F.element_at(F.array(*map(F.lit, before)), F.col("shard") + 1)
-    each = rows.filter("n > 0").withColumn("shard_index", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
-    return each.select(F.concat(F.lit(f"{source_id}:{split}#"), F.lpad((start + F.col("shard_index")).cast("string"), 6, "0")).alias("episode_uid"), "shard", "shard_index")
+def discover(spark: SparkSession, split: str, shard_lengths: list[int] | DataFrame, source_id: str) -> DataFrame:
+    """(episode_uid, shard, shard_index): an episode's name is its running number over all shards. Lengths are a list or
+    rows (shard from 0, n)."""
+    rows = shard_lengths
+    if isinstance(rows, list):
+        rows = spark.createDataFrame([(k, n) for k, n in enumerate(rows)], "shard int, n long")
+    before = F.coalesce(F.sum("n").over(Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))  # a row a shard
+    each = rows.withColumn("start", before).filter("n > 0").withColumn("shard_index", F.explode(F.sequence(F.lit(0), F.col("n").cast("int") - 1)))
+    return each.select(F.concat(F.lit(f"{source_id}:{split}#"), F.lpad((F.col("start") + F.col("shard_index")).cast("string"), 6, "0")).alias("episode_uid"), "shard", "shard_index")
 
 
 def numbers(name: str) -> Column:

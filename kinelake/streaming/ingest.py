@@ -1,7 +1,7 @@
 """Incremental ingestion: new files in, each row once, as a bounded stream.
 
 A checkpoint remembers which files were taken; a batch that is run again after a crash replaces what it had written,
-so that results do not double. `live_monotonic` is an extension: the clock rule over frames as they arrive.
+so that results do not double. `live_counts` is an extension: frames and markers by window as they arrive.
 """
 
 from __future__ import annotations

@@ -140,7 +140,7 @@ def test_staged_files_are_of_a_version(spark, tmp_path):
     assert store.is_staged(spark, path, "a@1") and not store.is_staged(spark, path, "a@2")
 
 
-def test_a_run_takes_the_good_ones_and_tells_of_the_others(spark):
+def test_a_run_takes_the_good_ones_and_tells_of_the_others(spark, tmp_path):
     names = [f"e{k}" for k in range(9)]
     catalog = spark.createDataFrame([("old", "COMMITTED", "PASS", None, "r0", None), ("e1", "FETCHED", "PENDING", None, "r0", None)], CATALOG)
     work = spark.createDataFrame([(n, "RESUME" if n == "e1" else "NEW", "FETCHED" if n == "e1" else "DISCOVERED") for n in names], "episode_uid string, action string, from_stage string")
@@ -148,14 +148,17 @@ def test_a_run_takes_the_good_ones_and_tells_of_the_others(spark):
     bad = lambda df, which, what: df.withColumn("x", F.when(F.col("episode_uid") == which, F.raise_error(F.lit(what)).cast("int")).otherwise(1))
     source = L.Source(None, lambda e: bad(e, "e7", "gone"), lambda e: bad(e, "e3", "odd width"), lambda e: e.select("episode_uid", F.lit("PASS").alias("qc_verdict")), lambda rows: written.append({r[0] for r in rows.select("episode_uid").collect()}))
     run = L.Run("r1")
-    out = {r["episode_uid"]: r for r in L.ingest(catalog, work, source, run, n_discovered=12).collect()}
+    log = L.episode_log(spark, str(tmp_path))
+    log.append(catalog.withColumn("files", F.lit(None).cast("array<string>")))
+    out = {r["episode_uid"]: r for r in L.ingest(log, work, source, run, n_discovered=12).collect()}
     assert {k for k, r in out.items() if r["status"] == "FAILED"} == {"e3", "e7"} and out["old"]["last_update_run"] == "r0"
     assert all(out[n]["status"] == "COMMITTED" and out[n]["qc_verdict"] == "PASS" for n in names if n not in ("e3", "e7"))
     assert "odd width" in out["e3"]["last_error"] and written == [set(names) - {"e3", "e7"}]
     stats = run.stats()
     assert {k: v for k, v in stats["counters"].items() if v} == {"discovered": 8, "skipped_already_processed": 3, "resumed_in_progress": 1, "fetched": 7, "normalized": 7, "qc_done": 7, "committed": 7, "failed": 2}
     assert stats["stage_calls"] == dict.fromkeys(("fetch", "normalize", "qc", "commit"), 1) and len(stats["failures"]) == 2 and all(v >= 0 for v in stats["stage_seconds"].values())
-    assert L.ingest(catalog, work.limit(0), source, L.Run("r2")).count() == 2
+    n = log.latest().count()
+    assert L.ingest(log, work.limit(0), source, L.Run("r2")).count() == n
 
 
 def test_faults_end_a_run_at_the_nth_time():
@@ -202,15 +205,15 @@ def test_reports_agree_with_their_tables(spark):
     run = {"run_id": "r2", "started_at": "t0", "finished_at": None, "status": "RUNNING", "resumed_from": None, "args": {}, "stats": L.Run("r2", failures=[("c", "KeyError: k")]).stats()}
     usage = spark.createDataFrame([("raw", 5)], "layer string, bytes long")
     report = P.build(e, r, run, usage)
-    assert P.disagreements(report, e, r) == ([], list(P.SECTIONS))
-    assert report["sections"]["Source x embodiment"]["rows"] == [["s", "", 1, 5], ["s", "x", 1, 10]]
-    assert report["sections"]["QC rule rates (cumulative)"]["rows"] == [["R", 1, 1, 1, 0, 1.0, 0.5]]
+    assert P.disagreements(report, e, r) == ([], [s.title for s in P.SECTIONS])
+    assert report["sections"]["Committed by source and embodiment"]["rows"] == [["s", "", 1, 5], ["s", "x", 1, 10]]
+    assert report["sections"]["Rule rates"]["rows"] == [["R", 1, 1, 1, 0, 1.0, 0.5]]
     text = P.markdown(report)
-    assert "| KeyError | 1 |" in text and "## Stage wall time" in text and json.loads(P.to_json(report))["run"]["run_id"] == "r2"
-    report["sections"]["Catalog totals"]["rows"][0][1] = 9
+    assert "| KeyError | 1 |" in text and "## Time by stage" in text and json.loads(P.to_json(report))["run"]["run_id"] == "r2"
+    report["sections"]["Episodes by stage"]["rows"][0][1] = 9
     assert len(P.disagreements(report, e, r)[0]) == 1
     corpus = P.build(e, r)
-    assert corpus["run"] is None and "This run" not in corpus["sections"] and P.disagreements(corpus, e, r)[0] == []
+    assert corpus["run"] is None and "Counters" not in corpus["sections"] and P.disagreements(corpus, e, r)[0] == []
 
 
 def test_export_lines_have_all_fields_and_an_audit(spark):
