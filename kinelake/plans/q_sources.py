@@ -247,3 +247,43 @@ add("q_inertial_facts", inertial, """WITH s AS (SELECT 'v' || (user_id % 5) AS v
 a AS (SELECT vid, st, count(*) AS n, (max(ms) - min(ms)) / 1000 AS span, avg(sqrt(x * x + y * y + z * z)) AS m FROM s GROUP BY ALL),
 v AS (SELECT vid, st, quantile_cont(abs(v), 0.5) AS p50, quantile_cont(abs(v), 0.99) AS p99, max(abs(v)) AS top FROM (SELECT vid, st, unnest([x, y, z]) AS v FROM s) GROUP BY ALL)
 SELECT vid AS video_id, st AS stream_id, n, round(n / span, 6) AS hz, round(p50, 6) AS p50, round(p99, 6) AS p99, round(top, 6) AS largest, round(m, 6) AS mean_norm, CASE WHEN st = 'gyro' THEN CASE WHEN top < 40 THEN 'rad/s' ELSE 'deg/s' END WHEN m BETWEEN 7 AND 12 THEN 'm/s^2' ELSE 'unknown' END AS unit FROM a JOIN v USING (vid, st)""")
+
+
+_RATES = "CASE WHEN c_nationkey % 5 = 4 THEN NULL ELSE ([50.0, 59.94, 59.941, 29.97])[c_nationkey % 5 + 1] END"
+
+
+def rates(spark, sf_dir):
+    """Customers as videos of four rates, two of which are one when rounded."""
+    k = F.col("c_nationkey") % 5
+    fps = F.when(k != 4, F.element_at(F.array(*map(F.lit, (50.0, 59.94, 59.941, 29.97, 0.0))), (k + 1).cast("int")))
+    videos = V.table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("video_id"), fps.alias("fps"), (F.col("c_custkey") % 100).cast("double").alias("duration"))
+    return G.rate_histogram(videos)
+
+
+add("q_rate_histogram", rates, f"SELECT round(CAST({_RATES} AS DOUBLE), 2) AS fps, count(*) AS n, CAST(sum(c_custkey % 100) AS DOUBLE) AS seconds FROM customer GROUP BY 1")
+
+
+def posed(spark, sf_dir):
+    """Suppliers as videos, and the orders that they have lines of as frames with a pose."""
+    poses = V.table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").cast("string").alias("video_id"), F.format_string("frame_%010d.jpg", "l_orderkey").alias("frame_key")).distinct()
+    videos = V.table(spark, sf_dir, "supplier").select(F.col("s_suppkey").cast("string").alias("video_id"), (F.col("s_suppkey") % 7 * 100 + 50).cast("double").alias("duration"), F.lit(50.0).alias("fps"))
+    return G.pose_coverage(poses, videos).withColumn("coverage", F.round("coverage", 9))
+
+
+add("q_pose_coverage", posed, """WITH k AS (SELECT DISTINCT l_suppkey AS s, l_orderkey AS k FROM lineitem), d AS (SELECT s, k - lag(k) OVER (PARTITION BY s ORDER BY k) AS d FROM k),
+a AS (SELECT s, count(*) AS n, min(d) AS lo, quantile_cont(d, 0.5) AS mid, max(d) AS hi FROM d GROUP BY s)
+SELECT CAST(s AS VARCHAR) AS video_id, n AS n_posed, round(n / floor((s % 7 * 100 + 50) * 50.0), 9) AS coverage, CAST(lo AS INT) AS step_min, mid AS step_median, CAST(hi AS INT) AS step_max FROM a JOIN supplier ON s = s_suppkey""")
+
+
+def unpacked(spark, sf_dir):
+    """Embeddings as states of an episode for each label, unpacked into 64 channels."""
+    e = V.table(spark, sf_dir, "embeddings")
+    frames = e.select(F.col("label").cast("string").alias("episode_uid"), F.col("vec_id").alias("index"), (F.col("vec_id") / 8).alias("timestamp"), F.col("embedding").alias("observation.state"))
+    channels = spark.createDataFrame([("x", "state", k, f"c{k}") for k in range(64)], "embodiment string, signal string, pos int, channel string")
+    s = P.unpack(frames, channels, "x")
+    return s.groupBy("episode_uid", "channel").agg(F.count("value").alias("n"), F.max("frame_idx").cast("long").alias("last"), F.max("t").alias("length"), F.round(F.max_by("value", "frame_idx"), 6).alias("final"))
+
+
+add("q_unpacked", unpacked, """WITH f AS (SELECT label, embedding, row_number() OVER w - 1 AS i, vec_id / 8 - first(vec_id / 8) OVER w AS t FROM embeddings WINDOW w AS (PARTITION BY label ORDER BY vec_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+s AS (SELECT label, i, t, unnest(range(64)) AS p, CAST(unnest(embedding) AS DOUBLE) AS v FROM f)
+SELECT CAST(label AS VARCHAR) AS episode_uid, 'c' || p AS channel, count(v) AS n, max(i) AS last, max(t) AS length, round(arg_max(v, i), 6) AS final FROM s GROUP BY label, p""")

@@ -90,6 +90,11 @@ def rate_search(segments: DataFrame, videos: DataFrame, flat: tuple[float, ...]
     return one.select(F.explode(F.map_from_arrays(F.array(*map(F.lit, named)), F.array(*[F.col(f"`{k}`") for k in named]))).alias("rate", "reproduced"))
 
 
+def rate_histogram(videos: DataFrame, digits: int = 2) -> DataFrame:
+    """(fps, n, seconds): how many videos have each rate, and how long they are together; a rate that is missing is one."""
+    return videos.groupBy(F.round("fps", digits).alias("fps")).agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("duration"), F.lit(0.0)).alias("seconds"))
+
+
 def pose_coverage(poses: DataFrame, videos: DataFrame) -> DataFrame:
     """(video_id, n_posed, coverage, step_min, step_median, step_max): how much of a video has a pose, and how far apart."""
     k = F.regexp_extract("frame_key", r"([0-9]+)[.]", 1).cast("int")

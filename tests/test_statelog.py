@@ -108,7 +108,7 @@ import sys
 sys.path.insert(0, {root!r})
 from tests.test_statelog import made_run
 from pyspark.sql import SparkSession
-spark = SparkSession.builder.master("local[2]").config("spark.sql.shuffle.partitions", "2").config("spark.ui.enabled", "false").config("spark.sql.codegen.wholeStage", "false").getOrCreate()
+spark = SparkSession.builder.master("local[2]").config("spark.sql.shuffle.partitions", "1").config("spark.sql.adaptive.enabled", "false").config("spark.ui.enabled", "false").config("spark.sql.codegen.wholeStage", "false").getOrCreate()
 made_run(spark, {place!r}, "run_1", {fault!r})
 """
 
@@ -169,7 +169,20 @@ def states(log):
     return table(log.latest().select("episode_uid", "status", "qc_verdict", "last_error"))
 
 
-def test_a_run_killed_at_any_checkpoint_goes_on(spark, tmp_path):
+@pytest.fixture
+def tiny(spark):
+    """Tables of a few rows: one partition, and plans as they are."""
+    changed = {"spark.sql.shuffle.partitions": "1", "spark.sql.adaptive.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in changed}
+    for k, v in changed.items():
+        spark.conf.set(k, v)
+    yield spark
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+def test_a_run_killed_at_any_checkpoint_goes_on(tiny, tmp_path):
+    spark = tiny
     os.makedirs(tmp_path / "whole")
     log, *_ = made_run(spark, str(tmp_path / "whole"), "run_1")
     whole, once = states(log), calls(tmp_path / "whole")
@@ -197,7 +210,8 @@ def test_a_run_killed_at_any_checkpoint_goes_on(spark, tmp_path):
         assert not [f for _, _, names in os.walk(place) for f in names if f.endswith(".tmp")]
 
 
-def test_a_file_that_will_not_open_sends_its_episode_back(spark, tmp_path):
+def test_a_file_that_will_not_open_sends_its_episode_back(tiny, tmp_path):
+    spark = tiny
     place = str(tmp_path)
     log, *_ = made_run(spark, place, "run_1")
     broken = next(f for f in os.listdir(f"{place}/data/e3") if f.endswith(".parquet"))
