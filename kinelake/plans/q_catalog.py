@@ -30,6 +30,7 @@ WITH r AS (SELECT CAST(user_id AS VARCHAR) AS uid, user_id AS u, event_type AS r
   CASE WHEN event_id % 6 = 4 THEN (['short', '', NULL])[event_id % 3 + 1] END AS reason, props, value FROM events),
 latest AS (SELECT * FROM r QUALIFY row_number() OVER (PARTITION BY uid, rule_id ORDER BY ts DESC, seq DESC) = 1)
 """
+_R2 = R.strip().removeprefix("WITH ")
 QUERIES: dict = {}
 
 
@@ -233,9 +234,20 @@ def full_export(spark, sf_dir):
 
 
 _TAKEN = f"{_PACK} SELECT CAST(row_number() OVER (ORDER BY r) - 1 AS INT) AS pos, got.uid, got.n_frames, got.source_id FROM got"
-add("q_full_manifest", lambda s, d: full_export(s, d).select("pos", *[F.get_json_object("line", f"$.{k}").alias(k) for k in ("episode_uid", "license", "task", "action_space", "action_dim", "action_is_delta", "frame_end", "qc_verdict", "schema_version")], F.get_json_object("line", "$.key_stats['action.value'].max").cast("double").alias("largest"), F.size(F.json_object_keys("line")).alias("n_fields")), f"""{_PACK}, l AS (SELECT l_orderkey AS k, max(l_quantity) AS q FROM lineitem GROUP BY l_orderkey)
-SELECT CAST(row_number() OVER (ORDER BY r) - 1 AS INT) AS pos, got.uid AS episode_uid, CASE got.source_id WHEN 's0' THEN 'mit' WHEN 's1' THEN 'cc-by' END AS license, e.task, 'cartesian_2d' AS action_space, '2' AS action_dim, 'true' AS action_is_delta, CAST(got.n_frames AS VARCHAR) AS frame_end, e.qc_verdict, e.schema_version, q AS largest, CAST(24 AS INT) AS n_fields
-FROM got JOIN e ON e.uid = got.uid JOIN l ON l.k = e.k""")
+def manifest_fields(spark, sf_dir):
+    """Every field of every line, numbers apart from texts."""
+    line = full_export(spark, sf_dir)
+    text = [F.get_json_object("line", f"$.{k}").alias(k) for k in G.FIELDS if k not in ("key_stats", "duration_s")]
+    stats_of = [F.get_json_object("line", f"$.key_stats['action.value'].{k}").cast("double").alias(f"stats_{k}") for k in ("count", "max")]
+    return line.select("pos", *text, F.round(F.get_json_object("line", "$.duration_s").cast("double"), 6).alias("duration_s"), *stats_of, F.size(F.json_object_keys("line")).alias("n_fields"))
+
+
+add("q_full_manifest", manifest_fields, f"""{_PACK}, l AS (SELECT l_orderkey AS k, max(l_quantity) AS q, count(*) AS n FROM lineitem GROUP BY l_orderkey), {_R2},
+hits AS (SELECT uid, '["' || string_agg(DISTINCT rule_id, '","' ORDER BY rule_id) || '"]' AS hit FROM latest WHERE verdict IN ('FAIL', 'REVIEW') GROUP BY uid)
+SELECT CAST(row_number() OVER (ORDER BY got.r) - 1 AS INT) AS pos, got.uid AS episode_uid, CASE got.source_id WHEN 's0' THEN 'mit' WHEN 's1' THEN 'cc-by' END AS license, e.task, 'cartesian_2d' AS action_space, '2' AS action_dim, '1' AS physical_dim, 'true' AS action_is_delta,
+  'per_frame_continuous' AS action_level, '{{"end_reason":"unknown"}}' AS boundary, '{{"has_action":true}}' AS capabilities, e.embodiment, '9.5' AS fps_effective, '10.0' AS fps_nominal, '0' AS frame_start, CAST(got.n_frames AS VARCHAR) AS frame_end, CAST(got.n_frames AS VARCHAR) AS n_frames,
+  'x/' || got.uid AS frames_path, coalesce(hit, '[]') AS qc_rules_hit, e.qc_verdict, '["done"]' AS raw_frame_columns, e.schema_version, e.source_id, round(e.duration_s, 6) AS duration_s, CAST(l.n AS DOUBLE) AS stats_count, CAST(q AS DOUBLE) AS stats_max, CAST(24 AS INT) AS n_fields
+FROM got JOIN e ON e.uid = got.uid JOIN l ON l.k = e.k LEFT JOIN hits ON hits.uid = got.uid""")
 add("q_export_audit", lambda s, d: G.audit(G.plan_sequential(candidates(s, d), 400), None, "out/plan.jsonl", "run1", "sequential", 400, "2026-01-01T00:00:00Z").select("export_id", "n_episodes", "n_frames", F.get_json_object("stats", "$.shortfall_frames").alias("shortfall")), f"{_PACK} SELECT 'plan.jsonl@2026-01-01T00:00:00Z' AS export_id, count(*) AS n_episodes, CAST(sum(n_frames) AS BIGINT) AS n_frames, CAST(400 - sum(n_frames) AS VARCHAR) AS shortfall FROM got")
 
 
@@ -251,7 +263,6 @@ def sections(spark, sf_dir):
     return spark.createDataFrame([*rows, *(("problem", p) for p in problems)], "section string, line string")
 
 
-_R2 = R.strip().removeprefix("WITH ")
 _WHY = "coalesce(nullif(reason, ''), 'unspecified')"
 add("q_report_sections", sections, f"""{C}, {_R2}
 SELECT 'Episodes by stage' AS section, status || ',' || count(*) AS line FROM c GROUP BY status
