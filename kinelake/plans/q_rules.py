@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kinelake.functions import signals as S
+from kinelake.operators import long_episodes, stats
 from kinelake.operators import rules as R
-from kinelake.operators import stats
 from kinelake.plans import surrogate as V
 from kinelake.sources import segments, tfrecord
 from kinelake.sources import vector_parquet as P
@@ -327,3 +327,26 @@ def constant_channels(spark, sf_dir):
 
 
 add("q_constant_channels", constant_channels, f"{L} SELECT channel, count(*) FILTER (k = 1) AS n_constant, count(*) AS n FROM (SELECT 'quantity' AS channel, count(DISTINCT q) AS k FROM l GROUP BY uid UNION ALL SELECT 'discount', count(DISTINCT d) FROM l GROUP BY uid UNION ALL SELECT 'tax', count(DISTINCT x) FROM l GROUP BY uid) GROUP BY channel")
+
+
+def _parts(spark, sf_dir) -> DataFrame:
+    return V.event_frames(spark, sf_dir).select("episode_uid", "frame_idx", "t", (F.col("event_type") != "click").alias("here"))
+
+
+def long_clock(spark, sf_dir):
+    """Clock facts of users as episodes, in parts of 64 frames."""
+    return long_episodes.clock(_parts(spark, sf_dir), size=64).withColumns({c: F.round(c, 7) for c in ("lo", "mid", "hi")})
+
+
+add("q_long_clock", long_clock, f"""{E}, m AS (SELECT uid AS uid2, quantile_cont(dt, 0.5) AS mid FROM dt GROUP BY uid)
+SELECT uid AS episode_uid, count(*) AS n, count(*) FILTER (dt <= 0) AS bad, CAST(0 AS BIGINT) AS holes, round(min(dt), 7) AS lo, round(any_value(mid), 7) AS mid, round(max(dt), 7) AS hi, count(dt) AS n_dt, count(*) FILTER (mid > 0 AND dt > 3.0 * mid) AS gaps FROM dt JOIN m ON uid = uid2 GROUP BY uid""")
+
+
+def long_gaps(spark, sf_dir):
+    """Runs of clicks as gaps, in parts of 64 frames."""
+    return long_episodes.pose_coverage(_parts(spark, sf_dir), "here", size=64).withColumns({c: F.round(c, 6) for c in ("part", "gap")})
+
+
+add("q_long_gaps", long_gaps, f"""{E}, h AS (SELECT uid, i, t, event_type <> 'click' AS here FROM e),
+g AS (SELECT uid, here, NOT here AND coalesce(lag(here) OVER a, true) AS starts, t, coalesce(min(CASE WHEN here THEN t END) OVER b, max(t) OVER b) AS nxt FROM h WINDOW a AS (PARTITION BY uid ORDER BY i), b AS (PARTITION BY uid ORDER BY i ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))
+SELECT uid AS episode_uid, round(avg(CAST(here AS INT)), 6) AS part, count(*) FILTER (NOT here) AS holes, round(coalesce(max(CASE WHEN starts THEN nxt - t END), 0.0), 6) AS gap FROM g GROUP BY uid""")
