@@ -38,6 +38,9 @@ from kinelake.llm import textkit as K
 from kinelake.llm.bigru import Adam
 
 SIZE, LEAST_WORDS, MOST_REPEATED, WINDOW, CONTENT_SHARE = 1000, 20, 30, 8, 0.5
+#: What a line's evidence for boilerplate is lowered by: it is learned from as many documents of either kind, while most
+#: documents are clean.
+MARGIN = 1.0
 BRIEF = 20
 WORD_BITS, SHAPE_BITS, STEPS, EPOCHS, RATE, DECAY = 13, 10, 12, 12, 0.05, 1e-4
 #: Columns of features: words, shapes of words, then seven measures in steps.
@@ -312,10 +315,10 @@ FIELDS = {
 }
 
 
-def judged(texts: pa.Array, model: Model, least_words: int = LEAST_WORDS, most_repeated: int = MOST_REPEATED, share: float = CONTENT_SHARE) -> dict[str, np.ndarray]:
+def judged(texts: pa.Array, model: Model, least_words: int = LEAST_WORDS, most_repeated: int = MOST_REPEATED, share: float = CONTENT_SHARE, margin: float = MARGIN) -> dict[str, np.ndarray]:
     x = read(texts)
     out = counts(x)
-    label = viterbi(model.scores(x), x.bounds, model)
+    label = viterbi(model.scores(x) - margin, x.bounds, model)
     content = label == CONTENT
     words = np.concatenate([[0], np.cumsum(np.where(content, np.diff(x.first), 0))])
     lines = np.concatenate([[0], np.cumsum(content)])
