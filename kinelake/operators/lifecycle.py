@@ -265,17 +265,35 @@ def ingest(log: StateLog, work: DataFrame, source: Source, run: Run, faults: Fau
     for action, name in (("NEW", "discovered"), ("RESUME", "resumed_in_progress"), ("REDO_NORMALIZE", "stale_renormalize"), ("REDO_QC", "stale_reqc")):
         run.count(name, actions.get(action, 0))
     run.count("skipped_already_processed", max((n_discovered or 0) - sum(actions.values()), 0))
-    base = max((c.number for c in log.commits()), default=-1)
     for k in range(batches):
         mine = work.filter(F.pmod(F.xxhash64("episode_uid"), F.lit(batches)) == k)
-        name = f"{base}-{k}-{batches}"
-        if mine.take(1) and log.claim(name, owner, ttl_seconds):
+        name = f"{k}-{batches}"
+        attempt = log.claim(name, owner, ttl_seconds) if mine.take(1) else None
+        if attempt:
             _batch(log, mine, source, run, faults, name)
+            log.release(name, attempt, owner)
     return log.latest()
 
 
+def _base(log: StateLog, name: str) -> int:
+    """The last commit that a batch's episodes can be in; whoever goes on from there takes the same token."""
+    return max((c.number for c in log.commits() if c.kind == "rows" and c.facts.get("batch", name) == name), default=-1)
+
+
+def _still(log: StateLog, work: DataFrame) -> DataFrame:
+    """The work-list as of now: what another worker has done since it was made is not done again. Episodes that go back
+    on purpose (from a stage before the one that they are at) stay as they are."""
+    now = log.latest().select("episode_uid", F.col("status").alias("_now"))
+    both = work.join(now, "episode_uid", "left")
+    ahead = F.col("action").isin("NEW", "RETRY", "RESUME") & F.coalesce(stage_rank(F.col("_now")) > stage_rank(F.col("from_stage")), F.lit(False))
+    return settled(both.withColumn("from_stage", F.when(ahead, F.col("_now")).otherwise(F.col("from_stage"))).drop("_now"))
+
+
 def _batch(log: StateLog, work: DataFrame, source: Source, run: Run, faults: Faults, name: str) -> None:
-    """One batch through all stages, each of them one commit."""
+    """One batch through all stages, each of them one commit. What a commit goes on from is in its token, so that of two
+    workers in one batch, from whatever stage on, one enters each stage and the other leaves."""
+    base = _base(log, name)
+    work = _still(log, work)
     state = settled(work.select("episode_uid", F.col("from_stage").alias("status")))
     before = log.latest().join(work.select("episode_uid"), "episode_uid", "left_semi").select("episode_uid", "files")
     none = F.lit(None).cast("string")
@@ -285,9 +303,13 @@ def _batch(log: StateLog, work: DataFrame, source: Source, run: Run, faults: Fau
         rows = done.select("episode_uid", F.lit(stage).alias("status"), verdict.alias("qc_verdict"), none.alias("last_error"))
         rows = rows.unionByName(bad.select("episode_uid", F.lit("FAILED").alias("status"), F.lit(PENDING).alias("qc_verdict"), F.col("error").alias("last_error")))
         rows = rows.join(files, "episode_uid", "left").withColumns({"last_update_run": F.lit(run.run_id), "updated_at": F.current_timestamp()})
+        nonlocal base
         rows = settled(rows)
-        if rows.take(1) and not log.append(rows, token=f"{name}:{stage}", run=run.run_id, stage=stage):
-            return None
+        if rows.take(1):
+            entered = log.append(rows, token=f"{name}:{base}:{stage}", run=run.run_id, stage=stage, batch=name)
+            if entered is None:
+                return None
+            base = entered.number
         if bad.take(1):
             run.lost(bad)
         after = rows.select("episode_uid", F.col("status").alias("_now"))

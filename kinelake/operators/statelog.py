@@ -131,17 +131,17 @@ class StateLog:
             number += 1
         return number
 
-    def append(self, rows: DataFrame, token: str | None = None, **facts) -> bool:
-        """Adds rows at once; false, and nothing is added, if this token's rows are there already."""
+    def append(self, rows: DataFrame, token: str | None = None, **facts) -> Commit | None:
+        """Adds rows at once; nothing is added, and nothing returned, if this token's rows are there already."""
         if token and any(c.facts.get("token") == token for c in self.commits()):
-            return False
+            return None
         part = f"parts/{uuid.uuid4().hex}"
         rows.select(*[F.col(f.name).cast(f.dataType) for f in self.schema]).write.parquet(f"{self.root}/{part}")
         number = self._commit(facts | {"kind": "rows", "part": part, "at": time.time()} | ({"token": token} if token else {}))
-        won = not token or any(c.number == number for c in self.commits())
+        won = [c for c in self.commits() if c.number == number]
         if not won:
             self.files.delete(f"{self.root}/{part}")
-        return won
+        return won[0] if won else None
 
     # ---- reading
 
@@ -228,8 +228,9 @@ class StateLog:
     def claim(self, work: str, owner: str, ttl_seconds: float, now: float | None = None) -> int | None:
         """The attempt (from 1) with which `owner` has taken a piece of work, or nothing if someone else holds it.
 
-        An attempt is a file that only one can make. Who finds the last one lapsed makes the next; a former holder
-        that wakes up finds at commit that its token was used (see `append`) or does the work's only commit itself."""
+        An attempt is a file that only one can make. Who finds the last one lapsed makes the next. A claim saves work that
+        would be done twice; that it counts once is up to tokens (see `append`): a former holder that wakes up finds its
+        token used, or does the work's only commit itself."""
         now = time.time() if now is None else now
         held = [n for n in self.files.names(f"{self.root}/claims") if n.rpartition(".")[0] == work and n[-6:].isdigit()]
         attempt = max((int(n.rpartition(".")[2]) for n in held), default=0)
@@ -241,5 +242,6 @@ class StateLog:
         mine = json.dumps({"owner": owner, "until": now + ttl_seconds})
         return attempt if self.files.put_if_absent(f"{self.root}/claims/{work}.{attempt:06}", mine) else None
 
-    def is_done(self, token: str) -> bool:
-        return any(c.facts.get("token") == token for c in self.commits())
+    def release(self, work: str, attempt: int, owner: str) -> None:
+        """Gives a claim up, so that anyone may take the work at once."""
+        self.files.put_if_absent(f"{self.root}/claims/{work}.{attempt + 1:06}", json.dumps({"owner": owner, "until": 0}))

@@ -94,7 +94,7 @@ def test_of_two_claimers_one_commits(spark, tmp_path):
     assert [g for g in got if g] == [1]
     assert log.claim("b0", "late", 60, now=120.0) is None and log.claim("b0", "late", 60, now=161.0) == 2
     # the first one wakes up and both write
-    threads = [threading.Thread(target=lambda k=k: won.append((k, log.append(rows(spark, ("a", f"w{k}", k)), token="b0:FETCHED")))) for k in range(2)]
+    threads = [threading.Thread(target=lambda k=k: won.append((k, bool(log.append(rows(spark, ("a", f"w{k}", k)), token="b0:FETCHED"))))) for k in range(2)]
     [t.start() for t in threads]
     [t.join() for t in threads]
     assert sorted(w for _, w in won) == [False, True]
@@ -210,6 +210,27 @@ def test_a_run_killed_at_any_checkpoint_goes_on(tiny, tmp_path):
         assert not [f for _, _, names in os.walk(place) for f in names if f.endswith(".tmp")]
 
 
+def test_two_workers_in_one_batch_enter_each_stage_once(tiny, tmp_path):
+    """A worker whose lease has lapsed goes on beside the one that took its batch over, from different stages."""
+    spark, place = tiny, str(tmp_path)
+    found = spark.createDataFrame([("a",), ("b",)], "episode_uid string")
+    verdict = lambda v: L.Source(None, lambda e: e, lambda e: e, lambda e: e.select("episode_uid", F.lit(v).alias("qc_verdict")), lambda rows: None)
+    for point in ("fetch.after", "normalize.before", "qc.mid_rule"):
+        log = L.episode_log(spark, f"{place}/{point}", 2)
+        other = L.Run("other")
+
+        def overtake(code, log=log, other=other):
+            L.ingest(log, L.due(found, log), verdict("REVIEW"), other, owner="other", ttl_seconds=60)
+
+        mine = L.Run("mine")
+        L.ingest(log, L.due(found, log), verdict("PASS"), mine, L.Faults(point, overtake), owner="mine", ttl_seconds=-1)
+        stages = [c.facts["stage"] for c in log.commits()]
+        assert stages == ["FETCHED", "NORMALIZED", "QC_DONE", "COMMITTED"], (point, stages)
+        assert {r[1:3] for r in states(log)} == {("COMMITTED", "REVIEW")}
+        assert mine.counters["committed"] == 0 and other.counters["committed"] == 2
+        assert log.claim("0-1", "third", 60) is not None  # the batch is free again
+
+
 def test_a_file_that_will_not_open_sends_its_episode_back(tiny, tmp_path):
     spark = tiny
     place = str(tmp_path)
