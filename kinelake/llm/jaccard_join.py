@@ -15,8 +15,10 @@ its first n-grams really are, the fewer pairs meet.
 Equal sets are one class from the start and only the class's smallest document is joined. Within an n-gram with many
 classes, all pairs are never emitted: each class meets the n-gram's first class and its neighbour in order of size;
 components of the links found that way leave, for each n-gram, the classes that are still apart, and only those are
-compared across, in blocks of like size whose verification happens inside the task (links come out, not pairs). So the
-components are exact, whatever the size of a group, while work within a group of true copies is linear. What comes out
+compared across, in blocks of like size whose verification happens inside the task (links come out, not pairs). What is
+sent to the blocks are sizes of parts, 64 bytes a class; texts follow only of classes that another one of their unit is
+near to by these. Wherever sets are compared, texts are sent and their sets made again: a set has several times the bytes
+of its text. So the components are exact, whatever the size of a group, while work within a group of true copies is linear. What comes out
 are components of all links, not the links themselves: within a component not every pair is looked at.
 
 Defined results: documents without words (null, empty, white space) link with nothing and are their own component;
@@ -38,7 +40,7 @@ from pyspark.sql import functions as F
 
 from kinelake.llm import textkit as K
 from kinelake.llm.components import components
-from kinelake.llm.store import keep, n_partitions, scratch
+from kinelake.llm.store import done, keep, n_partitions, scratch
 
 #: Bins of the rarity table (one byte each once broadcast) and counts that a row of its partial sums holds.
 BINS, ROW = 1 << 20, 1 << 14
@@ -113,7 +115,7 @@ def _prefixes(n: int, percent: int, classes):
                 for s in sets(part.column("text"), n, classes.value):
                     size.append(len(s))
                     digest.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest())
-                    parts.append(_parts(s).astype("<u4").tobytes())
+                    parts.append(_told(s))
                     prefix.append(s[: probe_length(len(s), percent) if len(s) else 0].view(np.int64))
                 flat = np.concatenate([np.zeros(0, np.int64), *prefix])
                 at = np.concatenate([[0], np.cumsum([len(p) for p in prefix])]).astype(np.int32)
@@ -194,6 +196,11 @@ def _parts(s: np.ndarray) -> np.ndarray:
     return np.bincount(((s >> np.uint64(50)) & np.uint64(63)).astype(np.int64), minlength=64)
 
 
+def _told(s: np.ndarray) -> bytes:
+    """Sizes of a set's parts in a byte each. What is beyond 255 counts as 255, which only makes differences smaller."""
+    return np.minimum(_parts(s), 255).astype("u1").tobytes()
+
+
 def alike(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
     """Suffix filter, then the exact overlap of two sets in order."""
     least = int(need(len(x), len(y), percent))
@@ -204,49 +211,40 @@ def alike(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
     return int((both[1:] == both[:-1]).sum()) >= least
 
 
-def _views(column: pa.Array) -> list[np.ndarray]:
-    """Binary values as arrays of n-grams, in place."""
-    n = len(column)
-    at = np.frombuffer(column.buffers()[1], np.int32, n + 1, column.offset * 4).tolist()
-    data = column.buffers()[2]
-    return [np.frombuffer(data, "<u8", (y - x) // 8, x) if y > x else np.zeros(0, "<u8") for x, y in zip(at[:-1], at[1:], strict=True)]
-
-
-def _verify(percent: int):
+def _verify(n: int, percent: int, classes):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                ok = pa.array([alike(p, q, percent) for p, q in zip(_views(batch.column(2)), _views(batch.column(3)), strict=True)], pa.bool_())
-                yield pa.RecordBatch.from_arrays([batch.column(k).filter(ok) for k in (0, 1)], names=["a", "b"])
+            for some in K.slices(batch, "x"):
+                for part in K.slices(some, "y"):
+                    two = zip(*(sets(part.column(c), n, classes.value) for c in "xy"), strict=True)
+                    ok = pa.array([alike(p, q, percent) for p, q in two], pa.bool_())
+                    yield pa.RecordBatch.from_arrays([part.column(k).filter(ok) for k in (0, 1)], names=["a", "b"])
         K.tidy()
 
     return run
 
 
-def _sets_of(docs: DataFrame, ids: DataFrame, n: int, classes) -> DataFrame:
-    """(doc_id, set) of the documents in `ids`, and of the few that share a filter bit with one of them."""
+def _texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """(doc_id, text) of the documents in `ids`, and of the few that share a filter bit with one of them."""
     spark = docs.sparkSession
     bits = max(1 << 16, 1 << (FILTER_EACH * ids.count() - 1).bit_length())
-    asked, marked = docs.select("doc_id", "text"), None
+    asked = docs.select("doc_id", "text")
     if bits > FILTER_MOST:
-        asked = asked.join(ids, "doc_id", "left_semi")
-    else:
-        bit = F.pmod(F.xxhash64("doc_id"), F.lit(bits).cast("long"))
-        marks = ids.select(bit.alias("b")).select(F.floor(F.col("b") / 32).cast("int").alias("w"), F.expr("shiftleft(1L, CAST(b % 32 AS INT))").alias("m")).groupBy("w").agg(F.bit_or("m").alias("m")).toArrow()
-        words = np.zeros(bits // 32, np.uint32)
-        words[marks["w"].to_numpy()] = marks["m"].to_numpy().astype(np.uint32)
-        marked, asked = spark.sparkContext.broadcast(words), asked.withColumn("bit", bit)
+        return asked.join(ids, "doc_id", "left_semi")
+    bit = F.pmod(F.xxhash64("doc_id"), F.lit(bits).cast("long"))
+    marks = ids.select(bit.alias("b")).select(F.floor(F.col("b") / 32).cast("int").alias("w"), F.expr("shiftleft(1L, CAST(b % 32 AS INT))").alias("m")).groupBy("w").agg(F.bit_or("m").alias("m")).toArrow()
+    words = np.zeros(bits // 32, np.uint32)
+    words[marks["w"].to_numpy()] = marks["m"].to_numpy().astype(np.uint32)
+    marked = spark.sparkContext.broadcast(words)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if marked is not None:
-                at = batch.column("bit").to_numpy(zero_copy_only=False)
-                batch = batch.filter(pa.array((marked.value[at >> 5] >> (at & 31).astype(np.uint32)) & 1 == 1))
-            for part in K.slices(batch):
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array([s.tobytes() for s in sets(part.column("text"), n, classes.value)], pa.binary())], names=["doc_id", "set"])
+            at = batch.column("bit").to_numpy(zero_copy_only=False)
+            ok = pa.array((marked.value[at >> 5] >> (at & 31).astype(np.uint32)) & 1 == 1)
+            yield pa.RecordBatch.from_arrays([batch.column(k).filter(ok) for k in (0, 1)], names=["doc_id", "text"])
         K.tidy()
 
-    return asked.mapInArrow(run, "doc_id long, set binary")
+    return asked.withColumn("bit", bit).mapInArrow(run, "doc_id long, text string")
 
 
 def _suffix_filter(percent: int):
@@ -254,7 +252,7 @@ def _suffix_filter(percent: int):
         for batch in batches:
             if batch.num_rows:
                 n1, n2 = (batch.column(k).to_numpy() for k in (2, 3))
-                x, y = (np.frombuffer(b"".join(batch.column(k).to_pylist()), "<u4").reshape(-1, 64).astype(np.int64) for k in (4, 5))
+                x, y = (np.frombuffer(b"".join(batch.column(k).to_pylist()), "u1").reshape(-1, 64).astype(np.int64) for k in (4, 5))
                 ok = pa.array(np.abs(x - y).sum(axis=1) <= n1 + n2 - 2 * need(n1, n2, percent))
                 yield pa.RecordBatch.from_arrays([batch.column(0).filter(ok), batch.column(1).filter(ok)], names=["a", "b"])
 
@@ -268,17 +266,40 @@ def _linked(pairs: DataFrame, reps: DataFrame, docs: DataFrame, n: int, percent:
     told = pairs.join(sizes.toDF("a", "n1", "x"), "a").join(sizes.toDF("b", "n2", "y"), "b").select("a", "b", "n1", "n2", "x", "y")
     pairs = keep(told.mapInArrow(_suffix_filter(percent), "a long, b long").distinct(), "pairs")
     ids = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
-    found = keep(_sets_of(docs, ids, n, classes), "sets")
+    found = keep(_texts_of(docs, ids), "texts")
     left, right = found.toDF("a", "x"), found.toDF("b", "y")
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(_verify(percent), "a long, b long")
+    out = keep(pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(_verify(n, percent, classes), "a long, b long"), "linked")
+    done(found)
+    return out
+
 
+def _near(percent: int):
+    """Those rows of a unit whose class is near, by sizes of parts, to one of the other side in another component."""
 
-def _apart(percent: int):
+    def run(key, table):
+        side, comp, size = (table.column(c).to_numpy() for c in ("side", "comp", "size"))
+        part = np.frombuffer(b"".join(table.column("parts").to_pylist()), "u1").reshape(-1, 64).astype(np.int16)
+        left = np.flatnonzero(side == 0)
+        right = np.flatnonzero(side == 1) if (side == 1).any() else left
+        ok = np.zeros(len(side), bool)
+        for i in left:
+            over = size[i] + size[right] - 2 * need(size[i], size[right], percent)
+            near = right[(comp[right] != comp[i]) & (over >= np.abs(size[i] - size[right]))]
+            over = size[i] + size[near] - 2 * need(size[i], size[near], percent)
+            near = near[np.abs(part[near] - part[i]).sum(axis=1) <= over]
+            ok[near] = True
+            ok[i] |= len(near) > 0
+        return table.filter(pa.array(ok)).select(["gram", "ps", "qo", "qs", "side", "doc", "comp"])
+
+    return run
+
+
+def _apart(n: int, percent: int, classes):
     """Links across the two sides of a unit of classes that share an n-gram; ends early inside a component."""
 
     def run(key, table):
         side, doc, comp = (table.column(c).to_numpy() for c in ("side", "doc", "comp"))
-        data = [np.frombuffer(x, "<u8") for x in table.column("set").to_pylist()]
+        data = list(sets(pa.concat_arrays(table.column("text").chunks), n, classes.value))
         parent: dict[int, int] = {}
 
         def root(x: int) -> int:
@@ -303,7 +324,7 @@ def _apart(percent: int):
     return run
 
 
-def _across(members: DataFrame, roots: DataFrame, docs: DataFrame, n: int, percent: int, classes) -> DataFrame | None:
+def _across(members: DataFrame, roots: DataFrame, reps: DataFrame, docs: DataFrame, n: int, percent: int, classes) -> DataFrame | None:
     """Links between classes that share an n-gram of `members` (gram, doc, size) and are in different components."""
     up = roots.select(F.col("node").alias("doc"), "root")
     here = keep(members.join(up, "doc", "left").select("gram", "doc", "size", F.coalesce("root", "doc").alias("comp")), "members")
@@ -332,8 +353,12 @@ def _across(members: DataFrame, roots: DataFrame, docs: DataFrame, n: int, perce
     first = units.select("gram", F.lit(True).alias("odd"), F.col("ps.step").alias("step"), F.col("ps.slot").alias("slot"), F.lit(0).alias("side"), "ps", "qo", "qs")
     second = units.filter("NOT qo OR qs <> ps").select("gram", F.col("qo").alias("odd"), F.col("qs.step").alias("step"), F.col("qs.slot").alias("slot"), F.lit(1).alias("side"), "ps", "qo", "qs")
     work = placed.join(first.unionByName(second), ["gram", "odd", "step", "slot"]).select("gram", "ps", "qo", "qs", "side", "doc", "comp")
-    found = keep(_sets_of(docs, placed.select(F.col("doc").alias("doc_id")).distinct(), n, classes).toDF("doc", "set"), "sets")
-    return work.join(found, "doc").groupBy("gram", "ps", "qo", "qs").applyInArrow(_apart(percent), "a long, b long")
+    told = work.join(reps.select(F.col("rep").alias("doc"), F.col("n").alias("size"), "parts"), "doc")
+    near = keep(told.groupBy("gram", "ps", "qo", "qs").applyInArrow(_near(percent), work.schema).distinct(), "near")
+    found = keep(_texts_of(docs, near.select(F.col("doc").alias("doc_id")).distinct()).toDF("doc", "text"), "texts")
+    out = keep(near.join(found, "doc").groupBy("gram", "ps", "qo", "qs").applyInArrow(_apart(n, percent, classes), "a long, b long"), "links")
+    done(found)
+    return out
 
 
 def jaccard_components(docs: DataFrame, n: int, percent: int, doc_id: str = "doc_id", text: str = "text", group: int = GROUP, hot: int = HOT) -> DataFrame:
@@ -348,6 +373,9 @@ def _components(docs: DataFrame, n: int, percent: int, group: int, hot: int) ->
     table = keep(docs.mapInArrow(_prefixes(n, percent, classes), "doc_id long, n long, digest binary, prefix array<long>, parts binary"), "prefixes")
     able = table.filter("n > 0 AND doc_id IS NOT NULL")
     reps = keep(able.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.first("parts").alias("parts")), "classes")
+    prefixes, table = table, keep(table.select("doc_id", "n", "digest"), "documents")
+    able = table.filter("n > 0 AND doc_id IS NOT NULL")
+    done(prefixes)
     posting = reps.select("rep", "n", F.posexplode("prefix").alias("pos", "gram")).select("gram", F.col("rep").alias("doc"), "n", F.col("pos").cast("long").alias("pos"))
 
     # n-grams with so many classes that one task should not have them all; the rarity class bounds their number
@@ -376,7 +404,7 @@ def _components(docs: DataFrame, n: int, percent: int, group: int, hot: int) ->
     large = met.filter("kind = 1").select(F.col("a").alias("gram")).distinct()
     if large.take(1):
         members = posting.join(large, "gram").select("gram", "doc", F.col("n").alias("size")).distinct()
-        more_links = _across(members, roots, docs, n, percent, classes)
+        more_links = _across(members, roots, reps, docs, n, percent, classes)
         if more_links is not None:
             roots = components(links.unionByName(more_links))
 

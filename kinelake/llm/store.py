@@ -66,7 +66,14 @@ def keep(df: DataFrame, name: str, result: bool = False) -> DataFrame:
     df.write.parquet(path)
     place, system = _place(spark, path)
     system.deleteOnExit(place)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._kept = path
+    return out
+
+
+def done(df: DataFrame) -> None:
+    """Deletes a table that `keep` returned, before its operator ends, as nothing reads it any more."""
+    drop(df.sparkSession, df._kept)
 
 
 def fresh(name: str, taken: list[str]) -> str:

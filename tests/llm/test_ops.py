@@ -586,3 +586,23 @@ def test_entry_imports_without_the_pipeline(tmp_path):
     shutil.copy(f"{root}/__spark_entry__.py", tmp_path)
     code = "import __spark_entry__ as e; q = e.queries(); assert 'pipeline' not in q and 'op2_jaccard_join' in q and 'q_rollup' in q"
     subprocess.run([sys.executable, "-c", code], cwd=tmp_path, check=True, env={k: v for k, v in os.environ.items() if k != "PYTHONPATH"})
+
+
+def test_jaccard_blocks_get_texts_of_near_classes_alone(spark, monkeypatch):
+    """Classes that share an n-gram and are alike to none are told apart by sizes of parts: of 61 at most the near two
+    have their texts sent, and no set is kept (as many bytes a word as a text has)."""
+    rnd = random.Random(5)
+    rows = [(i, " ".join(["the same words", *(f"w{rnd.randrange(10**6)}" for _ in range(20))])) for i in range(60)]
+    rows.append((60, rows[59][1] + " more"))
+    kept, old = [], jaccard_join.keep
+    monkeypatch.setattr(jaccard_join, "keep", lambda df, name, **k: kept.append((name, old(df, name, **k))) or kept[-1][1])
+    monkeypatch.setattr(jaccard_join, "done", lambda df: None)
+    monkeypatch.setattr(jaccard_join, "scratch", lambda s: __import__("contextlib").nullcontext())
+    monkeypatch.setattr(jaccard_join, "probe_length", lambda x, percent: x)  # so that all n-grams are dealt out
+    monkeypatch.setattr(jaccard_join, "index_length", lambda x, percent: x)
+    found = jaccard_join.jaccard_components(docs_of(spark, rows), 3, 90, group=4)
+    assert sorted(map(tuple, found.collect()), key=str) == plain_components(rows, 3, 90)
+    assert "sets" not in {name for name, _ in kept}
+    near = [df for name, df in kept if name == "near"]
+    assert near and all(df.count() <= 2 for df in near)
+    assert all(len(r["parts"]) == 64 for r in dict(kept)["classes"].collect())
