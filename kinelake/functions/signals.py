@@ -117,6 +117,12 @@ def frame_range(start: Column, stop: Column, fps: Column) -> tuple[Column, Colum
     return first, F.greatest(first, (stop * fps).cast("int"))
 
 
+def ieee_quotient(a: Column, b: Column) -> Column:
+    """a / b of doubles where b may be 0: an infinity with the signs' product, or NaN for 0 / 0; NaN is the largest value."""
+    by_zero = F.when((a == 0) | F.isnan(a), float("nan")).otherwise(F.signum(a) * F.when(b.cast("string") == "-0.0", float("-inf")).otherwise(float("inf")))
+    return F.when(b == 0, F.when(a.isNotNull(), by_zero)).otherwise(F.try_divide(a, b))
+
+
 def canonical_digest(parts: list[Column | str]) -> Column:
     """One hash of an ordered list of columns, NULLs told from empty texts."""
     return F.sha2(F.concat_ws("\x1f", *[F.coalesce(_c(p).cast("string"), F.lit("\x00")) for p in parts]), 256)

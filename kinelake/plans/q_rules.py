@@ -313,7 +313,8 @@ def segment_overlap(spark, sf_dir):
     w = Window.partitionBy("user_id").orderBy("us", "event_id")
     f = V.event_frames(spark, sf_dir).select("user_id", "event_id", F.col("us").alias("us"), (F.col("value") * 2000).alias("len"), (F.col("us") / 1e6).alias("s"))
     nxt = f.withColumn("s2", F.lead("s").over(w)).withColumn("len2", F.lead("len").over(w)).filter("s2 IS NOT NULL")
-    over = (F.least(F.col("s") + F.col("len"), F.col("s2") + F.col("len2")) - F.greatest("s", "s2")) / F.least("len", "len2")
+    common, shorter = F.least(F.col("s") + F.col("len"), F.col("s2") + F.col("len2")) - F.greatest("s", "s2"), F.least("len", "len2")
+    over = S.ieee_quotient(common, shorter)  # of empty intervals too, as SQL has it
     return nxt.groupBy("user_id").agg(F.count_if(over > 0.5).alias("n_over_half"), F.count_if(over > 0).alias("n_overlap"), F.count(F.lit(1)).alias("n_pairs"))
 
 

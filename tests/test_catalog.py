@@ -273,3 +273,24 @@ def test_entry_imports_without_the_subpackage(tmp_path):
     shutil.copy(os.path.join(ROOT, "__spark_entry__.py"), tmp_path)
     code = "import __spark_entry__ as e; q = e.queries(); assert 'q_rollup' in q and not any(n.startswith('op') for n in q); assert set(e.oracle_sql()) <= set(q)"
     subprocess.run([sys.executable, "-c", code], cwd=tmp_path, check=True)
+
+
+EVENTS = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
+
+
+def events_of(spark, tmp_path, rows, *names):
+    """Rows of named queries, and of their SQL, over a table of events (event_id, seconds, user_id, event_type, value)."""
+    from datetime import datetime, timedelta
+
+    made = [(e, datetime(2024, 1, 1) + timedelta(seconds=s), u, kind, v, "{}") for e, s, u, kind, v in rows]
+    spark.createDataFrame(made, EVENTS).coalesce(1).write.mode("overwrite").parquet(str(tmp_path / "events.parquet"))
+    c = duckdb.connect()
+    c.execute(f"CREATE VIEW events AS SELECT * FROM '{tmp_path}/events.parquet/*.parquet'")
+    return [(rows_of, c.execute(catalog.oracles()[n]).df()) for n in names for rows_of in [catalog.queries()[n](spark, str(tmp_path)).toPandas()]]
+
+
+def test_overlap_of_empty_intervals_is_as_in_sql(spark, tmp_path):
+    """Before, a value of 0 ended the query with a division by zero."""
+    made = [(0, 0, 1, "view", 0.0), (1, 0, 1, "view", 0.0), (2, 9, 1, "view", 5.0), (3, 10, 1, "view", 0.0), (4, 99999, 1, "view", 1.0), (5, 7, 2, "view", 2.0), (6, 8, 2, "view", 3.0), (7, 9, 2, "view", None)]
+    ((got, want),) = events_of(spark, tmp_path, made, "q_segment_overlap_sym")
+    assert rows(got) == rows(want)
