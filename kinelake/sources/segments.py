@@ -138,6 +138,14 @@ def round_robin(segments: DataFrame, videos: list[str]) -> DataFrame:
     return own.crossJoin(F.broadcast(least)).filter("turn <= _least").drop("_least")  # one row
 
 
+def frame_bounds(segments: DataFrame) -> DataFrame:
+    """(episode_uid, video_id, first, last, n): of each segment the ends and the number of the frames that `frames_of` makes,
+    without making them: one row in, one row out, however long a segment is."""
+    first, last = S.frame_range(F.col("start_s"), F.col("stop_s"), F.col("fps"))
+    told = segments.select("episode_uid", "video_id", first.cast("long").alias("first"), last.cast("long").alias("last"))
+    return told.withColumn("n", F.col("last") - F.col("first") + 1)
+
+
 def frames_of(segments: DataFrame) -> DataFrame:
     """(episode_uid, video_id, frame_idx, frame_no, t): every frame of each segment at the extraction rate."""
     first, last = S.frame_range(F.col("start_s"), F.col("stop_s"), F.col("fps"))

@@ -294,3 +294,11 @@ def test_overlap_of_empty_intervals_is_as_in_sql(spark, tmp_path):
     made = [(0, 0, 1, "view", 0.0), (1, 0, 1, "view", 0.0), (2, 9, 1, "view", 5.0), (3, 10, 1, "view", 0.0), (4, 99999, 1, "view", 1.0), (5, 7, 2, "view", 2.0), (6, 8, 2, "view", 3.0), (7, 9, 2, "view", None)]
     ((got, want),) = events_of(spark, tmp_path, made, "q_segment_overlap_sym")
     assert rows(got) == rows(want)
+
+
+def test_long_and_many_segments_are_not_laid_out(spark, tmp_path):
+    """Before, users of large numbers had as many rows as their segments have frames, and events of one hour met in pairs:
+    4e9 frames, 4e6 pairs."""
+    far = [(k, k * 40_000, 100_000_000 + k, "error" if k % 2 else "view", float(k)) for k in range(70)]
+    ((got, want),) = events_of(spark, tmp_path, far, "q_frame_ranges")
+    assert rows(got) == rows(want)
