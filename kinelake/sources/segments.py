@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from kinelake.functions import signals as S
+from kinelake.operators.order import n_ranges, settled
 
 # Columns that are read, and their types; the inertial files' columns by stream.
 SEGMENT = {"narration_id": "string", "participant_id": "string", "video_id": "string", "start_timestamp": "string", "stop_timestamp": "string", "start_frame": "long", "stop_frame": "long", "narration": "string", "verb": "string", "verb_class": "int", "noun": "string", "noun_class": "int"}
@@ -180,6 +181,34 @@ def slice_samples(samples: DataFrame, segments: DataFrame) -> DataFrame:
     return joined.withColumn("t", F.col("ms") / 1000 - F.col("start_s")).withColumn("sample_idx", F.row_number().over(w) - 1).drop("_a", "_b", "_k", "start_s")
 
 
+def slice_facts(samples: DataFrame, segments: DataFrame) -> DataFrame:
+    """(episode_uid, n, last_t, last_idx): how many samples `slice_samples` gives an episode, and the largest t and place,
+    without making slices, which are as many as segments times samples where these lie close.
+
+    Samples are counted by time, and times and ends of segments are put in one order by video, in ranges: what a segment
+    has is the difference of the counts at its ends. Episodes without samples are not there."""
+    a, b = F.col("start_s") * 1000, F.col("stop_s") * 1000
+    none = F.lit(None)
+    times = samples.groupBy("video_id", F.col("ms").cast("double").alias("at")).agg(F.count(F.lit(1)).alias("c"))
+    times = times.select("video_id", "at", F.lit(1).alias("kind"), none.cast("string").alias("episode_uid"), none.cast("double").alias("start_s"), none.cast("double").alias("stop_s"), "c")
+    ends = segments.select("video_id", F.inline(F.array(F.struct(a.alias("at"), F.lit(0).alias("kind")), F.struct(b.alias("at"), F.lit(2).alias("kind")))), "episode_uid", "start_s", "stop_s", F.lit(0).cast("long").alias("c"))
+    marks = times.unionByName(ends.filter("start_s IS NOT NULL AND stop_s IS NOT NULL")).filter("video_id IS NOT NULL AND at IS NOT NULL")
+    by = ["video_id", "at", "kind", "episode_uid", "start_s", "stop_s"]
+    dealt = marks.repartitionByRange(n_ranges(marks.sparkSession), *by).sortWithinPartitions(*by)
+    rows = settled(dealt.withColumn("_at", F.monotonically_increasing_id()).withColumn("_range", F.shiftright("_at", 33)))
+    seen = F.max(F.when(F.col("kind") == 1, F.col("at")))
+    part = rows.groupBy("video_id", "_range").agg(F.sum("c").alias("_c"), seen.alias("_seen"))
+    before = Window.partitionBy("video_id").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # a row a range
+    told = part.select("video_id", "_range", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_before"), F.max("_seen").over(before).alias("_seen"))
+    here = Window.partitionBy("video_id", "_range").orderBy("_at").rowsBetween(Window.unboundedPreceding, 0)
+    run = rows.withColumns({"upto": F.sum("c").over(here), "last": seen.over(here)}).filter("kind <> 1")
+    run = run.join(told, ["video_id", "_range"]).withColumns({"upto": F.col("upto") + F.col("_before"), "last": F.coalesce("last", "_seen")})
+    stop = F.col("kind") == 2
+    each = run.groupBy("episode_uid", "video_id", "start_s", "stop_s").agg(F.sum(F.when(stop, F.col("upto")).otherwise(-F.col("upto"))).alias("n"), F.max(F.when(stop, F.col("last"))).alias("last"))
+    each = each.filter("n > 0").withColumn("t", F.col("last") / 1000 - F.col("start_s"))
+    return each.groupBy("episode_uid").agg(F.sum("n").alias("n"), F.max("t").alias("last_t"), (F.sum("n") - 1).cast("int").alias("last_idx"))
+
+
 def available_layers(segments: DataFrame, inventory: DataFrame, layers: list[str]) -> DataFrame:
     """(episode_uid, layers, missing): which enabled layers a video has; a layer that is absent is told, not an error."""
     have = inventory.groupBy("video_id").agg(F.collect_set("layer").alias("_have"))

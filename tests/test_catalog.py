@@ -302,3 +302,17 @@ def test_long_and_many_segments_are_not_laid_out(spark, tmp_path):
     far = [(k, k * 40_000, 100_000_000 + k, "error" if k % 2 else "view", float(k)) for k in range(70)]
     ((got, want),) = events_of(spark, tmp_path, far, "q_frame_ranges")
     assert rows(got) == rows(want)
+    near = [(k, k % 700 * 0.5 + (k % 3) * 1800, k % 4, "view", 1.0) for k in range(4000)]
+    ((got, want),) = events_of(spark, tmp_path, near, "q_interval_join")
+    assert rows(got) == rows(want)
+
+
+def test_facts_of_slices_equal_slices(spark):
+    import random
+
+    rnd = random.Random(3)
+    samples = spark.createDataFrame([(rnd.choice("ab"), rnd.randrange(50_000)) for _ in range(300)] + [(None, 5), ("a", None)], "video_id string, ms long")
+    seg = spark.createDataFrame([(f"e{k % 37}", rnd.choice("abc"), rnd.randrange(40) * 1.0, rnd.randrange(60) * 1.0) for k in range(60)] + [("n", "a", None, 1.0)], "episode_uid string, video_id string, start_s double, stop_s double")
+    want = segments.slice_samples(samples, seg.filter("start_s <= stop_s")).groupBy("episode_uid").agg(F.count(F.lit(1)).alias("n"), F.max("t").alias("last_t"), F.max("sample_idx").alias("last_idx"))
+    got = segments.slice_facts(samples, seg.filter("start_s IS NULL OR start_s <= stop_s"))
+    assert got.count() > 5 and rows(got.toPandas()) == rows(want.toPandas())
