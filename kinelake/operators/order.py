@@ -47,6 +47,21 @@ def scratch(spark: SparkSession, name: str) -> str:
     return path
 
 
+#: Rows of a table that every task may have, and rows that a task is dealt in the mean.
+FEW_ROWS, ROWS_EACH = 1 << 16, 1 << 19
+
+
+def few(df: DataFrame, most: int = FEW_ROWS) -> DataFrame:
+    """df, to be sent to every task where it turns out to have at most `most` rows; df is settled. What is joined with it
+    then stays where it is, however few keys there are."""
+    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
+
+
+def spread(df: DataFrame, n_rows: int, *keys: str, each: int = ROWS_EACH) -> DataFrame:
+    """df dealt out by keys to as many tasks as its number of rows asks for, so that a task has no more when it grows."""
+    return df.repartition(max(n_ranges(df.sparkSession), -(-n_rows // each)), *keys)
+
+
 def n_ranges(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

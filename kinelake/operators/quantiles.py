@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from kinelake.operators.order import settled
+from kinelake.operators.order import few as sent, settled
 
 #: Bins of a range in one pass, and values that are few enough to be put in order.
 BINS, FEW = 2048, 4096
@@ -40,12 +40,14 @@ def values_at(rows: DataFrame, keys: list[str], value: str, places: DataFrame, b
         same = (F.col("low") == F.col("high"))
         found.append(open_.filter(same).select(*keys, F.explode("places").alias("place"), F.col("low").alias("value")))
         wide = open_.filter(~same)
-        inside = rows.join(wide.select(*keys, "r", "low", "high", "n", "below", "places"), keys).filter("v BETWEEN low AND high")
+        # where open ranges are few, rows are neither dealt out by group nor sorted
+        inside = rows.join(sent(wide.select(*keys, "r", "low", "high", "n")), keys).filter("v BETWEEN low AND high")
+        asked = wide.select(*keys, "r", "below", "places")
         # few values: in order, by their bounded number
-        small = inside.filter(F.col("n") <= few).groupBy(*keys, "r").agg(F.sort_array(F.collect_list("v")).alias("vs"), F.first("places").alias("places"), F.first("below").alias("below"))
+        small = inside.filter(F.col("n") <= few).groupBy(*keys, "r").agg(F.sort_array(F.collect_list("v")).alias("vs")).join(asked, [*keys, "r"])
         found.append(settled(small.withColumn("place", F.explode("places")).select(*keys, "place", F.get("vs", (F.col("place") - F.col("below")).cast("int")).alias("value"))))
         counted = inside.filter(F.col("n") > few).withColumn("b", _bin(F.col("v"), F.col("low"), F.col("high"), bins))
-        parts = counted.groupBy(*keys, "r", "b").agg(F.count(F.lit(1)).alias("m"), F.min("v").alias("lo"), F.max("v").alias("hi"), F.first("places").alias("places"), F.first("below").alias("below"))
+        parts = counted.groupBy(*keys, "r", "b").agg(F.count(F.lit(1)).alias("m"), F.min("v").alias("lo"), F.max("v").alias("hi")).join(asked, [*keys, "r"])  # numbers alone are summed by hash, without a sort
         w = Window.partitionBy(*keys, "r").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)  # at most `bins` rows
         told = parts.withColumn("start", F.col("below") + F.coalesce(F.sum("m").over(w), F.lit(0)))
         told = told.withColumn("mine", F.filter("places", lambda p: (p >= F.col("start")) & (p < F.col("start") + F.col("m")))).filter(F.size("mine") > 0)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from kinelake.functions import signals as S
 from kinelake.operators.history import latest
-from kinelake.operators.order import settled
+from kinelake.operators.order import few, settled
 from kinelake.operators.quantiles import quantiles
 
 
@@ -42,6 +42,7 @@ def distributions(rows: DataFrame, keys: list[str], value: str = "value", in_a_t
     large = settled(sizes.filter(F.col("_n") > in_a_task).drop("_n"))
     if not large.take(1):
         return rows.groupBy(*keys).agg(*S.summary(value))
+    large = few(large)  # one in `in_a_task` rows at most
     small = rows.join(large, keys, "left_anti").groupBy(*keys).agg(*S.summary(value))
     mine = rows.join(large, keys, "left_semi").withColumn(value, S.finite(value))
     exact = ("p1", "p99")

@@ -380,3 +380,21 @@ def test_shards_are_read_in_parts_by_an_index(spark, tmp_path):
     assert dealt > 1
     one = tfrecord.read_at(index.filter("record = 7 AND path LIKE '%tfrecord-1'"), wanted=["x"]).collect()
     assert len(one) == 1 and set(one[0]["features"]) == {"x"} and [int(i) for i in one[0]["features"]["x"]["ints"]] == [47, 2**64 - 1]
+
+
+def test_few_large_groups_are_neither_dealt_out_nor_sorted(spark):
+    """Before, rows were joined with their groups by exchange and sort, all of a group in one task."""
+    from kinelake.operators import stats
+
+    df = spark.range(5000).select((F.col("id") % 3).alias("g"), F.sqrt("id").alias("value"))
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "-1")
+    try:
+        got = stats.distributions(df, ["g"], in_a_task=0)
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        found = {r["g"]: (r["count"], r["p1"], r["p99"]) for r in got.collect()}
+    finally:
+        spark.conf.set(name, before)
+    assert plan.count("LeftSemi, BuildRight") and plan.count("LeftAnti, BuildRight") and not any("SortMergeJoin" in line and ("LeftSemi" in line or "LeftAnti" in line) for line in plan.splitlines())
+    assert found == {r["g"]: (r["count"], r["p1"], r["p99"]) for r in stats.distributions(df, ["g"]).collect()}
