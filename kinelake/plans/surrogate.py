@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from kinelake.operators.order import spread
 from kinelake.operators.rules import CAMERA, CHANNEL, CONTINUOUS, Tables
 
 #: Declared rate of the event stream's episodes: one event in six hours.
@@ -82,7 +83,8 @@ LINE_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extende
 def line_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     w = Window.partitionBy("episode_uid").orderBy(*LINE_ORDER)
     columns = ["l_orderkey", *LINE_ORDER, "l_quantity", "l_discount", "l_tax", "l_returnflag"]
-    return table(spark, sf_dir, "lineitem").select(*columns).withColumn("episode_uid", F.col("l_orderkey").cast("string")).withColumn("frame_idx", F.row_number().over(w) - 1)
+    lines = table(spark, sf_dir, "lineitem").select(*columns).withColumn("episode_uid", F.col("l_orderkey").cast("string"))
+    return spread(lines, lines.count(), "episode_uid").withColumn("frame_idx", F.row_number().over(w) - 1)
 
 
 def line_tables(spark: SparkSession, sf_dir: str) -> Tables:

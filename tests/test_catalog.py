@@ -316,3 +316,13 @@ def test_facts_of_slices_equal_slices(spark):
     want = segments.slice_samples(samples, seg.filter("start_s <= stop_s")).groupBy("episode_uid").agg(F.count(F.lit(1)).alias("n"), F.max("t").alias("last_t"), F.max("sample_idx").alias("last_idx"))
     got = segments.slice_facts(samples, seg.filter("start_s IS NULL OR start_s <= stop_s"))
     assert got.count() > 5 and rows(got.toPandas()) == rows(want.toPandas())
+
+
+def exchanges(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+
+
+def test_lines_of_orders_are_dealt_out_once(spark):
+    """Before, cells of a line were dealt out by channel and again by order, and cells of a frame after its lines."""
+    for name in ("q_span_by_unit", "q_bit_equal"):
+        assert exchanges(catalog.queries()[name](spark, SF)) == 1
