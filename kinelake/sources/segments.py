@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from kinelake.functions import signals as S
-from kinelake.operators.order import n_ranges, settled
+from kinelake.operators.order import n_ranges, settled, spread
 
 # Columns that are read, and their types; the inertial files' columns by stream.
 SEGMENT = {"narration_id": "string", "participant_id": "string", "video_id": "string", "start_timestamp": "string", "stop_timestamp": "string", "start_frame": "long", "stop_frame": "long", "narration": "string", "verb": "string", "verb_class": "int", "noun": "string", "noun_class": "int"}
@@ -161,10 +161,13 @@ def pose_table(spark: SparkSession, path: str) -> DataFrame:
     return raw.withColumn("pose", seven)
 
 
-def with_pose(frames: DataFrame, poses: DataFrame) -> DataFrame:
-    """Frames with their pose, NULL where the reconstruction has none. Pose files count frames from 1."""
-    key = F.format_string("frame_%010d.jpg", F.col("frame_no") + 1)
-    return frames.withColumn("frame_key", key).join(poses, ["video_id", "frame_key"], "left").drop("frame_key")
+def with_pose(frames: DataFrame, poses: DataFrame, n_rows: int | None = None) -> DataFrame:
+    """Frames with their pose, NULL where the reconstruction has none. Pose files count frames from 1. Where the number of
+    frames is told, they are dealt out to as many tasks as it asks for."""
+    keyed = frames.withColumn("frame_key", F.format_string("frame_%010d.jpg", F.col("frame_no") + 1))
+    if n_rows is not None:
+        keyed = spread(keyed, n_rows, "video_id", "frame_key")
+    return keyed.join(poses, ["video_id", "frame_key"], "left").drop("frame_key")
 
 
 def slice_samples(samples: DataFrame, segments: DataFrame) -> DataFrame:

@@ -326,3 +326,16 @@ def test_lines_of_orders_are_dealt_out_once(spark):
     """Before, cells of a line were dealt out by channel and again by order, and cells of a frame after its lines."""
     for name in ("q_span_by_unit", "q_bit_equal"):
         assert exchanges(catalog.queries()[name](spark, SF)) == 1
+
+
+def test_tasks_grow_with_rows_not_rows_of_a_task(spark, monkeypatch):
+    """Before, the number of tasks was the session's, whatever the number of rows."""
+    from kinelake.operators import order
+    from kinelake.plans import surrogate
+
+    monkeypatch.setattr(order.spread, "__kwdefaults__", {"each": 500})
+    n = spark.read.parquet(f"{SF}/lineitem.parquet").count()
+    assert surrogate.line_frames(spark, SF).rdd.getNumPartitions() == -(-n // 500) > 3
+    orders = spark.read.parquet(f"{SF}/orders.parquet").count()
+    plan = catalog.queries()["q_sparse_left_join"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count(f", {-(-orders * 7 // 500)}), REPARTITION_BY_NUM") == 2
