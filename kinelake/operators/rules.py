@@ -399,8 +399,8 @@ def dealt(t: Tables) -> Tables:
     return Tables(t.episodes, t.channels, order.dealt(t.samples, EPISODE), order.dealt(t.frames, EPISODE))
 
 
-def evaluate_all(t: Tables, rules: list[Rule] | None = None, params: dict | None = None) -> DataFrame:
-    """(episode_uid, rule_id, verdict, reason, metrics), one row per episode and rule: episodes beside every rule's facts."""
+def _beside(t: Tables, rules: list[Rule] | None, params: dict | None) -> tuple[DataFrame, list[Column]]:
+    """Episodes beside every rule's facts, and every rule's result as a struct over such a row."""
     rules = RULES if rules is None else rules
     t = dealt(t) if len(rules) > 1 else t
     wide = t.episodes.join(F.broadcast(declared(t.channels)), "embodiment", "left")
@@ -412,6 +412,12 @@ def evaluate_all(t: Tables, rules: list[Rule] | None = None, params: dict | None
             found = rule.facts(t, p)
             wide = wide.join(found.select(EPISODE, F.struct(*[c for c in found.columns if c != EPISODE]).alias(name)), EPISODE, "left")
         results.append(_judged(rule, name, p))
+    return wide, results
+
+
+def evaluate_all(t: Tables, rules: list[Rule] | None = None, params: dict | None = None) -> DataFrame:
+    """(episode_uid, rule_id, verdict, reason, metrics), one row per episode and rule."""
+    wide, results = _beside(t, rules, params)
     if len(results) == 1:
         return wide.select(EPISODE, results[0].alias("r")).select(EPISODE, "r.*")
     return wide.select(EPISODE, F.inline(F.array(*results)))
@@ -428,5 +434,13 @@ def roll_up(episodes: DataFrame, results: DataFrame) -> DataFrame:
     return episodes.select("episode_uid").join(had, "episode_uid", "left").select("episode_uid", F.when(F.col("f"), FAIL).when(F.col("r"), REVIEW).otherwise(PASS).alias("qc_verdict"))
 
 
+def roll_up_all(t: Tables, rules: list[Rule] | None = None, params: dict | None = None) -> DataFrame:
+    """`roll_up` of `evaluate_all`, from the row in which an episode's facts stand side by side: results are not made into
+    rows and grouped again, their reasons and metrics are not made, and episodes are read once less."""
+    wide, results = _beside(t, rules, params)
+    had = lambda *v: F.greatest(*[F.coalesce(r["verdict"].isin(*v), F.lit(False)) for r in results], F.lit(False), F.lit(False))
+    return wide.select(EPISODE, F.when(had(FAIL), FAIL).when(had(REVIEW, ERROR), REVIEW).otherwise(PASS).alias("qc_verdict"))
+
+
 def rule_by_id(rule_id: str) -> Rule:
     return next(r for r in RULES if r.rule_id == rule_id)

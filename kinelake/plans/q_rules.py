@@ -149,8 +149,7 @@ add("q_gate_reasons", gate_reasons, f"{E} SELECT rule_id, reason, count(*) AS n
 
 def rollup(spark, sf_dir):
     """Over all eleven rules."""
-    t = V.event_tables(spark, sf_dir)
-    return R.roll_up(t.episodes, R.evaluate_all(t))
+    return R.roll_up_all(V.event_tables(spark, sf_dir))
 
 
 # The verdicts of all rules with their own parameters, over the event stream

@@ -339,3 +339,14 @@ def test_tasks_grow_with_rows_not_rows_of_a_task(spark, monkeypatch):
     orders = spark.read.parquet(f"{SF}/orders.parquet").count()
     plan = catalog.queries()["q_sparse_left_join"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert plan.count(f", {-(-orders * 7 // 500)}), REPARTITION_BY_NUM") == 2
+
+
+def test_rollup_reads_episodes_once_less(spark):
+    """Before, results were rows that were grouped again and joined with episodes that were read a third time."""
+    from kinelake.operators import rules
+    from kinelake.plans import surrogate
+
+    got, t = catalog.queries()["q_rollup"](spark, SF), surrogate.event_tables(spark, SF)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 2  # beside facts, and for the columns of end markers
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, rules.roll_up(t.episodes, rules.evaluate_all(t)).collect()))
