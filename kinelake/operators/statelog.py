@@ -26,6 +26,7 @@ import json
 import os
 import time
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -133,14 +134,32 @@ class StateLog:
 
     def append(self, rows: DataFrame, token: str | None = None, **facts) -> Commit | None:
         """Adds rows at once; nothing is added, and nothing returned, if this token's rows are there already."""
-        if token and any(c.facts.get("token") == token for c in self.commits()):
+        if token and self.used(token):
             return None
+        return self.enter(self.put(rows), token, **facts)
+
+    def used(self, token: str) -> bool:
+        return any(c.facts.get("token") == token for c in self.commits())
+
+    def put(self, rows: DataFrame) -> str:
+        """Writes rows as a part, which nobody sees before it is entered; its name."""
         part = f"parts/{uuid.uuid4().hex}"
         rows.select(*[F.col(f.name).cast(f.dataType) for f in self.schema]).write.parquet(f"{self.root}/{part}")
+        return part
+
+    def part(self, name: str) -> DataFrame:
+        return self.spark.read.schema(self.schema).parquet(f"{self.root}/{name}")
+
+    def drop(self, part: str) -> None:
+        """Deletes a part that is not to be entered."""
+        self.files.delete(f"{self.root}/{part}")
+
+    def enter(self, part: str, token: str | None = None, **facts) -> Commit | None:
+        """Commits a part; if this token's rows are there already, the part goes and nothing is returned."""
         number = self._commit(facts | {"kind": "rows", "part": part, "at": time.time()} | ({"token": token} if token else {}))
         won = [c for c in self.commits() if c.number == number]
         if not won:
-            self.files.delete(f"{self.root}/{part}")
+            self.drop(part)
         return won[0] if won else None
 
     # ---- reading
@@ -151,13 +170,13 @@ class StateLog:
         if not numbers:
             return self.spark.createDataFrame([], self.schema).withColumn("_commit", F.lit(0).cast("long"))
         rows = self.spark.read.schema(self.schema).parquet(*[f"{self.root}/parts/{n}" for n in numbers])
-        folder = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2)
+        folder = F.substring_index(F.substring_index(F.col("_metadata.file_path"), "/", -2), "/", 1)  # told for every row
         of = self.spark.createDataFrame(list(numbers.items()), "_part string, _commit long")  # a row a commit
         return rows.withColumn("_part", folder).join(F.broadcast(of), "_part").drop("_part")
 
-    def rows(self, since: int = -1) -> DataFrame:
-        """All rows ever appended after commit `since`, with `_commit`."""
-        return self._parts([c for c in self.commits() if c.number > since])
+    def rows(self, since: int = -1, skip: Callable[[Commit], bool] | None = None) -> DataFrame:
+        """All rows ever appended after commit `since`, with `_commit`; without commits that `skip` accepts."""
+        return self._parts([c for c in self.commits() if c.number > since and not (skip and skip(c))])
 
     def bucket(self, keys: list[Column] | None = None) -> Column:
         return F.pmod(F.xxhash64(*(keys or [F.col(k) for k in self.keys])), F.lit(self.buckets)).cast("int")
@@ -175,17 +194,22 @@ class StateLog:
         return found[-1], rows.drop("version")
 
     def _newest(self, rows: DataFrame) -> DataFrame:
-        """One row a key, by the last commit; partial in every task before it is shuffled."""
+        """One row a key, by the last commit. Without an `order` a key has a row a commit at most: rows are dealt out by key
+        as they are, which saves a sort. With one, a key can have any number, and tasks take the best of theirs first."""
         rest = [f.name for f in self.schema if f.name not in self.keys]
         by = F.struct("_commit", *self.order)
+        if not self.order:
+            rows = rows.repartition(*self.keys)
         best = rows.groupBy(*self.keys).agg(F.max_by(F.struct(*rest), by).alias("_best"))
         return best.select(*[F.col(f.name) if f.name in self.keys else F.col(f"_best.{f.name}").alias(f.name) for f in self.schema])
 
-    def latest(self, where: Column | None = None) -> DataFrame:
-        """The latest row of every key, and of those the ones that `where` accepts."""
+    def latest(self, where: Column | None = None, keys: Column | None = None, skip: Callable[[Commit], bool] | None = None) -> DataFrame:
+        """The latest row of every key, and of those the ones that `where` accepts; only of the keys that `keys` accepts. None
+        of these is in the commits that `skip` accepts, which are not read."""
         commit, old = self.snapshot()
-        since = self.rows(-1 if commit is None else commit.facts["upto"])
-        out = self._newest(old.drop("bucket").withColumn("_commit", F.lit(-1).cast("long")).unionByName(since))
+        since = self.rows(-1 if commit is None else commit.facts["upto"], skip)
+        rows = old.drop("bucket").withColumn("_commit", F.lit(-1).cast("long")).unionByName(since)
+        out = self._newest(rows if keys is None else rows.filter(keys))
         return out if where is None else out.filter(where)
 
     def lookup(self, **key) -> DataFrame:

@@ -231,6 +231,37 @@ def test_two_workers_in_one_batch_enter_each_stage_once(tiny, tmp_path):
         assert log.claim("0-1", "third", 60) is not None  # the batch is free again
 
 
+def test_a_batch_settles_each_stage_once_and_leaves_other_batches_unread(tiny, tmp_path, monkeypatch):
+    spark, made, read = tiny, [], []
+    real = L.settled
+    monkeypatch.setattr(L, "settled", lambda df: (made.append(1), real(df))[1])
+    log = L.episode_log(spark, str(tmp_path), 2)
+    parts = log._parts
+    log._parts = lambda commits: (read.append({c.facts.get("batch") for c in commits}), parts(commits))[1]
+    found = spark.createDataFrame([(f"e{k}",) for k in range(8)], "episode_uid string")
+    fetch = lambda e: e.withColumn("error", F.when(F.col("episode_uid") == "e3", F.lit("KeyError: e3")))
+    source = L.Source(None, fetch, lambda e: e.filter("episode_uid <> 'e5'"), lambda e: e.select("episode_uid", F.lit("PASS").alias("qc_verdict")), lambda rows: None)
+    run = L.Run("r1")
+    out = L.ingest(log, L.due(found, log), source, run, batches=2)
+    # the work-list, and of both batches where they begin and what the three stages said
+    assert len(made) == 1 + 2 * 4
+    # before the states at the end nobody reads more than the batch at hand
+    assert all(len(batches) <= 1 for batches in read[:-1]) and read[-1] == {"0-2", "1-2"} and len(read) == 4
+    got = {r["episode_uid"]: (r["status"], r["qc_verdict"]) for r in out.collect()}
+    assert got.pop("e3") == ("FAILED", "PENDING") and got.pop("e5") == ("FETCHED", "PENDING") and set(got.values()) == {("COMMITTED", "PASS")} and len(got) == 6
+    assert {k: v for k, v in run.counters.items() if v} == {"discovered": 8, "fetched": 7, "normalized": 6, "qc_done": 6, "committed": 6, "failed": 1}
+
+
+def test_a_resumed_episode_keeps_its_files_and_verdict_beside_new_ones(tiny, tmp_path):
+    spark = tiny
+    log = L.episode_log(spark, str(tmp_path), 2)
+    log.append(spark.createDataFrame([("a", "NORMALIZED", "PENDING", ["f1"]), ("b", "QC_DONE", "REVIEW", ["f2"])], "episode_uid string, status string, qc_verdict string, files array<string>").withColumns({"last_error": F.lit(None), "last_update_run": F.lit("r0"), "updated_at": F.current_timestamp()}))
+    found = spark.createDataFrame([("a",), ("b",), ("c",)], "episode_uid string")
+    source = L.Source(None, lambda e: e, lambda e: e, lambda e: e.select("episode_uid", F.lit("PASS").alias("qc_verdict")), lambda rows: None, lambda e: e.select("episode_uid", F.array("episode_uid").alias("files")))
+    out = L.ingest(log, L.due(found, log), source, L.Run("r1"))
+    assert table(out.select("episode_uid", "status", "qc_verdict", "files")) == [("a", "COMMITTED", "PASS", ["f1"]), ("b", "COMMITTED", "REVIEW", ["f2"]), ("c", "COMMITTED", "PASS", ["c"])]
+
+
 def test_a_file_that_will_not_open_sends_its_episode_back(tiny, tmp_path):
     spark = tiny
     place = str(tmp_path)
